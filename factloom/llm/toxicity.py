@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed words, word pairs and skip-grams.
 
-Features of a text are the distinct 64-bit hashes of its words, of adjacent words and of words one
-place apart, each with the value 1. Training goes over mini-batches with a rate for each coordinate
+Features of a text are the distinct 64-bit hashes of its words, of their stems, of adjacent words and
+of words one place apart, each with the value 1. Training goes over mini-batches with a rate for each coordinate
 and an L1 penalty that leaves most weights at exactly 0; the others, a few thousand, are sorted by
 hash and travel with the scoring tasks. Features seen in fewer than ``min_docs`` training texts get
 no weight.
@@ -27,15 +27,20 @@ from factloom.llm import textvec as tv
 from factloom.llm.common import fit_in_one_task, labelled_sample, map_texts
 
 MAX_ROWS = 16_000
+#: A longer word also counts by its first so many bytes, so that inflected forms share a weight.
+STEMS = (4, 6)
 _FILTER_BITS = 20
 
 
 def features(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, hash) of every word, adjacent pair and skip pair, with repetitions."""
-    d, h = tv.words(buf, off)
+    """(text number, hash) of every word, stem, adjacent pair and skip pair, with repetitions."""
+    s, e, d = tv.spans(buf, off, tv.WORD)
+    h = tv.hashes(buf, s, e)
+    stems = [(d[long], tv.hashes(buf, s[long], s[long] + k) ^ np.uint64(k)) for k in STEMS for long in [np.flatnonzero(e - s > k)]]
     d1, h1 = tv.pairs(d, h, 1)
     d2, h2 = tv.pairs(d, h, 2)
-    return np.concatenate([d, d1, d2]), np.concatenate([h, h1, h2])
+    parts = [(d, h), (d1, h1), (d2, h2), *stems]
+    return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
 
 
 def _once(d: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +88,7 @@ class Weights:
         return Weights(z["keys"], z["values"], float(z["bias"]))
 
 
-def ftrl(docs: list[np.ndarray], y: np.ndarray, n: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.5, l2: float = 0.1, epochs: int = 5, batch: int = 32, seed: int = 7) -> tuple[np.ndarray, float]:
+def ftrl(docs: list[np.ndarray], y: np.ndarray, n: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.01, epochs: int = 5, batch: int = 32, seed: int = 7) -> tuple[np.ndarray, float]:
     """Follow the regularised leader, proximal form: weights of n binary features and the intercept.
 
     z gathers gradients less what the moving weight accounts for, q their squares; a coordinate's rate
