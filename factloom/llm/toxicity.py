@@ -1,6 +1,6 @@
 """Toxicity: FTRL-proximal logistic regression over hashed words, word pairs and skip-grams.
 
-Features of a text are the distinct 64-bit hashes of its words, of their stems, of adjacent words and
+Features of a text are the distinct 32-bit hashes of its words, of their stems, of adjacent words and
 of words one place apart, each with the value 1. Training goes over mini-batches with a rate for each coordinate
 and an L1 penalty that leaves most weights at exactly 0; the others, a few thousand, are sorted by
 hash and travel with the scoring tasks. Features seen in fewer than ``min_docs`` training texts get
@@ -36,11 +36,11 @@ def features(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of every word, stem, adjacent pair and skip pair, with repetitions."""
     s, e, d = tv.spans(buf, off, tv.WORD)
     h = tv.hashes(buf, s, e)
-    stems = [(d[long], tv.hashes(buf, s[long], s[long] + k) ^ np.uint64(k)) for k in STEMS for long in [np.flatnonzero(e - s > k)]]
+    stems = [(d[long], tv.hashes(buf, s[long], s[long] + k)) for k in STEMS for long in [np.flatnonzero(e - s > k)]]
     d1, h1 = tv.pairs(d, h, 1)
     d2, h2 = tv.pairs(d, h, 2)
     parts = [(d, h), (d1, h1), (d2, h2), *stems]
-    return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+    return np.concatenate([x for x, _ in parts]), np.concatenate([(x >> np.uint64(32)).astype(np.uint32) for _, x in parts])
 
 
 def _once(d: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,14 +66,14 @@ class Weights:
             return np.full(n, self.bias)
         if self._seen is None:
             self._seen = np.zeros(1 << _FILTER_BITS, bool)
-            self._seen[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+            self._seen[(self.keys >> np.uint32(32 - _FILTER_BITS)).astype(np.int64)] = True
         d, h = features(buf, off)
-        hit = self._seen[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+        hit = self._seen[(h >> np.uint32(32 - _FILTER_BITS)).astype(np.int64)]
         d, h = d[hit], h[hit]
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         hit = self.keys[at] == h
-        d, at = _once(d[hit], at[hit].astype(np.uint64))
-        return self.bias + np.bincount(d, self.values[at.astype(np.int64)], n)
+        d, at = _once(d[hit], at[hit])
+        return self.bias + np.bincount(d, self.values[at], n)
 
     def dump(self) -> bytes:
         out = io.BytesIO()
@@ -83,7 +83,7 @@ class Weights:
     @staticmethod
     def load(data: bytes) -> Weights:
         if not data:
-            return Weights(np.zeros(0, np.uint64), np.zeros(0), 0.0)
+            return Weights(np.zeros(0, np.uint32), np.zeros(0), 0.0)
         z = np.load(io.BytesIO(data))
         return Weights(z["keys"], z["values"], float(z["bias"]))
 
@@ -127,14 +127,14 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, target: str = "toxic
         return {"features": [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]}
 
     def run(got: pa.Table) -> bytes:
-        got = got.sort_by("doc_id")
-        rows = [np.frombuffer(x.as_py(), np.uint64) for x in got["features"]]
-        y = np.array(got["y"], float)
+        order = np.argsort(np.array(got["doc_id"]), kind="stable")
+        rows = [np.frombuffer(x.as_py(), np.uint32) for x in got["features"]]
+        rows, y = [rows[i] for i in order], np.array(got["y"], float)[order]
         size = np.array([len(r) for r in rows])
-        keys, count = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.uint64), return_counts=True)
+        keys, count = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.uint32), return_counts=True)
         keys = keys[count >= min_docs]
         if not len(keys):
-            return Weights(np.zeros(0, np.uint64), np.zeros(0), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))).dump()
+            return Weights(np.zeros(0, np.uint32), np.zeros(0), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))).dump()
         for i in np.flatnonzero(size):
             at = np.minimum(np.searchsorted(keys, rows[i]), len(keys) - 1)
             rows[i] = at[keys[at] == rows[i]].astype(np.int32)
