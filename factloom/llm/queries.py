@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import neardup, quality, toxicity
+from factloom.llm import bpe, decontaminate, neardup, quality, toxicity
 from factloom.llm.common import fold, table
 
 
@@ -17,6 +18,29 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", "text"), model, 0.3).select("doc_id", fold(4, 2).alias("held_out"), "score", "predicted")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizers' files are: FACTLOOM_TOKENIZERS, or the installed package of them."""
+    if folder := os.environ.get("FACTLOOM_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def token_digests(df: DataFrame) -> DataFrame:
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digests(bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), decoded=True).drop("text"))
+
+
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +53,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op7_decontamination": op7_decontamination,
+    "op8_bpe": op8_bpe,
     "op9_minhash_neardup": op9_minhash_neardup,
     "op10_quality": op10_quality,
 }
