@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -83,7 +82,7 @@ def map_texts(
     fn: Callable[[np.ndarray, np.ndarray], dict[str, object]],
     fields: list[T.StructField],
     keep: list[str] | None = None,
-    text: str = "text",
+    text: str | Column = "text",
     slice_bytes: int = textvec.SLICE_BYTES,
 ) -> DataFrame:
     """Add columns computed by fn(buffer, offsets) from whole texts, slice by slice of Arrow batches.
@@ -107,8 +106,5 @@ def map_texts(
                 new = [x if isinstance(x := got[n], (pa.Array, pa.ChunkedArray)) else pa.array(x, to_arrow_type(kinds[n])) for n in names]
                 yield pa.record_batch(own + new, carried + names)
 
-    return df.select(*carried, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return df.select(*carried, (F.col(text) if isinstance(text, str) else text).alias("__text")).mapInArrow(run, schema)
 
-
-def workdir_is_local(path: str) -> bool:
-    return os.path.isdir(path)

@@ -173,7 +173,7 @@ def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, threshold: flo
 
 def _groups(docs: DataFrame, benchmark: DataFrame, n: int, window: int, min_words: int, group_bytes: int) -> Iterator[Items]:
     """Groups of items of bounded size, with their seeds; each costs one counting pass over docs."""
-    items = benchmark.select("item_id", "text").filter("text is not null")
+    items = benchmark.select("item_id", F.lower("text").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-total // group_bytes)
     for part in range(parts):
@@ -198,7 +198,7 @@ def _document_frequency(docs: DataFrame, items: Items) -> dict[int, int]:
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(items.keys[some].view(np.int64)), pa.array(total[some])], ["gram", "df"])
 
-    counted = docs.select("text").mapInArrow(run, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
+    counted = docs.select(F.lower("text")).mapInArrow(run, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
     return {r[0]: r[1] for r in counted.collect()}
 
 
@@ -221,7 +221,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                         pa.array([s for *_, s, _ in got], pa.float64()), pa.array([w for *_, w in got], pa.int64()),
                     ], schema.names)
 
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
+        return docs.select("doc_id", F.lower("text")).mapInArrow(run, schema)
 
     out = docs.sparkSession.createDataFrame([], schema)
     for items in _groups(docs, benchmark, n, window, min_words, group_bytes):
@@ -239,5 +239,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n
             hit[[t for t, *_ in find_matches(_Probe(items), buf, off, threshold)]] = True
             return {"__matched": hit}
 
-        out = map_texts(out, run, [T.StructField("__matched", T.BooleanType())]).filter("not __matched").drop("__matched")
+        out = map_texts(out, run, [T.StructField("__matched", T.BooleanType())], text=F.lower("text")).filter("not __matched").drop("__matched")
     return out
