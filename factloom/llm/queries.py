@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import bpe, decontaminate, neardup, quality, toxicity
+from factloom.llm import bpe, chat, decontaminate, lm, neardup, quality, tokencount, toxicity
 from factloom.llm.common import fold, table
 
 
@@ -27,6 +27,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tokencount.Pieces.from_sentencepiece(tokenizer_path("piece_bpe_32k.model"))
+    return tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces).drop("text")
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(table(spark, sf_dir, "documents"), ~fold(7, 2))
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chat.perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return made.withColumn("mask", F.array_join(spans, ","))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +69,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op4_token_counts": op4_token_counts,
+    "op5_lm_scoring": op5_lm_scoring,
+    "op6_chat_perspectives": op6_chat_perspectives,
     "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
     "op9_minhash_neardup": op9_minhash_neardup,
@@ -60,4 +79,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for those queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_chat_perspectives": """
+WITH r AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+s AS (SELECT DISTINCT conv_id AS of_id, role AS speaker FROM r WHERE role <> 'system'),
+m AS (
+  SELECT conv_id, speaker, coalesce(CAST(floor(turn / 256) AS BIGINT), -1) AS part, turn, role, text, role = speaker AS own,
+         CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+  FROM r JOIN s ON conv_id IS NOT DISTINCT FROM of_id),
+n AS (
+  SELECT *, head || text || '<|end|>' || chr(10) AS piece,
+         sum(length(head || text) + 8) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, role, text) AS upto
+  FROM m)
+SELECT conv_id, speaker, part, count(*) AS n_turns,
+       string_agg(piece, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
+       coalesce(string_agg(CASE WHEN own THEN CAST(upto - length(text) - 8 AS BIGINT) || '-' || CAST(upto - 1 AS BIGINT) END, ',' ORDER BY turn NULLS FIRST, role, text), '') AS mask
+FROM n GROUP BY conv_id, speaker, part
+""",
+}
