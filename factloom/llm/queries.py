@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import bpe, chat, decontaminate, lm, neardup, quality, tokencount, toxicity
+from factloom.llm import bpe, chat, decontaminate, embeddup, langid, lm, neardup, quality, tokencount, toxicity
 from factloom.llm.common import fold, table
 
 
@@ -27,6 +27,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~fold(5, 0))
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", fold(5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = tokencount.Pieces.from_sentencepiece(tokenizer_path("piece_bpe_32k.model"))
     return tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces).drop("text")
@@ -69,6 +79,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_embedding_neardup": op2_embedding_neardup,
+    "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_chat_perspectives": op6_chat_perspectives,
