@@ -1,0 +1,56 @@
+"""The query language: one filter and projection over facts, planned onto DataFrames."""
+
+from __future__ import annotations
+
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Names that a query may use for a fact's fields.
+ALIASES = {
+    "fact.id": "fact_id", "actor.id": "actor", "actor.name": "actor", "target.id": "target", "source.ip": "source_ip",
+    "fact.behavior.class": "class", "fact.behavior.action": "action", "fact.behavior.risk_level": "risk", "fact.confidence": "confidence",
+    "fact.knowledge_version": "knowledge_version", "lsn": "lsn", "timestamp": "system_timestamp",
+    "integrity.merkle_root_anchor": "root", "integrity.signature": "checksum",
+}
+SECONDS = {"MINUTES": 60, "HOURS": 3600, "DAYS": 86400}
+
+_IDENTIFIERS = r"FROM\s+FACTS\s+MATCH\s+\([^)]+\)"
+_FILTER = r'EXECUTES\s+"(?P<action>[^"]+)"\s+AGAINST\s+"(?P<target>[^"]+)"'
+_RANGE = r"(?:\s+WITHIN\s+LAST\s+(?P<amount>\d+)\s+(?P<unit>MINUTES|HOURS|DAYS))?"
+_QUERY = re.compile(rf"{_IDENTIFIERS}\s+{_FILTER}{_RANGE}\s+SELECT\s+(?P<fields>.+)", re.IGNORECASE | re.DOTALL)
+
+
+@dataclass(frozen=True)
+class Query:
+    action: str
+    target: str
+    within_secs: int | None
+    fields: tuple[str, ...]
+
+
+def parse(text: str) -> Query:
+    """A query's parts; the names in MATCH (...) select nothing, and text before FROM is let pass."""
+    m = _QUERY.search(text.strip())
+    if not m:
+        raise ValueError("syntax error: the query does not follow the grammar")
+    secs = int(m["amount"]) * SECONDS[m["unit"].upper()] if m["amount"] else None
+    return Query(m["action"], m["target"], secs, tuple(f.strip() for f in m["fields"].split(",") if f.strip()))
+
+
+def run(facts: DataFrame, text: str, as_of_micros: int | None = None) -> DataFrame:
+    """The query's rows. '*' matches any action or target; a null target compares as ''; unknown fields
+    are null; output columns are sorted and distinct. as_of_micros stands for now (the default)."""
+    q = parse(text)
+    out = facts
+    if q.action != "*":
+        out = out.filter(F.col("action") == q.action)
+    if q.target != "*":
+        out = out.filter(F.coalesce("target", F.lit("")) == q.target)
+    if q.within_secs is not None:
+        now = F.unix_micros(F.current_timestamp()) if as_of_micros is None else F.lit(as_of_micros)
+        out = out.filter(F.col("system_timestamp") >= now - q.within_secs * 1_000_000)
+    column = lambda f: F.col(ALIASES.get(f, f)) if ALIASES.get(f, f) in facts.columns else F.lit(None).cast("string")
+    return out.select(*(column(f).alias(f) for f in sorted(set(q.fields))))
