@@ -77,7 +77,6 @@ def leaders(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
             return known
 
 
-@F.udf("string")
 def suggest(template: str) -> str:
     """An anchored pattern with a numbered named group for each mask; runs on cluster rows only."""
     count: dict[str, int] = {}
@@ -100,7 +99,7 @@ def cluster_report(lines: DataFrame, least: float = SIMILAR) -> DataFrame:
     total = groups.agg(F.sum("count").alias("total"))
     own = groups.select(F.col("template").alias("leader"), "first_seq", "sample")
     out = sizes.join(own, "leader").crossJoin(F.broadcast(total)).orderBy(F.desc("count"), "first_seq")
-    return out.select(F.col("leader").alias("template"), "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("coverage_pct"), F.substring("sample", 1, 90).alias("sample"), suggest("leader").alias("suggested_regex"))
+    return out.select(F.col("leader").alias("template"), "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("coverage_pct"), F.substring("sample", 1, 90).alias("sample"), F.udf(suggest, "string")("leader").alias("suggested_regex"))
 
 
 def entropy(sizes: DataFrame, count: str = "count") -> DataFrame:
