@@ -30,6 +30,8 @@ from factloom.llm.common import scratch
 
 BLOCK_BYTES = 12_000_000
 BUCKETS = 26
+#: Pair keys are cut to 48 bits for the shuffle; word keys keep 64.
+_PAIR_SHIFT = 16
 _END = np.uint64(0x8F1BBCDCBFA53E0B)
 _START = np.uint64(0x2545F4914F6CDD1D)
 
@@ -61,16 +63,27 @@ def _sorted_keys(table: pa.Table) -> tuple:
         texts = pa.concat_arrays(texts.chunks)
     d, w, before = _tokens(texts)
     words, w_at = np.unique(w, return_inverse=True)
-    pairs, p_at = np.unique(np.append(_pair_keys(before, w), _START), return_inverse=True)
+    pairs, p_at = np.unique(np.append(_pair_keys(before, w), _START) >> np.uint64(_PAIR_SHIFT), return_inverse=True)
     return d, words, w_at, pairs, p_at
 
 
-def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Where each of the equal ranges of 64-bit keys begins in sorted keys."""
-    edges = [((k << 64) + ranges - 1) // ranges for k in range(1, ranges)]
+def _cuts(keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
+    """Where each of the equal ranges of keys begins in sorted keys."""
+    edges = [((k << bits) + ranges - 1) // ranges for k in range(1, ranges)]
     return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)
 
 
+def _pack(keys: np.ndarray) -> bytes:
+    """Steps between sorted keys, low halves before high halves: the latter are nearly all 0 and compress."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return steps.astype(np.uint32).tobytes() + (steps >> np.uint64(32)).astype(np.uint32).tobytes()
+
+
+def _unpack(data: pa.Buffer) -> np.ndarray:
+    halves = np.frombuffer(data, np.uint32).reshape(2, -1).astype(np.uint64)
+    return np.cumsum(halves[0] | (halves[1] << np.uint64(32)), dtype=np.uint64)
+
+
 _SENT = "kind int, range int, block int, keys binary, counts binary"
 
 
@@ -85,10 +98,10 @@ def _send(ranges: int):  # noqa: ANN202
         counts[1][p_at[-1]] += int(train.sum())  # the context before a text's first token
         rows: dict[str, list] = {c.split()[0]: [] for c in _SENT.split(", ")}
         for kind, (keys, n) in enumerate(zip((words, pairs), counts, strict=True)):
-            cut = _cuts(keys, ranges)
+            cut = _cuts(keys, ranges, 64 - _PAIR_SHIFT * kind)
             for r, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
                 if j > i:
-                    for c, v in zip(rows, (kind, r, block, keys[i:j].tobytes(), n[i:j].astype(np.uint32).tobytes()), strict=True):
+                    for c, v in zip(rows, (kind, r, block, _pack(keys[i:j]), n[i:j].astype(np.uint32).tobytes()), strict=True):
                         rows[c].append(v)
         return pa.table({c: pa.array(v, pa.binary() if c in ("keys", "counts") else pa.int32()) for c, v in rows.items()})
 
@@ -96,7 +109,7 @@ def _send(ranges: int):  # noqa: ANN202
 
 
 def _reply(table: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["keys"]]
+    keys = [_unpack(x.as_buffer()) for x in table["keys"]]
     counts = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]]
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(back, np.concatenate(counts).astype(float), len(distinct)).astype(np.int64)
