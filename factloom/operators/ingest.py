@@ -120,11 +120,19 @@ def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
     return parsed.filter("parsed").withColumn("semantic", unmatched if chain is None else chain.otherwise(unmatched))
 
 
+def fact_id() -> Column:
+    """A UUID of version 7 by form: milliseconds, then hash digits of the line's origin, so that reruns agree."""
+    ms = F.lpad(F.lower(F.hex(F.unix_millis("obs_ts"))), 12, "0")
+    h = F.sha2(F.concat_ws(":", "source", F.col("seq").cast("string"), "raw"), 256)
+    part = lambda c, at, n: F.substring(c, at, n)
+    return F.concat(part(ms, 1, 8), F.lit("-"), part(ms, 9, 4), F.lit("-7"), part(h, 1, 3), F.lit("-8"), part(h, 4, 3), F.lit("-"), part(h, 7, 12))
+
+
 def facts(obs: DataFrame, connector: Connector) -> DataFrame:
     """One flat fact for each line that parses."""
     s = F.col("semantic")
     return classify(parse(obs, connector), connector).select(
-        "seq", "obs_ts", "source", "raw", s["rule_id"].alias("rule_id"), s["action"].alias("action"), s["class"].alias("class"), s["risk"].alias("risk"),
+        "seq", fact_id().alias("fact_id"), "obs_ts", "source", "raw", s["rule_id"].alias("rule_id"), s["action"].alias("action"), s["class"].alias("class"), s["risk"].alias("risk"),
         s["actor"].alias("actor"), s["target"].alias("target"), s["source_ip"].alias("source_ip"),
         F.unix_micros("obs_ts").alias("system_timestamp"), F.lit(connector.confidence).alias("confidence"),
         F.concat(F.lit("s256:"), F.sha2(F.col("raw"), 256)).alias("raw_hash"), F.array(*map(F.lit, execution_order(connector.steps))).alias("steps"), F.lit(connector.name).alias("knowledge_version"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from factloom.functions.patterns import groups, strip
 from factloom.operators import behavior, evolve, hql, ingest, ledger, views
-from factloom.plans.connector import DATABASE, KEY_VALUE, Signature
+from factloom.plans.connector import DATABASE, KEY_VALUE, Condition, Connector, Rule, Signature
 from factloom.sources.lines import event_lines
+from factloom.streaming.pipeline import behavior_stream
 
 #: Sixty seconds never hold five failures of one user in the events table; a week does.
 WEEK = Signature("week_brute_force", "authentication.failure", 604_800, 5, "brute_force_attack", "Critical")
@@ -90,6 +92,27 @@ def _days(spark: SparkSession, d: str) -> DataFrame:
     return views.daily(_facts(spark, d))
 
 
+def _by_rule(*when: Condition, actor: str = "${user}") -> Callable[[SparkSession, str], DataFrame]:
+    """Facts under a connector of one rule."""
+    rule = Connector("probe", 1.0, DATABASE.pattern, (Rule("hit", when, actor=actor),), ())
+    return lambda s, d: ingest.facts(_obs(s, d), rule)
+
+
+def _streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The week's window as a stream over files in the shared folder, until all of them are read."""
+    _with_checkpoints(spark)
+    sc = spark.sparkContext
+    base = f"{(sc.getConf().get('spark.checkpoint.dir', None) or sc.getCheckpointDir()).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    some = _facts(spark, d).select("seq", "action", "actor", "system_timestamp")
+    some.write.parquet(f"{base}/in")
+    made = behavior_stream(spark.readStream.schema(some.schema).parquet(f"{base}/in"), WEEK)
+    made.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+_SOME_ALIASES = "fact.id, actor.id, actor.name, target.id, source.ip, fact.behavior.class, fact.behavior.action, fact.behavior.risk_level, fact.knowledge_version, lsn, timestamp"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "behavior_escalation": lambda s, d: behavior.escalate(_facts(s, d), (WEEK,)).filter("window_count >= 5").select(*FACT, "window_count"),
     "behavior_window_count": lambda s, d: behavior.escalate(_facts(s, d), (WEEK,)).filter("window_count > 0").select("seq", "actor", "window_count"),
@@ -135,6 +158,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replica_divergence": lambda s, d: views.divergence(_replicas(s, d)[0], _replicas(s, d)[1].withColumn("root", F.when(F.col("lsn") == TAMPERED, "x").otherwise(F.col("root")))),
     "commit_lsn": lambda s, d: views.commit_lsn(_tails(s, d)),
     "replica_convergence": lambda s, d: views.converged(_tails(s, d)),
+    "cond_equals": lambda s, d: _by_rule(Condition("db", equals="prod"))(s, d).select("seq", "rule_id"),
+    "cond_contains": lambda s, d: _by_rule(Condition("message", contains="denied"))(s, d).select("seq", "rule_id"),
+    "cond_in": lambda s, d: _by_rule(Condition("user", among=("u1", "u2", "u3")))(s, d).select("seq", "rule_id"),
+    "cond_severity_in": lambda s, d: _by_rule(Condition(severity_in=("FATAL", "ERROR")))(s, d).select("seq", "rule_id"),
+    "cond_matches_capture": lambda s, d: _by_rule(Condition("message", matches=r"table t(?P<user>\d+)"))(s, d).select("seq", "actor"),
+    "rule_default_fallback": lambda s, d: _by_rule(Condition("db", equals="nowhere"))(s, d).select("seq", "rule_id", "action", "class", "risk", "actor"),
+    "fact_id": lambda s, d: _facts(s, d).select("seq", "fact_id"),
+    "hql_aliases": _ask(f'FROM FACTS MATCH (x) EXECUTES "*" AGAINST "prod" SELECT {_SOME_ALIASES}'),
+    "signature_checksum": lambda s, d: _numbered(s, d).withColumn("leaf", ledger.leaf_hash()).select("lsn", ledger.checksum().alias("checksum")),
+    "block_chain_root": lambda s, d: ledger.seal_blocks(_numbered(s, d), 500).groupBy("block").agg(F.max("lsn").alias("last_lsn"), F.max_by("root", "lsn").alias("root")),
+    "template_tokens": lambda s, d: evolve.template_groups(_lines(s, d)).select("template", F.array_join(F.array_sort(evolve.tokens(F.col("template"))), " ").alias("tokens")),
+    "stream_behavior_equals_batch": _streamed,
 }
 
 _OBS = """obs AS (SELECT event_id AS seq, ts, user_id, event_type AS kind, epoch_us(ts) AS us,
@@ -180,7 +215,29 @@ def _f(rest: str) -> str:
 
 _FIELDS = "seq, rule_id, action, class, risk, actor, target, system_timestamp"
 _LEAF = "sha256(concat_ws(',', {}))".format(", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("lsn", "system_timestamp", "action", "actor", "target")))
+_SEALED_LEAF = "sha256(concat_ws(',', {}))".format(
+    ", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("lsn", "system_timestamp", "action", "class", "risk", "actor", "target", "CAST(NULL AS VARCHAR)", "('s256:' || sha256(raw))"))
+)
+_CHAIN = "list_reduce(list(leaf ORDER BY lsn), lambda a, b: sha256(a || b), '')"
+_HIT = "SELECT seq, CASE WHEN {} THEN 'hit' ELSE '__unmatched__' END AS rule_id FROM p"
+_FACT_ID = "substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-7' || substr(h, 1, 3) || '-8' || substr(h, 4, 3) || '-' || substr(h, 7, 12)"
+_IDS = f"i AS (SELECT seq, {_FACT_ID} AS fact_id FROM (SELECT seq, printf('%012x', system_timestamp // 1000) AS m, sha256('events:' || seq || ':' || raw) AS h FROM facts))"
 ORACLE_SQL: dict[str, str] = {
+    "cond_equals": _f(_HIT.format("t.db = 'prod'")),
+    "cond_contains": _f(_HIT.format("contains(t.message, 'denied')")),
+    "cond_in": _f(_HIT.format("t.user IN ('u1', 'u2', 'u3')")),
+    "cond_severity_in": _f(_HIT.format("t.severity IN ('FATAL', 'ERROR')")),
+    "cond_matches_capture": _f("SELECT seq, nullif(regexp_extract(t.message, 'table t(\\d+)', 1), '') AS actor FROM p"),
+    "rule_default_fallback": _f("SELECT seq, '__unmatched__' AS rule_id, 'log.unknown' AS action, 'observation' AS class, 'Low' AS risk, CAST(NULL AS VARCHAR) AS actor FROM p"),
+    "fact_id": _f(f", {_IDS} SELECT seq, fact_id FROM i"),
+    "hql_aliases": _f(f""", {_IDS} SELECT fact_id AS "fact.id", actor AS "actor.id", actor AS "actor.name", target AS "target.id", CAST(NULL AS VARCHAR) AS "source.ip", class AS "fact.behavior.class",
+  action AS "fact.behavior.action", risk AS "fact.behavior.risk_level", 'postgresql' AS "fact.knowledge_version", lsn, system_timestamp AS timestamp FROM facts JOIN i USING (seq) WHERE target = 'prod'"""),
+    "signature_checksum": _f(f"SELECT lsn, substr(sha256('factloom:' || {_SEALED_LEAF}), 1, 48) AS checksum FROM facts"),
+    "block_chain_root": _f(f", l AS (SELECT lsn, (lsn - 14812338) // 500 AS block, {_SEALED_LEAF} AS leaf FROM facts) SELECT block, max(lsn) AS last_lsn, {_CHAIN} AS root FROM l GROUP BY block"),
+    "segment_chain_root": _f(f", l AS (SELECT lsn, CAST(CAST(ts AS DATE) AS VARCHAR) AS segment, {_SEALED_LEAF} AS leaf FROM facts) SELECT segment, min(lsn) AS first_lsn, max(lsn) AS last_lsn, count(*) AS facts, {_CHAIN} AS root FROM l GROUP BY segment"),
+    "verify_first_bad_lsn": _f("SELECT lsn, 'gap' AS reason FROM facts WHERE lsn = 14812337 + 701"),
+    "template_tokens": f"WITH {_MASKED} SELECT template, array_to_string(list_sort(list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1))), ' ') AS tokens FROM g",
+    "stream_behavior_equals_batch": _f("SELECT seq, actor, system_timestamp, n7 AS window_count, n7 >= 5 AS fired FROM facts JOIN w USING (seq)"),
     "behavior_escalation": _f("SELECT seq, rule_id, action, 'brute_force_attack' AS class, 'Critical' AS risk, actor, target, system_timestamp, n7 AS window_count FROM facts JOIN w USING (seq) WHERE n7 >= 5"),
     "behavior_window_count": _f("SELECT seq, actor, n7 AS window_count FROM facts JOIN w USING (seq)"),
     "behavior_multi_signature": _f("SELECT seq, CASE WHEN n1 >= 2 THEN 'repeated_failure' WHEN n7 >= 5 THEN 'brute_force_attack' ELSE class END AS class, CASE WHEN n1 >= 2 THEN 'Medium' WHEN n7 >= 5 THEN 'Critical' ELSE risk END AS risk FROM facts LEFT JOIN w USING (seq)"),
@@ -201,7 +258,7 @@ ORACLE_SQL: dict[str, str] = {
     "hql_wildcard": _f("SELECT action AS \"fact.behavior.action\", lsn FROM facts"),
     "hql_within_days": _f("SELECT lsn, target AS \"target.id\" FROM facts WHERE action = 'query.execute' AND target = 'prod' AND system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(3 AS BIGINT) * 86400000000"),
     "hql_within_hours": _f("SELECT lsn FROM facts WHERE target = 'prod' AND system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(12 AS BIGINT) * 3600000000"),
-    "hql_within_minutes": _f("SELECT lsn FROM facts WHERE system_timestamp >= (SELECT max(system_timestamp) FROM facts) - 90 * 60000000"),
+    "hql_within_minutes": _f("SELECT lsn FROM facts WHERE system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(90 AS BIGINT) * 60000000"),
     "hql_unknown_field": _f("SELECT lsn, CAST(NULL AS VARCHAR) AS \"no.such\" FROM facts WHERE action = 'log.info'"),
     "template_mask": f"WITH {_MASKED} SELECT seq, template FROM m",
     "template_groups": f"WITH {_MASKED} SELECT * FROM g",
