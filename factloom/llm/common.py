@@ -51,8 +51,9 @@ def fold(modulus: int, remainder: int, column: str = "doc_id") -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, keep: Column, max_rows: int) -> DataFrame:
     """(doc_id, text, y) of at most max_rows labelled ids, those with the smallest xxhash64(doc_id).
 
-    The bound covers ids, so that it holds whatever the corpus size; several label rows of one id
-    count as their largest label. The id list is small by its bound, hence broadcast.
+    The bound holds whatever the corpus size: several label rows of one id count as their largest label,
+    several documents of one id as the one of the least text. The id list is small by its bound, hence
+    broadcast.
     """
     ids = (
         labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
@@ -62,7 +63,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, keep: Colum
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 def fit_in_one_task(sample: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:

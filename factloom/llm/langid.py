@@ -215,11 +215,15 @@ def fit(texts: pa.Array, langs: list[str], epochs: int = 3, batch: int = 48, rat
 
 
 def train(docs: DataFrame, keep: Column, max_rows: int = MAX_ROWS) -> Crf:
-    """Fit on text and non-null lang of the documents that keep admits, those of least hash of the id."""
+    """Fit on text and non-null lang of the documents that keep admits, those of least hash of the id.
+
+    Of several documents of one id, the one of the least text counts.
+    """
     some = docs.filter(keep & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     order = F.xxhash64("doc_id")
     ids = some.select("doc_id", order.alias("o")).distinct().orderBy("o", "doc_id").limit(max_rows)
-    sample = some.select("doc_id", F.lower("text").alias("text"), "lang", order.alias("o")).join(F.broadcast(ids.select("doc_id")), "doc_id")
+    found = some.select("doc_id", F.lower("text").alias("text"), "lang").join(F.broadcast(ids.select("doc_id")), "doc_id")
+    sample = found.groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("of")).select("doc_id", "of.text", "of.lang", order.alias("o"))
 
     def run(got: pa.Table) -> bytes:
         got = got.sort_by([("o", "ascending"), ("doc_id", "ascending")])
