@@ -79,6 +79,17 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[pa.Table], bytes]) -> byte
     return rows[0][0] if rows else b""
 
 
+#: Arrow batches hold at most so many bytes of rows, or one row, unless the session says otherwise.
+BATCH_BYTES = 8_000_000
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what a task holds of a table of texts, in the executor's JVM and in its Python worker."""
+    if spark.conf.get(_BATCH_KEY, None) in (None, "67108864b", "64MB"):
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def map_texts(
     df: DataFrame,
     fn: Callable[[np.ndarray, np.ndarray], dict[str, object]],
@@ -96,6 +107,7 @@ def map_texts(
     carried = [c for c in (df.columns if keep is None else keep) if c not in names]
     schema = T.StructType([df.schema[c] for c in carried] + fields)
     kinds = {f.name: f.dataType for f in fields}
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
@@ -107,6 +119,7 @@ def map_texts(
                 own = [batch.column(batch.schema.get_field_index(c)).slice(lo, hi - lo) for c in carried]
                 new = [x if isinstance(x := got[n], (pa.Array, pa.ChunkedArray)) else pa.array(x, to_arrow_type(kinds[n])) for n in names]
                 yield pa.record_batch(own + new, carried + names)
+            pa.default_memory_pool().release_unused()
 
     return df.select(*carried, (F.col(text) if isinstance(text, str) else text).alias("__text")).mapInArrow(run, schema)
 

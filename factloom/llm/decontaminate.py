@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.llm import textvec as tv
-from factloom.llm.common import map_texts
+from factloom.llm.common import bound_batches, map_texts
 
 N_WORDS = 3
 WINDOW = 4
@@ -198,12 +198,14 @@ def _document_frequency(docs: DataFrame, items: Items) -> dict[int, int]:
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(items.keys[some].view(np.int64)), pa.array(total[some])], ["gram", "df"])
 
+    bound_batches(docs.sparkSession)
     counted = docs.select(F.lower("text")).mapInArrow(run, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
     return {r[0]: r[1] for r in counted.collect()}
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = N_WORDS, window: int = WINDOW, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, item_id, similarity, last_word) of each text and item that match."""
+    bound_batches(docs.sparkSession)
     kind = benchmark.schema["item_id"].dataType
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("item_id", kind), T.StructField("similarity", T.DoubleType()), T.StructField("last_word", T.LongType())])
 
@@ -234,9 +236,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n
     out = docs
     for items in _groups(docs, benchmark, n, window, min_words, group_bytes):
 
-        def run(buf: np.ndarray, off: np.ndarray, items: Items = items) -> dict[str, object]:
+        def run(buf: np.ndarray, off: np.ndarray, items: Items = items, probes: list = []) -> dict[str, object]:  # noqa: B006
+            probes or probes.append(_Probe(items))
             hit = np.zeros(len(off) - 1, bool)
-            hit[[t for t, *_ in find_matches(_Probe(items), buf, off, threshold)]] = True
+            hit[[t for t, *_ in find_matches(probes[0], buf, off, threshold)]] = True
             return {"__matched": hit}
 
         out = map_texts(out, run, [T.StructField("__matched", T.BooleanType())], text=F.lower("text")).filter("not __matched").drop("__matched")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 _U = np.uint64
 _MUL = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MUL, -1, 1 << 64)
@@ -34,7 +34,7 @@ _inv = np.ones(1, _U)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _pow, _inv
     if len(_pow) < n:
-        m = max(n, 2 * SLICE_BYTES)
+        m = max(n, SLICE_BYTES + 1)
         p, q = np.full(m, _MUL, _U), np.full(m, _INV, _U)
         p[0] = q[0] = 1
         _pow, _inv = np.cumprod(p, dtype=_U), np.cumprod(q, dtype=_U)
