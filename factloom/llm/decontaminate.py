@@ -1,26 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds join texts to test items, Smith-Waterman scores them.
+"""Benchmark decontamination: rare words find where a test item may stand, Smith-Waterman scores it.
 
-Items and texts are rows of lower-cased words. The document frequency of every n-gram of the items is
-counted over the whole corpus; in each window of ``window`` successive n-grams of an item the rarest
-one becomes a seed, so that a copied run of window + n - 1 words holds one, however common the passage
-is. Where a seed occurs in a text, the stretch around it that could hold the whole item is aligned with
-the item: Smith-Waterman with +1 for an equal word and -1/2 for a substitution or a gap. The similarity
-is the best score divided by the item's words; edited copies keep most of it, chance does not.
+Items and texts are rows of lower-cased words. The similarity of a text and an item is the best
+Smith-Waterman score (+1 for an equal word, -1/2 for a substitution or a gap) divided by the item's words.
+
+The search misses no pair that reaches the threshold. Such an alignment equates at least m = threshold x L
+of the item's L words and spans fewer than (3 - 2 threshold) L + 1 words of the text. Of any L - m + k
+places of the item at least k are then among the equated ones. Those with the rarest words are taken (by
+occurrences in the whole corpus; the k is the one that chance meets least), and only where k of
+these words stand that close together is the stretch aligned. However edited a copy is, and whatever other
+copies the corpus holds, its similarity alone decides.
 
 The items are cut into groups of at most ``group_bytes`` of text; each group is broadcast and takes two
 map-only passes over the corpus, so that nothing that grows is broadcast and no text is shuffled.
 
-Defined cases: null and empty texts or items match nothing; an item of fewer than n words is sought by
-the n-gram of all its words; items with fewer than ``min_words`` words are skipped, as they occur
-by chance; repeated rows give repeated matches; a row with a null item_id is an item like others, its
-matches have a null item_id; empty tables give no rows; an input column of a clashing name is kept by
-``clean`` and not read.
+Defined cases: null and empty texts or items match nothing; items with fewer than ``min_words`` words are
+skipped, as they occur by chance; repeated rows give repeated matches; a row with a null item_id is an
+item like others, its matches have a null item_id; empty tables give no rows; an input column of a
+clashing name is kept by ``clean`` and not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,6 @@ from pyspark.sql import types as T
 from factloom.llm import textvec as tv
 from factloom.llm.common import bound_batches, map_texts
 
-N_WORDS = 3
-WINDOW = 4
 MIN_WORDS = 5
 THRESHOLD = 0.5
 GROUP_BYTES = 8_000_000
@@ -41,71 +41,106 @@ _FILTER_BITS = 20
 
 @dataclass
 class Items:
-    """One group of items as word hashes, with their n-grams; ``seeds`` after the choice of the rarest."""
+    """One group of items as word hashes; ``rarest`` chooses the words to seek."""
 
     ids: list
     words: list[np.ndarray]
-    n: int
-    gram_item: np.ndarray  # for each n-gram: its item, its place and its hash
-    gram_at: np.ndarray
-    gram: np.ndarray
-    sizes: list[int]  # lengths of n-grams in use: n, and less for shorter items
-    keys: np.ndarray = field(init=False, repr=False)
-
-    def __post_init__(self) -> None:
-        self.keys = np.unique(self.gram)
+    keys: np.ndarray  # the words to seek, sorted
+    first: np.ndarray  # keys[i] is sought for owner[first[i]:first[i + 1]]
+    owner: np.ndarray
+    need: np.ndarray  # for each item: so many words of it must stand ...
+    within: np.ndarray  # ... within so many words of a text
 
     @staticmethod
-    def build(ids: list, texts: list, n: int, min_words: int) -> Items:
+    def build(ids: list, texts: list, min_words: int) -> Items:
         words: list[np.ndarray] = []
         for _, _, buf, off in tv.slices(pa.array(texts, pa.string())):
             d, h = tv.words(buf, off)
             ends = np.searchsorted(d, np.arange(len(off)))
             words += [h[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         live = [i for i, w in enumerate(words) if len(w) >= min_words]
-        ids, words = [ids[i] for i in live], [words[i] for i in live]
-        flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        d, g = tv.shingles(owner, flat, n)
-        at = np.arange(len(d)) - np.searchsorted(d, d)
-        return Items(ids, words, n, d, at, g, sorted({n, *(len(w) for w in words if len(w) < n)}))
-
-    def rarest(self, df: dict[int, int], window: int) -> Items:
-        """Keep, of every ``window`` successive n-grams of an item, the one found in the fewest texts."""
-        count = np.array([df.get(int(np.int64(np.uint64(g).view(np.int64))), 0) for g in self.gram], np.int64)
-        keep = np.zeros(len(self.gram), bool)
-        starts = np.searchsorted(self.gram_item, np.arange(len(self.words) + 1))
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            for lo in range(a, max(a + 1, b - window + 1)):
-                keep[lo + int(np.argmin(count[lo : min(b, lo + window)]))] = True
-        return Items(self.ids, self.words, self.n, self.gram_item[keep], self.gram_at[keep], self.gram[keep], self.sizes)
+        return Items._seeking([ids[i] for i in live], [words[i] for i in live], [words[i] for i in live], [1] * len(live), [len(words[i]) for i in live])
+
+    @staticmethod
+    def _seeking(ids: list, words: list[np.ndarray], sought: list[np.ndarray], need: list[int], within: list[int]) -> Items:
+        sought = [np.unique(w) for w in sought]
+        flat = np.concatenate(sought) if sought else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sought)), [len(w) for w in sought])
+        order = np.argsort(flat, kind="stable")
+        keys, first = np.unique(flat[order], return_index=True)
+        return Items(ids, words, keys, np.append(first, len(flat)), owner[order], np.array(need, np.int64), np.array(within, np.int64))
+
+    def rarest(self, count: np.ndarray, total: int, threshold: float) -> Items:
+        """Seek of each item the rarest words that an alignment of this similarity can't do without.
+
+        count: occurrences of each of keys in the corpus of total words.
+        """
+        sought, need, within = [], [], []
+        for w in self.words:
+            least = min(len(w), max(1, int(np.ceil(threshold * len(w) - 1e-6))))
+            span = int((3 - 2 * min(threshold, 1)) * len(w)) + 1
+            known, nth = np.unique(w, return_inverse=True)
+            seen = count[np.searchsorted(self.keys, known)]
+            order = np.argsort(seen[nth], kind="stable")
+            k = np.arange(1, least + 1)
+            # words that chance puts into a span: their places of rank up to L - m + k, each word once
+            new = np.zeros(len(w), bool)
+            new[np.unique(nth[order], return_index=True)[1]] = True
+            mean = np.cumsum(np.where(new, seen[nth][order], 0))[len(w) - least + k - 1] * (span / max(1, total))
+            best = int(np.argmin(k * np.log(mean + 1e-12) - np.cumsum(np.log(k)))) + 1
+            sought.append(w[order[: len(w) - least + best]])
+            need.append(best)
+            within.append(span)
+        return Items._seeking(self.ids, self.words, sought, need, within)
 
 
 class _Probe:
-    """Where the n-grams of a group occur in a slice of texts."""
+    """Where the words that a group seeks occur in a slice of texts."""
 
     def __init__(self, items: Items) -> None:
         self.items = items
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[(items.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def find(self, d: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(number of the word that begins it, index into keys) of each n-gram that the items have."""
-        where, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the word, index into keys) of each word that the items seek."""
         keys = self.items.keys
-        if len(h) and len(keys):
-            for n in self.items.sizes:
-                g = np.zeros(len(h), np.uint64)
-                for k in range(n):
-                    g = tv.mix(g * np.uint64(0x9FB21C651E98DF25) + np.append(h[k:], np.zeros(k, np.uint64)))
-                whole = np.zeros(len(h), bool)
-                whole[: len(h) - n + 1] = d[n - 1 :] == d[: len(h) - n + 1] if n <= len(h) else False
-                hit = np.flatnonzero(whole & self.seen[(g >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(keys, g[hit]), len(keys) - 1)
-                same = keys[at] == g[hit]
-                where.append(hit[same])
-                which.append(at[same])
-        return np.concatenate(where), np.concatenate(which)
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        hit = np.flatnonzero(self.seen[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(keys, h[hit]), len(keys) - 1)
+        same = keys[at] == h[hit]
+        return hit[same], at[same]
+
+    def stretches(self, d: np.ndarray, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first word, end) of the stretches of texts that hold every alignment with an item.
+
+        first: number of each text's first word, and of all words.
+        """
+        items = self.items
+        at, key = self.find(h)
+        n = items.first[key + 1] - items.first[key]
+        item = items.owner[np.repeat(items.first[key] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        at = np.repeat(at, n)
+        order = np.argsort(item, kind="stable")  # at is in order already
+        item, at = item[order], at[order]
+        last = np.arange(len(at)) + items.need[item] - 1
+        some = np.flatnonzero(last < len(at))
+        last, span = last[some], items.within[item[some]]
+        close = (item[last] == item[some]) & (d[at[last]] == d[at[some]]) & (at[last] - at[some] < span)
+        some, last, span = some[close], last[close], span[close]
+        item, text = item[some], d[at[some]]
+        lo = np.maximum(at[last] - span + 1, first[text])
+        hi = np.minimum(at[some] + span, first[text + 1])
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (lo[1:] > hi[:-1])
+        item, lo, hi = item[new], lo[new], hi[np.append(np.flatnonzero(new)[1:], len(new)) - 1] if len(new) else hi
+        # long stretches in pieces of four spans, which overlap by one, so that each alignment is whole in a piece
+        span = items.within[item]
+        pieces = np.maximum(1, -((lo + span - hi) // (3 * span)))
+        lo = np.repeat(lo, pieces) + 3 * np.repeat(span, pieces) * (np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        item, span, hi = (np.repeat(x, pieces) for x in (item, span, hi))
+        return item, lo, np.minimum(hi, lo + 4 * span)
 
 
 def align(a: list[np.ndarray], b: list[np.ndarray], gap: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
@@ -138,26 +173,12 @@ def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, threshold: flo
     """(text, item, similarity, word where the best alignment ends), the best for each text and item."""
     items = probe.items
     d, h = tv.words(buf, off)
-    at, key = probe.find(d, h)
-    if not len(at):
-        return []
     first = np.searchsorted(d, np.arange(len(off)))
-    order = np.argsort(items.gram, kind="stable")
-    lo = np.searchsorted(items.gram[order], items.keys[key], side="left")
-    n = np.searchsorted(items.gram[order], items.keys[key], side="right") - lo
-    gram = order[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-    at = np.repeat(at, n)
-    item = items.gram_item[gram]
-    size = np.array([len(w) for w in items.words])[item]
-    step = np.maximum(size // 4, 4)
-    diagonal = at - items.gram_at[gram] - first[d[at]]
-    jobs = np.unique(np.column_stack([d[at], item, diagonal // step]), axis=0)
-    size = np.array([len(w) for w in items.words])[jobs[:, 1]]
-    step = np.maximum(size // 4, 4)
-    begin = np.maximum(jobs[:, 2] * step - step, 0) + first[jobs[:, 0]]
-    end = np.minimum((jobs[:, 2] + 2) * step + size + first[jobs[:, 0]], first[jobs[:, 0] + 1])
+    item, begin, end = probe.stretches(d, h, first)
+    jobs = np.column_stack([d[begin], item])
+    size = np.array([len(w) for w in items.words], np.int64)[item]
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    by_size = np.argsort(size, kind="stable")
+    by_size = np.lexsort((end - begin, size))
     lo = 0
     while lo < len(jobs):
         hi = min(len(jobs), lo + max(1, min(batch, 400_000 // int(size[by_size[min(len(jobs), lo + batch) - 1]] + 1))))
@@ -171,39 +192,40 @@ def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, threshold: flo
     return [(t, i, s, w) for (t, i), (s, w) in sorted(best.items())]
 
 
-def _groups(docs: DataFrame, benchmark: DataFrame, n: int, window: int, min_words: int, group_bytes: int) -> Iterator[Items]:
-    """Groups of items of bounded size, with their seeds; each costs one counting pass over docs."""
+def _groups(docs: DataFrame, benchmark: DataFrame, threshold: float, min_words: int, group_bytes: int) -> Iterator[Items]:
+    """Groups of items of bounded size, with the words to seek; each costs one counting pass over docs."""
     items = benchmark.select("item_id", F.lower("text").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-total // group_bytes)
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect() if parts > 1 else items.collect()
-        group = Items.build([r[0] for r in rows], [r[1] for r in rows], n, min_words)
+        group = Items.build([r[0] for r in rows], [r[1] for r in rows], min_words)
         if group.words:
-            yield group.rarest(_document_frequency(docs, group), window)
+            yield group.rarest(*_occurrences(docs, group), threshold)
 
 
-def _document_frequency(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many texts each n-gram of the group occurs; as many entries at most as the group has."""
+def _occurrences(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+    """How often each word of the group occurs in docs, and the words of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe = _Probe(items)
-        total = np.zeros(len(items.keys), np.int64)
+        count = np.zeros(len(items.keys) + 1, np.int64)  # the last is for all words
         for batch in batches:
             for _, _, buf, off in tv.slices(batch.column(0)):
-                d, h = tv.words(buf, off)
-                at, key = probe.find(d, h)
-                once = np.unique(d[at] * len(items.keys) + key)
-                total += np.bincount(once % len(items.keys), minlength=len(items.keys)) if len(once) else 0
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(items.keys[some].view(np.int64)), pa.array(total[some])], ["gram", "df"])
+                _, h = tv.words(buf, off)
+                count[:-1] += np.bincount(probe.find(h)[1], minlength=len(items.keys))
+                count[-1] += len(h)
+        some = np.flatnonzero(count)
+        yield pa.record_batch([pa.array(some), pa.array(count[some])], ["at", "n"])
 
     bound_batches(docs.sparkSession)
-    counted = docs.select(F.lower("text")).mapInArrow(run, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-    return {r[0]: r[1] for r in counted.collect()}
+    count = np.zeros(len(items.keys) + 1, np.int64)
+    for at, n in docs.select(F.lower("text")).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
+        count[at] = n
+    return count[:-1], int(count[-1])
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = N_WORDS, window: int = WINDOW, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, item_id, similarity, last_word) of each text and item that match."""
     bound_batches(docs.sparkSession)
     kind = benchmark.schema["item_id"].dataType
@@ -226,15 +248,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
         return docs.select("doc_id", F.lower("text")).mapInArrow(run, schema)
 
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in _groups(docs, benchmark, n, window, min_words, group_bytes):
+    for items in _groups(docs, benchmark, threshold, min_words, group_bytes):
         out = out.union(over(items))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = N_WORDS, window: int = WINDOW, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The rows of docs that match no item, unchanged."""
     out = docs
-    for items in _groups(docs, benchmark, n, window, min_words, group_bytes):
+    for items in _groups(docs, benchmark, threshold, min_words, group_bytes):
 
         def run(buf: np.ndarray, off: np.ndarray, items: Items = items, probes: list = []) -> dict[str, object]:  # noqa: B006
             probes or probes.append(_Probe(items))

@@ -116,6 +116,34 @@ def test_decontamination(spark):
     assert decontaminate.matches(d, b.limit(0)).count() == 0 and decontaminate.matches(d.limit(0), b).count() == 0
 
 
+def test_edited_copies_against_smith_waterman_of_all_pairs(spark):
+    def similarity(a, b):
+        best, row = 0.0, [0.0] * (len(b) + 1)
+        for x in a:
+            last, row = row, [0.0]
+            for j, y in enumerate(b):
+                row.append(max(0.0, last[j] + (1 if x == y else -0.5), last[j + 1] - 0.5, row[j] - 0.5))
+            best = max(best, *row)
+        return best / len(a)
+
+    rng = random.Random(8)
+    text = lambda n: [f"w{int(1500 * rng.random() ** 2)}" for _ in range(n)]
+    items = {i: text(n) for i, n in enumerate([40, 15, 15, 23, 40, 59, 5])}
+    docs = {1: text(30) + [w if j % 5 else "other" for j, w in enumerate(items[0])] + text(60)}  # the only copy of item 0
+    for i, item in list(items.items())[1:]:
+        for share in (0.15, 0.25, 0.35, 0.45):
+            edited = [x for w in item for x in ([w] if rng.random() > share else rng.choice([[], ["other"], [w, "more"]]))]
+            docs[len(docs) + 1] = text(rng.randint(0, 300)) + edited + text(rng.randint(0, 50))
+        docs[len(docs) + 1] = [x for w in item for x in (w, "more")]
+        docs[len(docs) + 1] = [w if j % 3 else "other" for j, w in enumerate(item, 2)]
+    want = {(d, i): s for d, words in docs.items() for i, item in items.items() if (s := similarity(item, words)) >= 0.5}
+    d = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.matches(d, b).collect()}
+    assert (1, 0) in want and got == pytest.approx(want)
+    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == set(docs) - {k for k, _ in want}
+
+
 def test_bpe_equals_the_library(spark, odd):
     from tokenizers import Tokenizer
 
