@@ -8,14 +8,13 @@ darts in all, and keeps the earliest at each of its t coordinates; a text with a
 on with the next pieces. Two texts agree at a coordinate with the probability of their weighted
 Jaccard similarity.
 
-Bands of coordinates make buckets. Nobody pairs up a bucket's members: each member meets the bucket's
-leader (one of three orders, by band), the pair is verified on the whole shingle multisets, and
+Bands of coordinates make buckets. Nobody pairs up a bucket's members at first: each member meets the
+bucket's leader (one of three orders, by band), the pair is verified on the whole shingle multisets, and
 connected components are formed. In buckets that still hold several components, the members outside the
-largest one are compared further: in buckets of up to FULL_BUCKET members with the members of all other
-components, in larger ones, round after round, with some members of the largest component in a new
-order, until a round links nothing or LEADER_ROUNDS are over. (A near-duplicate whose every shared bucket is that large and whose
-few links all lead away from the largest component could stay apart; all pairs of such buckets would
-be quadratic in the group.)
+largest one are compared with all others: in buckets of up to FULL_BUCKET members pair by pair with the
+members of other components; in larger ones first with some members of the largest component, then,
+where several components are left, block against block over all tasks, of which only the components'
+links leave a task. So all pairs of a bucket are verified or known to be connected, whatever its size.
 
 Exact copies (same 128-bit digest) are collapsed before all this and brought back at the end.
 
@@ -39,14 +38,15 @@ from pyspark.sql import types as T
 from factloom.llm import textvec as tv
 from factloom.llm.common import map_texts, scratch
 from factloom.llm.components import components
+from factloom.llm.embeddup import _grouped
 
 N_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 #: Buckets of up to this many members are compared in full across components.
 FULL_BUCKET = 48
-#: At most so many rounds of random members of the largest component in larger buckets.
-LEADER_ROUNDS = 3
+#: Members on average of a block of a larger bucket, and shingles that two blocks compare at a time.
+CHUNK, VOCABULARY = 256, 8192
 #: Ids of up to this many candidates are broadcast (8 bytes each); more go through a shuffled join.
 BROADCAST_IDS = 2_000_000
 _U = np.uint64
@@ -148,14 +148,8 @@ def with_bands(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n_words: i
     return map_texts(docs, run, [T.StructField("bands", T.ArrayType(T.LongType()))], keep=[c for c in docs.columns if c != "text"], slice_bytes=1_000_000)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
-    """The pairs (a, b) whose shingle multisets have a weighted Jaccard similarity >= threshold.
-
-    Only texts that occur in a pair are hashed and shuffled. A leader with many partners makes one
-    skewed key, which adaptive execution splits.
-    """
-    pairs = scratch(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+def _units(ids: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
+    """(rep, units): the sorted 32-bit hashes of the units of the texts of these ids."""
     ids = scratch(ids, "ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -167,7 +161,17 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n
         ends = np.searchsorted(d, np.arange(len(off)))
         return {"units": [np.sort(e[i:j]).tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)]}
 
-    units = scratch(map_texts(wanted, packed, [T.StructField("units", T.BinaryType())], keep=["rep"]).dropDuplicates(["rep"]), "units")
+    return scratch(map_texts(wanted, packed, [T.StructField("units", T.BinaryType())], keep=["rep"]).dropDuplicates(["rep"]), "units")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
+    """The pairs (a, b) whose shingle multisets have a weighted Jaccard similarity >= threshold.
+
+    Only texts that occur in a pair are hashed and shuffled. A leader with many partners makes one
+    skewed key, which adaptive execution splits.
+    """
+    pairs = scratch(pairs, "pairs")
+    units = _units(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), texts, n_words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,9 +211,9 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _with_main_members(mixed: DataFrame, seed: int, many: int = 3) -> DataFrame:
+def _with_main_members(mixed: DataFrame, many: int = 3) -> DataFrame:
     """Pairs of the members outside a bucket's largest component with a few members inside it."""
-    first = [F.min(F.struct(F.xxhash64("rep", "band", F.lit(seed * many + i)), "rep"))["rep"] for i in range(many)]
+    first = [F.min(F.struct(F.xxhash64("rep", "band", F.lit(i)), "rep"))["rep"] for i in range(many)]
     inside = mixed.filter("c = main").groupBy("band", "bucket").agg(F.array_distinct(F.array(*first)).alias("some"))
     outside = mixed.filter("c != main").select("band", "bucket", "rep")
     return outside.join(inside, ["band", "bucket"]).select("rep", F.explode("some").alias("x")).select(*_ordered("rep", "x")).distinct()
@@ -221,6 +225,77 @@ def _across(mixed: DataFrame) -> DataFrame:
     return mixed.join(other, ["band", "bucket"]).filter("c != cx").select(*_ordered("rep", "x")).distinct()
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many units each text of a shares with each of b, equal hashes within a text counted as often as both have them."""
+
+    def flat(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        size = np.array([len(t) for t in texts])
+        e, at = np.concatenate(texts).astype(_U), np.repeat(np.arange(len(texts)), size)
+        head = np.ones(len(e), bool)
+        head[1:] = (e[1:] != e[:-1]) | (at[1:] != at[:-1])
+        start = np.flatnonzero(head)
+        nth = np.arange(len(e)) - np.repeat(start, np.diff(np.append(start, len(e))))
+        return (e << _U(32)) | nth.astype(_U), at
+
+    (ea, ta), (eb, tb) = flat(a), flat(b)
+    both = np.intersect1d(ea, eb)
+    out = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, len(both), VOCABULARY):
+        some = both[lo : lo + VOCABULARY]
+        sides = []
+        for e, t, n in ((ea, ta, len(a)), (eb, tb, len(b))):
+            at = np.minimum(np.searchsorted(some, e), len(some) - 1)
+            has = some[at] == e
+            x = np.zeros((n, len(some)), np.float32)
+            x[t[has], at[has]] = 1
+            sides.append(x)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _stars(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a and b that near connects, each beside one id of its component."""
+    none = len(a)
+    la = np.arange(len(a))
+    while True:
+        lb = np.where(near, la[:, None], none).min(0)
+        new = np.minimum(la, np.where(near, lb[None, :], none).min(1))
+        if (new == la).all():
+            break
+        la = new
+    i, j = np.flatnonzero(near.any(1)), np.flatnonzero(lb < none)
+    return np.concatenate([a[la[i]], a[lb[j]]]), np.concatenate([a[i], b[j]])
+
+
+def _block_links(mixed: DataFrame, texts: DataFrame, threshold: float, n_words: int) -> DataFrame:
+    """(a, b): links with the components of all pairs of a bucket with one side outside its largest component.
+
+    Blocks hold CHUNK members on average; block pairs spread over all tasks.
+    """
+    size = mixed.groupBy("band", "bucket").agg(F.ceil(F.count("*") / CHUNK).alias("n"), F.ceil(F.sum((F.col("c") != F.col("main")).cast("int")) / CHUNK).alias("m"))
+    placed = mixed.join(size, ["band", "bucket"]).withColumn("h", F.xxhash64("rep", "band"))
+    left = placed.filter("c != main").select("band", "bucket", F.expr("pmod(h, m)").alias("i"), F.expr("explode(sequence(0, n - 1))").alias("j"), "rep", F.lit(0).alias("side"))
+    right = placed.select("band", "bucket", F.expr("explode(sequence(0, m - 1))").alias("i"), F.expr("pmod(h, n)").alias("j"), "rep", F.lit(1).alias("side"))
+    rows = left.union(right).select(F.xxhash64("band", "bucket", "i", "j").alias("job"), "side", "rep")
+    units = _units(mixed.select("rep").distinct(), texts, n_words)
+    rows = rows.join(units, "rep").select("job", "side", "rep", "units").repartition("job").sortWithinPartitions("job")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, "job"):
+            side, ids = np.array(group["side"]), np.array(group["rep"])
+            units = [np.frombuffer(u.as_buffer(), np.uint32) for u in group["units"]]
+            a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(a) or not len(b):
+                continue
+            n = np.array([len(u) for u in units])
+            both = _overlaps([units[i] for i in a], [units[i] for i in b])
+            near = (both >= threshold * (n[a][:, None] + n[b][None, :] - both)) & (ids[a][:, None] != ids[b][None, :])
+            x, y = _stars(near, ids[a], ids[b])
+            yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").filter("a != b").select(*_ordered("a", "b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, n_words: int = N_WORDS) -> DataFrame:
     """(doc_id, class_id, kept): the group of each document; kept marks the group's smallest doc_id."""
     docs = docs.select("doc_id", F.lower("text").alias("text"))
@@ -231,17 +306,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     tried = _leader_pairs(buckets)
     links = scratch(verified(tried, docs, threshold, n_words), "links")
     comps = components(links)
-    for seed in range(LEADER_ROUNDS):
-        mixed = scratch(_mixed(buckets, comps), "mixed")
-        sizes = mixed.groupBy("band", "bucket").agg(F.count("*").alias("n"))
-        small = mixed.join(sizes.filter(F.col("n") <= FULL_BUCKET), ["band", "bucket"], "left_semi")
-        large = mixed.join(sizes.filter(F.col("n") > FULL_BUCKET), ["band", "bucket"], "left_semi")
-        pairs = _with_main_members(large, seed)
-        more = scratch(verified(pairs if seed else pairs.union(_across(small)).distinct(), docs, threshold, n_words), "links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        comps = components(links)
+    mixed = scratch(_mixed(buckets, comps), "mixed")
+    sizes = mixed.groupBy("band", "bucket").agg(F.count("*").alias("n"))
+    small = mixed.join(sizes.filter(F.col("n") <= FULL_BUCKET), ["band", "bucket"], "left_semi")
+    large = scratch(mixed.join(sizes.filter(F.col("n") > FULL_BUCKET), ["band", "bucket"], "left_semi").select("band", "bucket", "rep"), "large")
+    links = links.union(scratch(verified(_with_main_members(mixed.join(large.select("band", "bucket").distinct(), ["band", "bucket"], "left_semi")).union(_across(small)).distinct(), docs, threshold, n_words), "links"))
+    comps = components(links)
+    left = scratch(_mixed(large, comps), "left")
+    if not left.isEmpty():
+        comps = components(links.union(_block_links(left, docs, threshold, n_words)))
     classes = reps.select("digest", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     out = signed.select("doc_id", "digest").join(classes, "digest", "left")
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))

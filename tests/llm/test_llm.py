@@ -185,6 +185,28 @@ def test_near_duplicates_by_brute_force(spark, docs):
     assert all(got.class_id[i] == find(i) for i in units)
 
 
+def test_near_duplicates_of_a_large_family_by_brute_force(spark):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(400):  # two texts changed in the same places are alike (0.8 and over); all others are not
+        at = rng.sample(range(0, 300, 5), 6)
+        for side in range(2):
+            texts.append([f"x{i}.{side}.{j}" if j in at else w for j, w in enumerate(base)])
+    grams = [{tuple(t[j : j + 5]) for j in range(len(t) - 4)} for t in texts]
+    number = {}
+    x = np.zeros((len(texts), len(set().union(*grams))), np.float32)
+    for i, g in enumerate(grams):
+        x[i, [number.setdefault(k, len(number)) for k in g]] = 1
+    both = x @ x.T
+    near = both >= 0.8 * (x.sum(1)[:, None] + x.sum(1)[None, :] - both)
+    want = np.arange(len(texts))
+    while (new := np.where(near, want[None, :], len(texts)).min(1)).tolist() != want.tolist():
+        want = new
+    got = neardup.near_duplicates(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"))
+    assert len(set(want)) >= 300 and {r.doc_id: r.class_id for r in got.collect()} == dict(enumerate(want.tolist()))
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == len(ODD) and {r.class_id for r in got if r.doc_id == 1} == {1}
