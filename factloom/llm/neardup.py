@@ -8,13 +8,15 @@ darts in all, and keeps the earliest at each of its t coordinates; a text with a
 on with the next pieces. Two texts agree at a coordinate with the probability of their weighted
 Jaccard similarity.
 
-Bands of coordinates make buckets. Nobody pairs up a bucket's members at first: each member meets the
-bucket's leader (one of three orders, by band), the pair is verified on the whole shingle multisets, and
-connected components are formed. In buckets that still hold several components, the members outside the
-largest one are compared with all others: in buckets of up to FULL_BUCKET members pair by pair with the
-members of other components; in larger ones first with some members of the largest component, then,
-where several components are left, block against block over all tasks, of which only the components'
-links leave a task. So all pairs of a bucket are verified or known to be connected, whatever its size.
+Bands of coordinates make buckets; buckets of one member set count once for each order of leaders. Nobody
+pairs up a bucket's members at first: each member meets the bucket's leader (one of three orders, by
+band), the pair is verified on the whole shingle multisets, and connected components are formed. In buckets
+that still hold several components, the members outside the largest one are compared with all others, block
+against block over all tasks, of which only links between components leave a task. So all pairs of a
+bucket are verified or known to be connected, whatever its size.
+
+Buckets of over a thousandth of all texts are at most BANDS x 1000; what is known of them is broadcast, so
+that their members stay where they are instead of meeting in one task.
 
 Exact copies (same 128-bit digest) are collapsed before all this and brought back at the end.
 
@@ -22,7 +24,9 @@ The result has one row per document: ``class_id`` is the smallest doc_id of its
 
 Defined cases: a null text is a group of its own; empty texts are copies of each other; a text under
 five words is one shingle of all its words; rows with a null doc_id are kept apart, class null;
-repeated rows of one doc_id come back as they were; an empty table gives no rows.
+repeated rows of one doc_id and text come back as they were; of different texts under one doc_id, that of
+the least digest has the doc_id as its number in groups, the others a hash over 2**62, which is a group's
+class_id where it holds no other; an empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -31,24 +35,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.llm import textvec as tv
-from factloom.llm.common import map_texts, scratch
+from factloom.llm.common import free_name, map_texts, scratch
 from factloom.llm.components import components
 from factloom.llm.embeddup import _grouped
 
 N_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-#: Buckets of up to this many members are compared in full across components.
-FULL_BUCKET = 48
-#: Members on average of a block of a larger bucket, and shingles that two blocks compare at a time.
+#: Members on average of a block of a bucket, and shingles that two blocks compare at a time.
 CHUNK, VOCABULARY = 256, 8192
-#: Ids of up to this many candidates are broadcast (8 bytes each); more go through a shuffled join.
+#: Ids of up to this many candidates are broadcast (24 bytes each); more go through a shuffled join.
 BROADCAST_IDS = 2_000_000
+#: Numbers of texts whose doc_id belongs to another text begin here.
+_STRANGE = 1 << 62
 _U = np.uint64
 _FIRST = -5  # the first piece of the rank axis is [0, 2**_FIRST)
 
@@ -148,12 +152,16 @@ def with_bands(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n_words: i
     return map_texts(docs, run, [T.StructField("bands", T.ArrayType(T.LongType()))], keep=[c for c in docs.columns if c != "text"], slice_bytes=1_000_000)
 
 
+def _text_key(doc_id: str, digest: str = "digest") -> Column:
+    return F.xxhash64(doc_id, digest)
+
+
 def _units(ids: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
-    """(rep, units): the sorted 32-bit hashes of the units of the texts of these ids."""
-    ids = scratch(ids, "ids")
+    """(node, units): the sorted 32-bit hashes of the units of the texts of ids (node, rep, digest)."""
+    ids = scratch(ids.select("node", "rep", _text_key("rep").alias("key")), "ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    wanted = texts.select(F.col("doc_id").alias("rep"), "text").join(ids, "rep", "left_semi")
+    wanted = texts.withColumn("key", _text_key("doc_id")).join(ids, "key").filter("doc_id = rep").select("node", "text")
 
     def packed(buf: np.ndarray, off: np.ndarray) -> dict[str, object]:
         d, e = elements(buf, off, n_words)
@@ -161,17 +169,14 @@ def _units(ids: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
         ends = np.searchsorted(d, np.arange(len(off)))
         return {"units": [np.sort(e[i:j]).tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)]}
 
-    return scratch(map_texts(wanted, packed, [T.StructField("units", T.BinaryType())], keep=["rep"]).dropDuplicates(["rep"]), "units")
+    return scratch(map_texts(wanted, packed, [T.StructField("units", T.BinaryType())], keep=["node"]).dropDuplicates(["node"]), "units")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
-    """The pairs (a, b) whose shingle multisets have a weighted Jaccard similarity >= threshold.
+def verified(pairs: DataFrame, units: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) whose shingle multisets, as units has them, have a weighted Jaccard similarity >= threshold.
 
-    Only texts that occur in a pair are hashed and shuffled. A leader with many partners makes one
-    skewed key, which adaptive execution splits.
+    A leader with many partners makes one skewed key, which adaptive execution splits.
     """
-    pairs = scratch(pairs, "pairs")
-    units = _units(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), texts, n_words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,44 +192,49 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n
                 ok.append(both >= threshold * (len(m) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    joined = pairs.join(units.select(F.col("rep").alias("b"), F.col("units").alias("ub")), "b").join(units.select(F.col("rep").alias("a"), F.col("units").alias("ua")), "a")
+    joined = pairs.join(units.select(F.col("node").alias("b"), F.col("units").alias("ub")), "b").join(units.select(F.col("node").alias("a"), F.col("units").alias("ua")), "a")
     return joined.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long")
 
 
-def _leader_pairs(buckets: DataFrame) -> DataFrame:
-    """Each member with its bucket's leader; three orders of ids share out the bands."""
-    order = F.struct(F.when(F.col("band") % 3 == 0, F.lit(0)).otherwise(F.xxhash64("rep", F.col("band") % 3)).alias("o"), F.col("rep"))
-    leaders = buckets.groupBy("band", "bucket").agg(F.min(order).alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    pairs = buckets.join(leaders.select("band", "bucket", F.col("lead.rep").alias("leader")), ["band", "bucket"]).filter("rep != leader")
-    return pairs.select(*_ordered("rep", "leader")).distinct()
+def _facts_beside(members: DataFrame, facts: DataFrame, total: int) -> DataFrame:
+    """members with the facts of their buckets (band, bucket, n, ...); those of large buckets are broadcast.
+
+    A band has at most 1000 buckets of over a thousandth of its texts, whatever their number.
+    """
+    key = ["band", "bucket"]
+    hot = F.broadcast(facts.filter(F.col("n") > total // 1000 + 1))
+    rest = members.join(hot.select(*key), key, "left_anti").join(facts.filter(F.col("n") <= total // 1000 + 1), key)
+    return members.join(hot, key).union(rest)
 
 
-def _mixed(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """The members of buckets with several components, each with its own and the largest component."""
-    placed = buckets.join(comps, F.col("rep") == F.col("node"), "left").select("band", "bucket", "rep", F.coalesce("component", "rep").alias("c"))
+def _members(reps: DataFrame, total: int) -> DataFrame:
+    """(band, bucket, node, leader) of the members of buckets that hold several.
+
+    Of buckets with the same members, one is taken for each of the three orders that choose leaders.
+    """
+    buckets = reps.filter("bands is not null").select("node", F.posexplode("bands").alias("band", "bucket"))
+    turn = F.col("band") % 3
+    order = F.struct(F.when(turn == 0, F.lit(0)).otherwise(F.xxhash64("node", turn)).alias("o"), F.col("node"))
+    same = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    all_of = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min(order)["node"].alias("leader"), F.min("node").alias("low"), *same).filter("n > 1")
+    facts = all_of.groupBy(turn.alias("turn"), "n", "leader", "low", "x0", "x1").agg(F.min(F.struct("band", "bucket")).alias("at")).select("at.band", "at.bucket", "n", "leader")
+    return _facts_beside(buckets, scratch(facts, "facts"), total).select("band", "bucket", "node", "leader")
+
+
+def _mixed(members: DataFrame, comps: DataFrame, total: int) -> DataFrame:
+    """(band, bucket, node, c, main, m, k) of buckets with several components: a member's and the largest
+    component, and the bucket's members in all and outside the largest."""
+    placed = scratch(members.join(comps, "node", "left").select("band", "bucket", "node", F.coalesce("component", "node").alias("c")), "placed")
     sizes = placed.groupBy("band", "bucket", "c").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band", "bucket").agg(F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("k")).filter("k > 1")
-    return placed.join(main.select("band", "bucket", F.col("top.c").alias("main")), ["band", "bucket"])
+    facts = sizes.groupBy("band", "bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("k")).filter("k > 1")
+    facts = facts.select("band", "bucket", "n", F.col("top.c").alias("main"), (F.col("n") - F.col("top.n")).alias("outside"))
+    return _facts_beside(placed, scratch(facts, "facts"), total).select("band", "bucket", "node", "c", "main", "n", "outside")
 
 
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _with_main_members(mixed: DataFrame, many: int = 3) -> DataFrame:
-    """Pairs of the members outside a bucket's largest component with a few members inside it."""
-    first = [F.min(F.struct(F.xxhash64("rep", "band", F.lit(i)), "rep"))["rep"] for i in range(many)]
-    inside = mixed.filter("c = main").groupBy("band", "bucket").agg(F.array_distinct(F.array(*first)).alias("some"))
-    outside = mixed.filter("c != main").select("band", "bucket", "rep")
-    return outside.join(inside, ["band", "bucket"]).select("rep", F.explode("some").alias("x")).select(*_ordered("rep", "x")).distinct()
-
-
-def _across(mixed: DataFrame) -> DataFrame:
-    """All pairs of a bucket across components, with one side outside the largest component."""
-    other = mixed.filter("c != main").select("band", "bucket", F.col("rep").alias("x"), F.col("c").alias("cx"))
-    return mixed.join(other, ["band", "bucket"]).filter("c != cx").select(*_ordered("rep", "x")).distinct()
-
-
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """How many units each text of a shares with each of b, equal hashes within a text counted as often as both have them."""
 
@@ -267,72 +277,84 @@ def _stars(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate([a[la[i]], a[lb[j]]]), np.concatenate([a[i], b[j]])
 
 
-def _block_links(mixed: DataFrame, texts: DataFrame, threshold: float, n_words: int) -> DataFrame:
-    """(a, b): links with the components of all pairs of a bucket with one side outside its largest component.
+def _block_links(mixed: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between components, from all pairs of a bucket with one side outside its largest component.
 
     Blocks hold CHUNK members on average; block pairs spread over all tasks.
     """
-    size = mixed.groupBy("band", "bucket").agg(F.ceil(F.count("*") / CHUNK).alias("n"), F.ceil(F.sum((F.col("c") != F.col("main")).cast("int")) / CHUNK).alias("m"))
-    placed = mixed.join(size, ["band", "bucket"]).withColumn("h", F.xxhash64("rep", "band"))
-    left = placed.filter("c != main").select("band", "bucket", F.expr("pmod(h, m)").alias("i"), F.expr("explode(sequence(0, n - 1))").alias("j"), "rep", F.lit(0).alias("side"))
-    right = placed.select("band", "bucket", F.expr("explode(sequence(0, m - 1))").alias("i"), F.expr("pmod(h, n)").alias("j"), "rep", F.lit(1).alias("side"))
-    rows = left.union(right).select(F.xxhash64("band", "bucket", "i", "j").alias("job"), "side", "rep")
-    units = _units(mixed.select("rep").distinct(), texts, n_words)
-    rows = rows.join(units, "rep").select("job", "side", "rep", "units").repartition("job").sortWithinPartitions("job")
+    placed = mixed.withColumns({"i": F.ceil(F.col("outside") / CHUNK), "j": F.ceil(F.col("n") / CHUNK), "h": F.xxhash64("node", "band")})
+    left = placed.filter("c != main").select("band", "bucket", F.expr("pmod(h, i)").alias("x"), F.expr("explode(sequence(0, j - 1))").alias("y"), "node", "c", F.lit(0).alias("side"))
+    right = placed.select("band", "bucket", F.expr("explode(sequence(0, i - 1))").alias("x"), F.expr("pmod(h, j)").alias("y"), "node", "c", F.lit(1).alias("side"))
+    rows = left.union(right).select(F.xxhash64("band", "bucket", "x", "y").alias("job"), "side", "node", "c")
+    rows = rows.join(units, "node").select("job", "side", "c", "units").repartition("job").sortWithinPartitions("job")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, "job"):
-            side, ids = np.array(group["side"]), np.array(group["rep"])
+            side, c = np.array(group["side"]), np.array(group["c"])
             units = [np.frombuffer(u.as_buffer(), np.uint32) for u in group["units"]]
             a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             if not len(a) or not len(b):
                 continue
             n = np.array([len(u) for u in units])
             both = _overlaps([units[i] for i in a], [units[i] for i in b])
-            near = (both >= threshold * (n[a][:, None] + n[b][None, :] - both)) & (ids[a][:, None] != ids[b][None, :])
-            x, y = _stars(near, ids[a], ids[b])
+            near = (both >= threshold * (n[a][:, None] + n[b][None, :] - both)) & (c[a][:, None] != c[b][None, :])
+            x, y = _stars(near, c[a], c[b])
             yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long").filter("a != b").select(*_ordered("a", "b")).distinct()
 
 
+def _digest(text: Column) -> Column:
+    """128 bits of a lower-cased text; null texts have the doc_id's instead."""
+    return F.coalesce(F.md5(text.cast("binary")), F.concat(F.lit("null "), F.col("doc_id").cast("string")))
+
+
+def _classes(docs: DataFrame, threshold: float, bands: int, rows: int, n_words: int) -> DataFrame:
+    """(doc_id, digest, class_id, kept) of each row."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).withColumn("digest", _digest(F.col("text")))
+    signed = scratch(with_bands(texts, bands, rows, n_words), "signed")
+    reps = signed.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    strange = reps.groupBy("rep").agg(F.min("digest").alias("own"), F.count("*").alias("n")).filter("n > 1").select("rep", "own")
+    node = F.when(F.coalesce(F.col("own") == F.col("digest"), F.lit(True)), F.col("rep")).otherwise(F.lit(_STRANGE) + F.shiftrightunsigned(F.xxhash64("digest"), 2))
+    reps = scratch(reps.join(strange, "rep", "left").select("digest", "rep", node.alias("node"), "bands"), "reps")
+    total = reps.count()
+    members = scratch(_members(reps, total), "members")
+    several = members.select("node").distinct()
+    units = _units(reps.select("node", "rep", "digest").join(several, "node", "left_semi"), texts, n_words)
+    pairs = members.filter("node != leader").select(*_ordered("node", "leader")).distinct()
+    comps = components(verified(pairs, units, threshold))
+    mixed = scratch(_mixed(members, comps, total), "mixed")
+    if not mixed.isEmpty():
+        joined = components(_block_links(mixed, units, threshold)).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        alone = joined.select(F.col("component").alias("node"), "component").join(comps.select("node"), "node", "left_anti")
+        comps = comps.union(alone).join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    found = reps.select("digest", "rep", "node").join(comps, "node", "left").select("digest", "rep", "node", F.coalesce("component", "node").alias("class_id"))
+    out = signed.select("doc_id", "digest").join(found, "digest", "left")
+    kept = F.coalesce((F.col("node") == F.col("class_id")) & (F.col("doc_id") == F.col("rep")), F.lit(True)) | F.col("doc_id").isNull()
+    return out.select("doc_id", "digest", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"), kept.alias("kept"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, n_words: int = N_WORDS) -> DataFrame:
     """(doc_id, class_id, kept): the group of each document; kept marks the group's smallest doc_id."""
-    docs = docs.select("doc_id", F.lower("text").alias("text"))
-    keyed = docs.withColumn("digest", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.col("doc_id").cast("string"))))
-    signed = scratch(with_bands(keyed, bands, rows, n_words), "signed")
-    reps = signed.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    buckets = scratch(reps.filter("bands is not null").select("rep", F.posexplode("bands").alias("band", "bucket")), "buckets")
-    tried = _leader_pairs(buckets)
-    links = scratch(verified(tried, docs, threshold, n_words), "links")
-    comps = components(links)
-    mixed = scratch(_mixed(buckets, comps), "mixed")
-    sizes = mixed.groupBy("band", "bucket").agg(F.count("*").alias("n"))
-    small = mixed.join(sizes.filter(F.col("n") <= FULL_BUCKET), ["band", "bucket"], "left_semi")
-    large = scratch(mixed.join(sizes.filter(F.col("n") > FULL_BUCKET), ["band", "bucket"], "left_semi").select("band", "bucket", "rep"), "large")
-    links = links.union(scratch(verified(_with_main_members(mixed.join(large.select("band", "bucket").distinct(), ["band", "bucket"], "left_semi")).union(_across(small)).distinct(), docs, threshold, n_words), "links"))
-    comps = components(links)
-    left = scratch(_mixed(large, comps), "left")
-    if not left.isEmpty():
-        comps = components(links.union(_block_links(left, docs, threshold, n_words)))
-    classes = reps.select("digest", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
-    out = signed.select("doc_id", "digest").join(classes, "digest", "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return _classes(docs, threshold, bands, rows, n_words).drop("digest")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that stand for their group, with all their columns.
 
-    Of each group the row with the smallest doc_id stays (one, if the id is repeated); rows with a null
-    doc_id stay. What goes is joined away by id; the list is broadcast while it's under BROADCAST_IDS.
+    Of each group the row with the smallest doc_id stays (one, if it is repeated with its text); rows with
+    a null doc_id stay. What goes is joined away by doc_id and text's digest; the list is broadcast while
+    it's under BROADCAST_IDS.
     """
-    found = scratch(near_duplicates(docs, threshold), "groups")
-    gone = found.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    found = scratch(_classes(docs, threshold, BANDS, ROWS, N_WORDS), "groups")
+    text_key, digest = free_name(docs, "text_key"), _digest(F.lower("text"))
+    keyed = docs.withColumn(text_key, F.xxhash64(F.col("doc_id").cast("long"), digest))
+    gone = found.filter("not kept").select(_text_key("doc_id").alias(text_key)).distinct()
     if found.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    repeated = scratch(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    left = keyed.join(gone, text_key, "left_anti")
+    repeated = scratch(found.filter("kept and doc_id is not null").groupBy(_text_key("doc_id").alias(text_key)).count().filter("count > 1").select(text_key), "repeated")
     if repeated.isEmpty():
-        return left
-    single = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(single.select(*docs.columns))
+        return left.select(*docs.columns)
+    single = left.join(repeated, text_key, "left_semi").dropDuplicates([text_key])
+    return left.join(repeated, text_key, "left_anti").select(*docs.columns).union(single.select(*docs.columns))
