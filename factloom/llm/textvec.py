@@ -90,12 +90,20 @@ def spans(buf: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
     return starts, ends, np.searchsorted(off, starts, side="right") - 1
 
 
-def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hash of buf[starts:ends] for each span; ASCII case is folded with lower."""
-    p, q = _powers(len(buf) + 1)
+def prefix_sums(buf: np.ndarray, lower: bool = True) -> np.ndarray:
+    """What span_hashes needs of a buffer; ASCII case is folded with lower."""
     sums = np.zeros(len(buf) + 1, _U)
-    np.cumsum(_LETTERS[LOWER[buf] if lower else buf] * p[: len(buf)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(_U))
+    np.cumsum(_LETTERS[LOWER[buf] if lower else buf] * _powers(len(buf) + 1)[0][: len(buf)], out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of buf[starts:ends] for each span."""
+    return mix((sums[ends] - sums[starts]) * _powers(len(sums))[1][starts] + (ends - starts).astype(_U))
+
+
+def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    return span_hashes(prefix_sums(buf, lower), starts, ends)
 
 
 def words(buf: np.ndarray, off: np.ndarray, inside: np.ndarray = WORD, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

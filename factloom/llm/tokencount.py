@@ -1,14 +1,14 @@
 """Token counts under a unigram model, by dynamic programming over a trie of distinct pre-tokens.
 
 A text's pre-tokens are its runs of non-space bytes, each with a leading word mark. The distinct
-pre-tokens of a slice of texts form a trie; a node is a distinct prefix, identified by its hash, and
+pre-tokens of a slice of texts that a worker hasn't met before form a trie; a node is a distinct prefix, identified by its hash, and
 the best score of a prefix (the sum of log probabilities of pieces that tile it) is computed once
 however many pre-tokens share it, level by level for all nodes at a depth. The pieces that may end at
-a node are looked up by hash. The terminal node of a pre-token holds its count of tokens; a text's
-count is the sum over its pre-tokens.
+a node are looked up by hash. The terminal node of a pre-token holds its count of tokens, which the
+worker keeps (KEPT pre-tokens at most, then it starts anew); a text's count is the sum over its pre-tokens.
 
-Pieces come from a public tokenizer; a piece's log probability falls with the logarithm of its rank. A
-byte that no piece covers is a token by itself at the lowest score less 10. Ties take the longer last
+Pieces come from a public tokenizer, which has ranks and no probabilities: a piece's log probability falls
+with the logarithm of its rank, as Zipf's law has it. A byte that no piece covers is a token by itself at the lowest score less 10. Ties take the longer last
 piece.
 
 Defined cases: null, empty and blank texts have 0 tokens; repeated rows count alike; pre-tokens over
@@ -29,6 +29,8 @@ from factloom.llm import textvec as tv
 from factloom.llm.common import map_texts
 
 LONG = 200
+#: Terminal counts that a worker keeps, 16 bytes each.
+KEPT = 1 << 21
 _MARK = "▁".encode()
 _BITS = 20
 
@@ -96,6 +98,7 @@ class Counter:
         self.pieces = pieces
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[(pieces.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+        self.known, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each distinct marked pre-token data[start:end]."""
@@ -104,7 +107,8 @@ class Counter:
         owner = np.repeat(np.arange(len(size)), size)
         place = np.arange(total) - np.repeat(np.cumsum(size) - size, size)  # bytes before in the word
         begin, stop = starts[owner], starts[owner] + place + 1
-        prefix = tv.hashes(data, begin, stop, lower=False)
+        sums = tv.prefix_sums(data, lower=False)
+        prefix = tv.span_hashes(sums, begin, stop)
         _, node_at, node_of = np.unique(prefix, return_index=True, return_inverse=True)
         depth, at = place[node_at] + 1, stop[node_at]
         rank = np.argsort(depth, kind="stable")
@@ -118,7 +122,7 @@ class Counter:
             some = np.arange(np.searchsorted(depth, n), len(depth))
             if not len(some):
                 break
-            h = tv.hashes(data, at[some] - n, at[some], lower=False)
+            h = tv.span_hashes(sums, at[some] - n, at[some])
             hit = self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)]
             some, h = some[hit], h[hit]
             k = np.minimum(np.searchsorted(self.pieces.keys, h), len(self.pieces.keys) - 1)
@@ -149,29 +153,42 @@ class Counter:
             count[own[heads]] = count[up[lo:hi][last]] + 1
         return count[node_of[np.cumsum(size) - 1]]
 
+    def marked(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of each distinct pre-token buf[start:end], a word mark put before it."""
+        size = ends - starts + len(_MARK)
+        data = np.empty(int(size.sum()), np.uint8)
+        stops = np.cumsum(size)
+        begin = stops - size
+        for k, byte in enumerate(_MARK):
+            data[begin + k] = byte
+        inner = np.arange(len(data)) - np.repeat(begin, size) - len(_MARK)
+        take = inner >= 0
+        data[take] = buf[(np.repeat(starts, size) + inner)[take]]
+        count = np.zeros(len(size), np.int64)
+        short = size <= LONG
+        if short.any():
+            count[short] = self.words(data, begin[short], stops[short])
+        for i in np.flatnonzero(~short):
+            count[i] = count_plainly(data[begin[i] : stops[i]].tobytes(), self.pieces)
+        return count
+
     def __call__(self, buf: np.ndarray, off: np.ndarray) -> dict[str, object]:
         s, e, d = tv.spans(buf, off, ~tv.SPACE)
         n = len(off) - 1
         out = np.zeros(n)
         if len(s):
-            h = tv.hashes(buf, s, e, lower=False)
-            _, first, back = np.unique(h, return_index=True, return_inverse=True)
-            fs, fe = s[first], e[first]
-            size = fe - fs + len(_MARK)
-            data = np.empty(int(size.sum()), np.uint8)
-            ends = np.cumsum(size)
-            starts = ends - size
-            for k, byte in enumerate(_MARK):
-                data[starts + k] = byte
-            inner = np.arange(len(data)) - np.repeat(starts, size) - len(_MARK)
-            take = inner >= 0
-            data[take] = buf[(np.repeat(fs, size) + inner)[take]]
-            count = np.zeros(len(first), np.int64)
-            short = size <= LONG
-            if short.any():
-                count[short] = self.words(data, starts[short], ends[short])
-            for i in np.flatnonzero(~short):
-                count[i] = count_plainly(data[starts[i] : ends[i]].tobytes(), self.pieces)
+            h, first, back = np.unique(tv.hashes(buf, s, e, lower=False), return_index=True, return_inverse=True)
+            at = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
+            new = self.known[at] != h if len(self.known) else np.ones(len(h), bool)
+            count = np.zeros(len(h), np.int64)
+            count[~new] = self.counts[at[~new]]
+            if new.any():
+                count[new] = self.marked(buf, s[first[new]], e[first[new]])
+                if len(self.known) + int(new.sum()) > KEPT:
+                    self.known, self.counts = h, count
+                else:
+                    where = np.searchsorted(self.known, h[new])
+                    self.known, self.counts = np.insert(self.known, where, h[new]), np.insert(self.counts, where, count[new])
             out = np.bincount(d, count[back], n)
         return {"n_tokens": out.astype(np.int64), "n_words": np.bincount(d, minlength=n).astype(np.int64)}
 
