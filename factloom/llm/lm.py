@@ -30,7 +30,10 @@ from factloom.llm.common import scratch
 
 BLOCK_BYTES = 12_000_000
 BUCKETS = 26
-#: Pair keys are cut to 48 bits for the shuffle; word keys keep 64.
+#: Beyond so many blocks a task takes several, one after the other.
+MAX_TASKS = 65_536
+#: Pair keys are cut to 48 bits for the shuffle; word keys keep 64. A pair shares its count with some other
+#: by chance with a probability of (distinct pairs) / 2**48: 4e-6 at a billion, 0.4 % at 1e12.
 _PAIR_SHIFT = 16
 _END = np.uint64(0x8F1BBCDCBFA53E0B)
 _START = np.uint64(0x2545F4914F6CDD1D)
@@ -67,10 +70,11 @@ def _sorted_keys(table: pa.Table) -> tuple:
     return d, words, w_at, pairs, p_at
 
 
-def _cuts(keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
-    """Where each of the equal ranges of keys begins in sorted keys."""
-    edges = [((k << bits) + ranges - 1) // ranges for k in range(1, ranges)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)
+def _ranges(keys: np.ndarray, ranges: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(range, cuts): the ranges that sorted keys fall in, and where each begins, with the end."""
+    of = ((keys >> np.uint64(bits - 32)) * np.uint64(ranges)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return of[cuts].astype(np.int64), np.append(cuts, len(keys))
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -84,6 +88,32 @@ def _unpack(data: pa.Buffer) -> np.ndarray:
     return np.cumsum(halves[0] | (halves[1] << np.uint64(32)), dtype=np.uint64)
 
 
+_MUCH = 255
+
+
+def _pack_counts(n: np.ndarray) -> bytes:
+    """How many there are, a byte for each, then eight bytes for each of _MUCH or more."""
+    return np.array([len(n)], np.int64).tobytes() + np.minimum(n, _MUCH).astype(np.uint8).tobytes() + n[n >= _MUCH].astype(np.int64).tobytes()
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    size = int(np.frombuffer(data, np.int64, 1)[0])
+    n = np.frombuffer(data, np.uint8, size, 8).astype(np.int64)
+    n[n == _MUCH] = np.frombuffer(data[8 + size :], np.int64)
+    return n
+
+
+def _pack_text(n: np.ndarray) -> bytes:
+    """Counts of a text's tokens in as many bytes as the largest needs; the first byte says how many."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(n) or int(n.max()) < 1 << (8 * w))
+    return bytes([width]) + n.astype(f"<u{width}").tobytes()
+
+
+def _unpack_text(data: pa.Buffer) -> np.ndarray:
+    data = memoryview(data)
+    return np.frombuffer(data[1:], f"<u{data[0]}").astype(np.int64)
+
+
 _SENT = "kind int, range int, block int, keys binary, counts binary"
 
 
@@ -98,11 +128,10 @@ def _send(ranges: int):  # noqa: ANN202
         counts[1][p_at[-1]] += int(train.sum())  # the context before a text's first token
         rows: dict[str, list] = {c.split()[0]: [] for c in _SENT.split(", ")}
         for kind, (keys, n) in enumerate(zip((words, pairs), counts, strict=True)):
-            cut = _cuts(keys, ranges, 64 - _PAIR_SHIFT * kind)
-            for r, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-                if j > i:
-                    for c, v in zip(rows, (kind, r, block, _pack(keys[i:j]), n[i:j].astype(np.uint32).tobytes()), strict=True):
-                        rows[c].append(v)
+            of, cuts = _ranges(keys, ranges, 64 - _PAIR_SHIFT * kind)
+            for r, i, j in zip(of.tolist(), cuts[:-1], cuts[1:], strict=True):
+                for c, v in zip(rows, (kind, r, block, _pack(keys[i:j]), _pack_counts(n[i:j])), strict=True):
+                    rows[c].append(v)
         return pa.table({c: pa.array(v, pa.binary() if c in ("keys", "counts") else pa.int32()) for c, v in rows.items()})
 
     return run
@@ -110,13 +139,13 @@ def _send(ranges: int):  # noqa: ANN202
 
 def _reply(table: pa.Table) -> pa.Table:
     keys = [_unpack(x.as_buffer()) for x in table["keys"]]
-    counts = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]]
+    counts = [_unpack_counts(x.as_py()) for x in table["counts"]]
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(back, np.concatenate(counts).astype(float), len(distinct)).astype(np.int64)
     sizes = np.array([len(k) for k in keys])
     ends = np.cumsum(sizes)
-    back = total[back].astype(np.uint32)
-    kind, own = table["kind"][0].as_py(), [back[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
+    back = total[back]
+    kind, own = table["kind"][0].as_py(), [_pack_counts(back[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
     facts = np.array([int(total.sum()), int((total > 0).sum())], np.int64).tobytes()
     return pa.table({
         "kind": pa.array([kind] * (len(own) + 1), pa.int32()), "range": pa.array([*table["range"].to_pylist(), -1], pa.int32()),
@@ -124,36 +153,38 @@ def _reply(table: pa.Table) -> pa.Table:
     })
 
 
-_LOOKED_UP = "doc_id long, train boolean, n_tokens long, n_known long, sum_log double, words binary, pairs binary, starts long, total long, vocabulary long"
+_LOOKED_UP = "train boolean, n_tokens long, n_known long, sum_log double, words binary, pairs binary, starts long, total long, vocabulary long"
 
 
 def _look_up(texts: pa.Table, replies: pa.Table) -> pa.Table:
     """Counts of each token and pair by text; a range's own totals pass through as a row without text."""
     out: dict[str, list] = {c.split()[0]: [] for c in _LOOKED_UP.split(", ")}
+    ids = texts["doc_id"]
     if not texts.num_rows:
         for kind, facts in zip(replies["kind"].to_pylist(), replies["counts"].to_pylist(), strict=True):
             if kind == 0:
                 total, distinct = np.frombuffer(facts, np.int64).tolist()
                 for c in out:
                     out[c].append({"total": total, "vocabulary": distinct}.get(c))
+        ids = pa.nulls(len(out["total"]), ids.type)
     else:
         d, words, w_at, pairs, p_at = _sorted_keys(texts)
         got: list[np.ndarray] = []
         for kind in (0, 1):
             rows = sorted((r, c) for k, r, c in zip(replies["kind"].to_pylist(), replies["range"].to_pylist(), replies["counts"].to_pylist(), strict=True) if k == kind)
-            got.append(np.frombuffer(b"".join(c for _, c in rows), np.uint32))
+            got.append(np.concatenate([_unpack_counts(c) for _, c in rows]))
         c_word, c_pair, starts = got[0][w_at], got[1][p_at[:-1]], int(got[1][p_at[-1]])
         ends = np.searchsorted(d, np.arange(texts.num_rows), side="right")
         logs = np.bincount(d, np.log10(c_word.astype(float) + 1), texts.num_rows)
         known = np.bincount(d[c_word > 0], minlength=texts.num_rows)
         first = np.append(0, ends[:-1])
         out = {
-            "doc_id": texts["doc_id"].to_pylist(), "train": texts["train"].to_pylist(), "n_tokens": (ends - first).tolist(), "n_known": known.tolist(), "sum_log": logs.tolist(),
-            "words": [c_word[i:j].tobytes() for i, j in zip(first, ends, strict=True)], "pairs": [c_pair[i:j].tobytes() for i, j in zip(first, ends, strict=True)],
+            "train": texts["train"].to_pylist(), "n_tokens": (ends - first).tolist(), "n_known": known.tolist(), "sum_log": logs.tolist(),
+            "words": [_pack_text(c_word[i:j]) for i, j in zip(first, ends, strict=True)], "pairs": [_pack_text(c_pair[i:j]) for i, j in zip(first, ends, strict=True)],
             "starts": [starts] * texts.num_rows, "total": [None] * texts.num_rows, "vocabulary": [None] * texts.num_rows,
         }
     kinds = {"boolean": pa.bool_(), "binary": pa.binary(), "long": pa.int64(), "double": pa.float64()}
-    return pa.table({(n := c.split())[0]: pa.array(out[n[0]], kinds[n[1]]) for c in _LOOKED_UP.split(", ")})
+    return pa.table({"doc_id": ids} | {(n := c.split())[0]: pa.array(out[n[0]], kinds[n[1]]) for c in _LOOKED_UP.split(", ")})
 
 
 def _parts(words: np.ndarray, pairs: np.ndarray, starts: int, total: int, vocabulary: int, held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,13 +223,14 @@ def _cell(p: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, train: Column, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score) of each row of docs."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"))
+    docs = docs.select("doc_id", "text", train.alias("train"))
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
     size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     blocks = max(1, -(-((size or 0) + 8 * rows) // block_bytes))
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(min(blocks, 4096), "block")
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(min(blocks, MAX_TASKS), "block")
     sent = dealt.groupBy("block").applyInArrow(_send(blocks), _SENT)
     replies = sent.groupBy("kind", "range").applyInArrow(_reply, "kind int, range int, block int, counts binary")
-    found = scratch(dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_look_up, _LOOKED_UP), "lm-counts")
+    found = scratch(dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_look_up, f"{kind}, {_LOOKED_UP}"), "lm-counts")
     total, vocabulary = found.agg(F.sum("total"), F.sum("vocabulary")).first()
     total, vocabulary = total or 0, vocabulary or 0
     texts = found.filter("n_tokens is not null")
@@ -206,7 +238,7 @@ def score(docs: DataFrame, train: Column, block_bytes: int = BLOCK_BYTES) -> Dat
 
     def each(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         for w, p, s in zip(batch.column("words"), batch.column("pairs"), batch.column("starts"), strict=True):
-            yield np.frombuffer(w.as_buffer(), np.uint32), np.frombuffer(p.as_buffer(), np.uint32), s.as_py()
+            yield _unpack_text(w.as_buffer()), _unpack_text(p.as_buffer()), s.as_py()
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side = _CELLS + 1
@@ -232,4 +264,4 @@ def score(docs: DataFrame, train: Column, block_bytes: int = BLOCK_BYTES) -> Dat
             base = np.array(batch.column("sum_log")) - n * np.log10(total + vocabulary + 1)
             yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "train", "n_tokens", "n_known")), pa.array(np.full(len(n), total)), pa.array(base), pa.array(out, pa.float64())], ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return texts.mapInArrow(scored, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return texts.mapInArrow(scored, f"{kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
