@@ -16,27 +16,45 @@ from factloom.llm import textvec
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where that is unset."""
+    """The shared folder of the cluster (spark.checkpoint.dir); only a local master may do without one."""
     sc = spark.sparkContext
     given = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not given:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         given = tempfile.mkdtemp(prefix="factloom-")
         sc.setCheckpointDir(given)
     return given.rstrip("/")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which goes when the application ends (Hadoop's deleteOnExit)."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hpath)
+    files.deleteOnExit(hpath)
+    return path
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
+    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession, f'scratch-{name}')}/rows"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    The folder goes when the application ends (Hadoop's deleteOnExit).
+
+def beside(rows: DataFrame, facts: DataFrame, key: list[str], total: int) -> DataFrame:
+    """Inner join of rows with the facts of their keys, of which column n counts a key's rows.
+
+    total is at least the number of rows (of each band, where rows have bands). Facts of keys with over a
+    thousandth of them, fewer than 1000 keys whatever the total, are broadcast, so that these rows stay where
+    they are instead of meeting in one task.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scratch-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return spark.read.schema(df.schema).parquet(path)
+    least = total // 1000 + 1
+    hot = F.broadcast(facts.filter(F.col("n") > least))
+    rest = rows.join(F.broadcast(facts.filter(F.col("n") > least).select(*key)), key, "left_anti").join(facts.filter(F.col("n") <= least), key)
+    return rows.join(hot, key).union(rest)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -116,12 +134,13 @@ def map_texts(
     schema = T.StructType([df.schema[c] for c in carried] + fields)
     kinds = {f.name: f.dataType for f in fields}
     bound_batches(df.sparkSession)
+    whole = free_name(df, "whole_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("__text"))
+            column = batch.column(batch.schema.get_field_index(whole))
             for lo, hi, buf, off in textvec.slices(column, slice_bytes):
                 got = fn(buf, off)
                 own = [batch.column(batch.schema.get_field_index(c)).slice(lo, hi - lo) for c in carried]
@@ -129,5 +148,5 @@ def map_texts(
                 yield pa.record_batch(own + new, carried + names)
             pa.default_memory_pool().release_unused()
 
-    return df.select(*carried, (F.col(text) if isinstance(text, str) else text).alias("__text")).mapInArrow(run, schema)
+    return df.select(*carried, (F.col(text) if isinstance(text, str) else text).alias(whole)).mapInArrow(run, schema)
 

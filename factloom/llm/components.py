@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import scratch
+from factloom.llm.common import beside, scratch
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """Link each node's larger (or smaller) neighbours to the least of its neighbourhood.
 
-    The least neighbour comes from an aggregate with partial sums and a join, so that a node with very
-    many neighbours never has its list in one task.
+    The least neighbour comes from an aggregate with partial sums; that of a node with very many
+    neighbours is broadcast to its edges. total: edges, at least.
     """
     if large:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     else:
         both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("low")).withColumn("m", F.least("u", "low"))
-    joined = both.join(least.select("u", "m"), "u")
+    least = both.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")).select("u", F.least("u", "low").alias("m"), "n")
+    joined = beside(both, least, ["u"], 2 * total)
     moved = joined.filter("v > u" if large else "v <= u").select(F.col("v").alias("x"), "m")
     if not large:
         moved = moved.union(least.select(F.col("u").alias("x"), "m"))
@@ -43,7 +43,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     for _ in range(rounds):
         if _settled(now):
             break
-        now = scratch(_star(_star(now, True), False).distinct(), "edges")
+        total = now.count()
+        now = scratch(_star(_star(now, True, total), False, total).distinct(), "edges")
     else:
         raise RuntimeError("connected components did not settle")
     stars = now.select(F.col("b").alias("node"), F.col("a").alias("component"))

@@ -13,10 +13,12 @@ copies the corpus holds, its similarity alone decides.
 The items are cut into groups of at most ``group_bytes`` of text; each group is broadcast and takes two
 map-only passes over the corpus, so that nothing that grows is broadcast and no text is shuffled.
 
-Defined cases: null and empty texts or items match nothing; items with fewer than ``min_words`` words are
-skipped, as they occur by chance; repeated rows give repeated matches; a row with a null item_id is an
-item like others, its matches have a null item_id; empty tables give no rows; an input column of a
-clashing name is kept by ``clean`` and not read.
+Parts of items with fewer than ``min_words`` words occur by chance: such an item matches only where all its
+words stand in a row.
+
+Defined cases: null and empty texts or items match nothing; repeated rows give repeated matches; a row
+with a null item_id is an item like others, its matches have a null item_id; empty tables give no rows; an
+input column of a clashing name is kept by ``clean`` and not read.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.llm import textvec as tv
-from factloom.llm.common import bound_batches, map_texts
+from factloom.llm.common import bound_batches, free_name, map_texts
 
 MIN_WORDS = 5
 THRESHOLD = 0.5
@@ -50,33 +52,35 @@ class Items:
     owner: np.ndarray
     need: np.ndarray  # for each item: so many words of it must stand ...
     within: np.ndarray  # ... within so many words of a text
+    least: np.ndarray  # for each item: the similarity that counts as a match
 
     @staticmethod
-    def build(ids: list, texts: list, min_words: int) -> Items:
+    def build(ids: list, texts: list, threshold: float, min_words: int) -> Items:
         words: list[np.ndarray] = []
         for _, _, buf, off in tv.slices(pa.array(texts, pa.string())):
             d, h = tv.words(buf, off)
             ends = np.searchsorted(d, np.arange(len(off)))
             words += [h[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        live = [i for i, w in enumerate(words) if len(w) >= min_words]
-        return Items._seeking([ids[i] for i in live], [words[i] for i in live], [words[i] for i in live], [1] * len(live), [len(words[i]) for i in live])
+        live = [i for i, w in enumerate(words) if len(w)]
+        least = [threshold if len(words[i]) >= min_words else 1.0 for i in live]
+        return Items._seeking([ids[i] for i in live], [words[i] for i in live], [words[i] for i in live], [1] * len(live), [len(words[i]) for i in live], least)
 
     @staticmethod
-    def _seeking(ids: list, words: list[np.ndarray], sought: list[np.ndarray], need: list[int], within: list[int]) -> Items:
+    def _seeking(ids: list, words: list[np.ndarray], sought: list[np.ndarray], need: list[int], within: list[int], least: list[float] | np.ndarray) -> Items:
         sought = [np.unique(w) for w in sought]
         flat = np.concatenate(sought) if sought else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(sought)), [len(w) for w in sought])
         order = np.argsort(flat, kind="stable")
         keys, first = np.unique(flat[order], return_index=True)
-        return Items(ids, words, keys, np.append(first, len(flat)), owner[order], np.array(need, np.int64), np.array(within, np.int64))
+        return Items(ids, words, keys, np.append(first, len(flat)), owner[order], np.array(need, np.int64), np.array(within, np.int64), np.array(least, float))
 
-    def rarest(self, count: np.ndarray, total: int, threshold: float) -> Items:
-        """Seek of each item the rarest words that an alignment of this similarity can't do without.
+    def rarest(self, count: np.ndarray, total: int) -> Items:
+        """Seek of each item the rarest words that an alignment of its least similarity can't do without.
 
         count: occurrences of each of keys in the corpus of total words.
         """
         sought, need, within = [], [], []
-        for w in self.words:
+        for w, threshold in zip(self.words, self.least.tolist(), strict=True):
             least = min(len(w), max(1, int(np.ceil(threshold * len(w) - 1e-6))))
             span = int((3 - 2 * min(threshold, 1)) * len(w)) + 1
             known, nth = np.unique(w, return_inverse=True)
@@ -91,7 +95,7 @@ class Items:
             sought.append(w[order[: len(w) - least + best]])
             need.append(best)
             within.append(span)
-        return Items._seeking(self.ids, self.words, sought, need, within)
+        return Items._seeking(self.ids, self.words, sought, need, within, self.least)
 
 
 class _Probe:
@@ -169,7 +173,7 @@ def align(a: list[np.ndarray], b: list[np.ndarray], gap: float = 0.5) -> tuple[n
     return best, last
 
 
-def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, threshold: float, batch: int = 256) -> list[tuple[int, int, float, int]]:
+def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, batch: int = 256) -> list[tuple[int, int, float, int]]:
     """(text, item, similarity, word where the best alignment ends), the best for each text and item."""
     items = probe.items
     d, h = tv.words(buf, off)
@@ -186,7 +190,7 @@ def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, threshold: flo
         score, last = align([items.words[i] for i in jobs[some, 1]], [h[p:q] for p, q in zip(begin[some], end[some], strict=True)])
         for j, s, w in zip(some.tolist(), (score / size[some]).tolist(), last.tolist(), strict=True):
             k = (int(jobs[j, 0]), int(jobs[j, 1]))
-            if s >= threshold and s > best.get(k, (0.0, 0))[0]:
+            if s >= items.least[k[1]] - 1e-6 and s > best.get(k, (0.0, 0))[0]:
                 best[k] = (s, int(w + begin[j] - first[jobs[j, 0]]))
         lo = hi
     return [(t, i, s, w) for (t, i), (s, w) in sorted(best.items())]
@@ -199,9 +203,9 @@ def _groups(docs: DataFrame, benchmark: DataFrame, threshold: float, min_words:
     parts = -(-total // group_bytes)
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect() if parts > 1 else items.collect()
-        group = Items.build([r[0] for r in rows], [r[1] for r in rows], min_words)
+        group = Items.build([r[0] for r in rows], [r[1] for r in rows], threshold, min_words)
         if group.words:
-            yield group.rarest(*_occurrences(docs, group), threshold)
+            yield group.rarest(*_occurrences(docs, group))
 
 
 def _occurrences(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
@@ -238,7 +242,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
             probe = _Probe(items)
             for batch in batches:
                 for lo, _, buf, off in tv.slices(batch.column(1)):
-                    got = find_matches(probe, buf, off, threshold)
+                    got = find_matches(probe, buf, off)
                     rows = pa.array([lo + t for t, *_ in got], pa.int64())
                     yield pa.record_batch([
                         batch.column(0).take(rows), pa.array([items.ids[i] for _, i, _, _ in got], to_arrow_type(kind)),
@@ -255,14 +259,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The rows of docs that match no item, unchanged."""
-    out = docs
+    out, matched = docs, free_name(docs, "matched")
     for items in _groups(docs, benchmark, threshold, min_words, group_bytes):
 
         def run(buf: np.ndarray, off: np.ndarray, items: Items = items, probes: list = []) -> dict[str, object]:  # noqa: B006
             probes or probes.append(_Probe(items))
             hit = np.zeros(len(off) - 1, bool)
-            hit[[t for t, *_ in find_matches(probes[0], buf, off, threshold)]] = True
-            return {"__matched": hit}
+            hit[[t for t, *_ in find_matches(probes[0], buf, off)]] = True
+            return {matched: hit}
 
-        out = map_texts(out, run, [T.StructField("__matched", T.BooleanType())], text=F.lower("text")).filter("not __matched").drop("__matched")
+        out = map_texts(out, run, [T.StructField(matched, T.BooleanType())], text=F.lower("text")).filter(~F.col(matched)).drop(matched)
     return out

@@ -15,8 +15,8 @@ that still hold several components, the members outside the largest one are comp
 against block over all tasks, of which only links between components leave a task. So all pairs of a
 bucket are verified or known to be connected, whatever its size.
 
-Buckets of over a thousandth of all texts are at most BANDS x 1000; what is known of them is broadcast, so
-that their members stay where they are instead of meeting in one task.
+Buckets of over a thousandth of all texts are fewer than 1000 in a band; what is known of them is broadcast,
+so that their members stay where they are instead of meeting in one task.
 
 Exact copies (same 128-bit digest) are collapsed before all this and brought back at the end.
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.llm import textvec as tv
-from factloom.llm.common import free_name, map_texts, scratch
+from factloom.llm.common import beside, free_name, map_texts, scratch
 from factloom.llm.components import components
 from factloom.llm.embeddup import _grouped
 
@@ -196,17 +196,6 @@ def verified(pairs: DataFrame, units: DataFrame, threshold: float = THRESHOLD) -
     return joined.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long")
 
 
-def _facts_beside(members: DataFrame, facts: DataFrame, total: int) -> DataFrame:
-    """members with the facts of their buckets (band, bucket, n, ...); those of large buckets are broadcast.
-
-    A band has at most 1000 buckets of over a thousandth of its texts, whatever their number.
-    """
-    key = ["band", "bucket"]
-    hot = F.broadcast(facts.filter(F.col("n") > total // 1000 + 1))
-    rest = members.join(hot.select(*key), key, "left_anti").join(facts.filter(F.col("n") <= total // 1000 + 1), key)
-    return members.join(hot, key).union(rest)
-
-
 def _members(reps: DataFrame, total: int) -> DataFrame:
     """(band, bucket, node, leader) of the members of buckets that hold several.
 
@@ -218,7 +207,7 @@ def _members(reps: DataFrame, total: int) -> DataFrame:
     same = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
     all_of = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min(order)["node"].alias("leader"), F.min("node").alias("low"), *same).filter("n > 1")
     facts = all_of.groupBy(turn.alias("turn"), "n", "leader", "low", "x0", "x1").agg(F.min(F.struct("band", "bucket")).alias("at")).select("at.band", "at.bucket", "n", "leader")
-    return _facts_beside(buckets, scratch(facts, "facts"), total).select("band", "bucket", "node", "leader")
+    return beside(buckets, scratch(facts, "facts"), ["band", "bucket"], total).select("band", "bucket", "node", "leader")
 
 
 def _mixed(members: DataFrame, comps: DataFrame, total: int) -> DataFrame:
@@ -228,7 +217,7 @@ def _mixed(members: DataFrame, comps: DataFrame, total: int) -> DataFrame:
     sizes = placed.groupBy("band", "bucket", "c").agg(F.count("*").alias("n"))
     facts = sizes.groupBy("band", "bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("k")).filter("k > 1")
     facts = facts.select("band", "bucket", "n", F.col("top.c").alias("main"), (F.col("n") - F.col("top.n")).alias("outside"))
-    return _facts_beside(placed, scratch(facts, "facts"), total).select("band", "bucket", "node", "c", "main", "n", "outside")
+    return beside(placed, scratch(facts, "facts"), ["band", "bucket"], total).select("band", "bucket", "node", "c", "main", "n", "outside")
 
 
 def _ordered(x: str, y: str) -> list:
