@@ -5,27 +5,26 @@ Each stage takes what the one before it kept, written as Parquet and read again.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factloom.llm import bpe, decontaminate, neardup, quality, toxicity
-from factloom.llm.common import fold, shared_dir, table
+from factloom.llm.common import fold, free_name, shared_folder, table
 from factloom.llm.queries import token_digests, tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.5."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), ~fold(3, 1))
-    scored = quality.score(docs, model, 0.5, "__score", "__predicted")
-    return scored.filter("__predicted = 1").select(*docs.columns)
+    new, marked = free_name(docs, "score"), free_name(docs, "predicted")
+    return quality.score(docs, model, 0.5, new, marked).filter(F.col(marked) == 1).select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under 0.3."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~fold(4, 2))
-    scored = toxicity.score(docs, model, 0.3, "__score", "__predicted")
-    return scored.filter("__predicted = 0").select(*docs.columns)
+    new, marked = free_name(docs, "score"), free_name(docs, "predicted")
+    return toxicity.score(docs, model, 0.3, new, marked).filter(F.col(marked) == 0).select(*docs.columns)
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what lies between them is written to the shared folder."""
     docs = table(spark, sf_dir, "documents")
-    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex[:12]}"
+    base = shared_folder(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
