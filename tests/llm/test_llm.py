@@ -227,6 +227,48 @@ def test_embeddings_by_brute_force(spark):
     assert got[45].component_id == 0 and got[80].component_id == 1 and got[201].n_links == 0 and got[None].component_id is None
 
 
+def linked(x):
+    """(links of each row, least row that it reaches) by brute force."""
+    unit = x / np.abs(x).max(1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    root = np.arange(len(x))
+    while (new := np.where(near, root[None, :], len(x)).min(1)).tolist() != root.tolist():
+        root = new
+    return near.sum(1) - 1, root
+
+
+def test_embeddings_of_any_magnitude_and_under_one_id(spark):
+    x = np.array([[1e-200, 2e-200], [5, 1], [1e200, 2e200], [1, 2], [1e-200, 0], [-1, 5]])
+    table = lambda rows: spark.createDataFrame([(i, [float(v) for v in r]) for i, r in rows], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddup.near_duplicates(table(enumerate(x))).collect()}
+    n, root = linked(x)
+    assert got == {i: (n[i], root[i]) for i in range(len(x))}
+    same = embeddup.near_duplicates(table([(7, [1.0, 0.0]), (7, [0.0, 1.0]), (7, [0.0, 1.0]), (8, [0.0, 1.0])])).collect()
+    assert sorted(r.n_links for r in same) == [0, 2, 2, 2] and len({r.component_id for r in same}) == 2
+    assert embeddup.near_duplicates(table([])).count() == 0
+
+
+def test_embeddings_refined_and_in_large_components(spark):
+    rng = np.random.default_rng(11)
+    pairs = rng.normal(size=(900, 24))
+    chain = [rng.normal(size=24)]
+    for _ in range(500):  # each is near the one before, the ends are not near each other
+        step = rng.normal(size=24)
+        chain.append(chain[-1] / np.linalg.norm(chain[-1]) + 0.3 * step / np.linalg.norm(step))
+    cloud = rng.normal(size=24) + 0.08 * rng.normal(size=(700, 24))
+    noise = rng.normal(size=(900, 24))
+    x = np.concatenate([pairs, pairs + 0.38 * noise / np.linalg.norm(noise, axis=1, keepdims=True) * np.linalg.norm(pairs, axis=1, keepdims=True), chain, cloud])
+    got = embeddup.near_duplicates(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")).toPandas().set_index("vec_id").sort_index()
+    n, root = linked(x)
+    assert (got.n_links.to_numpy() <= n).all()
+    some = n > 0
+    recall = (got.n_links.to_numpy()[some] / n[some]).mean()
+    assert recall >= 0.96 and (got.component_id.to_numpy() >= root).all()
+    if recall == 1:
+        assert (got.component_id.to_numpy() == root).all()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
