@@ -43,13 +43,33 @@ def groups(column: Column, pattern: str) -> dict[str, Column]:
     return {n: F.nullif(F.regexp_extract(column, java, k), F.lit("")) for n, k in names.items()}
 
 
+_GROUP, _MATCH = "\x01", "\x02"
+
+
+def captured(column: Column, pattern: str) -> tuple[Column, list[str]]:
+    """(array of the named groups of the first match, their names): one pass of the pattern over a line.
+
+    The array is null without a match; a group that took no part is empty. Lines that hold the marks
+    themselves take a pass for each group.
+    """
+    java, names = to_java(pattern)
+    marked = F.regexp_replace(column, java, _MATCH + _GROUP.join(f"${k}" for k in names.values()) + _MATCH)
+    once = F.split(F.get(F.split(marked, _MATCH), F.lit(1)), _GROUP)
+    each = F.when(column.rlike(java), F.array(*(F.regexp_extract(column, java, k) for k in names.values())).cast("array<string>"))
+    return F.when(column.contains(_GROUP) | column.contains(_MATCH), each).otherwise(once), list(names)
+
+
 def found(column: Column, pattern: str) -> Column:
     return column.rlike(to_java(pattern)[0])
 
 
+# The characters of Unicode's White_Space property.
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(column: Column) -> Column:
     """Unicode white space off both ends."""
-    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+    return F.btrim(column, F.lit(_WHITE))
 
 
 def render(template: str | None, tokens: Mapping[str, Column]) -> Column:

@@ -8,29 +8,38 @@ from pyspark.sql import functions as F
 from factloom.plans.connector import Signature
 
 
-def window_count(trigger: Column, window_secs: int) -> Column:
-    """How many facts with trigger the actor has had within the window so far, this one included.
+def _window_counts(rows: DataFrame, trigger: Column, window_secs: int, name: str) -> DataFrame:
+    """rows with the column ``name``: how many rows with trigger the actor has had within the window so far.
 
-    Equal timestamps count by order of arrival (seq): the range frame's later peers are taken off. All
-    facts without an actor share one window.
+    Null for other rows. Equal timestamps count by order of arrival (seq): the range frame's later peers are
+    taken off. All rows without an actor share one window. An actor's rows are dealt by stretches of one
+    window's length, each of which also holds copies of the stretch before, so that an actor of any number
+    of rows spreads over many tasks.
     """
-    by = [F.coalesce("actor", F.lit("unknown")), trigger]
-    wide = Window.partitionBy(*by).orderBy("system_timestamp").rangeBetween(-window_secs * 1_000_000, 0)
+    span = window_secs * 1_000_000
+    stretch = F.floor(F.col("system_timestamp") / span)
+    copies = rows.withColumn("__copy", F.explode(F.when(trigger, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    copies = copies.withColumn("__stretch", stretch + F.col("__copy"))
+    by = [F.coalesce("actor", F.lit("unknown")), F.coalesce(trigger, F.lit(False)), F.col("__stretch")]
+    wide = Window.partitionBy(*by).orderBy("system_timestamp").rangeBetween(-span, 0)
     peers = Window.partitionBy(*by, "system_timestamp")
-    return F.count("*").over(wide) - F.count("*").over(peers) + F.row_number().over(peers.orderBy("seq"))
+    n = F.count("*").over(wide) - F.count("*").over(peers) + F.row_number().over(peers.orderBy("seq"))
+    return copies.withColumn(name, F.when(trigger, n).cast("long")).filter("__copy = 0").drop("__stretch", "__copy")
 
 
 def escalate(facts: DataFrame, signatures: tuple[Signature, ...]) -> DataFrame:
-    """facts with class and risk of the last signature that fires, and ``window_count`` of its window."""
-    out = facts.withColumn("window_count", F.lit(0).cast("long"))
+    """facts with class and risk of the last signature that fires, and ``window_count`` of its window.
+
+    Only facts with the action of a signature are shuffled; the others pass by.
+    """
+    watched = F.coalesce(F.col("action").isin(*(s.action for s in signatures)), F.lit(False))
+    out = facts.filter(watched).withColumn("window_count", F.lit(0).cast("long"))
     for s in signatures:
-        trigger = F.col("action") == s.action
-        n = F.when(trigger, window_count(trigger, s.window_secs)).cast("long")
-        out = out.withColumn("__n", n)
+        out = _window_counts(out, F.col("action") == s.action, s.window_secs, "__n")
         fires = F.coalesce(F.col("__n") >= s.threshold, F.lit(False))
         out = out.withColumns({
             "class": F.when(fires, s.behavior_class).otherwise(F.col("class")),
             "risk": F.when(fires, s.risk).otherwise(F.col("risk")),
             "window_count": F.coalesce("__n", "window_count"),
         }).drop("__n")
-    return out
+    return out.union(facts.filter(~watched).withColumn("window_count", F.lit(0).cast("long")))

@@ -7,6 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions.patterns import strip
+from factloom.sources.shared import scratch
+
 # Masks in their order, and what each mask stands for in a suggested pattern.
 MASKS = (
     (r"\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:\s(?:UTC|GMT|Z))?", "<TS>"),
@@ -22,7 +25,7 @@ SIMILAR = 0.6
 
 def mask(raw: Column) -> Column:
     """A line with its variable parts masked and white space collapsed."""
-    out = F.regexp_replace(raw, r"(?U)^\s+|\s+$", "")
+    out = strip(raw)
     for pattern, name in MASKS:
         out = F.regexp_replace(out, f"(?U){pattern}", name)
     return F.regexp_replace(out, r"(?U)\s+", " ")
@@ -42,39 +45,70 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-def similar_templates(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(a, b, similarity) of templates that share a token and reach ``least``; a comes first.
+def _marked_tokens() -> Column:
+    """The tokens of a template; those of a template without any are one mark, equal to each other."""
+    t = tokens(F.col("template"))
+    return F.when(F.size(t) == 0, F.array(F.lit(""))).otherwise(t)
+
+
+def _similar_sets(sets: DataFrame, least: float) -> DataFrame:
+    """(a, b, similarity) of token sets (id, tokens) that reach ``least``, a < b.
 
-    The join is on tokens, so that templates without a common token are never paired.
+    Two sets that similar share one of the rarest |s| - ceil(least |s|) + 1 tokens of each, so that only those
+    are joined, and sets of too different sizes are left out before they are compared.
     """
-    t = groups.select("template", "first_seq", tokens(F.col("template")).alias("tokens"))
-    e = t.select("*", F.explode("tokens").alias("token"))
-    left = e.select(F.col("template").alias("a"), F.col("first_seq").alias("sa"), F.size("tokens").alias("na"), "token")
-    right = e.select(F.col("template").alias("b"), F.col("first_seq").alias("sb"), F.size("tokens").alias("nb"), "token")
-    shared = left.join(right, "token").filter("sa < sb").groupBy("a", "b", "sa", "sb", "na", "nb").agg(F.count("*").alias("both"))
-    return shared.select("a", "b", "sa", "sb", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("similarity")).filter(F.col("similarity") >= least)
+    each = sets.select("id", F.explode("tokens").alias("token"))
+    ranked = each.join(each.groupBy("token").agg(F.count("*").alias("n")), "token")
+    ordered = ranked.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda t: t["token"]).alias("tokens"))
+    size = F.size("tokens")
+    prefix = F.slice("tokens", F.lit(1), (size - F.ceil(size * least - 1e-9) + 1).cast("int"))
+    cut = ordered.select("id", size.alias("size"), F.explode(prefix).alias("token"))
+    pairs = cut.select(F.col("id").alias("a"), F.col("size").alias("na"), "token").join(cut.select(F.col("id").alias("b"), F.col("size").alias("nb"), "token"), "token")
+    pairs = pairs.filter(f"a < b and na >= {least} * nb - 1e-9 and nb >= {least} * na - 1e-9").select("a", "b").distinct()
+    left, right = (sets.select(F.col("id").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
+    both = F.size(F.array_intersect("ta", "tb"))
+    scored = pairs.join(left, "a").join(right, "b").select("a", "b", (both / (F.size("ta") + F.size("tb") - both)).alias("similarity"))
+    return scored.filter(F.col("similarity") >= least)
+
+
+def similar_templates(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """(a, b, similarity) of templates that reach ``least``; a comes first. Equal token sets are compared once."""
+    t = groups.select("template", "first_seq", F.array_sort(_marked_tokens()).alias("tokens"))
+    sets = t.groupBy("tokens").agg(F.min("first_seq").alias("id"))
+    placed = t.join(sets, "tokens").select("template", "first_seq", "id")
+    near = _similar_sets(sets, least)
+    near = near.union(near.select("b", "a", "similarity")).union(sets.select("id", "id", F.lit(1.0)))
+    left = placed.select(F.col("template").alias("a"), F.col("first_seq").alias("sa"), F.col("id").alias("ia"))
+    right = placed.select(F.col("template").alias("b"), F.col("first_seq").alias("sb"), F.col("id").alias("ib"))
+    out = near.toDF("ia", "ib", "similarity").join(left, "ia").join(right, "ib").filter("sa < sb")
+    return out.select("a", "b", "sa", "sb", "similarity")
 
 
 def leaders(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(template, leader): greedy in order of appearance; a template joins the first leader near enough.
 
-    Round by round: a template whose nearer predecessors are all decided is decided itself; rounds end
-    when all are.
+    Templates of one token set share their fate, that of the first of them. Round by round, a set whose
+    nearer predecessors are all decided is decided itself; rounds end when all are.
     """
-    pairs = similar_templates(groups, least).checkpoint()
-    known = groups.select("template", F.lit(None).cast("string").alias("leader"))
+    t = scratch(groups.select("template", "first_seq", F.array_sort(_marked_tokens()).alias("tokens")), "templates")
+    sets = t.groupBy("tokens").agg(F.min("first_seq").alias("id"), F.min_by("template", "first_seq").alias("first"))
+    sets = scratch(sets, "sets")
+    pairs = scratch(_similar_sets(sets.select("id", "tokens"), least).select("a", "b"), "pairs")
+    known = sets.select("id", F.lit(None).cast("long").alias("leader"))
     while True:
-        before = pairs.join(known, F.col("a") == F.col("template")).select("b", "a", "sa", "leader")
+        before = pairs.join(known, F.col("a") == F.col("id")).select("b", "a", "leader")
         fate = before.groupBy("b").agg(
             F.count_if(F.col("leader").isNull()).alias("open"),
-            F.min(F.when(F.col("leader").isNull(), F.col("sa"))).alias("open_from"),
-            F.min(F.when(F.col("leader") == F.col("a"), F.struct("sa", "a"))).alias("lead"),
+            F.min(F.when(F.col("leader").isNull(), F.col("a"))).alias("open_from"),
+            F.min(F.when(F.col("leader") == F.col("a"), F.col("a"))).alias("lead"),
         )
-        join = F.col("lead.sa").isNotNull() & (F.col("open_from").isNull() | (F.col("lead.sa") < F.col("open_from")))
-        decided = F.when(join, F.col("lead.a")).when(F.coalesce("open", F.lit(0)) == 0, F.col("template"))
-        known = known.join(fate, F.col("template") == F.col("b"), "left").select("template", F.coalesce("leader", decided).alias("leader")).checkpoint()
+        join = F.col("lead").isNotNull() & (F.col("open_from").isNull() | (F.col("lead") < F.col("open_from")))
+        decided = F.when(join, F.col("lead")).when(F.coalesce("open", F.lit(0)) == 0, F.col("id"))
+        known = scratch(known.join(fate, F.col("id") == F.col("b"), "left").select("id", F.coalesce("leader", decided).alias("leader")), "known")
         if known.filter("leader is null").isEmpty():
-            return known
+            break
+    named = known.join(sets.select(F.col("id").alias("leader"), F.col("first").alias("name")), "leader").select("id", "name")
+    return t.join(sets.select("tokens", "id"), "tokens").join(named, "id").select("template", F.col("name").alias("leader"))
 
 
 def suggest(template: str) -> str:
@@ -94,7 +128,7 @@ def suggest(template: str) -> str:
 
 def cluster_report(lines: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(template, count, coverage_pct, sample, suggested_regex), largest cluster first."""
-    groups = template_groups(lines).checkpoint()
+    groups = scratch(template_groups(lines), "groups")
     sizes = groups.join(leaders(groups, least), "template").groupBy("leader").agg(F.sum("count").alias("count"))
     total = groups.agg(F.sum("count").alias("total"))
     own = groups.select(F.col("template").alias("leader"), "first_seq", "sample")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.patterns import found, groups, render, strip
+from factloom.functions.patterns import captured, found, groups, render, strip
 from factloom.plans.connector import Condition, Connector, execution_order
 
 
@@ -49,8 +49,11 @@ def parse(obs: DataFrame, connector: Connector) -> DataFrame:
     line = strip(F.col("raw"))
     if connector.pattern is None:
         return obs.withColumn("tokens", key_values(F.col("raw"))).withColumn("parsed", F.coalesce(F.size("tokens") > 0, F.lit(False)))
-    tokens = F.struct(*(c.alias(n) for n, c in groups(line, connector.pattern).items()))
-    return obs.withColumn("tokens", tokens).withColumn("parsed", F.coalesce(found(line, connector.pattern), F.lit(False)))
+    got, names = captured(line, connector.pattern)
+    # one row for each line: a generated column is computed once, however often rules and filters read it
+    once = obs.select("*", F.explode(F.array(got)).alias("__got"))
+    tokens = F.struct(*(F.nullif(F.col("__got")[i], F.lit("")).alias(n) for i, n in enumerate(names)))
+    return once.withColumns({"tokens": tokens, "parsed": F.col("__got").isNotNull()}).drop("__got")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
@@ -58,6 +61,11 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~F.col("parsed")).drop("tokens", "parsed")
 
 
+def drift_counts(parsed: DataFrame) -> DataFrame:
+    """(sealed, quarantined): how many lines parse and how many don't."""
+    return parsed.agg(F.count_if("parsed").alias("sealed"), F.count_if(~F.col("parsed")).alias("quarantined"))
+
+
 def _test(c: Condition, tokens: dict | Mapping) -> tuple[Column, dict[str, Column]]:
     """(condition, tokens that it binds)."""
     value = tokens[c.field] if c.field in tokens else F.lit(None).cast("string")

@@ -1,4 +1,8 @@
-"""Sequence numbers, leaf hashes, the rolling chain, verification and tampering."""
+"""Sequence numbers, leaf hashes, chains in blocks, anchors, verification and tampering.
+
+A chain is sequential by its nature, so it runs within blocks of BLOCK_FACTS successive numbers, which one
+task gathers; the blocks' last roots are chained to anchors, one short row for each block.
+"""
 
 from __future__ import annotations
 
@@ -6,33 +10,49 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.sources.shared import scratch
+
 BASE_LSN = 14_812_337
-#: Facts in a block of seal_blocks: about 10 MB of leaves in one task.
+#: Facts in a block: about 10 MB of leaves in one task.
 BLOCK_FACTS = 65_536
-SEALED = ("lsn", "system_timestamp", "action", "class", "risk", "actor", "target", "source_ip", "raw_hash")
+#: What a leaf covers: all of a fact but its integrity.
+SEALED = (
+    "lsn", "seq", "fact_id", "obs_ts", "source", "raw", "rule_id", "action", "class", "risk", "actor", "target", "source_ip",
+    "system_timestamp", "confidence", "raw_hash", "steps", "knowledge_version",
+)
+INTEGRITY = ("leaf", "block", "root", "checksum")
 
 
 def assign_lsn(facts: DataFrame, order: str = "seq", base: int = BASE_LSN) -> DataFrame:
-    """Dense numbers after base in the given order: range partitions, their counts, an offset for each."""
-    placed = facts.repartitionByRange(order).sortWithinPartitions(order).withColumn("__id", F.monotonically_increasing_id()).checkpoint()
-    part = F.shiftright("__id", 33)
-    sizes = {r[0]: r[1] for r in placed.groupBy(part.alias("p")).count().collect()}
-    offset, rows = base, []
-    for p in sorted(sizes):
-        rows.append((p, offset))
-        offset += sizes[p]
-    starts = F.create_map(*(F.lit(x) for r in rows for x in r)) if rows else None
-    lsn = F.lit(base) if starts is None else F.element_at(starts, part) + F.col("__id").bitwiseAND((1 << 33) - 1) + 1
-    return placed.withColumn("lsn", lsn.cast("long")).drop("__id")
+    """Dense numbers after base in the given order: range partitions, their counts, an offset for each.
+
+    facts are computed once and stored; what is sorted and counted comes from the files. The offsets are a
+    table of one row for each partition.
+    """
+    stored = scratch(facts, "facts")
+    part, at = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    placed = scratch(stored.repartitionByRange(order).sortWithinPartitions(order).withColumn("__id", F.monotonically_increasing_id()), "sorted")
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("__part", (before + base + 1).alias("__first"))
+    numbered = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    return numbered.withColumn("lsn", (F.col("__first") + at).cast("long")).drop("__id", "__part", "__first")
+
 
+def _text(facts: DataFrame, name: str) -> Column:
+    kind = facts.schema[name].dataType.typeName()
+    column = F.col(name)
+    return F.unix_micros(column).cast("string") if kind == "timestamp" else F.array_join(column, ";") if kind == "array" else column.cast("string")
 
-def leaf_hash(columns: tuple[str, ...] = SEALED) -> Column:
-    """SHA-256 over length-prefixed fields; a null field is '-'."""
-    field = lambda c: F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
-    return F.sha2(F.concat_ws(",", *map(field, columns)), 256)
+
+def leaf_hash(facts: DataFrame, columns: tuple[str, ...] = SEALED) -> Column:
+    """SHA-256 over length-prefixed fields of facts; a null field is '-', times are microseconds."""
+    field = lambda c: F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    return F.sha2(F.concat_ws(",", *(field(_text(facts, c)) for c in columns)), 256)
 
 
 def checksum() -> Column:
@@ -48,77 +68,115 @@ def _fold(previous: str, leaves: list[str]) -> list[str]:
     return out
 
 
-def seal(facts: DataFrame, previous: str = "") -> DataFrame:
-    """facts with leaf, root of the one global chain, and checksum.
+def block_of(block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> Column:
+    return F.floor((F.col("lsn") - base - 1) / block_facts).cast("long")
+
+
+def seal(facts: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN, tail: tuple[int, str] | None = None) -> DataFrame:
+    """Numbered facts with leaf, block, root and checksum: a chain for each block of successive numbers.
 
-    The chain is sequential by its nature; only (lsn, leaf) goes through one ordered task, batch by
-    batch with the last root as all its state. seal_segments has no such task.
+    tail: last number and root of what is stored already; the block that it left open goes on from there.
     """
-    leaves = facts.withColumn("leaf", leaf_hash())
+    leaves = facts.withColumn("leaf", leaf_hash(facts)).withColumns({"block": block_of(block_facts, base), "checksum": checksum()})
+    going_on = -1 if tail is None or (tail[0] - base) % block_facts == 0 else (tail[0] - base) // block_facts
+    names = [*leaves.columns, "root"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        root = previous
-        for b in batches:
-            roots = _fold(root, b["leaf"].tolist())
-            root = roots[-1] if roots else root
-            yield pd.DataFrame({"lsn": b["lsn"], "root": roots})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, root = None, ""
+        for batch in batches:
+            roots = []
+            for b, leaf in zip(batch.column(names.index("block")).to_pylist(), batch.column(names.index("leaf")).to_pylist(), strict=True):
+                if b != block:
+                    block, root = b, tail[1] if b == going_on else ""
+                root = hashlib.sha256((root + leaf).encode()).hexdigest()
+                roots.append(root)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(roots, pa.string())], names)
+
+    return leaves.repartition("block").sortWithinPartitions("block", "lsn").mapInArrow(run, leaves.schema.add("root", "string"))
 
-    roots = leaves.select("lsn", "leaf").repartition(1).sortWithinPartitions("lsn").mapInPandas(run, "lsn long, root string")
-    return leaves.join(roots, "lsn").withColumn("checksum", checksum())
 
+def block_roots(sealed: DataFrame) -> DataFrame:
+    """(block, first_lsn, last_lsn, facts, root) of each block."""
+    return sealed.groupBy("block").agg(F.min("lsn").alias("first_lsn"), F.max("lsn").alias("last_lsn"), F.count("*").alias("facts"), F.max_by("root", "lsn").alias("root"))
 
-def seal_segments(facts: DataFrame, segment: str) -> DataFrame:
-    """(segment, first_lsn, last_lsn, facts, root): a chain for each segment, all in parallel."""
 
-    def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("lsn")
-        return pd.DataFrame({"segment": [key[0]], "first_lsn": [b["lsn"].iloc[0]], "last_lsn": [b["lsn"].iloc[-1]], "facts": [len(b)], "root": [_fold("", b["leaf"].tolist())[-1]]})
+def chained(roots: DataFrame, order: str, previous: str = "", name: str = "anchor") -> DataFrame:
+    """roots with the chain of their root column, in order. One ordered task: one row for each block or day."""
+    schema = roots.schema.add(name, "string")
 
-    leaves = facts.select(F.col(segment).cast("string").alias("segment"), "lsn", leaf_hash().alias("leaf"))
-    return leaves.groupBy("segment").applyInPandas(run, "segment string, first_lsn long, last_lsn long, facts long, root string")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        root = previous
+        for b in batches:
+            made = _fold(root, b["root"].tolist())
+            root = made[-1] if made else root
+            yield b.assign(**{name: made})
 
+    return roots.repartition(1).sortWithinPartitions(order).mapInPandas(run, schema)
 
-def seal_blocks(facts: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
-    """facts with leaf, block and root: a chain for each block of block_facts successive numbers.
 
-    A block is all that one task gathers, so that sealing is parallel at any size; the last roots of the
-    blocks, one row for each, make the short list that an anchor keeps.
+def seal_segments(facts: DataFrame, segment: str, block_facts: int = BLOCK_FACTS) -> DataFrame:
+    """(segment, first_lsn, last_lsn, facts, root, anchor): a chain for each segment, and one over the segments.
+
+    A segment's chain runs over the roots of its blocks, so that no task gathers more than a block's leaves
+    or a segment's block roots.
     """
-    leaves = facts.withColumn("leaf", leaf_hash()).withColumn("block", F.floor((F.col("lsn") - base - 1) / block_facts).cast("long"))
+    leaves = facts.select(F.col(segment).cast("string").alias("segment"), block_of(block_facts).alias("block"), "lsn", leaf_hash(facts).alias("leaf"))
+
+    def fold(rows: DataFrame, keys: list[str], leaf: str) -> DataFrame:
+        def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+            b = b.sort_values("first_lsn")
+            return pd.DataFrame([[*key, b["first_lsn"].iloc[0], b["last_lsn"].max(), b["facts"].sum(), _fold("", b[leaf].tolist())[-1]]], columns=[*keys, "first_lsn", "last_lsn", "facts", "root"])
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("lsn")
-        return pd.DataFrame({"lsn": b["lsn"], "root": _fold("", b["leaf"].tolist())})
+        kinds = {"segment": "segment string", "block": "block long"}
+        return rows.groupBy(*keys).applyInPandas(run, ", ".join(kinds[k] for k in keys) + ", first_lsn long, last_lsn long, facts long, root string")
 
-    roots = leaves.select("block", "lsn", "leaf").groupBy("block").applyInPandas(run, "lsn long, root string")
-    return leaves.join(roots, "lsn")
+    single = leaves.select("segment", "block", F.col("lsn").alias("first_lsn"), F.col("lsn").alias("last_lsn"), F.lit(1).cast("long").alias("facts"), "leaf")
+    return chained(fold(fold(single, ["segment", "block"], "leaf"), ["segment"], "root"), "segment")
 
 
-def bad_facts(sealed: DataFrame) -> DataFrame:
-    """(lsn, reason) of facts whose leaf or root is wrong: each row against its predecessor's root.
+def bad_facts(sealed: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
+    """(lsn, reason) of facts whose leaf or root is wrong, that come twice, or after a gap.
 
-    Parallel, and equal to the sequential walk by induction. Missing predecessors and doubled numbers
-    are told apart as gaps.
+    One shuffle by block; each row is held against its predecessor's root, which equals the sequential walk
+    by induction. A gap at a block's border shows in the blocks' first and last numbers.
     """
-    first = sealed.agg(F.min("lsn").alias("first"))
-    before = sealed.select((F.col("lsn") + 1).alias("lsn"), F.col("root").alias("before"), F.lit(True).alias("has"))
-    rows = sealed.join(before, "lsn", "left").crossJoin(F.broadcast(first))
-    right = F.sha2(F.concat(F.when(F.col("lsn") == F.col("first"), "").otherwise(F.coalesce("before", F.lit("?"))), "leaf"), 256)
+    order = Window.partitionBy("block").orderBy("lsn", "root")
+    last, before = F.lag("lsn").over(order), F.lag("root").over(order)
+    rows = sealed.withColumns({"__last": last, "__before": before})
+    opens = (F.col("lsn") - base - 1) % block_facts == 0
+    right = F.sha2(F.concat(F.when(opens, "").otherwise(F.coalesce("__before", F.lit("?"))), "leaf"), 256)
     reason = (
-        F.when(F.coalesce(F.col("leaf") != leaf_hash(), F.lit(True)), "leaf")
-        .when((F.col("lsn") != F.col("first")) & F.col("has").isNull(), "gap")
-        .when(F.coalesce(F.col("root") != right, F.lit(True)), "root")
+        F.when(F.col("lsn") == F.col("__last"), "double")
+        .when(F.coalesce(F.col("leaf") != leaf_hash(sealed), F.lit(True)), "leaf")
+        .when(~opens & F.col("__last").isNotNull() & (F.col("__last") != F.col("lsn") - 1), "gap")
+        .when((opens | F.col("__last").isNotNull()) & F.coalesce(F.col("root") != right, F.lit(True)), "root")
     )
-    return rows.select("lsn", reason.alias("reason")).filter("reason is not null")
+    edges = block_roots(sealed).select("block", "first_lsn", "last_lsn")
+    ahead = edges.select((F.col("block") + 1).alias("block"), F.col("last_lsn").alias("ends"))
+    start = edges.agg(F.min("block").alias("start"))
+    broken = edges.join(ahead, "block", "left").crossJoin(F.broadcast(start))
+    whole = F.coalesce(F.col("ends") == F.col("first_lsn") - 1, F.lit(False)) & (F.col("first_lsn") == base + 1 + F.col("block") * block_facts)
+    head = (F.col("block") == F.col("start")) & (F.col("first_lsn") == base + 1 + F.col("block") * block_facts)
+    gaps = broken.filter(~whole & ~head).select(F.col("first_lsn").alias("lsn"), F.lit("gap").alias("reason"))
+    return rows.select("lsn", reason.alias("reason")).filter("reason is not null").union(gaps).distinct()
+
+
+def anchor_faults(sealed: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(lsn) of the last fact of blocks that differ from their anchors in number, last fact or root."""
+    latest = anchors.groupBy("block").agg(F.max("last_lsn").alias("anchored_lsn"), F.max_by("root", "last_lsn").alias("anchored_root"), F.sum("facts").alias("anchored_facts"))
+    both = block_roots(sealed).join(latest, "block", "full")
+    same = (F.col("last_lsn") == F.col("anchored_lsn")) & (F.col("root") == F.col("anchored_root")) & (F.col("facts") == F.col("anchored_facts"))
+    return both.filter(~F.coalesce(same, F.lit(False))).select(F.least("last_lsn", "anchored_lsn").alias("lsn"))
 
 
-def verify(sealed: DataFrame, anchor: str | None = None) -> DataFrame:
+def verify(sealed: DataFrame, anchors: DataFrame | None = None, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
     """One row (status, facts, root): INTEG_OK or VIOLATED, facts before the first bad one, last root."""
-    first_bad = bad_facts(sealed).agg(F.min("lsn").alias("bad"))
+    bad = bad_facts(sealed, block_facts, base).agg(F.min("lsn").alias("bad"))
+    off = (anchor_faults(sealed, anchors) if anchors is not None else sealed.select("lsn").limit(0)).agg(F.min("lsn").alias("off"))
     last = sealed.agg(F.max_by("root", "lsn").alias("root"))
-    counted = sealed.crossJoin(F.broadcast(first_bad)).agg(F.count_if(F.col("bad").isNull() | (F.col("lsn") < F.col("bad"))).alias("facts"), F.max("bad").alias("bad"))
-    ok = F.col("bad").isNull() & (F.lit(True) if anchor is None else F.coalesce(F.col("root") == anchor, F.lit(False)))
-    return counted.crossJoin(last).select(F.when(ok, "INTEG_OK").otherwise("VIOLATED").alias("status"), "facts", "root")
+    counted = sealed.crossJoin(F.broadcast(bad)).agg(F.count_if(F.col("bad").isNull() | (F.col("lsn") < F.col("bad"))).alias("facts"), F.max("bad").alias("bad"))
+    ok = F.col("bad").isNull() & F.col("off").isNull()
+    return counted.crossJoin(last).crossJoin(off).select(F.when(ok, "INTEG_OK").otherwise("VIOLATED").alias("status"), "facts", "root")
 
 
 def tamper(sealed: DataFrame, lsn: int) -> DataFrame:

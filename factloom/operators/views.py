@@ -21,6 +21,11 @@ def daily(facts: DataFrame) -> DataFrame:
     return days.withColumn("cumulative", F.sum("volume").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def trailing(daily_rows: DataFrame, entries: int = 30) -> DataFrame:
+    """daily_rows with ``trailing``: the volume of so many entries up to each."""
+    return daily_rows.withColumn("trailing", F.sum("volume").over(Window.orderBy("day").rowsBetween(1 - entries, 0)))
+
+
 def density(volume: Column, limits: tuple[int, int, int] = (225_000, 240_000, 255_000)) -> Column:
     """Level 1 to 4 of a daily volume."""
     a, b, c = limits
@@ -40,6 +45,12 @@ def graph_as_of(nodes: DataFrame, lsn: int, halo: int) -> DataFrame:
     return nodes.filter(F.col("lsn_start") <= lsn).withColumn("fresh", lsn - F.col("lsn_start") < halo)
 
 
+def edges_as_of(facts: DataFrame, lsn: int) -> DataFrame:
+    """(actor, target, lsn_start) of the pairs that facts up to lsn connect."""
+    known = facts.filter((F.col("lsn") <= lsn) & F.col("actor").isNotNull() & F.col("target").isNotNull())
+    return known.groupBy("actor", "target").agg(F.min("lsn").alias("lsn_start"))
+
+
 def short_number(x: Column) -> Column:
     """1,2K / 3M / 4,56B."""
     text = F.when(x >= 1e9, F.concat(F.format_string("%.2f", x / 1e9), F.lit("B"))).when(x >= 1e6, F.concat(F.format_string("%.2f", x / 1e6), F.lit("M"))).when(x >= 1e3, F.concat(F.format_string("%.1f", x / 1e3), F.lit("K"))).otherwise(F.format_string("%.0f", x.cast("double")))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.patterns import groups, strip
-from factloom.operators import behavior, evolve, hql, ingest, ledger, views
-from factloom.plans.connector import DATABASE, KEY_VALUE, Condition, Connector, Rule, Signature
-from factloom.sources.lines import event_lines
-from factloom.streaming.pipeline import behavior_stream
+from factloom.operators import behavior, evolve, ingest, ledger, views
+from factloom.operators.search import search
+from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature, execution_order
+from factloom.sources import store
+from factloom.sources.lines import event_lines, spread
+from factloom.sources.shared import shared_folder
+from factloom.streaming.pipeline import behavior_stream, ingest_to
 
 #: Sixty seconds never hold five failures of one user in the events table; a week does.
 WEEK = Signature("week_brute_force", "authentication.failure", 604_800, 5, "brute_force_attack", "Critical")
@@ -21,8 +23,11 @@ FACT = ("seq", "rule_id", "action", "class", "risk", "actor", "target", "system_
 TAMPERED = ledger.BASE_LSN + 700
 
 
+BLOCK = 500
+
+
 def _obs(spark: SparkSession, d: str) -> DataFrame:
-    return event_lines(spark.read.parquet(f"{d}/events.parquet"))
+    return event_lines(spread(spark.read.parquet(f"{d}/events.parquet")))
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
@@ -30,35 +35,71 @@ def _facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, d: str) -> DataFrame:
-    _with_checkpoints(spark)
     return ledger.assign_lsn(_facts(spark, d))
 
 
-def _with_checkpoints(spark: SparkSession) -> None:
-    """A checkpoint folder where the cluster names none, as in tests."""
-    sc = spark.sparkContext
-    if not (sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
-        import tempfile
+def _sealed(spark: SparkSession, d: str) -> DataFrame:
+    return ledger.seal(_numbered(spark, d), BLOCK)
 
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="factloom-"))
 
+_stores: dict[tuple[str, str], str] = {}
+
+
+def _append(spark: SparkSession, d: str) -> str:
+    """A new store of all facts, in the shared folder."""
+    path = shared_folder(spark, "store")
+    store.append(_facts(spark, d), path, block_facts=BLOCK)
+    return path
+
+
+def _store(spark: SparkSession, d: str) -> str:
+    """The store that queries on stored facts share; filled once in an application for each input."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _stores:
+        _stores[key] = _append(spark, d)
+    return _stores[key]
 
-def _sealed(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.seal(_numbered(spark, d)).checkpoint()
+
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    return store.read(spark, _store(spark, d))
 
 
 def _now(facts: DataFrame) -> int:
     return facts.agg(F.max("system_timestamp")).first()[0] or 0
 
 
-def _ask(text: str) -> Callable[[SparkSession, str], DataFrame]:
+def _ask(fields: str, action: str = "*", target: str = "*", within: tuple[int, str] | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        facts = _stored(spark, d)
+        return search(facts, tuple(fields.split(", ")), action, target, within, _now(facts) if within else None)
+
+    return run
+
+
+def _check(change: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Verification of the stored facts after a change, against the store's anchors."""
+
     def run(spark: SparkSession, d: str) -> DataFrame:
-        facts = _numbered(spark, d)
-        return hql.run(facts, text, _now(facts))
+        path = _store(spark, d)
+        return ledger.verify(change(store.read(spark, path)), store.anchors(spark, path), BLOCK).select("status", "facts")
 
     return run
 
 
+def _ssh(spark: SparkSession, d: str) -> DataFrame:
+    e = spread(spark.read.parquet(f"{d}/events.parquet"))
+    user = F.col("user_id").cast("string")
+    raw = F.concat(F.lit("<13> u"), user, F.lit(" failed password for db"), user, F.lit(" from 10.0.0."), (F.col("user_id") % 200).cast("string"))
+    return ingest.facts(e.select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("obs_ts"), F.lit("ssh").alias("source"), raw.alias("raw")), SSH)
+
+
+def _kv(spark: SparkSession, d: str) -> DataFrame:
+    e = spread(spark.read.parquet(f"{d}/events.parquet"))
+    bad = F.col("event_type") == "error"
+    raw = F.concat(F.lit("USER=u"), F.col("user_id").cast("string"), F.when(bad, F.lit(" ACTION=drop_table STATUS=failed TARGET=t")).otherwise(F.lit(" ACTION=read STATUS=ok TARGET=t")), (F.col("event_id") % 9).cast("string"))
+    return ingest.facts(e.select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("obs_ts"), F.lit("kv").alias("source"), raw.alias("raw")), KEY_VALUE)
+
+
 def _drift(spark: SparkSession, d: str) -> DataFrame:
     return ingest.quarantine(ingest.parse(_obs(spark, d), DATABASE)).select("seq", "raw")
 
@@ -78,7 +119,8 @@ def _key_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _replicas(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    s = _sealed(spark, d)
+    """Two fact tables to compare: the stored facts, and those of them that a follower has got so far."""
+    s = _stored(spark, d)
     return s, s.filter(F.col("lsn") <= ledger.BASE_LSN + 900)
 
 
@@ -98,16 +140,28 @@ def _by_rule(*when: Condition, actor: str = "${user}") -> Callable[[SparkSession
     return lambda s, d: ingest.facts(_obs(s, d), rule)
 
 
-def _streamed(spark: SparkSession, d: str) -> DataFrame:
+def _streamed(lateness: str | None) -> Callable[[SparkSession, str], DataFrame]:
     """The week's window as a stream over files in the shared folder, until all of them are read."""
-    _with_checkpoints(spark)
-    sc = spark.sparkContext
-    base = f"{(sc.getConf().get('spark.checkpoint.dir', None) or sc.getCheckpointDir()).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
-    some = _facts(spark, d).select("seq", "action", "actor", "system_timestamp")
-    some.write.parquet(f"{base}/in")
-    made = behavior_stream(spark.readStream.schema(some.schema).parquet(f"{base}/in"), WEEK)
-    made.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        base = shared_folder(spark, "stream")
+        some = _facts(spark, d).select("seq", "action", "actor", "system_timestamp")
+        some.write.parquet(f"{base}/in")
+        made = behavior_stream(spark.readStream.schema(some.schema).parquet(f"{base}/in"), WEEK, lateness)
+        made.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(f"{base}/out")
+
+    return run
+
+
+def _streamed_store(spark: SparkSession, d: str) -> str:
+    """A store filled by a stream of observations over files, one file a batch."""
+    base = shared_folder(spark, "ingest")
+    obs = _obs(spark, d)
+    obs.repartitionByRange(3, "seq").write.parquet(f"{base}/in")
+    lines = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    lines.writeStream.foreachBatch(ingest_to(f"{base}/store", DATABASE)).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return f"{base}/store"
 
 
 _SOME_ALIASES = "fact.id, actor.id, actor.name, target.id, source.ip, fact.behavior.class, fact.behavior.action, fact.behavior.risk_level, fact.knowledge_version, lsn, timestamp"
@@ -127,32 +181,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "template_render_identity": lambda s, d: _facts(s, d).select("seq", "actor", "target", "source_ip"),
     "evidence_hash": lambda s, d: _facts(s, d).select("seq", "raw_hash"),
     "lsn_assign": lambda s, d: _numbered(s, d).select("seq", "lsn"),
-    "leaf_hash": lambda s, d: _numbered(s, d).select("lsn", ledger.leaf_hash(("lsn", "system_timestamp", "action", "actor", "target")).alias("leaf")),
+    "leaf_hash": lambda s, d: (lambda n: n.select("lsn", ledger.leaf_hash(n, ("lsn", "system_timestamp", "action", "actor", "target")).alias("leaf")))(_numbered(s, d)),
     "chain_root": lambda s, d: _sealed(s, d).select("lsn", "leaf", "root"),
-    "segment_chain_root": lambda s, d: ledger.seal_segments(_numbered(s, d).withColumn("day", F.to_date("obs_ts")), "day"),
-    "verify_ok": lambda s, d: ledger.verify(_sealed(s, d)).select("status", "facts"),
-    "verify_tampered": lambda s, d: ledger.verify(ledger.tamper(_sealed(s, d), TAMPERED)).select("status", "facts"),
-    "verify_first_bad_lsn": lambda s, d: ledger.bad_facts(_sealed(s, d).filter(F.col("lsn") != TAMPERED)),
-    "hql_action_target": _ask('FROM FACTS MATCH (actor.id) EXECUTES "authentication.failure" AGAINST "postgresql" SELECT lsn, actor.name, timestamp'),
-    "hql_wildcard": _ask('FROM FACTS MATCH (actor.id) EXECUTES "*" AGAINST "*" SELECT lsn, fact.behavior.action'),
-    "hql_within_days": _ask('from facts match (actor.id) executes "query.execute" against "prod" within last 3 days select lsn, target.id'),
-    "hql_within_hours": _ask('FROM FACTS MATCH (x) EXECUTES "*" AGAINST "prod" WITHIN LAST 12 HOURS SELECT lsn'),
-    "hql_within_minutes": _ask('FROM FACTS MATCH (x) EXECUTES "*" AGAINST "*" WITHIN LAST 90 MINUTES SELECT lsn'),
-    "hql_unknown_field": _ask('FROM FACTS MATCH (x) EXECUTES "log.info" AGAINST "*" SELECT lsn, no.such'),
+    "segment_chain_root": lambda s, d: ledger.seal_segments(_numbered(s, d).withColumn("day", F.to_date("obs_ts")), "day", BLOCK),
+    "verify_ok": _check(lambda x: x),
+    "verify_tampered": _check(lambda x: ledger.tamper(x, TAMPERED)),
+    "verify_first_bad_lsn": lambda s, d: ledger.bad_facts(_stored(s, d).filter(F.col("lsn") != TAMPERED), BLOCK),
+    "hql_action_target": _ask("lsn, actor.name, timestamp", "authentication.failure", "postgresql"),
+    "hql_wildcard": _ask("lsn, fact.behavior.action"),
+    "hql_within_days": _ask("lsn, target.id", "query.execute", "prod", (3, "days")),
+    "hql_within_hours": _ask("lsn", target="prod", within=(12, "hours")),
+    "hql_within_minutes": _ask("lsn", within=(90, "minutes")),
+    "hql_unknown_field": _ask("lsn, no.such", "log.info"),
     "template_mask": lambda s, d: _lines(s, d).select("seq", evolve.mask(F.col("raw")).alias("template")),
     "template_groups": lambda s, d: evolve.template_groups(_lines(s, d)),
     "template_jaccard_pairs": lambda s, d: evolve.similar_templates(evolve.template_groups(_lines(s, d)), 0.3).select("a", "b", F.round("similarity", 6).alias("similarity")),
     "cluster_entropy": lambda s, d: evolve.entropy(evolve.template_groups(_lines(s, d))),
-    "cluster_leader_merge": lambda s, d: (_with_checkpoints(s), evolve.leaders(evolve.template_groups(_lines(s, d))))[1],
-    "regex_seed": lambda s, d: (_with_checkpoints(s), evolve.cluster_report(_drift(s, d)))[1],
+    "cluster_leader_merge": lambda s, d: evolve.leaders(evolve.template_groups(_lines(s, d))),
+    "regex_seed": lambda s, d: evolve.cluster_report(_drift(s, d)),
     "coverage_rate": lambda s, d: ingest.coverage(_obs(s, d).select(F.col("raw").alias("input"), F.lit("authentication.failure").alias("expect_action")), DATABASE).select("cases", "matching"),
-    "recent_facts": lambda s, d: views.recent(_numbered(s, d), 50).select("lsn", "action"),
-    "store_stats": lambda s, d: views.stats(_numbered(s, d)),
+    "recent_facts": lambda s, d: views.recent(_stored(s, d), 50).select("lsn", "action"),
+    "store_stats": lambda s, d: views.stats(_stored(s, d)),
     "daily_density": lambda s, d: _days(s, d).select("day", "volume", views.density(F.col("volume"), (100, 320, 340)).alias("level")),
     "daily_cumulative_lsn": _days,
     "volume_split": lambda s, d: _days(s, d).select("day", *views.split_volume(F.col("volume"))),
     "asof_day": lambda s, d: views.as_of(_days(s, d), "2024-01-15"),
-    "asof_lsn_graph": lambda s, d: views.graph_as_of(_numbered(s, d).groupBy("actor").agg(F.min("lsn").alias("lsn_start")).filter("actor is not null"), ledger.BASE_LSN + 400, 100),
+    "asof_lsn_graph": lambda s, d: views.graph_as_of(_stored(s, d).groupBy("actor").agg(F.min("lsn").alias("lsn_start")).filter("actor is not null"), ledger.BASE_LSN + 400, 100),
     "format_suffix": lambda s, d: _facts(s, d).select("seq", views.short_number(F.col("seq") * 1234).alias("text")),
     "replica_missing_range": lambda s, d: views.missing_range(*_replicas(s, d)).select("lsn"),
     "replica_divergence": lambda s, d: views.divergence(_replicas(s, d)[0], _replicas(s, d)[1].withColumn("root", F.when(F.col("lsn") == TAMPERED, "x").otherwise(F.col("root")))),
@@ -165,11 +219,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cond_matches_capture": lambda s, d: _by_rule(Condition("message", matches=r"table t(?P<user>\d+)"))(s, d).select("seq", "actor"),
     "rule_default_fallback": lambda s, d: _by_rule(Condition("db", equals="nowhere"))(s, d).select("seq", "rule_id", "action", "class", "risk", "actor"),
     "fact_id": lambda s, d: _facts(s, d).select("seq", "fact_id"),
-    "hql_aliases": _ask(f'FROM FACTS MATCH (x) EXECUTES "*" AGAINST "prod" SELECT {_SOME_ALIASES}'),
-    "signature_checksum": lambda s, d: _numbered(s, d).withColumn("leaf", ledger.leaf_hash()).select("lsn", ledger.checksum().alias("checksum")),
-    "block_chain_root": lambda s, d: ledger.seal_blocks(_numbered(s, d), 500).groupBy("block").agg(F.max("lsn").alias("last_lsn"), F.max_by("root", "lsn").alias("root")),
+    "hql_aliases": _ask(_SOME_ALIASES, target="prod"),
+    "signature_checksum": lambda s, d: _stored(s, d).select("lsn", "checksum"),
+    "block_chain_root": lambda s, d: ledger.block_roots(_sealed(s, d)).select("block", "last_lsn", "root"),
     "template_tokens": lambda s, d: evolve.template_groups(_lines(s, d)).select("template", F.array_join(F.array_sort(evolve.tokens(F.col("template"))), " ").alias("tokens")),
-    "stream_behavior_equals_batch": _streamed,
+    "stream_behavior_equals_batch": _streamed(None),
+    "stream_behavior_evicting": _streamed("1 day"),
+    "stream_drift_metrics": lambda s, d: s.read.parquet(f"{_streamed_store(s, d)}/counters").groupBy().agg(F.sum("sealed").alias("sealed"), F.sum("quarantined").alias("quarantined")),
+    "stream_store_verified": lambda s, d: store.verify(s, _streamed_store(s, d)).select("status", "facts"),
+    "verify_blocks": lambda s, d: store.verify(s, _store(s, d), BLOCK).select("status", "facts"),
+    "verify_doubled": _check(lambda x: x.union(x.filter(F.col("lsn") == TAMPERED))),
+    "verify_lost_tail": _check(lambda x: x.filter(F.col("lsn") < TAMPERED)),
+    "store_append": lambda s, d: store.anchors(s, _append(s, d)).select("block", "first_lsn", "last_lsn", "facts", "root"),
+    "anchor": lambda s, d: store.anchors(s, _store(s, d)).select("block", "anchor"),
+    "append_accepted": lambda s, d: views.accepts(_replicas(s, d)[1], ledger.BASE_LSN + 900, (_stored(s, d).filter(F.col("lsn") == ledger.BASE_LSN + 900).select("root").first() or ("",))[0]),
+    "hql_integrity": _ask("lsn, fact.confidence, integrity.merkle_root_anchor, integrity.signature", target="prod"),
+    "ssh_rules": lambda s, d: _ssh(s, d).select("seq", "action", "class", "risk", "actor", "target", "source_ip"),
+    "keyvalue_rules": lambda s, d: _kv(s, d).select("seq", "rule_id", "action", "class", "risk", "actor", "target"),
+    "step_order": lambda s, d: s.createDataFrame(list(enumerate(execution_order(DATABASE.steps))), "place int, step string"),
+    "daily_trailing": lambda s, d: views.trailing(_days(s, d)).select("day", "trailing"),
+    "asof_lsn_edges": lambda s, d: views.edges_as_of(_stored(s, d), ledger.BASE_LSN + 400),
 }
 
 _OBS = """obs AS (SELECT event_id AS seq, ts, user_id, event_type AS kind, epoch_us(ts) AS us,
@@ -215,13 +284,18 @@ def _f(rest: str) -> str:
 
 _FIELDS = "seq, rule_id, action, class, risk, actor, target, system_timestamp"
 _LEAF = "sha256(concat_ws(',', {}))".format(", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("lsn", "system_timestamp", "action", "actor", "target")))
-_SEALED_LEAF = "sha256(concat_ws(',', {}))".format(
-    ", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("lsn", "system_timestamp", "action", "class", "risk", "actor", "target", "CAST(NULL AS VARCHAR)", "('s256:' || sha256(raw))"))
-)
-_CHAIN = "list_reduce(list(leaf ORDER BY lsn), lambda a, b: sha256(a || b), '')"
-_HIT = "SELECT seq, CASE WHEN {} THEN 'hit' ELSE '__unmatched__' END AS rule_id FROM p"
 _FACT_ID = "substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-7' || substr(h, 1, 3) || '-8' || substr(h, 4, 3) || '-' || substr(h, 7, 12)"
 _IDS = f"i AS (SELECT seq, {_FACT_ID} AS fact_id FROM (SELECT seq, printf('%012x', system_timestamp // 1000) AS m, sha256('events:' || seq || ':' || raw) AS h FROM facts))"
+_SEALED_FIELDS = (
+    "lsn", "seq", "fact_id", "system_timestamp", "'events'", "raw", "rule_id", "action", "class", "risk", "actor", "target", "CAST(NULL AS VARCHAR)",
+    "system_timestamp", "'0.972'", "('s256:' || sha256(raw))", "'parse;normalize;behavior;emit'", "'postgresql'",
+)
+_SEALED_LEAF = "sha256(concat_ws(',', {}))".format(", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in _SEALED_FIELDS))
+_LEAVES = f"{_IDS}, l AS MATERIALIZED (SELECT lsn, (lsn - 14812338) // 500 AS block, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, action, target, {_SEALED_LEAF} AS leaf FROM facts JOIN i USING (seq))"
+_CHAIN = "list_reduce(list(leaf ORDER BY lsn), lambda a, b: sha256(a || b), '')"
+_BLOCKS = f"b AS (SELECT block, min(lsn) AS first_lsn, max(lsn) AS last_lsn, count(*) AS facts, {_CHAIN} AS root FROM l GROUP BY block)"
+_ROOTS = "c(lsn, leaf, root) AS (SELECT lsn, leaf, sha256(leaf) FROM l WHERE (lsn - 14812338) % 500 = 0 UNION ALL SELECT l.lsn, l.leaf, sha256(c.root || l.leaf) FROM c JOIN l ON l.lsn = c.lsn + 1 WHERE (l.lsn - 14812338) % 500 <> 0)"
+_HIT = "SELECT seq, CASE WHEN {} THEN 'hit' ELSE '__unmatched__' END AS rule_id FROM p"
 ORACLE_SQL: dict[str, str] = {
     "cond_equals": _f(_HIT.format("t.db = 'prod'")),
     "cond_contains": _f(_HIT.format("contains(t.message, 'denied')")),
@@ -232,10 +306,27 @@ ORACLE_SQL: dict[str, str] = {
     "fact_id": _f(f", {_IDS} SELECT seq, fact_id FROM i"),
     "hql_aliases": _f(f""", {_IDS} SELECT fact_id AS "fact.id", actor AS "actor.id", actor AS "actor.name", target AS "target.id", CAST(NULL AS VARCHAR) AS "source.ip", class AS "fact.behavior.class",
   action AS "fact.behavior.action", risk AS "fact.behavior.risk_level", 'postgresql' AS "fact.knowledge_version", lsn, system_timestamp AS timestamp FROM facts JOIN i USING (seq) WHERE target = 'prod'"""),
-    "signature_checksum": _f(f"SELECT lsn, substr(sha256('factloom:' || {_SEALED_LEAF}), 1, 48) AS checksum FROM facts"),
-    "block_chain_root": _f(f", l AS (SELECT lsn, (lsn - 14812338) // 500 AS block, {_SEALED_LEAF} AS leaf FROM facts) SELECT block, max(lsn) AS last_lsn, {_CHAIN} AS root FROM l GROUP BY block"),
-    "segment_chain_root": _f(f", l AS (SELECT lsn, CAST(CAST(ts AS DATE) AS VARCHAR) AS segment, {_SEALED_LEAF} AS leaf FROM facts) SELECT segment, min(lsn) AS first_lsn, max(lsn) AS last_lsn, count(*) AS facts, {_CHAIN} AS root FROM l GROUP BY segment"),
+    "signature_checksum": _f(f", {_LEAVES} SELECT lsn, substr(sha256('factloom:' || leaf), 1, 48) AS checksum FROM l"),
+    "block_chain_root": _f(f", {_LEAVES}, {_BLOCKS} SELECT block, last_lsn, root FROM b"),
+    "segment_chain_root": _f(f", {_LEAVES}, e AS (SELECT day, block, min(lsn) AS lsn, max(lsn) AS last_lsn, count(*) AS facts, {_CHAIN} AS leaf FROM l GROUP BY day, block), d AS (SELECT day AS segment, min(lsn) AS first_lsn, max(last_lsn) AS last_lsn, CAST(sum(facts) AS BIGINT) AS facts, {_CHAIN} AS root FROM e GROUP BY day) SELECT *, list_reduce(list(root) OVER (ORDER BY segment), lambda a, b: sha256(a || b), '') AS anchor FROM d"),
     "verify_first_bad_lsn": _f("SELECT lsn, 'gap' AS reason FROM facts WHERE lsn = 14812337 + 701"),
+    "chain_root": f"WITH RECURSIVE {_FACTS}, {_LEAVES}, {_ROOTS} SELECT lsn, leaf, root FROM c",
+    "hql_integrity": f"WITH RECURSIVE {_FACTS}, {_LEAVES}, {_ROOTS} SELECT lsn, CAST(0.972 AS DOUBLE) AS \"fact.confidence\", root AS \"integrity.merkle_root_anchor\", substr(sha256('factloom:' || c.leaf), 1, 48) AS \"integrity.signature\" FROM c JOIN l USING (lsn) WHERE target = 'prod'",
+    "store_append": _f(f", {_LEAVES}, {_BLOCKS} SELECT block, first_lsn, last_lsn, facts, root FROM b"),
+    "anchor": _f(f", {_LEAVES}, {_BLOCKS} SELECT block, list_reduce(list(root) OVER (ORDER BY block), lambda a, b: sha256(a || b), '') AS anchor FROM b"),
+    "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
+    "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "append_accepted": _f("SELECT count(*) >= 900 AS accepted FROM facts"),
+    "ssh_rules": "SELECT event_id AS seq, 'authentication.failure' AS action, 'credential_attack' AS class, 'High' AS risk, 'u' || user_id AS actor, 'db' || user_id AS target, '10.0.0.' || user_id % 200 AS source_ip FROM events",
+    "keyvalue_rules": "SELECT event_id AS seq, CASE WHEN event_type = 'error' THEN 'kv_destructive_failure' ELSE 'kv_default' END AS rule_id, CASE WHEN event_type = 'error' THEN 'data.deletion.failure' ELSE 'log.info' END AS action, CASE WHEN event_type = 'error' THEN 'data_tampering' ELSE 'observation' END AS class, CASE WHEN event_type = 'error' THEN 'High' ELSE 'Low' END AS risk, 'u' || user_id AS actor, 't' || event_id % 9 AS target FROM events",
+    "step_order": "SELECT * FROM (VALUES (CAST(0 AS INTEGER), 'parse'), (1, 'normalize'), (2, 'behavior'), (3, 'emit')) v(place, step)",
+    "daily_trailing": f"WITH {_DAYS} SELECT day, CAST(sum(volume) OVER (ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS trailing FROM d",
+    "asof_lsn_edges": _f("SELECT actor, target, min(lsn) AS lsn_start FROM facts WHERE actor IS NOT NULL AND target IS NOT NULL AND lsn <= 14812337 + 400 GROUP BY actor, target"),
+    "format_suffix": _f("SELECT seq, CASE WHEN x >= 1000000000 THEN (x + 5000000) // 1000000000 || ',' || lpad(CAST((x + 5000000) // 10000000 % 100 AS VARCHAR), 2, '0') || 'B' WHEN x >= 1000000 THEN (x + 5000) // 1000000 || ',' || lpad(CAST((x + 5000) // 10000 % 100 AS VARCHAR), 2, '0') || 'M' WHEN x >= 1000 THEN (x + 50) // 1000 || ',' || (x + 50) // 100 % 10 || 'K' ELSE CAST(x AS VARCHAR) END AS text FROM (SELECT seq, seq * 1234 AS x FROM facts)"),
+    "stream_behavior_evicting": _f("SELECT seq, actor, system_timestamp, n7 AS window_count, n7 >= 5 AS fired FROM facts JOIN w USING (seq)"),
+    "stream_drift_metrics": _f("SELECT count(*) AS sealed, (SELECT count(*) FROM obs) - count(*) AS quarantined FROM facts"),
+    "stream_store_verified": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "template_tokens": f"WITH {_MASKED} SELECT template, array_to_string(list_sort(list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1))), ' ') AS tokens FROM g",
     "stream_behavior_equals_batch": _f("SELECT seq, actor, system_timestamp, n7 AS window_count, n7 >= 5 AS fired FROM facts JOIN w USING (seq)"),
     "behavior_escalation": _f("SELECT seq, rule_id, action, 'brute_force_attack' AS class, 'Critical' AS risk, actor, target, system_timestamp, n7 AS window_count FROM facts JOIN w USING (seq) WHERE n7 >= 5"),
@@ -262,7 +353,7 @@ ORACLE_SQL: dict[str, str] = {
     "hql_unknown_field": _f("SELECT lsn, CAST(NULL AS VARCHAR) AS \"no.such\" FROM facts WHERE action = 'log.info'"),
     "template_mask": f"WITH {_MASKED} SELECT seq, template FROM m",
     "template_groups": f"WITH {_MASKED} SELECT * FROM g",
-    "template_jaccard_pairs": f"WITH {_MASKED}, k AS (SELECT template, first_seq, list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1)) AS t FROM g), j AS (SELECT x.template AS a, y.template AS b, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS n FROM k x JOIN k y ON x.first_seq < y.first_seq) SELECT a, b, round(CAST(i AS DOUBLE) / (n - i), 6) AS similarity FROM j WHERE i > 0 AND CAST(i AS DOUBLE) / (n - i) >= 0.3",
+    "template_jaccard_pairs": f"WITH {_MASKED}, k AS (SELECT template, first_seq, CASE WHEN regexp_matches(template, '[A-Za-z_]') THEN list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1)) ELSE [''] END AS t FROM g), j AS (SELECT x.template AS a, y.template AS b, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS n FROM k x JOIN k y ON x.first_seq < y.first_seq) SELECT a, b, round(CAST(i AS DOUBLE) / (n - i), 6) AS similarity FROM j WHERE i > 0 AND CAST(i AS DOUBLE) / (n - i) >= 0.3",
     "cluster_entropy": f"WITH {_MASKED} SELECT round(sum(-count / total * log2(count / total)), 3) AS entropy FROM g, (SELECT CAST(sum(count) AS DOUBLE) AS total FROM g)",
     "coverage_rate": _f("SELECT (SELECT count(*) FROM obs) AS cases, count(*) FILTER (action = 'authentication.failure') AS matching FROM facts"),
     "recent_facts": _f("SELECT lsn, action FROM facts ORDER BY lsn DESC LIMIT 50"),

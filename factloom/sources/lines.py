@@ -1,4 +1,4 @@
-"""Observations from files, streams and the events table."""
+"""Observations from files and the events table."""
 
 from __future__ import annotations
 
@@ -12,10 +12,16 @@ def text_lines(spark: SparkSession, path: str, source: str = "file") -> DataFram
     return lines.select(F.monotonically_increasing_id().alias("seq"), F.current_timestamp().alias("obs_ts"), F.lit(source).alias("source"), F.col("value").alias("raw"))
 
 
-def simulated_feed(spark: SparkSession, samples: list[str], per_second: int = 1) -> DataFrame:
-    """A stream that goes round the samples."""
-    some = F.array(*map(F.lit, samples))
-    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load().select(F.col("value").alias("seq"), F.col("timestamp").alias("obs_ts"), F.lit("feed").alias("source"), F.get(some, F.col("value") % len(samples)).alias("raw"))
+def matrix_cases(spark: SparkSession, path: str) -> DataFrame:
+    """(input, expect_action) of a test matrix: a JSON file with a list of cases; missing fields are empty."""
+    rows = spark.read.schema("cases array<struct<input string, expect_action string>>").json(path, multiLine=True)
+    return rows.select(F.explode("cases").alias("c")).select(F.coalesce("c.input", F.lit("")).alias("input"), F.coalesce("c.expect_action", F.lit("")).alias("expect_action"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as run at once, where its files make fewer."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
 
 
 def event_lines(events: DataFrame) -> DataFrame:

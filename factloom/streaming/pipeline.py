@@ -2,61 +2,69 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from factloom.plans.connector import Signature
+from factloom.operators import ingest
+from factloom.plans.connector import Connector, Signature
+from factloom.sources import store
 
 _OUT = "seq long, actor string, system_timestamp long, window_count long, fired boolean"
 
 
-def behavior_stream(facts: DataFrame, signature: Signature) -> DataFrame:
+def behavior_stream(facts: DataFrame, signature: Signature, lateness: str | None = None) -> DataFrame:
     """(seq, actor, system_timestamp, window_count, fired) of the trigger facts of a stream.
 
     The state of an actor is the timestamps inside its window, pruned on every visit. Arrival order
-    within a micro-batch is (system_timestamp, seq).
+    within a micro-batch is (system_timestamp, seq). With ``lateness``, facts that are later than that
+    behind the newest are left out, and the state of an actor goes when its window has passed.
     """
     span, threshold = signature.window_secs * 1_000_000, signature.threshold
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = list(state.get[0]) if state.exists else []
+        if state.hasTimedOut:
+            state.remove()
+            return
+        kept = deque(state.get[0] if state.exists else ())
         rows = pd.concat(list(batches)).sort_values(["system_timestamp", "seq"])
         counts = []
         for t in rows["system_timestamp"].tolist():
             kept.append(t)
-            drop = 0
-            while kept[drop] < t - span:
-                drop += 1
-            kept = kept[drop:]
+            while kept[0] < t - span:
+                kept.popleft()
             counts.append(len(kept))
-        state.update((kept,))
+        state.update((list(kept),))
+        if lateness is not None:
+            state.setTimeoutTimestamp(max(max(kept) + span, state.getCurrentWatermarkMs() * 1000) // 1000 + 1)
         rows["window_count"] = counts
         rows["fired"] = rows["window_count"] >= threshold
         yield rows[["seq", "actor", "system_timestamp", "window_count", "fired"]]
 
     trigger = facts.filter(facts["action"] == signature.action).select("seq", "actor", "system_timestamp").fillna({"actor": "unknown"})
-    return trigger.groupBy("actor").applyInPandasWithState(run, _OUT, "kept array<long>", "append", GroupStateTimeout.NoTimeout)
+    if lateness is None:
+        return trigger.groupBy("actor").applyInPandasWithState(run, _OUT, "kept array<long>", "append", GroupStateTimeout.NoTimeout)
+    timed = trigger.withColumn("at", F.timestamp_micros("system_timestamp")).withWatermark("at", lateness)
+    return timed.groupBy("actor").applyInPandasWithState(run, _OUT, "kept array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def seal_to(path: str, base: int):  # noqa: ANN201
-    """A foreachBatch sink: numbers a batch after the stored tail and appends it; a batch id that is
-    stored already is skipped, so that a retry doesn't append twice."""
+def seal_to(path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink: a batch's facts are appended to the store at path, once however often retried."""
+    return lambda batch, batch_id: store.append(batch, path, batch_id)
+
+
+def ingest_to(path: str, connector: Connector) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink of observations: facts to the store, drift lines to ``quarantine`` as text, and
+    (batch_id, sealed, quarantined) to ``counters``; a retried batch takes its own place."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.errors import AnalysisException
-        from pyspark.sql import functions as F
-
-        from factloom.operators.ledger import assign_lsn
-
-        spark = batch.sparkSession
-        try:
-            tail, seen = spark.read.parquet(path).agg(F.max("lsn"), F.max("batch_id")).first()
-        except AnalysisException:
-            tail, seen = base, None
-        if seen is None or seen < batch_id:
-            assign_lsn(batch, base=tail or base).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+        parsed = ingest.parse(batch, connector)
+        store.append(ingest.facts(batch, connector), path, batch_id)
+        ingest.quarantine(parsed).select("raw").write.mode("overwrite").text(f"{path}/quarantine/batch={batch_id}")
+        ingest.drift_counts(parsed).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/counters/batch={batch_id}")
 
     return write
