@@ -3,7 +3,10 @@
 For each speaker of a conversation the dialogue is rendered with that speaker as assistant, other
 speakers as named users and system turns as context; ``mask`` lists the character spans that the
 assistant of this perspective has to say. Long conversations come in parts of ``part_turns`` turn
-numbers, in order, whose texts joined give the whole; a part is all that one task gathers.
+numbers, in order, whose texts joined give the whole; a part is all that one task gathers. Spans count from
+the start of their part. Only turns without a number or of one equal number make a part larger than that.
+Markers that a text or a role's name holds itself are rendered as they are: escape them beforehand where
+texts aren't trusted.
 
 Defined cases: a null role speaks as ``unknown``, a null text is empty, a null turn comes first (in
 part -1); a null conv_id is a conversation of its own; fully repeated rows count once; equal turns are

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,35 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factloom.llm import textvec
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); only a local master may do without one."""
-    sc = spark.sparkContext
-    given = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not given:
-        if sc.master != "local" and not sc.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        given = tempfile.mkdtemp(prefix="factloom-")
-        sc.setCheckpointDir(given)
-    return given.rstrip("/")
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, which goes when the application ends (Hadoop's deleteOnExit)."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(hpath)
-    files.deleteOnExit(hpath)
-    return path
-
-
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession, f'scratch-{name}')}/rows"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from factloom.sources.shared import scratch, shared_dir, shared_folder
 
 
 def beside(rows: DataFrame, facts: DataFrame, key: list[str], total: int) -> DataFrame:
@@ -105,6 +75,8 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[pa.Table], bytes]) -> byte
     return rows[0][0] if rows else b""
 
 
+__all__ = ["beside", "bound_batches", "fit_in_one_task", "fold", "free_name", "labelled_sample", "map_texts", "scratch", "shared_dir", "shared_folder", "table"]
+
 #: Arrow batches hold at most so many bytes of rows, or one row, unless the session says otherwise.
 BATCH_BYTES = 8_000_000
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -10,7 +10,7 @@ Forward-backward runs for all texts of a slice at once: chains are cut into piec
 each piece is summarised by the product of its transfer matrices, these products carry the messages
 across pieces, and the pieces are then finished side by side. This is exact.
 
-Training takes at most ``max_rows`` whole texts, joined to long chains in the order of a hash so that
+Training takes at most ``max_rows`` whole texts (their bytes aren't bounded otherwise), joined to long chains in the order of a hash so that
 languages change along them; AdaGrad on the gradient of the likelihood.
 
 Defined cases: ``und`` and score 0 for a null text or one without a letter; letters but no word bytes
@@ -22,6 +22,7 @@ replaced.
 from __future__ import annotations
 
 import io
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -232,18 +233,53 @@ def train(docs: DataFrame, keep: Column, max_rows: int = MAX_ROWS) -> Crf:
     return Crf.load(fit_in_one_task(sample, run))
 
 
+def _model_of(docs: DataFrame, model: Crf) -> Callable[[], Crf]:
+    """What gives a task the model, loaded once."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.dump() if model.langs else b"")
+    loaded: list[Crf] = []
+
+    def get() -> Crf:
+        if not loaded:
+            loaded.append(Crf.load(shared.value))
+        return loaded[0]
+
+    return get
+
+
+def _read() -> Column:
+    """What is read of a text: it in lower case, nothing where it has no letter."""
+    return F.when(F.col("text").rlike(r"\p{L}"), F.lower("text"))
+
+
 def predict(docs: DataFrame, model: Crf) -> DataFrame:
     """docs with ``lang_pred`` and ``score``; und and 0 where the text has no letter."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.dump() if model.langs else b"")
-    loaded: dict[int, Crf] = {}
+    get = _model_of(docs, model)
 
     def run(buf: np.ndarray, off: np.ndarray) -> dict[str, object]:
-        if 0 not in loaded:
-            loaded[0] = Crf.load(shared.value)
-        m = loaded[0]
-        best, score = m.texts(buf, off)
-        names = np.array([*m.langs, "und"], dtype=object)
+        best, score = get().texts(buf, off)
+        names = np.array([*get().langs, "und"], dtype=object)
         return {"lang_pred": pa.array(names[best].tolist(), pa.string()), "score": score}
 
-    made = map_texts(docs, run, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text=F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")))
-    return made
+    return map_texts(docs, run, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text=_read())
+
+
+_WORD = T.StructType([T.StructField("word", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("probability", T.DoubleType())])
+
+
+def label_words(docs: DataFrame, model: Crf) -> DataFrame:
+    """docs with ``words``: each word of the text in lower case, in order, with its likeliest language and that one's probability."""
+    get = _model_of(docs, model)
+
+    def run(buf: np.ndarray, off: np.ndarray) -> dict[str, object]:
+        s, e, d = tv.spans(buf, off, _LETTER)
+        ends = pa.array(np.searchsorted(d, np.arange(len(off))).astype(np.int32))
+        raw = buf.tobytes()
+        words = pa.array([raw[i:j].decode() for i, j in zip(s.tolist(), e.tolist(), strict=True)], pa.string())
+        if get().langs and len(s):
+            post = get().words(buf, off)[1]
+            lang, sure = pa.array([get().langs[i] for i in post.argmax(1)], pa.string()), pa.array(post.max(1))
+        else:
+            lang, sure = pa.array(["und"] * len(s), pa.string()), pa.array(np.zeros(len(s)))
+        return {"words": pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([words, lang, sure], ["word", "lang", "probability"]))}
+
+    return map_texts(docs, run, [T.StructField("words", T.ArrayType(_WORD))], text=_read())

@@ -3,7 +3,8 @@
 P(w | v) = a[b] c(v,w)/c(v) + u[b] c(w)/N + z[b] / (V+1), where b is the bucket of the context's count
 c(v) by powers of two. The weights of a bucket come from expectation-maximisation on held-out counts:
 every training token is held out in turn, that is, its own occurrence is taken out of c(v,w), c(v),
-c(w) and N (the deleted estimate).
+c(w) and N (the deleted estimate). EM runs on a histogram of these estimates, rounded to quarter powers of
+two; scores use the estimates as they are.
 
 Counts cover the whole training corpus and are looked up for every token of every text without a row
 for each token: texts are dealt into blocks of some megabytes; a block sends its sorted distinct keys

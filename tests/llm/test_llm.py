@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from factloom.llm import bpe, decontaminate, embeddup, langid, lm, neardup, quality, tokencount, toxicity
+from factloom.llm import bpe, chat, decontaminate, embeddup, langid, lm, neardup, quality, tokencount, toxicity
 from factloom.llm.queries import ORACLE_SQL, QUERIES, token_digests, tokenizer_path
 from pyspark.sql import functions as F
 
@@ -47,6 +47,63 @@ def test_language_of_code_switched_words():
     assert [model.langs[i] for i in post.argmax(1)] == ["en"] * 6 + ["de"] * 6
 
 
+def test_word_labels_of_a_table(spark, docs):
+    texts = [("der hund und das haus", "de"), ("the cat and this house", "en")]
+    known = spark.createDataFrame([(i, *texts[i % 2]) for i in range(40)], "doc_id long, text string, lang string")
+    model = langid.train(known, F.lit(True))
+    odd = spark.createDataFrame([(1, "The Cat und das haus."), (2, None), (3, ""), (4, "123 !")], "doc_id long, text string")
+    got = {r.doc_id: [(w.word, w.lang) for w in r.words] for r in langid.label_words(odd, model).collect()}
+    assert got == {1: [("the", "en"), ("cat", "en"), ("und", "de"), ("das", "de"), ("haus", "de")], 2: [], 3: [], 4: []}
+    assert all(0.5 < w.probability <= 1 for r in langid.label_words(odd, model).collect() for w in r.words)
+    none = langid.train(known.limit(0), F.lit(True))
+    assert {w.lang for r in langid.label_words(odd, none).collect() for w in r.words} == {"und"}
+
+
+def test_one_ftrl_step_by_hand():
+    # three features, two texts in one batch: z, q and w after the step, as the recursion has them
+    rows, y = [np.array([0, 1]), np.array([1, 2])], np.array([1.0, 0.0])
+    w, bias = toxicity.ftrl(rows, y, 3, alpha=0.5, beta=1.0, l1=0.1, l2=0.2, epochs=1, batch=2)
+    start = np.log((0.5 + 1e-3) / (0.5 + 1e-3))
+    p = 1 / (1 + np.exp(-start))
+    g = np.array([p - 1, (p - 1) + p, p])
+    root = np.sqrt(g * g)
+    z = g - (root - 0) / 0.5 * 0
+    want = np.where(np.abs(z) <= 0.1, 0, (np.sign(z) * 0.1 - z) / ((1.0 + root) / 0.5 + 0.2))
+    assert np.allclose(w, want) and w[1] == 0 and w[0] > 0 > w[2] and np.isclose(bias, start)
+
+
+def test_sparse_margins_equal_direct_sums(spark, docs):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    model = toxicity.train(docs, labels, F.lit(True))
+    weight = dict(zip(model.keys.tolist(), model.values.tolist()))
+    rows = docs.select("doc_id", "text").limit(60)
+    got = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
+    for r in rows.collect():
+        raw = np.frombuffer(r.text.encode(), np.uint8)
+        _, h = toxicity.features(raw, np.array([0, len(raw)]))
+        margin = model.bias + sum(weight.get(k, 0.0) for k in set(h.tolist()))
+        assert np.isclose(got[r.doc_id], 1 / (1 + np.exp(-margin)))
+
+
+def test_additive_tables_equal_direct_sums():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(800, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)  # a pair decides, no single feature does
+    model = quality.fit(x, y, bins=16, coarse=8, rounds=20, n_pairs=2, pair_rounds=40)
+    fresh = rng.normal(size=(300, 3))
+    for row, got in zip(fresh, model.margin(fresh)):
+        want = model.base + sum(model.tables[f][sum(v >= edge for edge in model.edges[f])] for f, v in enumerate(row))
+        want += sum(t[sum(row[a] >= e for e in model.coarse[a]), sum(row[b] >= e for e in model.coarse[b])] for (a, b), t in zip(model.pairs, model.pair_tables))
+        assert np.isclose(got, want)
+    assert ((model.score(fresh) >= 0.5) == ((fresh[:, 0] > 0) ^ (fresh[:, 1] > 0.3))).mean() > 0.9
+    # the gain of a tree's first cut is the best of all cuts
+    g, h = rng.normal(size=12), rng.uniform(3, 4, size=12)
+    tree = quality._shallow_tree(g, h, 2, 1.0, 2.0)
+    gain = [g[:m].sum() ** 2 / (h[:m].sum() + 1) + g[m:].sum() ** 2 / (h[m:].sum() + 1) for m in range(1, 12)]
+    m = int(np.argmax(gain)) + 1
+    assert np.allclose(tree, np.repeat([g[:m].sum() / (h[:m].sum() + 1), g[m:].sum() / (h[m:].sum() + 1)], [m, 12 - m]))
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(2)
     n, k = 300, 3
@@ -89,6 +146,46 @@ def test_lm_base_by_brute_force(spark, docs):
     assert got.score.sum() > got.base_score.sum()
 
 
+def test_lm_score_and_weights_by_brute_force(spark, docs):
+    rows = docs.limit(60).toPandas()
+    got = lm.score(spark.createDataFrame(rows[["doc_id", "text"]]), F.col("doc_id") % 3 != 0, block_bytes=20_000).toPandas().set_index("doc_id")
+    texts = {i: re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) + ["</s>"] for i, t in zip(rows.doc_id, rows.text)}
+    train = {i: ws for i, ws in texts.items() if i % 3}
+    one = Counter(w for ws in train.values() for w in ws)
+    two = Counter(p for ws in train.values() for p in zip(["<s>", *ws], ws))
+    context = one | Counter({"<s>": len(train)})
+    n, v = sum(one.values()), len(one)
+    bucket = lambda c: min(int(np.floor(np.log2(max(c, 0) + 1))), lm.BUCKETS - 1)
+
+    def parts(before, w, held):
+        c = context[before] - held
+        return bucket(c), max(two[before, w] - held, 0) / c if c > 0 else 0.0, max(one[w] - held, 0) / max(n - held, 1)
+
+    rough = lambda p: 2.0 ** (np.clip(np.rint(np.log2(p) * 4) + 160, 1, 160) / 4 - 40) if p > 0 else 0.0
+    held = [parts(b, w, 1) for ws in train.values() for b, w in zip(["<s>", *ws], ws)]
+    weights = np.tile([0.5, 0.4, 0.1], (lm.BUCKETS, 1))
+    at = np.array([b for b, *_ in held])
+    estimates = np.array([[rough(p), rough(q), 1 / (v + 1)] for _, p, q in held])
+    for _ in range(60):
+        share = weights[at] * estimates
+        share /= share.sum(1, keepdims=True)
+        weights = np.array([share[at == b].sum(0) + 0.001 for b in range(lm.BUCKETS)])
+        weights /= weights.sum(1, keepdims=True)
+    for i, ws in texts.items():
+        want = 0.0
+        for before, w in zip(["<s>", *ws], ws):
+            b, p, q = parts(before, w, 0)
+            want += np.log10(weights[b] @ [p, q, 1 / (v + 1)])
+        assert np.isclose(got.score[i], want, rtol=1e-6)
+
+
+def test_counts_of_any_size_survive_packing():
+    n = np.array([0, 1, 254, 255, 256, 2**32, 2**40], np.int64)
+    assert lm._unpack_counts(lm._pack_counts(n)).tolist() == n.tolist() and not len(lm._unpack_counts(lm._pack_counts(n[:0])))
+    for k in range(len(n) + 1):
+        assert lm._unpack_text(lm._pack_text(n[:k])).tolist() == n[:k].tolist()
+
+
 def test_lm_of_odd_rows(spark, odd):
     assert lm.score(odd, F.lit(True)).count() == len(ODD)
     assert lm.score(odd.limit(0), F.lit(True)).count() == 0
@@ -116,6 +213,14 @@ def test_decontamination(spark):
     assert decontaminate.matches(d, b.limit(0)).count() == 0 and decontaminate.matches(d.limit(0), b).count() == 0
 
 
+def test_short_items_match_as_whole_runs(spark):
+    d = spark.createDataFrame([(1, "one two three"), (2, "one x two three four"), (3, "say: Two, three; four!"), (4, "four"), (5, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(7, "two three four"), (8, "four"), (9, "..."), (None, None)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b).collect()} == {(2, 7), (2, 8), (3, 7), (3, 8), (4, 8)}
+    clash = d.withColumns({"matched": F.lit(1), "whole_text": F.lit("a")})
+    assert [tuple(r) for r in decontaminate.clean(clash, b).orderBy("doc_id").collect()] == [(1, "one two three", 1, "a"), (5, None, 1, "a")]
+
+
 def test_edited_copies_against_smith_waterman_of_all_pairs(spark):
     def similarity(a, b):
         best, row = 0.0, [0.0] * (len(b) + 1)
@@ -214,6 +319,24 @@ def test_near_duplicates_of_odd_rows(spark, odd):
     assert neardup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_texts_under_one_id_stay_apart(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    near = a.replace("a29", "z")
+    rows = [(5, a, 1), (5, b, 2), (5, b, 3), (6, near, 4), (8, b, 5), (None, a, 6), (None, a, 7), (9, None, 8), (9, None, 9), (10, None, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key long")
+    got = {r.text_key for r in neardup.keep_one(docs).collect()}
+    assert {6, 7, 10} <= got and len(got & {8, 9}) == 1 and len(got & {2, 3}) == 1 and 5 not in got and len(got & {1, 4}) == 1
+    groups = neardup.near_duplicates(docs)
+    assert groups.count() == len(rows) and len({r.class_id for r in groups.filter("doc_id is not null").collect()}) == 4
+
+
+def test_near_duplicates_that_tie_and_very_long_texts(spark):
+    long = [f"w{i * i % 997}.{i}" for i in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-1000])), (3, " ".join(long[30_000:])), (4, "x " * 50_000), (5, "x " * 45_000), (6, "x " * 20_000)]
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6}
+
+
 def test_embeddings_by_brute_force(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(120, 16))
@@ -269,7 +392,77 @@ def test_embeddings_refined_and_in_large_components(spark):
         assert (got.component_id.to_numpy() == root).all()
 
 
-def test_pipeline(spark):
+def test_empty_tables_and_clashing_columns(spark, odd, docs):
+    path = tokenizer_path("word_bpe_49k.json")
+    pieces = tokencount.Pieces.from_sentencepiece(tokenizer_path("piece_bpe_32k.model"))
+    model = langid.train(docs, F.lit(True), 40)
+    clash = odd.select("doc_id", "text", *(F.lit(7).alias(c) for c in ("lang_pred", "score", "n_tokens", "n_words", "ids", "decoded", "words", "whole_text", "bands", "digest", "key", "node", "train", "block")))
+    for op in (lambda d: langid.predict(d, model), lambda d: langid.label_words(d, model), lambda d: tokencount.token_counts(d, pieces), lambda d: bpe.encode(d, path, decoded=True), neardup.near_duplicates, neardup.keep_one, lambda d: lm.score(d, F.lit(True))):
+        assert op(clash.limit(0)).count() == 0
+        assert op(clash).count() >= len(ODD) - 1
+    kept = tokencount.token_counts(clash, pieces).filter("doc_id = 4").first()
+    assert (kept.n_words, kept.whole_text, kept.lang_pred) == (1, 7, 7)
+
+
+def test_chat_of_odd_rows(spark):
+    table = lambda rows: spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert chat.perspectives(table([])).count() == 0 and chat.perspectives(table([(1, 0, "system", "x")])).count() == 0
+    got = {(r.conv_id, r.speaker, r.part): r for r in chat.perspectives(table([(1, 0, "a", "hi"), (1, 0, "a", "hi"), (1, 0, "b", None), (1, None, None, "n"), (None, 3, "a", "z"), (1, 256, "b", "y")])).collect()}
+    assert set(got) == {(1, s, p) for s in ("a", "b", "unknown") for p in (-1, 0, 1)} | {(None, "a", 0)}
+    one = got[1, "a", 0]
+    assert one.n_turns == 2 and one.rendered == "<|assistant|>\nhi<|end|>\n<|user name=b|>\n<|end|>\n"
+    assert [one.rendered[m.start : m.end] for m in one.mask] == ["hi<|end|>"]
+
+
+def test_pipeline_by_brute_force(spark):
+    """Each stage's decision again for each document: model sums, all pairs, plain alignment, the tokenizers library."""
+    from hashlib import sha256
+
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
-    assert corpus_pipeline.run(spark, DATA).count() > 50
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    left = docs.select("doc_id", "text").toPandas()
+    slice_of = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+    good = quality.train(docs, labels, corpus_pipeline.fold(3, 1) == False)  # noqa: E712
+    left = left[[good.score(quality.features(*slice_of(t)))[0] >= 0.5 for t in left.text]]
+    kept = spark.createDataFrame(left)
+    toxic = toxicity.train(kept, labels, corpus_pipeline.fold(4, 2) == False)  # noqa: E712
+    left = left[[1 / (1 + np.exp(-toxic.margin(*slice_of(t))[0])) < 0.3 for t in left.text]]
+    units = [Counter(tuple(w[j : j + 5]) for w in [t.lower().split()] for j in range(max(1, len(w) - 4))) for t in left.text]
+    root = list(range(len(left)))
+    ids = left.doc_id.tolist()
+    for i, a in enumerate(units):
+        for j, b in enumerate(units[:i]):
+            if sum((a & b).values()) >= 0.8 * sum((a | b).values()) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]), key=lambda k: ids[k])
+                root = [low if r == high else r for r in root]
+    left = left[[root[i] == i for i in range(len(left))]]
+    items = [re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower()) for t in spark.read.parquet(f"{DATA}/benchmark.parquet").toPandas().text]
+
+    def similarity(item, words):
+        number = {w: k for k, w in enumerate(dict.fromkeys(item + words))}
+        y = np.array([number[w] for w in words])
+        row, best, place = np.zeros(len(y) + 1), 0.0, np.arange(len(y) + 1) / 2
+        for w in item:
+            new = np.maximum(row - 0.5, 0)
+            new[1:] = np.maximum(new[1:], row[:-1] + np.where(y == number[w], 1.0, -0.5))
+            row = np.maximum.accumulate(new + place) - place
+            best = max(best, row.max())
+        return best / len(item)
+
+    clean = []
+    for t in left.text:
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower())
+        clean.append(not words or all(similarity(i, words) < 0.5 for i in items))
+    left = left[clean]
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    want = {}
+    for i, t in zip(left.doc_id, left.text):
+        tokens = library.encode(t, add_special_tokens=False).ids
+        want[i] = (len(tokens), sha256(" ".join(map(str, tokens)).encode()).hexdigest(), sha256(library.decode(tokens, skip_special_tokens=False).encode()).hexdigest())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, DATA).collect()}
+    assert len(got) > 50 and got == want
