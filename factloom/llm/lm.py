@@ -1,7 +1,7 @@
 """LM scoring: a bigram model by deleted interpolation.
 
 P(w | v) = a[b] c(v,w)/c(v) + u[b] c(w)/N + z[b] / (V+1), where b is the bucket of the context's count
-c(v) by powers of two. The weights of a bucket come from expectation-maximisation on held-out counts:
+c(v): one for each count under FEW, then one for each power of two. The weights of a bucket come from expectation-maximisation on held-out counts:
 every training token is held out in turn, that is, its own occurrence is taken out of c(v,w), c(v),
 c(w) and N (the deleted estimate). EM runs on a histogram of these estimates, rounded to quarter powers of
 two; scores use the estimates as they are.
@@ -30,7 +30,8 @@ from factloom.llm import textvec as tv
 from factloom.llm.common import scratch
 
 BLOCK_BYTES = 12_000_000
-BUCKETS = 26
+FEW = 8
+BUCKETS = FEW + 40
 #: Beyond so many blocks a task takes several, one after the other.
 MAX_TASKS = 65_536
 #: Pair keys are cut to 48 bits for the shuffle; word keys keep 64. A pair shares its count with some other
@@ -188,12 +189,17 @@ def _look_up(texts: pa.Table, replies: pa.Table) -> pa.Table:
     return pa.table({"doc_id": ids} | {(n := c.split())[0]: pa.array(out[n[0]], kinds[n[1]]) for c in _LOOKED_UP.split(", ")})
 
 
+def _bucket(context: np.ndarray) -> np.ndarray:
+    """The bucket of each context count."""
+    return np.where(context < FEW, context, FEW - 3 + np.floor(np.log2(np.maximum(context, 1)))).astype(np.int64)
+
+
 def _parts(words: np.ndarray, pairs: np.ndarray, starts: int, total: int, vocabulary: int, held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, pair estimate, word estimate) of the tokens of one text; held: occurrences taken out."""
+    """(bucket, pair estimate, word estimate) of the tokens of one text; held: occurrences taken out of the estimates."""
     w, p = words.astype(np.float64) - held, pairs.astype(np.float64) - held
-    context = np.append(float(starts), words[:-1].astype(np.float64)) - held
-    bucket = np.minimum(np.floor(np.log2(np.maximum(context, 0) + 1)), BUCKETS - 1).astype(np.int64)
-    return bucket, np.where(context > 0, np.maximum(p, 0) / np.maximum(context, 1), 0), np.maximum(w, 0) / max(total - held, 1)
+    whole = np.append(float(starts), words[:-1].astype(np.float64))
+    context = whole - held
+    return _bucket(whole), np.where(context > 0, np.maximum(p, 0) / np.maximum(context, 1), 0), np.maximum(w, 0) / max(total - held, 1)
 
 
 _STEP = 4  # histogram cells in a factor of two

@@ -155,11 +155,11 @@ def test_lm_score_and_weights_by_brute_force(spark, docs):
     two = Counter(p for ws in train.values() for p in zip(["<s>", *ws], ws))
     context = one | Counter({"<s>": len(train)})
     n, v = sum(one.values()), len(one)
-    bucket = lambda c: min(int(np.floor(np.log2(max(c, 0) + 1))), lm.BUCKETS - 1)
+    bucket = lambda c: c if c < 8 else 5 + c.bit_length() - 1
 
     def parts(before, w, held):
         c = context[before] - held
-        return bucket(c), max(two[before, w] - held, 0) / c if c > 0 else 0.0, max(one[w] - held, 0) / max(n - held, 1)
+        return bucket(context[before]), max(two[before, w] - held, 0) / c if c > 0 else 0.0, max(one[w] - held, 0) / max(n - held, 1)
 
     rough = lambda p: 2.0 ** (np.clip(np.rint(np.log2(p) * 4) + 160, 1, 160) / 4 - 40) if p > 0 else 0.0
     held = [parts(b, w, 1) for ws in train.values() for b, w in zip(["<s>", *ws], ws)]
