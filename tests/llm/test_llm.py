@@ -151,31 +151,31 @@ def test_lm_score_and_weights_by_brute_force(spark, docs):
     got = lm.score(spark.createDataFrame(rows[["doc_id", "text"]]), F.col("doc_id") % 3 != 0, block_bytes=20_000).toPandas().set_index("doc_id")
     texts = {i: re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) + ["</s>"] for i, t in zip(rows.doc_id, rows.text)}
     train = {i: ws for i, ws in texts.items() if i % 3}
+    grams = lambda ws: zip(["<s>", "<s>", *ws], ["<s>", *ws], ws)
     one = Counter(w for ws in train.values() for w in ws)
-    two = Counter(p for ws in train.values() for p in zip(["<s>", *ws], ws))
-    context = one | Counter({"<s>": len(train)})
+    three = Counter(g for ws in train.values() for g in grams(ws))
+    two = Counter(g[1:] for ws in train.values() for g in grams(ws))
+    first, second = one | Counter({"<s>": len(train)}), two | Counter({("<s>", "<s>"): len(train)})
     n, v = sum(one.values()), len(one)
     bucket = lambda c: c if c < 8 else 5 + c.bit_length() - 1
-
-    def parts(before, w, held):
-        c = context[before] - held
-        return bucket(context[before]), max(two[before, w] - held, 0) / c if c > 0 else 0.0, max(one[w] - held, 0) / max(n - held, 1)
-
+    share_of = lambda count, context, held: max(count - held, 0) / (context - held) if context > held else 0.0
     rough = lambda p: 2.0 ** (np.clip(np.rint(np.log2(p) * 4) + 160, 1, 160) / 4 - 40) if p > 0 else 0.0
-    held = [parts(b, w, 1) for ws in train.values() for b, w in zip(["<s>", *ws], ws)]
-    weights = np.tile([0.5, 0.4, 0.1], (lm.BUCKETS, 1))
-    at = np.array([b for b, *_ in held])
-    estimates = np.array([[rough(p), rough(q), 1 / (v + 1)] for _, p, q in held])
-    for _ in range(60):
-        share = weights[at] * estimates
-        share /= share.sum(1, keepdims=True)
-        weights = np.array([share[at == b].sum(0) + 0.001 for b in range(lm.BUCKETS)])
-        weights /= weights.sum(1, keepdims=True)
+
+    def em(at, estimates, start):
+        weights = np.tile(start, (lm.BUCKETS, 1))
+        for _ in range(60):
+            share = weights[at] * estimates
+            share /= share.sum(1, keepdims=True)
+            weights = np.array([share[at == b].sum(0) + 0.001 for b in range(lm.BUCKETS)])
+            weights /= weights.sum(1, keepdims=True)
+        return weights
+
+    held = [g for ws in train.values() for g in grams(ws)]
+    low = em(np.array([bucket(first[b]) for _, b, _ in held]), np.array([[rough(share_of(two[b, w], first[b], 1)), rough(share_of(one[w], n, 1)), 1 / (v + 1)] for _, b, w in held]), [0.5, 0.4, 0.1])
+    pairs = lambda b, w, out: low[bucket(first[b])] @ [share_of(two[b, w], first[b], out), share_of(one[w], n, out), 1 / (v + 1)]
+    high = em(np.array([bucket(second[a, b]) for a, b, _ in held]), np.array([[rough(share_of(three[g], second[g[:2]], 1)), rough(pairs(*g[1:], 1))] for g in held]), [0.5, 0.5])
     for i, ws in texts.items():
-        want = 0.0
-        for before, w in zip(["<s>", *ws], ws):
-            b, p, q = parts(before, w, 0)
-            want += np.log10(weights[b] @ [p, q, 1 / (v + 1)])
+        want = sum(np.log10(high[bucket(second[a, b])] @ [share_of(three[a, b, w], second[a, b], 0), pairs(b, w, 0)]) for a, b, w in grams(ws))
         assert np.isclose(got.score[i], want, rtol=1e-6)
 
 
