@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from factloom.llm import textvec as tv
 from factloom.llm.common import scratch
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 10_000_000
 FEW = 8
 BUCKETS = FEW + 40
 #: Beyond so many blocks a task takes several, one after the other.
@@ -63,19 +63,27 @@ def _pair_keys(before: np.ndarray, w: np.ndarray) -> np.ndarray:
     return tv.mix(before * np.uint64(5) + w * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _sorted_keys(table: pa.Table, bits: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+def _sorted_keys(table: pa.Table, bits: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
     """The tokens' text numbers in a fixed order of a block's texts; the distinct words, pairs and triples and each
-    token's place among them. After the tokens' pairs comes the context before a text's first token."""
+    token's place among them, made one after the other. After the tokens' pairs comes the context before a text's
+    first token."""
     texts = table["text"].combine_chunks() if table.num_rows else pa.array([], pa.string())
     if isinstance(texts, pa.ChunkedArray):
         texts = pa.concat_arrays(texts.chunks)
     d, w, before = _tokens(texts)
-    pair = _pair_keys(before, w)
-    earlier = np.append(_START, before[:-1])[: len(w)]
-    earlier[before == _START] = _START
-    triple = _pair_keys(pair, earlier + np.uint64(1))
-    cut = np.uint64(64 - bits)
-    return d, [np.unique(x, return_inverse=True) for x in (w, np.append(pair, _START) >> cut, triple >> cut)]
+
+    def kinds(keys: np.ndarray, before: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cut = np.uint64(64 - bits)
+        yield np.unique(keys, return_inverse=True)
+        keys = _pair_keys(before, keys)
+        yield np.unique(np.append(keys, _START) >> cut, return_inverse=True)
+        earlier = np.append(_START, before[:-1])[: len(keys)]
+        earlier[before == _START] = _START
+        keys = _pair_keys(keys, earlier + np.uint64(1)) >> cut
+        del before, earlier
+        yield np.unique(keys, return_inverse=True)
+
+    return d, kinds(w, before)
 
 
 def _ranges(keys: np.ndarray, ranges: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,9 +197,11 @@ def _look_up(bits: int):  # noqa: ANN202
         else:
             d, kinds = _sorted_keys(texts, bits)
             counts: list[np.ndarray] = []
-            for kind, (_, at) in enumerate(kinds):
+            for kind, (keys, at) in enumerate(kinds):
+                del keys
                 rows = sorted((r, c) for k, r, c in zip(replies["kind"].to_pylist(), replies["range"].to_pylist(), replies["counts"].to_pylist(), strict=True) if k == kind)
                 counts.append(np.concatenate([_unpack_counts(c) for _, c in rows])[at])
+                del at
             word, starts = counts[0], int(counts[1][-1])
             ends = np.searchsorted(d, np.arange(texts.num_rows), side="right")
             first = np.append(0, ends[:-1])
