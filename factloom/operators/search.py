@@ -47,3 +47,11 @@ def search(facts: DataFrame, fields: tuple[str, ...], action: str = "*", target:
         now = F.unix_micros(F.current_timestamp()) if as_of_micros is None else F.lit(as_of_micros)
         out = out.filter(F.col("system_timestamp") >= now - span)
     return out.select(*(_field(facts, f).alias(f) for f in sorted(set(fields))))
+
+
+def nested(facts: DataFrame) -> DataFrame:
+    """facts as fact_id, one struct for each group of fields (identity, time, behavior, evidence, lineage, integrity),
+    confidence and knowledge_version; names have no dots."""
+    plain = lambda n: n.replace(".", "_")
+    groups = [F.struct(*(_field(facts, c).alias(plain(n)) for n, c in fields.items())).alias(name.removeprefix("fact.")) for name, fields in GROUPS.items()]
+    return facts.select("fact_id", *groups, "confidence", "knowledge_version")

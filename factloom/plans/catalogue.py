@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.patterns import groups, strip
 from factloom.operators import behavior, evolve, ingest, ledger, views
-from factloom.operators.search import search
+from factloom.operators.search import nested, search
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature, execution_order
 from factloom.sources import store
 from factloom.sources.lines import event_lines, spread
@@ -42,6 +42,15 @@ def _sealed(spark: SparkSession, d: str) -> DataFrame:
     return ledger.seal(_numbered(spark, d), BLOCK)
 
 
+def _caught_up(spark: SparkSession, d: str) -> DataFrame:
+    """Verification of a follower that takes over 700 facts, then the rest."""
+    path = shared_folder(spark, "follower")
+    for upto in (TAMPERED, None):
+        if not store.catch_up(spark, _store(spark, d), path, upto):
+            raise RuntimeError("the follower refused its leader's facts")
+    return store.verify(spark, path, BLOCK).select("status", "facts")
+
+
 _stores: dict[tuple[str, str], str] = {}
 
 
@@ -233,6 +242,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_append": lambda s, d: store.anchors(s, _append(s, d)).select("block", "first_lsn", "last_lsn", "facts", "root"),
     "anchor": lambda s, d: store.anchors(s, _store(s, d)).select("block", "anchor"),
     "append_accepted": lambda s, d: views.accepts(_replicas(s, d)[1], ledger.BASE_LSN + 900, (_stored(s, d).filter(F.col("lsn") == ledger.BASE_LSN + 900).select("root").first() or ("",))[0]),
+    "replica_catch_up": _caught_up,
+    "nested_facts": lambda s, d: nested(_stored(s, d)).select("fact_id", "identity.actor_id", "behavior.risk_level", "time.log_sequence_number", "lineage.matched_rule", F.col("integrity.leaf_hash").isNotNull().alias("sealed")),
     "hql_integrity": _ask("lsn, fact.confidence, integrity.merkle_root_anchor, integrity.signature", target="prod"),
     "ssh_rules": lambda s, d: _ssh(s, d).select("seq", "action", "class", "risk", "actor", "target", "source_ip"),
     "keyvalue_rules": lambda s, d: _kv(s, d).select("seq", "rule_id", "action", "class", "risk", "actor", "target"),
@@ -317,6 +328,8 @@ ORACLE_SQL: dict[str, str] = {
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "replica_catch_up": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
+    "nested_facts": _f(f", {_IDS} SELECT fact_id, actor AS actor_id, risk AS risk_level, lsn AS log_sequence_number, rule_id AS matched_rule, true AS sealed FROM facts JOIN i USING (seq)"),
     "append_accepted": _f("SELECT count(*) >= 900 AS accepted FROM facts"),
     "ssh_rules": "SELECT event_id AS seq, 'authentication.failure' AS action, 'credential_attack' AS class, 'High' AS risk, 'u' || user_id AS actor, 'db' || user_id AS target, '10.0.0.' || user_id % 200 AS source_ip FROM events",
     "keyvalue_rules": "SELECT event_id AS seq, CASE WHEN event_type = 'error' THEN 'kv_destructive_failure' ELSE 'kv_default' END AS rule_id, CASE WHEN event_type = 'error' THEN 'data.deletion.failure' ELSE 'log.info' END AS action, CASE WHEN event_type = 'error' THEN 'data_tampering' ELSE 'observation' END AS class, CASE WHEN event_type = 'error' THEN 'High' ELSE 'Low' END AS risk, 'u' || user_id AS actor, 't' || event_id % 9 AS target FROM events",

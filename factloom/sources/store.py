@@ -48,6 +48,26 @@ def append(facts: DataFrame, path: str, batch_id: int | None = None, block_facts
     scratch(rows, "anchors").coalesce(1).write.mode("append").parquet(f"{path}/anchors")
 
 
+def catch_up(spark: SparkSession, leader: str, follower: str, upto: int | None = None) -> bool:
+    """Append to the follower's store, as they are, the leader's facts after its tail; whether it accepts them.
+
+    It does if the leader's fact at the follower's tail has the same root; an empty follower accepts all.
+    upto: the last number to take over, by default the leader's tail.
+    """
+    end = tail(spark, follower)
+    base = end[0] if end else ledger.BASE_LSN
+    facts = read(spark, leader)
+    if end and facts.filter((F.col("lsn") == base) & (F.col("root") == end[1])).isEmpty():
+        return False
+    new = facts.filter((F.col("lsn") > base) & (F.col("lsn") <= upto if upto is not None else F.lit(True)))
+    where = f"{follower}/facts/append={base + 1}"
+    new.write.mode("overwrite").parquet(where)
+    made = ledger.block_roots(spark.read.schema(facts.schema).parquet(where).select("block", "lsn", "root"))
+    rows = ledger.chained(made, "block", end[2] if end else "").withColumn("batch_id", F.lit(None).cast("long"))
+    scratch(rows, "anchors").coalesce(1).write.mode("append").parquet(f"{follower}/anchors")
+    return True
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The facts that anchors cover."""
     end = tail(spark, path)

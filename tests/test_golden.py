@@ -111,6 +111,11 @@ def test_store_appends_recovers_and_verifies(spark, tmp_path):
     whole = store.verify(spark, path, 4).first()
     assert (whole.status, whole.facts) == ("INTEG_OK", 9) and store.tail(spark, path)[0] == ledger.BASE_LSN + 9
     assert store.anchors(spark, path).agg(F.sum("facts")).first()[0] == 9
+    copy, other = f"{tmp_path}/copy", f"{tmp_path}/diverged"
+    assert store.catch_up(spark, path, copy, ledger.BASE_LSN + 3) and store.catch_up(spark, path, copy)
+    assert tuple(store.verify(spark, copy, 4).first())[:2] == ("INTEG_OK", 9)
+    store.append(facts.filter("seq > 5"), other, block_facts=4)
+    assert not store.catch_up(spark, path, other)
     orphan = store.read(spark, path).withColumn("lsn", F.col("lsn") + 9)  # facts without anchors, as a failed append leaves them
     orphan.write.parquet(f"{path}/facts/append={ledger.BASE_LSN + 10}")
     assert store.read(spark, path).count() == 9 and store.verify(spark, path, 4).first().status == "INTEG_OK"
