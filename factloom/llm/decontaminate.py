@@ -173,6 +173,17 @@ def align(a: list[np.ndarray], b: list[np.ndarray], gap: float = 0.5) -> tuple[n
     return best, last
 
 
+def _enough(a: list[np.ndarray], b: list[np.ndarray], least: np.ndarray) -> np.ndarray:
+    """Whether at least so many words of each row of a occur in its row of b, as an alignment of that score needs."""
+    x, y = np.zeros((len(a), max(map(len, a))), np.uint32), np.ones((len(a), max(map(len, b))), np.uint32)
+    for i, (u, v) in enumerate(zip(a, b, strict=True)):
+        x[i, : len(u)], y[i, : len(v)] = (u >> np.uint64(32)) | np.uint64(2), (v >> np.uint64(32)) | np.uint64(2)
+    seen = np.zeros(len(a), np.int64)
+    for k in range(x.shape[1]):
+        seen += (x[:, k, None] == y).any(1)
+    return seen >= least
+
+
 def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, batch: int = 256) -> list[tuple[int, int, float, int]]:
     """(text, item, similarity, word where the best alignment ends), the best for each text and item."""
     items = probe.items
@@ -187,12 +198,17 @@ def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, batch: int = 2
     while lo < len(jobs):
         hi = min(len(jobs), lo + max(1, min(batch, 400_000 // int(size[by_size[min(len(jobs), lo + batch) - 1]] + 1))))
         some = by_size[lo:hi]
-        score, last = align([items.words[i] for i in jobs[some, 1]], [h[p:q] for p, q in zip(begin[some], end[some], strict=True)])
+        lo = hi
+        own, around = [items.words[i] for i in jobs[some, 1]], [h[p:q] for p, q in zip(begin[some], end[some], strict=True)]
+        hope = np.flatnonzero(_enough(own, around, np.ceil(items.least[jobs[some, 1]] * size[some] - 1e-6)))
+        if not len(hope):
+            continue
+        some = some[hope]
+        score, last = align([own[i] for i in hope], [around[i] for i in hope])
         for j, s, w in zip(some.tolist(), (score / size[some]).tolist(), last.tolist(), strict=True):
             k = (int(jobs[j, 0]), int(jobs[j, 1]))
             if s >= items.least[k[1]] - 1e-6 and s > best.get(k, (0.0, 0))[0]:
                 best[k] = (s, int(w + begin[j] - first[jobs[j, 0]]))
-        lo = hi
     return [(t, i, s, w) for (t, i), (s, w) in sorted(best.items())]
 
 
