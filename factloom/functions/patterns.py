@@ -37,26 +37,32 @@ def to_java(pattern: str) -> tuple[str, dict[str, int]]:
     return "(?Ud)" + "".join(out), names
 
 
+def extracts(column: Column, pattern: str) -> dict[str, Column]:
+    """Named groups of the first match; '' for a group that took no part."""
+    java, names = to_java(pattern)
+    return {n: F.regexp_extract(column, java, k) for n, k in names.items()}
+
+
 def groups(column: Column, pattern: str) -> dict[str, Column]:
     """Named groups of the first match; null for a group that took no part or is empty."""
-    java, names = to_java(pattern)
-    return {n: F.nullif(F.regexp_extract(column, java, k), F.lit("")) for n, k in names.items()}
+    return {n: F.nullif(c, F.lit("")) for n, c in extracts(column, pattern).items()}
 
 
 _GROUP, _MATCH = "\x01", "\x02"
 
 
-def captured(column: Column, pattern: str) -> tuple[Column, list[str]]:
-    """(array of the named groups of the first match, their names): one pass of the pattern over a line.
+def captured(raw: Column, pattern: str) -> tuple[Column, list[str]]:
+    """(array of the named groups of the first match, their names): one pass of the pattern over a stripped line.
 
     The array is null without a match; a group that took no part is empty. Lines that hold the marks
-    themselves take a pass for each group.
+    themselves, which aren't white space, take a pass for each group.
     """
+    column = strip(raw)
     java, names = to_java(pattern)
     marked = F.regexp_replace(column, java, _MATCH + _GROUP.join(f"${k}" for k in names.values()) + _MATCH)
     once = F.split(F.get(F.split(marked, _MATCH), F.lit(1)), _GROUP)
     each = F.when(column.rlike(java), F.array(*(F.regexp_extract(column, java, k) for k in names.values())).cast("array<string>"))
-    return F.when(column.contains(_GROUP) | column.contains(_MATCH), each).otherwise(once), list(names)
+    return F.when(raw.contains(_GROUP) | raw.contains(_MATCH), each).otherwise(once), list(names)
 
 
 def found(column: Column, pattern: str) -> Column:
@@ -72,9 +78,15 @@ def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(_WHITE))
 
 
+def fill(template: str | None, tokens: Mapping[str, Column]) -> Column:
+    """Fill ${name} from tokens ('' if absent), strip; each token is read once."""
+    pieces = re.split(r"\$\{([^}]*)\}", template or "")
+    if len(pieces) == 1:
+        return F.lit(pieces[0].strip(_WHITE))
+    parts = [F.coalesce(tokens[p], F.lit("")) if k % 2 else F.lit(p) for k, p in enumerate(pieces) if (p in tokens if k % 2 else p)]
+    return strip(F.concat(*parts)) if parts else F.lit("")
+
+
 def render(template: str | None, tokens: Mapping[str, Column]) -> Column:
-    """Fill ${name} from tokens ('' if absent), strip; null if nothing is left."""
-    if template is None:
-        return F.lit(None).cast("string")
-    parts = [F.coalesce(tokens[p], F.lit("")) if k % 2 and p in tokens else F.lit("" if k % 2 else p) for k, p in enumerate(re.split(r"\$\{([^}]*)\}", template))]
-    return F.nullif(strip(F.concat(*parts)), F.lit(""))
+    """``fill``; null if nothing is left."""
+    return F.nullif(fill(template, tokens), F.lit(""))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.patterns import captured, found, groups, render, strip
+from factloom.functions.patterns import captured, extracts, fill, found, strip, to_java
 from factloom.plans.connector import Condition, Connector, execution_order
 
 
@@ -46,10 +46,9 @@ def key_values(raw: Column) -> Column:
 
 def parse(obs: DataFrame, connector: Connector) -> DataFrame:
     """obs with ``tokens`` and ``parsed``; lines that the connector can't read have parsed false."""
-    line = strip(F.col("raw"))
     if connector.pattern is None:
         return obs.withColumn("tokens", key_values(F.col("raw"))).withColumn("parsed", F.coalesce(F.size("tokens") > 0, F.lit(False)))
-    got, names = captured(line, connector.pattern)
+    got, names = captured(F.col("raw"), connector.pattern)
     # one row for each line: a generated column is computed once, however often rules and filters read it
     once = obs.select("*", F.explode(F.array(got)).alias("__got"))
     tokens = F.struct(*(F.nullif(F.col("__got")[i], F.lit("")).alias(n) for i, n in enumerate(names)))
@@ -67,11 +66,11 @@ def drift_counts(parsed: DataFrame) -> DataFrame:
 
 
 def _test(c: Condition, tokens: dict | Mapping) -> tuple[Column, dict[str, Column]]:
-    """(condition, tokens that it binds)."""
+    """(condition, tokens that it binds, '' for those that took no part)."""
     value = tokens[c.field] if c.field in tokens else F.lit(None).cast("string")
     if c.matches is not None:
         text = F.coalesce(value, F.lit(""))
-        return found(text, c.matches), groups(text, c.matches)
+        return found(text, c.matches), extracts(text, c.matches)
     if c.equals is not None:
         return F.coalesce(value == c.equals, F.lit(False)), {}
     if c.contains is not None:
@@ -104,28 +103,32 @@ class _Bound(Mapping):
 
 
 def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
-    """Rows that parsed, with the struct of the first rule that holds: one CASE over all rules."""
+    """Rows that parsed, with the struct of the first rule that holds: one CASE over all rules.
+
+    Within the CASE a template that comes out empty stays empty; it becomes null behind it, so that no
+    pattern runs a second time for the comparison.
+    """
     if connector.pattern is None:
         base: Mapping = _MapTokens(F.col("tokens"))
     else:
-        base = {n: F.col("tokens")[n] for n in groups(F.lit(""), connector.pattern)}
+        base = {n: F.col("tokens")[n] for n in to_java(connector.pattern)[1]}
 
     def outcome(rule: str, action: Column, kind: Column, risk: str, actor: Column, target: Column, ip: Column) -> Column:
         return F.struct(F.lit(rule).alias("rule_id"), action.alias("action"), kind.alias("class"), F.lit(risk).alias("risk"), actor.alias("actor"), target.alias("target"), ip.alias("source_ip"))
 
-    none = F.lit(None).cast("string")
+    empty = F.lit("")
     chain = None
     for rule in connector.rules:
         holds, bound = F.lit(True), {}
         for c in rule.when:
-            test, got = _test(c, _Bound(base, dict(bound)))
+            test, got = _test(c, _Bound(base, {n: F.nullif(v, empty) for n, v in bound.items()}))
             holds, bound = holds & test, {**bound, **got}
-        tokens = _Bound(base, bound)
-        text = lambda t, d, tokens=tokens: F.coalesce(render(t, tokens), F.lit(d))
-        made = outcome(rule.id, text(rule.action, ""), text(rule.behavior_class, ""), rule.risk, render(rule.actor, tokens), render(rule.target, tokens), render(rule.source_ip, tokens))
+        made = outcome(rule.id, *(fill(t, _Bound(base, bound)) for t in (rule.action, rule.behavior_class)), rule.risk, *(fill(t, _Bound(base, bound)) for t in (rule.actor, rule.target, rule.source_ip)))
         chain = F.when(holds, made) if chain is None else chain.when(holds, made)
-    unmatched = outcome("__unmatched__", F.lit("log.unknown"), F.lit("observation"), "Low", none, none, none)
-    return parsed.filter("parsed").withColumn("semantic", unmatched if chain is None else chain.otherwise(unmatched))
+    unmatched = outcome("__unmatched__", F.lit("log.unknown"), F.lit("observation"), "Low", empty, empty, empty)
+    chosen = parsed.filter("parsed").withColumn("semantic", unmatched if chain is None else chain.otherwise(unmatched))
+    filled = (F.nullif(F.col("semantic")[n], empty).alias(n) for n in ("actor", "target", "source_ip"))
+    return chosen.withColumn("semantic", F.struct(*(F.col("semantic")[n].alias(n) for n in ("rule_id", "action", "class", "risk")), *filled))
 
 
 def fact_id() -> Column:
