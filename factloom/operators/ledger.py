@@ -134,49 +134,112 @@ def seal_segments(facts: DataFrame, segment: str, block_facts: int = BLOCK_FACTS
     return chained(fold(fold(single, ["segment", "block"], "leaf"), ["segment"], "root"), "segment")
 
 
-def bad_facts(sealed: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
+def _walked(sealed: DataFrame, anchors: DataFrame | None, block_facts: int, base: int, after: tuple[int, str] | None) -> DataFrame:
+    """(block, lsn, kind, root, reason, at, held) of facts and anchor rows, in one shuffle by block.
+
+    Each row is held against the fact before it, which equals the sequential walk by induction. A fact is bad if
+    its leaf or root is wrong, if it comes twice or after a gap; an anchor row if the fact that it names as its last
+    isn't there ("missing") or has another root ("anchor"). at: the first number that a fault puts in doubt;
+    held: good facts of the block before it.
+    """
+    whole = F.coalesce(F.col("leaf") == leaf_hash(sealed), F.lit(False))
+    rows = sealed.select("block", "lsn", F.lit(0).alias("kind"), "root", "leaf", whole.alias("whole"), F.col("lsn").alias("first"))
+    if anchors is not None:
+        rows = rows.union(anchors.select("block", F.col("last_lsn").alias("lsn"), F.lit(1), "root", F.lit(None).cast("string"), F.lit(True), F.col("first_lsn")))
+    order = Window.partitionBy("block").orderBy("lsn", "kind", "root")
+    past = order.rowsBetween(Window.unboundedPreceding, -1)
+    fact = lambda c: F.last(F.when(F.col("kind") == 0, F.col(c)), ignorenulls=True).over(past)
+    rows = rows.withColumns({"last": fact("lsn"), "before": fact("root")})
+    start = F.col("block") * block_facts + base + 1
+    opens = F.col("lsn") == start
+    if after is not None:
+        goes_on = F.col("last").isNull() & (F.col("lsn") == after[0] + 1) & ~opens
+        rows = rows.withColumn("before", F.when(goes_on, F.lit(after[1])).otherwise(F.col("before"))).withColumn("last", F.when(goes_on, F.lit(after[0])).otherwise(F.col("last")))
+    right = F.sha2(F.concat(F.when(opens, "").otherwise(F.coalesce("before", F.lit("?"))), "leaf"), 256)
+    reason = F.when(
+        F.col("kind") == 0,
+        F.when(F.col("lsn") == F.col("last"), "double")
+        .when(~F.col("whole"), "leaf")
+        .when(~opens & F.col("last").isNotNull() & (F.col("last") != F.col("lsn") - 1), "gap")
+        .when((opens | F.col("last").isNotNull()) & F.coalesce(F.col("root") != right, F.lit(True)), "root"),
+    ).otherwise(F.when(~F.coalesce(F.col("last") == F.col("lsn"), F.lit(False)), "missing").when(F.coalesce(F.col("root") != F.col("before"), F.lit(True)), "anchor"))
+    next_one = F.coalesce(F.col("last") + 1, start)
+    at = F.when(F.col("kind") == 0, F.col("lsn")).when(reason == "anchor", F.col("first")).otherwise(F.least(next_one, F.col("lsn")))
+    held = F.when(reason == "gap", next_one).otherwise(at) - start
+    return rows.select("block", "lsn", "kind", "root", reason.alias("reason"), at.alias("at"), F.greatest(held, F.lit(0)).alias("held"))
+
+
+def _blocks(walked: DataFrame) -> DataFrame:
+    """One row for each block of what _walked gives: its facts, the numbers that they span, its last root, its first fault."""
+    fact = F.col("kind") == 0
+    of = lambda column, cond: F.when(cond, F.col(column))
+    return walked.groupBy("block").agg(
+        F.min(of("lsn", fact)).alias("first_lsn"), F.max(of("lsn", fact)).alias("last_lsn"), F.count_if(fact).alias("facts"), F.max_by("root", of("lsn", fact)).alias("root"),
+        F.max(of("lsn", ~fact)).alias("anchored_lsn"), F.min(F.when(F.col("reason").isNotNull(), F.struct("at", "held"))).alias("fault"),
+    )
+
+
+def _edges(blocks: DataFrame, base: int, after: tuple[int, str] | None) -> DataFrame:
+    """(block, at, held) where a block doesn't go on from the one before it, or the first from what is expected.
+
+    One row for each block passes through the ordered window.
+    """
+    expected = base if after is None else after[0]
+    ends = F.coalesce(F.max("last_lsn").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(expected))
+    return blocks.filter("first_lsn is not null").select("block", F.col("first_lsn").alias("at"), ends.alias("ends")).filter("at != ends + 1").select("block", "at", F.lit(0).cast("long").alias("held"))
+
+
+def bad_facts(sealed: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN, after: tuple[int, str] | None = None) -> DataFrame:
     """(lsn, reason) of facts whose leaf or root is wrong, that come twice, or after a gap.
 
-    One shuffle by block; each row is held against its predecessor's root, which equals the sequential walk
-    by induction. A gap at a block's border shows in the blocks' first and last numbers.
+    A gap at a block's border shows in the blocks' first and last numbers; the first fact must have the number
+    after base, or that after the tail ``after`` (number, root) from which sealed goes on.
+    """
+    walked = _walked(sealed, None, block_facts, base, after)
+    gaps = _edges(_blocks(walked), base, after).select(F.col("at").alias("lsn"), F.lit("gap").alias("reason"))
+    return walked.filter("reason is not null").select("lsn", "reason").union(gaps).distinct()
+
+
+def anchor_faults(anchors: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
+    """(block, at, held) of anchor rows that the chain of anchors doesn't bear out.
+
+    A row covers the facts from first_lsn to last_lsn of its block; the row that ends before it has the anchor that
+    its own is chained to, so that all rows are checked at once by an equi-join.
+    """
+    ends = anchors.groupBy((F.col("last_lsn") + 1).alias("first_lsn")).agg(F.min("anchor").alias("before"), F.count("*").alias("n"))
+    same = anchors.groupBy("first_lsn").agg(F.count("*").alias("rows"))
+    met = anchors.join(ends, "first_lsn", "left").join(same, "first_lsn")
+    before = F.when(F.col("first_lsn") == base + 1, "").when(F.col("n") == 1, F.col("before"))
+    start = F.col("block") * block_facts + base + 1
+    inside = (F.col("first_lsn") >= start) & (F.col("last_lsn") < start + block_facts) & (F.col("facts") == F.col("last_lsn") - F.col("first_lsn") + 1)
+    right = inside & (F.col("rows") == 1) & (F.col("anchor") == F.sha2(F.concat(before, F.col("root")), 256))
+    return met.filter(~F.coalesce(right, F.lit(False))).select("block", F.col("first_lsn").alias("at"), F.greatest(F.col("first_lsn") - start, F.lit(0)).alias("held"))
+
+
+def verify(sealed: DataFrame, anchors: DataFrame | None = None, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN, trusted: str | None = None) -> DataFrame:
+    """One row (status, facts, root): INTEG_OK or VIOLATED, facts before the first one in doubt, last root.
+
+    Facts are read and shuffled once, by block, without their content; what is left is one row for each block.
+    Anchors bind the blocks: each row's root is that of the fact it ends with, and its anchor follows from the row
+    before it. A row that doesn't hold puts all that it covers in doubt. trusted: the last anchor as known from
+    elsewhere; without it, whoever rewrites facts, roots and all later anchors goes unnoticed.
     """
-    order = Window.partitionBy("block").orderBy("lsn", "root")
-    last, before = F.lag("lsn").over(order), F.lag("root").over(order)
-    rows = sealed.withColumns({"__last": last, "__before": before})
-    opens = (F.col("lsn") - base - 1) % block_facts == 0
-    right = F.sha2(F.concat(F.when(opens, "").otherwise(F.coalesce("__before", F.lit("?"))), "leaf"), 256)
-    reason = (
-        F.when(F.col("lsn") == F.col("__last"), "double")
-        .when(F.coalesce(F.col("leaf") != leaf_hash(sealed), F.lit(True)), "leaf")
-        .when(~opens & F.col("__last").isNotNull() & (F.col("__last") != F.col("lsn") - 1), "gap")
-        .when((opens | F.col("__last").isNotNull()) & F.coalesce(F.col("root") != right, F.lit(True)), "root")
-    )
-    edges = block_roots(sealed).select("block", "first_lsn", "last_lsn")
-    ahead = edges.select((F.col("block") + 1).alias("block"), F.col("last_lsn").alias("ends"))
-    start = edges.agg(F.min("block").alias("start"))
-    broken = edges.join(ahead, "block", "left").crossJoin(F.broadcast(start))
-    whole = F.coalesce(F.col("ends") == F.col("first_lsn") - 1, F.lit(False)) & (F.col("first_lsn") == base + 1 + F.col("block") * block_facts)
-    head = (F.col("block") == F.col("start")) & (F.col("first_lsn") == base + 1 + F.col("block") * block_facts)
-    gaps = broken.filter(~whole & ~head).select(F.col("first_lsn").alias("lsn"), F.lit("gap").alias("reason"))
-    return rows.select("lsn", reason.alias("reason")).filter("reason is not null").union(gaps).distinct()
-
-
-def anchor_faults(sealed: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(lsn) of the last fact of blocks that differ from their anchors in number, last fact or root."""
-    latest = anchors.groupBy("block").agg(F.max("last_lsn").alias("anchored_lsn"), F.max_by("root", "last_lsn").alias("anchored_root"), F.sum("facts").alias("anchored_facts"))
-    both = block_roots(sealed).join(latest, "block", "full")
-    same = (F.col("last_lsn") == F.col("anchored_lsn")) & (F.col("root") == F.col("anchored_root")) & (F.col("facts") == F.col("anchored_facts"))
-    return both.filter(~F.coalesce(same, F.lit(False))).select(F.least("last_lsn", "anchored_lsn").alias("lsn"))
-
-
-def verify(sealed: DataFrame, anchors: DataFrame | None = None, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
-    """One row (status, facts, root): INTEG_OK or VIOLATED, facts before the first bad one, last root."""
-    bad = bad_facts(sealed, block_facts, base).agg(F.min("lsn").alias("bad"))
-    off = (anchor_faults(sealed, anchors) if anchors is not None else sealed.select("lsn").limit(0)).agg(F.min("lsn").alias("off"))
-    last = sealed.agg(F.max_by("root", "lsn").alias("root"))
-    counted = sealed.crossJoin(F.broadcast(bad)).agg(F.count_if(F.col("bad").isNull() | (F.col("lsn") < F.col("bad"))).alias("facts"), F.max("bad").alias("bad"))
-    ok = F.col("bad").isNull() & F.col("off").isNull()
-    return counted.crossJoin(last).crossJoin(off).select(F.when(ok, "INTEG_OK").otherwise("VIOLATED").alias("status"), "facts", "root")
+    blocks = scratch(_blocks(_walked(sealed, anchors, block_facts, base, None)), "blocks")
+    faults = blocks.filter("fault is not null").select("block", "fault.at", "fault.held").union(_edges(blocks, base, None))
+    if anchors is not None:
+        start = F.col("block") * block_facts + base + 1
+        beyond = F.coalesce(F.col("anchored_lsn") + 1, F.col("first_lsn"))
+        faults = faults.union(blocks.filter("facts > 0 and (anchored_lsn is null or last_lsn > anchored_lsn)").select("block", beyond.alias("at"), (beyond - start).alias("held")))
+        faults = faults.union(anchor_faults(anchors, block_facts, base))
+        if trusted is not None:
+            tail = anchors.agg(F.max_by(F.struct("block", "anchor", "first_lsn"), "last_lsn").alias("t"))
+            wrong = tail.filter(~F.coalesce(F.col("t.anchor") == trusted, F.lit(False)))
+            faults = faults.union(wrong.select(F.coalesce("t.block", F.lit(0)).cast("long"), F.coalesce("t.first_lsn", F.lit(base + 1)).alias("at"), F.lit(0).cast("long")))
+    first = faults.agg(F.min(F.struct("at", "block", "held")).alias("f"))
+    good = F.when(F.col("f").isNull() | (F.col("block") < F.col("f.block")), F.col("facts")).when(F.col("block") == F.col("f.block"), F.least("facts", "f.held")).otherwise(0)
+    counted = blocks.crossJoin(F.broadcast(first)).agg(F.coalesce(F.sum(good), F.lit(0)).alias("facts"), F.max_by("root", "last_lsn").alias("root"))
+    status = F.when(F.col("f").isNull(), "INTEG_OK").otherwise("VIOLATED")
+    return counted.crossJoin(F.broadcast(first)).select(status.alias("status"), "facts", "root")
 
 
 def tamper(sealed: DataFrame, lsn: int) -> DataFrame:

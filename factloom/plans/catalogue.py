@@ -95,6 +95,24 @@ def _check(change: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
     return run
 
 
+def _reforged(spark: SparkSession, d: str) -> DataFrame:
+    """Verification after one fact was changed, its block sealed anew and its anchor row given the new root."""
+    path = _store(spark, d)
+    facts, anchors = store.read(spark, path), store.anchors(spark, path)
+    own = (TAMPERED - ledger.BASE_LSN - 1) // BLOCK
+    forged = ledger.seal(ledger.tamper(facts.filter(F.col("block") == own), TAMPERED).drop(*ledger.INTEGRITY), BLOCK).select(*facts.columns)
+    roots = ledger.block_roots(forged).select("block", F.col("root").alias("forged"))
+    rows = anchors.join(roots, "block", "left").withColumn("root", F.coalesce("forged", "root")).drop("forged")
+    return ledger.verify(facts.filter(F.col("block") != own).union(forged), rows, BLOCK).select("status", "facts")
+
+
+def _reanchored(spark: SparkSession, d: str) -> DataFrame:
+    """Verification after the anchors from the second block on were overwritten."""
+    path = _store(spark, d)
+    rows = store.anchors(spark, path).withColumn("anchor", F.when(F.col("block") > 0, "x").otherwise(F.col("anchor")))
+    return ledger.verify(store.read(spark, path), rows, BLOCK).select("status", "facts")
+
+
 def _ssh(spark: SparkSession, d: str) -> DataFrame:
     e = spread(spark.read.parquet(f"{d}/events.parquet"))
     user = F.col("user_id").cast("string")
@@ -239,6 +257,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_blocks": lambda s, d: store.verify(s, _store(s, d), BLOCK).select("status", "facts"),
     "verify_doubled": _check(lambda x: x.union(x.filter(F.col("lsn") == TAMPERED))),
     "verify_lost_tail": _check(lambda x: x.filter(F.col("lsn") < TAMPERED)),
+    "verify_forged_block": _reforged,
+    "verify_forged_anchor": _reanchored,
+    "verify_lost_head": _check(lambda x: x.filter(F.col("block") > 0)),
     "store_append": lambda s, d: store.anchors(s, _append(s, d)).select("block", "first_lsn", "last_lsn", "facts", "root"),
     "anchor": lambda s, d: store.anchors(s, _store(s, d)).select("block", "anchor"),
     "append_accepted": lambda s, d: views.accepts(_replicas(s, d)[1], ledger.BASE_LSN + 900, (_stored(s, d).filter(F.col("lsn") == ledger.BASE_LSN + 900).select("root").first() or ("",))[0]),
@@ -328,6 +349,9 @@ ORACLE_SQL: dict[str, str] = {
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "verify_forged_block": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(500 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "verify_forged_anchor": _f("SELECT CASE WHEN count(*) > 500 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, least(count(*), CAST(500 AS BIGINT)) AS facts FROM facts"),
+    "verify_lost_head": _f("SELECT CASE WHEN count(*) > 0 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CAST(0 AS BIGINT) AS facts FROM facts"),
     "replica_catch_up": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "nested_facts": _f(f", {_IDS} SELECT fact_id, actor AS actor_id, risk AS risk_level, lsn AS log_sequence_number, rule_id AS matched_rule, true AS sealed FROM facts JOIN i USING (seq)"),
     "append_accepted": _f("SELECT count(*) >= 900 AS accepted FROM facts"),

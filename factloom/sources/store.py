@@ -32,6 +32,12 @@ def tail(spark: SparkSession, path: str) -> tuple[int, str, str, int] | None:
     return None if t[0] is None else tuple(t)
 
 
+def block_size(spark: SparkSession, path: str) -> int:
+    """Facts in a block of a store, as far as its anchors show: where the second block begins, or else the usual number."""
+    second = anchors(spark, path).filter("block = 1").agg(F.min("first_lsn")).first()[0]
+    return ledger.BLOCK_FACTS if second is None else second - ledger.BASE_LSN - 1
+
+
 def append(facts: DataFrame, path: str, batch_id: int | None = None, block_facts: int = ledger.BLOCK_FACTS) -> None:
     """Number, seal and store facts after a store's tail. A batch_id that is stored already is skipped."""
     spark = facts.sparkSession
@@ -51,8 +57,9 @@ def append(facts: DataFrame, path: str, batch_id: int | None = None, block_facts
 def catch_up(spark: SparkSession, leader: str, follower: str, upto: int | None = None) -> bool:
     """Append to the follower's store, as they are, the leader's facts after its tail; whether it accepts them.
 
-    It does if the leader's fact at the follower's tail has the same root; an empty follower accepts all.
-    upto: the last number to take over, by default the leader's tail.
+    It does if the leader's fact at the follower's tail has the same root (an empty follower asks for none) and the
+    leaves, numbers and chains of what comes in go on from there; only then are they anchored, so that facts which
+    are refused don't count. upto: the last number to take over, by default the leader's tail.
     """
     end = tail(spark, follower)
     base = end[0] if end else ledger.BASE_LSN
@@ -62,7 +69,10 @@ def catch_up(spark: SparkSession, leader: str, follower: str, upto: int | None =
     new = facts.filter((F.col("lsn") > base) & (F.col("lsn") <= upto if upto is not None else F.lit(True)))
     where = f"{follower}/facts/append={base + 1}"
     new.write.mode("overwrite").parquet(where)
-    made = ledger.block_roots(spark.read.schema(facts.schema).parquet(where).select("block", "lsn", "root"))
+    came = spark.read.schema(facts.schema).parquet(where)
+    if not ledger.bad_facts(came, block_size(spark, leader), after=end and end[:2]).isEmpty():
+        return False
+    made = ledger.block_roots(came.select("block", "lsn", "root"))
     rows = ledger.chained(made, "block", end[2] if end else "").withColumn("batch_id", F.lit(None).cast("long"))
     scratch(rows, "anchors").coalesce(1).write.mode("append").parquet(f"{follower}/anchors")
     return True
@@ -75,7 +85,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return facts.filter(F.col("lsn") <= (end[0] if end else ledger.BASE_LSN))
 
 
-def verify(spark: SparkSession, path: str, block_facts: int = ledger.BLOCK_FACTS) -> DataFrame:
+def verify(spark: SparkSession, path: str, block_facts: int = ledger.BLOCK_FACTS, trusted: str | None = None) -> DataFrame:
     """One row (status, facts, root): ERROR without a store, CORRUPTED where its files or columns aren't a
     store's, else what ledger.verify says of its facts and anchors."""
     try:
@@ -85,4 +95,4 @@ def verify(spark: SparkSession, path: str, block_facts: int = ledger.BLOCK_FACTS
         return spark.createDataFrame([(status, 0, None)], "status string, facts long, root string")
     if NEEDED - set(facts.columns):
         return spark.createDataFrame([("CORRUPTED", 0, None)], "status string, facts long, root string")
-    return ledger.verify(read(spark, path), anchors(spark, path), block_facts)
+    return ledger.verify(read(spark, path), anchors(spark, path), block_facts, trusted=trusted)
