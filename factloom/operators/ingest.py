@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.patterns import captured, extracts, fill, found, strip, to_java
+from factloom.functions.patterns import ALWAYS, ASKED, captured, extracts, fill, found, participation, strip, to_java, told_apart, took_part
 from factloom.plans.connector import Condition, Connector, execution_order
 
 
@@ -51,7 +51,8 @@ def parse(obs: DataFrame, connector: Connector) -> DataFrame:
     got, names = captured(F.col("raw"), connector.pattern)
     # one row for each line: a generated column is computed once, however often rules and filters read it
     once = obs.select("*", F.explode(F.array(got)).alias("__got"))
-    tokens = F.struct(*(F.nullif(F.col("__got")[i], F.lit("")).alias(n) for i, n in enumerate(names)))
+    each = told_apart(strip(F.col("raw")), connector.pattern, {n: F.col("__got")[i] for i, n in enumerate(names)})
+    tokens = F.struct(*(c.alias(n) for n, c in each.items()))
     return once.withColumns({"tokens": tokens, "parsed": F.col("__got").isNotNull()}).drop("__got")
 
 
@@ -65,12 +66,25 @@ def drift_counts(parsed: DataFrame) -> DataFrame:
     return parsed.agg(F.count_if("parsed").alias("sealed"), F.count_if(~F.col("parsed")).alias("quarantined"))
 
 
-def _test(c: Condition, tokens: dict | Mapping) -> tuple[Column, dict[str, Column]]:
-    """(condition, tokens that it binds, '' for those that took no part)."""
+def _test(c: Condition, tokens: dict | Mapping) -> tuple[Column, dict[str, tuple[Column, Column]]]:
+    """(condition, tokens that it binds, each for templates and for conditions).
+
+    A group that took no part leaves the token of its name as it is. Where there is none, it is empty in a template,
+    which saves a second pass for the comparison, and null in a condition.
+    """
     value = tokens[c.field] if c.field in tokens else F.lit(None).cast("string")
     if c.matches is not None:
         text = F.coalesce(value, F.lit(""))
-        return found(text, c.matches), extracts(text, c.matches)
+        kinds = participation(c.matches)
+
+        def bind(name: str, got: Column) -> tuple[Column, Column]:
+            if kinds[name] == ALWAYS:
+                return got, got
+            base = tokens[name] if name in tokens else F.lit(None).cast("string")
+            told = F.when(took_part(text, c.matches, name) if kinds[name] == ASKED else got != "", got).otherwise(base)
+            return (got if name not in tokens else told), told
+
+        return found(text, c.matches), {n: bind(n, got) for n, got in extracts(text, c.matches).items()}
     if c.equals is not None:
         return F.coalesce(value == c.equals, F.lit(False)), {}
     if c.contains is not None:
@@ -102,16 +116,12 @@ class _Bound(Mapping):
         return len(self.over)
 
 
-def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
-    """Rows that parsed, with the struct of the first rule that holds: one CASE over all rules.
+def rule_outcome(base: Mapping, connector: Connector) -> Column:
+    """Struct of the first rule of a connector that holds on the tokens: one CASE over all rules.
 
-    Within the CASE a template that comes out empty stays empty; it becomes null behind it, so that no
+    A template that comes out empty stays empty here; ``emptied`` makes it null behind the CASE, so that no
     pattern runs a second time for the comparison.
     """
-    if connector.pattern is None:
-        base: Mapping = _MapTokens(F.col("tokens"))
-    else:
-        base = {n: F.col("tokens")[n] for n in to_java(connector.pattern)[1]}
 
     def outcome(rule: str, action: Column, kind: Column, risk: str, actor: Column, target: Column, ip: Column) -> Column:
         return F.struct(F.lit(rule).alias("rule_id"), action.alias("action"), kind.alias("class"), F.lit(risk).alias("risk"), actor.alias("actor"), target.alias("target"), ip.alias("source_ip"))
@@ -121,14 +131,30 @@ def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
     for rule in connector.rules:
         holds, bound = F.lit(True), {}
         for c in rule.when:
-            test, got = _test(c, _Bound(base, {n: F.nullif(v, empty) for n, v in bound.items()}))
+            test, got = _test(c, _Bound(base, {n: told for n, (_, told) in bound.items()}))
             holds, bound = holds & test, {**bound, **got}
-        made = outcome(rule.id, *(fill(t, _Bound(base, bound)) for t in (rule.action, rule.behavior_class)), rule.risk, *(fill(t, _Bound(base, bound)) for t in (rule.actor, rule.target, rule.source_ip)))
+        tokens = _Bound(base, {n: text for n, (text, _) in bound.items()})
+        made = outcome(rule.id, *(fill(t, tokens) for t in (rule.action, rule.behavior_class)), rule.risk, *(fill(t, tokens) for t in (rule.actor, rule.target, rule.source_ip)))
         chain = F.when(holds, made) if chain is None else chain.when(holds, made)
     unmatched = outcome("__unmatched__", F.lit("log.unknown"), F.lit("observation"), "Low", empty, empty, empty)
-    chosen = parsed.filter("parsed").withColumn("semantic", unmatched if chain is None else chain.otherwise(unmatched))
-    filled = (F.nullif(F.col("semantic")[n], empty).alias(n) for n in ("actor", "target", "source_ip"))
-    return chosen.withColumn("semantic", F.struct(*(F.col("semantic")[n].alias(n) for n in ("rule_id", "action", "class", "risk")), *filled))
+    return unmatched if chain is None else chain.otherwise(unmatched)
+
+
+def emptied(semantic: str) -> Column:
+    """A rule's outcome with null for templates that came out empty."""
+    filled = (F.nullif(F.col(semantic)[n], F.lit("")).alias(n) for n in ("actor", "target", "source_ip"))
+    return F.struct(*(F.col(semantic)[n].alias(n) for n in ("rule_id", "action", "class", "risk")), *filled)
+
+
+def token_columns(connector: Connector, tokens: Column) -> Mapping:
+    """The tokens by name: the fields of a pattern's struct, or lookups in a map."""
+    return _MapTokens(tokens) if connector.pattern is None else {n: tokens[n] for n in to_java(connector.pattern)[1]}
+
+
+def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
+    """Rows that parsed, with the struct of the first rule that holds."""
+    chosen = parsed.filter("parsed").withColumn("semantic", rule_outcome(token_columns(connector, F.col("tokens")), connector))
+    return chosen.withColumn("semantic", emptied("semantic"))
 
 
 def fact_id() -> Column:
@@ -141,12 +167,17 @@ def fact_id() -> Column:
 
 def facts(obs: DataFrame, connector: Connector) -> DataFrame:
     """One flat fact for each line that parses."""
+    return as_facts(classify(parse(obs, connector), connector), F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name))
+
+
+def as_facts(classified: DataFrame, confidence: Column, steps: Column, version: Column) -> DataFrame:
+    """Observations with ``semantic`` as flat facts, with what their connector says of itself."""
     s = F.col("semantic")
-    return classify(parse(obs, connector), connector).select(
+    return classified.select(
         "seq", fact_id().alias("fact_id"), "obs_ts", "source", "raw", s["rule_id"].alias("rule_id"), s["action"].alias("action"), s["class"].alias("class"), s["risk"].alias("risk"),
         s["actor"].alias("actor"), s["target"].alias("target"), s["source_ip"].alias("source_ip"),
-        F.unix_micros("obs_ts").alias("system_timestamp"), F.lit(connector.confidence).alias("confidence"),
-        F.concat(F.lit("s256:"), F.sha2(F.col("raw"), 256)).alias("raw_hash"), F.array(*map(F.lit, execution_order(connector.steps))).alias("steps"), F.lit(connector.name).alias("knowledge_version"),
+        F.unix_micros("obs_ts").alias("system_timestamp"), confidence.alias("confidence"),
+        F.concat(F.lit("s256:"), F.sha2(F.col("raw"), 256)).alias("raw_hash"), steps.alias("steps"), version.alias("knowledge_version"),
     )
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.patterns import groups, strip
-from factloom.operators import behavior, evolve, ingest, ledger, views
+from factloom.operators import behavior, evolve, ingest, ledger, route, views
 from factloom.operators.search import nested, search
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature, execution_order
 from factloom.sources import store
-from factloom.sources.lines import event_lines, spread
+from factloom.sources.lines import event_line, event_lines, spread
 from factloom.sources.shared import shared_folder
 from factloom.streaming.pipeline import behavior_stream, ingest_to
 
@@ -127,6 +127,26 @@ def _kv(spark: SparkSession, d: str) -> DataFrame:
     return ingest.facts(e.select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("obs_ts"), F.lit("kv").alias("source"), raw.alias("raw")), KEY_VALUE)
 
 
+#: Three connectors by source; lines of unknown sources are offered to two of them.
+REGISTRY = route.Registry({"db": DATABASE, "edge": SSH, "app": KEY_VALUE}, (DATABASE, SSH))
+WATCH = {"postgresql": (WEEK,), "linux_sshd": (Signature("ssh_week", "authentication.failure", 604_800, 4, "brute_force_attack", "Critical"),), "keyvalue_generic": (Signature("kv_week", "data.deletion.failure", 604_800, 3, "sabotage_attempt", "Critical"),)}
+
+
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    """The events as lines of several sources: of three kinds, with garbage, from known sources and from one that isn't."""
+    e = spread(spark.read.parquet(f"{d}/events.parquet"))
+    user, k = F.col("user_id").cast("string"), F.col("event_id") % 7
+    ssh = F.concat(F.lit("<13> u"), user, F.lit(" failed password for db"), user, F.lit(" from 10.0.0."), (F.col("user_id") % 200).cast("string"))
+    kv = F.concat(F.lit("USER=u"), user, F.when(F.col("event_type") == "error", F.lit(" ACTION=drop_table STATUS=failed TARGET=t")).otherwise(F.lit(" ACTION=read STATUS=ok TARGET=t")), (F.col("event_id") % 9).cast("string"))
+    raw = F.when(k.isin(0, 1, 4), event_line()).when(k.isin(2, 5), ssh).otherwise(kv)
+    source = F.when(k.isin(0, 1), "db").when(k == 2, "edge").when(k == 3, "app").otherwise("unknown")
+    return e.select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("obs_ts"), source.alias("source"), raw.alias("raw"))
+
+
+def _dealt(spark: SparkSession, d: str) -> DataFrame:
+    return route.deal(_mixed(spark, d), REGISTRY)
+
+
 def _drift(spark: SparkSession, d: str) -> DataFrame:
     return ingest.quarantine(ingest.parse(_obs(spark, d), DATABASE)).select("seq", "raw")
 
@@ -167,6 +187,13 @@ def _by_rule(*when: Condition, actor: str = "${user}") -> Callable[[SparkSession
     return lambda s, d: ingest.facts(_obs(s, d), rule)
 
 
+#: A pattern with a group that may match empty and one that may take no part or match empty.
+NUMBERED = Connector(
+    "numbered", 1.0, r"\[(?P<pid>\d+)\] (?P<rest>.*?)(?P<num>\d*)(?:!(?P<user>\w*))?$",
+    (Rule("ends_plain", (Condition("num", equals=""),), actor="${pid}"), Rule("ends_in_seven", (Condition("num", matches="7$"),), actor="n${num}"), Rule("no_user", (Condition("user", equals=""),))), (),
+)
+
+
 def _streamed(lateness: str | None) -> Callable[[SparkSession, str], DataFrame]:
     """The week's window as a stream over files in the shared folder, until all of them are read."""
 
@@ -257,6 +284,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_blocks": lambda s, d: store.verify(s, _store(s, d), BLOCK).select("status", "facts"),
     "verify_doubled": _check(lambda x: x.union(x.filter(F.col("lsn") == TAMPERED))),
     "verify_lost_tail": _check(lambda x: x.filter(F.col("lsn") < TAMPERED)),
+    "route_facts": lambda s, d: route.facts(_dealt(s, d), REGISTRY).select(*FACT, "source", "source_ip", "knowledge_version", "confidence"),
+    "route_unrouted": lambda s, d: route.unrouted(_dealt(s, d)).select("seq", "source", "raw", "reason"),
+    "route_counters": lambda s, d: route.counters(_dealt(s, d)),
+    "route_escalation": lambda s, d: route.escalate(route.facts(_dealt(s, d), REGISTRY), REGISTRY, WATCH).filter("window_count > 0").select("seq", "knowledge_version", "class", "risk", "window_count"),
+    "cond_matches_optional": lambda s, d: _by_rule(Condition("message", matches=r"table t(?:(?P<user>\d\d))?"))(s, d).select("seq", "rule_id", "actor"),
+    "cond_equals_empty": lambda s, d: ingest.facts(_obs(s, d), NUMBERED).select("seq", "rule_id", "actor"),
+    "behavior_hot_actor": lambda s, d: behavior.escalate(_facts(s, d).withColumn("actor", F.when(F.col("actor") < "u5", F.col("actor"))), (WEEK,), hot_facts=100).filter("window_count > 0").select("seq", "window_count", "class"),
+    "sessions": lambda s, d: behavior.sessions(_facts(s, d), "2 hours"),
     "verify_forged_block": _reforged,
     "verify_forged_anchor": _reanchored,
     "verify_lost_head": _check(lambda x: x.filter(F.col("block") > 0)),
@@ -327,6 +362,17 @@ _LEAVES = f"{_IDS}, l AS MATERIALIZED (SELECT lsn, (lsn - 14812338) // 500 AS bl
 _CHAIN = "list_reduce(list(leaf ORDER BY lsn), lambda a, b: sha256(a || b), '')"
 _BLOCKS = f"b AS (SELECT block, min(lsn) AS first_lsn, max(lsn) AS last_lsn, count(*) AS facts, {_CHAIN} AS root FROM l GROUP BY block)"
 _ROOTS = "c(lsn, leaf, root) AS (SELECT lsn, leaf, sha256(leaf) FROM l WHERE (lsn - 14812338) % 500 = 0 UNION ALL SELECT l.lsn, l.leaf, sha256(c.root || l.leaf) FROM c JOIN l ON l.lsn = c.lsn + 1 WHERE (l.lsn - 14812338) % 500 <> 0)"
+_ROUTED = (
+    _FACTS
+    + """, mixed AS (SELECT event_id AS seq, ts, user_id, event_id % 7 AS k, event_type, epoch_us(ts) AS system_timestamp, CASE WHEN event_id % 7 IN (0, 1) THEN 'db' WHEN event_id % 7 = 2 THEN 'edge' WHEN event_id % 7 = 3 THEN 'app' ELSE 'unknown' END AS source,
+  CASE WHEN event_id % 7 IN (0, 1, 4) THEN o.raw WHEN event_id % 7 IN (2, 5) THEN '<13> u' || e.user_id || ' failed password for db' || e.user_id || ' from 10.0.0.' || e.user_id % 200
+    ELSE 'USER=u' || e.user_id || CASE WHEN event_type = 'error' THEN ' ACTION=drop_table STATUS=failed TARGET=t' ELSE ' ACTION=read STATUS=ok TARGET=t' END || event_id % 9 END AS raw
+  FROM events e JOIN (SELECT seq, raw FROM obs) o ON o.seq = e.event_id),
+routed AS (SELECT f.seq, rule_id, action, class, risk, actor, target, f.system_timestamp, source, CAST(NULL AS VARCHAR) AS source_ip, 'postgresql' AS knowledge_version, CAST(0.972 AS DOUBLE) AS confidence FROM facts f JOIN mixed USING (seq) WHERE k IN (0, 1, 4)
+  UNION ALL SELECT seq, 'ssh_auth_failure', 'authentication.failure', 'credential_attack', 'High', 'u' || user_id, 'db' || user_id, system_timestamp, source, '10.0.0.' || user_id % 200, 'linux_sshd', CAST(0.984 AS DOUBLE) FROM mixed WHERE k IN (2, 5)
+  UNION ALL SELECT seq, CASE WHEN event_type = 'error' THEN 'kv_destructive_failure' ELSE 'kv_default' END, CASE WHEN event_type = 'error' THEN 'data.deletion.failure' ELSE 'log.info' END, CASE WHEN event_type = 'error' THEN 'data_tampering' ELSE 'observation' END,
+    CASE WHEN event_type = 'error' THEN 'High' ELSE 'Low' END, 'u' || user_id, 't' || seq % 9, system_timestamp, source, NULL, 'keyvalue_generic', CAST(0.91 AS DOUBLE) FROM mixed WHERE k = 3)"""
+)
 _HIT = "SELECT seq, CASE WHEN {} THEN 'hit' ELSE '__unmatched__' END AS rule_id FROM p"
 ORACLE_SQL: dict[str, str] = {
     "cond_equals": _f(_HIT.format("t.db = 'prod'")),
@@ -349,6 +395,18 @@ ORACLE_SQL: dict[str, str] = {
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "route_facts": "WITH {} SELECT seq, rule_id, action, class, risk, actor, target, system_timestamp, source, source_ip, knowledge_version, confidence FROM routed",
+    "route_unrouted": "WITH {} SELECT seq, source, raw, CASE WHEN source = 'unknown' THEN 'no_connector' ELSE 'drift' END AS reason FROM mixed WHERE seq NOT IN (SELECT seq FROM routed)",
+    "route_counters": "WITH {} SELECT m.source, r.knowledge_version AS connector, CASE WHEN r.seq IS NULL THEN CASE WHEN m.source = 'unknown' THEN 'no_connector' ELSE 'drift' END END AS reason, count(*) AS lines FROM mixed m LEFT JOIN routed r USING (seq) GROUP BY ALL",
+    "route_escalation": """WITH {}, v AS (SELECT *, count(*) OVER (PARTITION BY knowledge_version, action, actor ORDER BY system_timestamp RANGE BETWEEN 604800000000 PRECEDING AND CURRENT ROW) AS n FROM routed WHERE action = 'authentication.failure' OR action = 'data.deletion.failure')
+  SELECT seq, knowledge_version, CASE WHEN n >= least_n THEN CASE action WHEN 'data.deletion.failure' THEN 'sabotage_attempt' ELSE 'brute_force_attack' END ELSE class END AS class, CASE WHEN n >= least_n THEN 'Critical' ELSE risk END AS risk, n AS window_count
+  FROM (SELECT *, CASE knowledge_version WHEN 'postgresql' THEN 5 WHEN 'linux_sshd' THEN 4 ELSE 3 END AS least_n FROM v)""",
+    "cond_matches_optional": _f(r"SELECT seq, CASE WHEN regexp_matches(t.message, 'table t') THEN 'hit' ELSE '__unmatched__' END AS rule_id, CASE WHEN regexp_matches(t.message, 'table t') THEN coalesce(nullif(regexp_extract(t.message, 'table t(\d\d)', 1), ''), nullif(t.user, '')) END AS actor FROM p"),
+    "cond_equals_empty": rf"WITH {_OBS}, q AS (SELECT seq, regexp_extract(raw, '\[(\d+)\] ', 1) AS pid, regexp_extract(raw, '(\d*)$', 1) AS num FROM obs WHERE regexp_matches(raw, '\[\d+\] ')) SELECT seq, CASE WHEN num = '' THEN 'ends_plain' WHEN num LIKE '%7' THEN 'ends_in_seven' ELSE '__unmatched__' END AS rule_id, CASE WHEN num = '' THEN pid WHEN num LIKE '%7' THEN 'n' || num END AS actor FROM q",
+    "behavior_hot_actor": _f("SELECT seq, n AS window_count, CASE WHEN n >= 5 THEN 'brute_force_attack' ELSE 'credential_attack' END AS class FROM (SELECT seq, count(*) OVER (PARTITION BY CASE WHEN actor < 'u5' THEN actor END ORDER BY system_timestamp RANGE BETWEEN 604800000000 PRECEDING AND CURRENT ROW) AS n FROM facts WHERE action = 'authentication.failure')"),
+    "sessions": _f("""SELECT actor, make_timestamp(min(system_timestamp)) AS opened, make_timestamp(max(system_timestamp) + 7200000000) AS closed, count(*) AS facts, array_to_string(list_sort(list_distinct(list(action))), ',') AS actions,
+  ['Low', 'Medium', 'High', 'Critical'][max(list_position(['Low', 'Medium', 'High', 'Critical'], risk))] AS worst
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY actor ORDER BY system_timestamp, seq) AS session FROM (SELECT coalesce(actor, 'unknown') AS actor, system_timestamp, seq, action, risk, CASE WHEN system_timestamp - lag(system_timestamp) OVER (PARTITION BY coalesce(actor, 'unknown') ORDER BY system_timestamp, seq) < 7200000000 THEN 0 ELSE 1 END AS opens FROM facts)) GROUP BY actor, session"""),
     "verify_forged_block": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(500 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_forged_anchor": _f("SELECT CASE WHEN count(*) > 500 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, least(count(*), CAST(500 AS BIGINT)) AS facts FROM facts"),
     "verify_lost_head": _f("SELECT CASE WHEN count(*) > 0 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CAST(0 AS BIGINT) AS facts FROM facts"),
@@ -405,3 +463,5 @@ ORACLE_SQL: dict[str, str] = {
     "commit_lsn": _f("SELECT max(lsn) AS commit_lsn FROM facts"),
     "replica_convergence": _f("SELECT max(lsn) <= 14812337 + 900 AS converged FROM facts"),
 }
+for _name in ("route_facts", "route_unrouted", "route_counters", "route_escalation"):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("WITH {}", f"WITH {_ROUTED}", 1)

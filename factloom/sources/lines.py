@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.functions.patterns import strip
+
 
 def text_lines(spark: SparkSession, path: str, source: str = "file") -> DataFrame:
     """Lines of text files that aren't blank, as observations; seq follows the order in a file."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+    lines = spark.read.text(path).filter(strip(F.col("value")) != "")
     return lines.select(F.monotonically_increasing_id().alias("seq"), F.current_timestamp().alias("obs_ts"), F.lit(source).alias("source"), F.col("value").alias("raw"))
 
 
@@ -24,8 +26,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
 
 
-def event_lines(events: DataFrame) -> DataFrame:
-    """Events written as database log lines; every fiftieth is garbage that nothing parses."""
+def event_line() -> Column:
+    """An event written as a database log line; every fiftieth is garbage that nothing parses."""
     k = F.get_json_object("props", "$.k")
     user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     rest = (
@@ -35,7 +37,10 @@ def event_lines(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "click", F.concat(user, F.lit("@prod ERROR:  permission denied for table t"), k))
         .otherwise(F.concat(F.lit("LOG:  checkpoint "), k))
     )
-    ts = F.col("ts").cast("timestamp")
-    head = F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" UTC ["), F.col("event_id").cast("string"), F.lit("] "))
-    line = F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("GARBAGE "), F.col("event_id").cast("string"), F.lit(" k="), k)).otherwise(F.concat(head, rest))
-    return events.select(F.col("event_id").alias("seq"), ts.alias("obs_ts"), F.lit("events").alias("source"), line.alias("raw"))
+    head = F.concat(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" UTC ["), F.col("event_id").cast("string"), F.lit("] "))
+    return F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("GARBAGE "), F.col("event_id").cast("string"), F.lit(" k="), k)).otherwise(F.concat(head, rest))
+
+
+def event_lines(events: DataFrame) -> DataFrame:
+    """Events as observations of database log lines."""
+    return events.select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("obs_ts"), F.lit("events").alias("source"), event_line().alias("raw"))
