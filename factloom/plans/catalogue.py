@@ -13,7 +13,8 @@ from factloom.operators.search import nested, search
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature, execution_order
 from factloom.sources import store
 from factloom.sources.lines import event_line, event_lines, spread
-from factloom.sources.shared import shared_folder
+from factloom.sources.shared import scratch, shared_folder
+from factloom.streaming import timed
 from factloom.streaming.pipeline import behavior_stream, ingest_to
 
 #: Sixty seconds never hold five failures of one user in the events table; a week does.
@@ -208,6 +209,29 @@ def _streamed(lateness: str | None) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _delayed(spark: SparkSession, d: str) -> str:
+    """A stream of eight batches of four days each, in which some facts come one batch or three too late.
+
+    Kept by kind in the shared folder; run once in an application for each input.
+    """
+    key = (spark.sparkContext.applicationId, f"delayed {d}")
+    if key not in _stores:
+        base = shared_folder(spark, "timed")
+        day = F.floor((F.col("system_timestamp") - 1_704_067_200_000_000) / 86_400_000_000)
+        due = F.floor(day / 4) + F.when(F.col("seq") % 11 == 3, 1).when(F.col("seq") % 29 == 4, 3).otherwise(0)
+        some = _facts(spark, d).select("seq", "action", "actor", "system_timestamp", F.least(due, F.lit(7)).cast("int").alias("due"))
+        stored = scratch(some, "delayed")
+        for k in range(8):  # in turn, so that the files are as old as their batches
+            stored.filter(F.col("due") == k).drop("due").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        lines = spark.readStream.schema(stored.drop("due").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        with timed.timers(spark):
+            made = timed.windows(lines, WEEK, "1 day").writeStream.foreachBatch(timed.kinds_to(f"{base}/out"))
+            query = made.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+        _stores[key] = f"{base}/out"
+    return _stores[key]
+
+
 def _streamed_store(spark: SparkSession, d: str) -> str:
     """A store filled by a stream of observations over files, one file a batch."""
     base = shared_folder(spark, "ingest")
@@ -284,6 +308,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_blocks": lambda s, d: store.verify(s, _store(s, d), BLOCK).select("status", "facts"),
     "verify_doubled": _check(lambda x: x.union(x.filter(F.col("lsn") == TAMPERED))),
     "verify_lost_tail": _check(lambda x: x.filter(F.col("lsn") < TAMPERED)),
+    "stream_timed_counts": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.COUNTED).select("batch", "seq", "actor", "system_timestamp", "window_count", "fired"),
+    "stream_timed_late": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.LATE).select("batch", "seq", "actor", "system_timestamp"),
+    "stream_timed_late_counts": lambda s, d: timed.late_counts(s, _delayed(s, d)),
+    "stream_timed_evicted": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.EVICTED).select("batch", "actor", "system_timestamp"),
     "route_facts": lambda s, d: route.facts(_dealt(s, d), REGISTRY).select(*FACT, "source", "source_ip", "knowledge_version", "confidence"),
     "route_unrouted": lambda s, d: route.unrouted(_dealt(s, d)).select("seq", "source", "raw", "reason"),
     "route_counters": lambda s, d: route.counters(_dealt(s, d)),
@@ -395,6 +423,11 @@ ORACLE_SQL: dict[str, str] = {
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "stream_timed_counts": "WITH {} SELECT *, window_count >= 5 AS fired FROM (SELECT a.batch, a.seq, a.actor, a.system_timestamp, count(*) AS window_count FROM o a JOIN o b ON a.actor = b.actor AND b.system_timestamp BETWEEN a.system_timestamp - 604800000000 AND a.system_timestamp AND (b.batch, b.system_timestamp, b.seq) <= (a.batch, a.system_timestamp, a.seq) GROUP BY ALL)",
+    "stream_timed_late": "WITH {} SELECT batch, seq, actor, system_timestamp FROM l WHERE late",
+    "stream_timed_late_counts": "WITH {} SELECT batch, count(*) AS late FROM l WHERE late GROUP BY batch",
+    "stream_timed_evicted": """WITH {}, v AS (SELECT actor, batch, max(max(system_timestamp)) OVER (PARTITION BY actor ORDER BY batch) AS upto, coalesce(lead(batch) OVER (PARTITION BY actor ORDER BY batch), 9) AS next FROM o GROUP BY actor, batch)
+  SELECT min(k.batch) AS batch, actor, upto AS system_timestamp FROM v JOIN k ON k.batch > v.batch AND k.batch < v.next AND k.mark >= (upto + 604800000000) // 1000 + 1 GROUP BY actor, upto, v.batch""",
     "route_facts": "WITH {} SELECT seq, rule_id, action, class, risk, actor, target, system_timestamp, source, source_ip, knowledge_version, confidence FROM routed",
     "route_unrouted": "WITH {} SELECT seq, source, raw, CASE WHEN source = 'unknown' THEN 'no_connector' ELSE 'drift' END AS reason FROM mixed WHERE seq NOT IN (SELECT seq FROM routed)",
     "route_counters": "WITH {} SELECT m.source, r.knowledge_version AS connector, CASE WHEN r.seq IS NULL THEN CASE WHEN m.source = 'unknown' THEN 'no_connector' ELSE 'drift' END END AS reason, count(*) AS lines FROM mixed m LEFT JOIN routed r USING (seq) GROUP BY ALL",
@@ -463,5 +496,13 @@ ORACLE_SQL: dict[str, str] = {
     "commit_lsn": _f("SELECT max(lsn) AS commit_lsn FROM facts"),
     "replica_convergence": _f("SELECT max(lsn) <= 14812337 + 900 AS converged FROM facts"),
 }
+_DELAYED = (
+    _FACTS
+    + """, g AS (SELECT seq, coalesce(actor, 'unknown') AS actor, system_timestamp, CAST(least(7, (system_timestamp - 1704067200000000) // 86400000000 // 4 + CASE WHEN seq % 11 = 3 THEN 1 WHEN seq % 29 = 4 THEN 3 ELSE 0 END) AS BIGINT) AS batch FROM facts WHERE action = 'authentication.failure'),
+k AS (SELECT b.batch, greatest(0, coalesce((SELECT max(system_timestamp) FROM g WHERE g.batch < b.batch) // 1000 - 86400000, 0)) AS mark FROM (SELECT CAST(unnest(range(9)) AS BIGINT) AS batch) b),
+l AS (SELECT g.*, system_timestamp // 1000 < mark AS late FROM g JOIN k USING (batch)), o AS (SELECT * FROM l WHERE NOT late)"""
+)
+for _name in ("stream_timed_counts", "stream_timed_late", "stream_timed_late_counts", "stream_timed_evicted"):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("WITH {}", f"WITH {_DELAYED}", 1)
 for _name in ("route_facts", "route_unrouted", "route_counters", "route_escalation"):
     ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("WITH {}", f"WITH {_ROUTED}", 1)
