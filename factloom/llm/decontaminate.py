@@ -1,6 +1,7 @@
 """Benchmark decontamination: rare words find where a test item may stand, Smith-Waterman scores it.
 
-Items and texts are rows of lower-cased words. The similarity of a text and an item is the best
+Items and texts are rows of lower-cased words: runs of letters, marks and digits by Unicode, so that quotes and
+punctuation of any script part words; of scripts without spaces each character is a word. The similarity of a text and an item is the best
 Smith-Waterman score (+1 for an equal word, -1/2 for a substitution or a gap) divided by the item's words.
 
 The search misses no pair that reaches the threshold. Such an alignment equates at least m = threshold x L
@@ -13,10 +14,14 @@ copies the corpus holds, its similarity alone decides.
 The items are cut into groups of at most ``group_bytes`` of text; each group is broadcast and takes two
 map-only passes over the corpus, so that nothing that grows is broadcast and no text is shuffled.
 
-Parts of items with fewer than ``min_words`` words occur by chance: such an item matches only where all its
-words stand in a row.
+A stretch of ``run_words`` words is a match too, however long the item: the least similarity of an item of L words
+is threshold, or run_words / L if that is less.
 
-Defined cases: null and empty texts or items match nothing; repeated rows give repeated matches; a row
+Parts of items with fewer than ``min_words`` words occur by chance (a character of a script without spaces counts
+as half a word here): such an item matches only where all its words stand in a row.
+
+Defined cases: null and empty texts or items match nothing; repeated documents give repeated matches, repeated
+rows of an item (equal id and text) count once; a row
 with a null item_id is an item like others, its matches have a null item_id; empty tables give no rows; an
 input column of a clashing name is kept by ``clean`` and not read.
 """
@@ -37,6 +42,7 @@ from factloom.llm.common import bound_batches, free_name, map_texts
 
 MIN_WORDS = 5
 THRESHOLD = 0.5
+RUN_WORDS = 30
 GROUP_BYTES = 8_000_000
 _FILTER_BITS = 20
 
@@ -55,14 +61,16 @@ class Items:
     least: np.ndarray  # for each item: the similarity that counts as a match
 
     @staticmethod
-    def build(ids: list, texts: list, threshold: float, min_words: int) -> Items:
+    def build(ids: list, texts: list, threshold: float, min_words: int, run_words: int) -> Items:
         words: list[np.ndarray] = []
+        counted: list[float] = []
         for _, _, buf, off in tv.slices(pa.array(texts, pa.string())):
-            d, h = tv.words(buf, off)
+            d, h, alone = tv.any_words(buf, off)
             ends = np.searchsorted(d, np.arange(len(off)))
             words += [h[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            counted += np.bincount(d, np.where(alone, 0.5, 1.0), len(off) - 1).tolist()
         live = [i for i, w in enumerate(words) if len(w)]
-        least = [threshold if len(words[i]) >= min_words else 1.0 for i in live]
+        least = [min(threshold, run_words / len(words[i])) if counted[i] >= min_words else 1.0 for i in live]
         return Items._seeking([ids[i] for i in live], [words[i] for i in live], [words[i] for i in live], [1] * len(live), [len(words[i]) for i in live], least)
 
     @staticmethod
@@ -187,7 +195,7 @@ def _enough(a: list[np.ndarray], b: list[np.ndarray], least: np.ndarray) -> np.n
 def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, batch: int = 256) -> list[tuple[int, int, float, int]]:
     """(text, item, similarity, word where the best alignment ends), the best for each text and item."""
     items = probe.items
-    d, h = tv.words(buf, off)
+    d, h, _ = tv.any_words(buf, off)
     first = np.searchsorted(d, np.arange(len(off)))
     item, begin, end = probe.stretches(d, h, first)
     jobs = np.column_stack([d[begin], item])
@@ -212,14 +220,15 @@ def find_matches(probe: _Probe, buf: np.ndarray, off: np.ndarray, batch: int = 2
     return [(t, i, s, w) for (t, i), (s, w) in sorted(best.items())]
 
 
-def _groups(docs: DataFrame, benchmark: DataFrame, threshold: float, min_words: int, group_bytes: int) -> Iterator[Items]:
+def _groups(docs: DataFrame, benchmark: DataFrame, threshold: float, min_words: int, group_bytes: int, run_words: int) -> Iterator[Items]:
     """Groups of items of bounded size, with the words to seek; each costs one counting pass over docs."""
-    items = benchmark.select("item_id", F.lower("text").alias("text")).filter("text is not null")
+    # repeated rows of an item are one: equal rows would fall into one group, whatever their number
+    items = benchmark.select("item_id", F.lower("text").alias("text")).filter("text is not null").groupBy("item_id", "text").count()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-total // group_bytes)
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect() if parts > 1 else items.collect()
-        group = Items.build([r[0] for r in rows], [r[1] for r in rows], threshold, min_words)
+        group = Items.build([r[0] for r in rows], [r[1] for r in rows], threshold, min_words, run_words)
         if group.words:
             yield group.rarest(*_occurrences(docs, group))
 
@@ -232,7 +241,7 @@ def _occurrences(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         count = np.zeros(len(items.keys) + 1, np.int64)  # the last is for all words
         for batch in batches:
             for _, _, buf, off in tv.slices(batch.column(0)):
-                _, h = tv.words(buf, off)
+                _, h, _ = tv.any_words(buf, off)
                 count[:-1] += np.bincount(probe.find(h)[1], minlength=len(items.keys))
                 count[-1] += len(h)
         some = np.flatnonzero(count)
@@ -245,7 +254,7 @@ def _occurrences(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     return count[:-1], int(count[-1])
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES, run_words: int = RUN_WORDS) -> DataFrame:
     """(doc_id, item_id, similarity, last_word) of each text and item that match."""
     bound_batches(docs.sparkSession)
     kind = benchmark.schema["item_id"].dataType
@@ -268,15 +277,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
         return docs.select("doc_id", F.lower("text")).mapInArrow(run, schema)
 
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in _groups(docs, benchmark, threshold, min_words, group_bytes):
+    for items in _groups(docs, benchmark, threshold, min_words, group_bytes, run_words):
         out = out.union(over(items))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, group_bytes: int = GROUP_BYTES, run_words: int = RUN_WORDS) -> DataFrame:
     """The rows of docs that match no item, unchanged."""
     out, matched = docs, free_name(docs, "matched")
-    for items in _groups(docs, benchmark, threshold, min_words, group_bytes):
+    for items in _groups(docs, benchmark, threshold, min_words, group_bytes, run_words):
 
         def run(buf: np.ndarray, off: np.ndarray, items: Items = items, probes: list = []) -> dict[str, object]:  # noqa: B006
             probes or probes.append(_Probe(items))

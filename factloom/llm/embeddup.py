@@ -306,10 +306,15 @@ def _count_within(members: DataFrame, dims: int, threshold: float) -> DataFrame:
 def _audit(vecs: DataFrame, links: DataFrame, dims: int, threshold: float, audit: int) -> tuple[float, int]:
     """(recall, linked vectors asked): the mean share found of a vector's true links, and of all links if less.
 
-    The vectors of least hash are asked, as many as hold AUDIT_MOST numbers at most.
+    Vectors are asked in order of their hash, block by block, until AUDIT_LINKED of them have links or all have
+    been asked: without a link among all of them there is nothing to find. A block holds AUDIT_MOST numbers at most.
     """
-    while True:
-        asked = vecs.orderBy(F.xxhash64("id"), "id").limit(audit).select("id", "x").toPandas()
+    key, after, size = F.xxhash64("id"), F.lit(True), audit
+    shares, found, true, linked = 0.0, 0, 0, 0
+    while linked < AUDIT_LINKED:
+        asked = vecs.filter(after).select(key.alias("key"), "id", "x").orderBy("key", "id").limit(max(1, min(size, AUDIT_MOST // dims))).toPandas()
+        if not len(asked):
+            break
         ids, q = asked["id"].to_numpy(), np.array(asked["x"].to_list(), float).reshape(len(asked), -1)
 
         def run(batches: Iterator[pa.RecordBatch], ids: np.ndarray = ids, q: np.ndarray = q) -> Iterator[pa.RecordBatch]:
@@ -321,12 +326,13 @@ def _audit(vecs: DataFrame, links: DataFrame, dims: int, threshold: float, audit
                     n += w[lo : lo + 2048] @ near
             yield pa.record_batch([pa.array(ids), pa.array(n)], ["id", "n"])
 
-        true = vecs.select("id", "x", "weight").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("actual")).filter("actual > 0")
+        actual = vecs.select("id", "x", "weight").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("actual")).filter("actual > 0")
         share = F.least(F.coalesce("n", F.lit(0)), "actual")
-        one, every, linked = true.join(links.select("id", "n"), "id", "left").agg(F.avg(share / F.col("actual")), F.sum(share) / F.sum("actual"), F.count("*")).first()
-        if linked >= AUDIT_LINKED or audit * dims >= AUDIT_MOST or len(asked) < audit:
-            return (min(one, every), linked) if linked else (1.0, 0)
-        audit *= 4
+        got = actual.join(links.select("id", "n"), "id", "left").agg(F.sum(share / F.col("actual")), F.sum(share), F.sum("actual"), F.count("*")).first()
+        shares, found, true, linked = shares + (got[0] or 0), found + (got[1] or 0), true + (got[2] or 0), linked + got[3]
+        last, number = int(asked["key"].iloc[-1]), int(ids[-1])
+        after, size = (key > last) | ((key == last) & (F.col("id") > number)), size * 4
+    return (min(shares / linked, found / true), linked) if linked else (1.0, 0)
 
 
 def _links(vecs: DataFrame, dims: int, threshold: float, k: int, audit: int, target: float) -> tuple[DataFrame, DataFrame]:

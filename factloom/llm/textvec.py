@@ -7,7 +7,9 @@ the word's bytes alone and costs a few numpy passes over the slice.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
 
+_ASCII_WORD = WORD & (np.arange(256) < 128)
+
 _pow = np.ones(1, _U)
 _inv = np.ones(1, _U)
 
@@ -112,6 +116,51 @@ def words(buf: np.ndarray, off: np.ndarray, inside: np.ndarray = WORD, lower: bo
     return d, hashes(buf, s, e, lower)
 
 
+_SPLIT, _JOINED, _ALONE = 0, 1, 2
+# How Unicode's names of characters begin in scripts that put no space between words.
+_UNSPACED = ("CJK", "HIRAGANA", "KATAKANA", "HALFWIDTH KATAKANA", "BOPOMOFO", "THAI", "LAO", "KHMER", "MYANMAR", "YI", "TAI", "NEW TAI", "BALINESE", "JAVANESE")
+
+
+@cache
+def _classes() -> np.ndarray:
+    """For each character: it splits words, belongs to one, or is a word by itself (letters of unspaced scripts)."""
+    out = np.zeros(0x110000, np.uint8)
+    for c in range(0x33480):  # the planes with letters
+        if unicodedata.category(chr(c))[0] in "LMN":
+            out[c] = _ALONE if c > 0x600 and unicodedata.name(chr(c), "").startswith(_UNSPACED) else _JOINED
+    return out
+
+
+def any_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, alone) of each word in order, by Unicode's classes of characters.
+
+    Letters, marks and digits make words, all else splits them, quotes and other punctuation outside ASCII too. A
+    character of a script without spaces is a word by itself: alone.
+    """
+    n = len(buf)
+    inside = _ASCII_WORD[buf]
+    fresh = np.zeros(n + 1, bool)  # no word goes on over these places
+    fresh[off] = True
+    alone = np.zeros(n + 1, bool)
+    lead = np.flatnonzero(buf >= 0xC0)
+    if len(lead):
+        b = [buf[np.minimum(lead + k, n - 1)].astype(np.int64) for k in range(4)]
+        width = 2 + (b[0] >= 0xE0) + (b[0] >= 0xF0)
+        tail = [x & 0x3F for x in b]
+        code = np.select([width == 2, width == 3], [(b[0] & 0x1F) << 6 | tail[1], (b[0] & 0x0F) << 12 | tail[1] << 6 | tail[2]], (b[0] & 0x07) << 18 | tail[1] << 12 | tail[2] << 6 | tail[3])
+        kind = _classes()[code]
+        for k in range(4):
+            inside[lead[(kind > _SPLIT) & (width > k)] + k] = True
+        single = kind == _ALONE
+        alone[lead[single]] = fresh[lead[single]] = True
+        fresh[lead[single] + width[single]] = True
+    before, after = np.zeros(n, bool), np.zeros(n, bool)
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    starts = np.flatnonzero(inside & (~before | fresh[:-1]))
+    ends = np.flatnonzero(inside & (~after | fresh[1:])) + 1
+    return np.searchsorted(off, starts, side="right") - 1, hashes(buf, starts, ends), alone[starts]
+
+
 def pairs(d: np.ndarray, h: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of each pair of words gap places apart in one text."""
     if len(h) <= gap:
