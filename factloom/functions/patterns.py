@@ -137,19 +137,19 @@ def found(column: Column, pattern: str) -> Column:
 
 
 # The characters of Unicode's White_Space property.
-_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(column: Column) -> Column:
     """Unicode white space off both ends."""
-    return F.btrim(column, F.lit(_WHITE))
+    return F.btrim(column, F.lit(WHITE))
 
 
 def fill(template: str | None, tokens: Mapping[str, Column]) -> Column:
     """Fill ${name} from tokens ('' if absent), strip; each token is read once."""
     pieces = re.split(r"\$\{([^}]*)\}", template or "")
     if len(pieces) == 1:
-        return F.lit(pieces[0].strip(_WHITE))
+        return F.lit(pieces[0].strip(WHITE))
     parts = [F.coalesce(tokens[p], F.lit("")) if k % 2 else F.lit(p) for k, p in enumerate(pieces) if (p in tokens if k % 2 else p)]
     return strip(F.concat(*parts)) if parts else F.lit("")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.patterns import ALWAYS, ASKED, captured, extracts, fill, found, participation, strip, to_java, told_apart, took_part
-from factloom.plans.connector import Condition, Connector, execution_order
+from factloom.plans.connector import Condition, Connector, Rule, execution_order
 
 
 class _MapTokens(Mapping):
@@ -66,7 +66,7 @@ def drift_counts(parsed: DataFrame) -> DataFrame:
     return parsed.agg(F.count_if("parsed").alias("sealed"), F.count_if(~F.col("parsed")).alias("quarantined"))
 
 
-def _test(c: Condition, tokens: dict | Mapping) -> tuple[Column, dict[str, tuple[Column, Column]]]:
+def condition_test(c: Condition, tokens: dict | Mapping) -> tuple[Column, dict[str, tuple[Column, Column]]]:
     """(condition, tokens that it binds, each for templates and for conditions).
 
     A group that took no part leaves the token of its name as it is. Where there is none, it is empty in a template,
@@ -116,28 +116,56 @@ class _Bound(Mapping):
         return len(self.over)
 
 
+def _outcome(rule: str, action: Column, kind: Column, risk: str, actor: Column, target: Column, ip: Column) -> Column:
+    return F.struct(F.lit(rule).alias("rule_id"), action.alias("action"), kind.alias("class"), F.lit(risk).alias("risk"), actor.alias("actor"), target.alias("target"), ip.alias("source_ip"))
+
+
+def rule_tests(rule: Rule, base: Mapping) -> list[tuple[Column, dict[str, tuple[Column, Column]]]]:
+    """(test, tokens bound so far) of each condition of a rule; later ones read what earlier ones bind."""
+    out, bound = [], {}
+    for c in rule.when:
+        test, got = condition_test(c, _Bound(base, {n: told for n, (_, told) in bound.items()}))
+        bound = {**bound, **got}
+        out.append((test, bound))
+    return out
+
+
+def bound_texts(rule: Rule, base: Mapping) -> dict[str, Column]:
+    """The tokens that a rule's conditions bind, as its templates read them."""
+    tests = rule_tests(rule, base)
+    return {n: text for n, (text, _) in tests[-1][1].items()} if tests else {}
+
+
+def with_bound(base: Mapping, bound: dict[str, Column]) -> Mapping:
+    return _Bound(base, bound)
+
+
+def outcome_of(rule: Rule, base: Mapping) -> Column:
+    """What a rule says of a line for which it holds. Templates that come out empty stay empty; see ``emptied``."""
+    tokens = with_bound(base, bound_texts(rule, base))
+    return _outcome(rule.id, *(fill(t, tokens) for t in (rule.action, rule.behavior_class)), rule.risk, *(fill(t, tokens) for t in (rule.actor, rule.target, rule.source_ip)))
+
+
+def unmatched() -> Column:
+    """What is said of a line for which no rule holds."""
+    empty = F.lit("")
+    return _outcome("__unmatched__", F.lit("log.unknown"), F.lit("observation"), "Low", empty, empty, empty)
+
+
 def rule_outcome(base: Mapping, connector: Connector) -> Column:
     """Struct of the first rule of a connector that holds on the tokens: one CASE over all rules.
 
     A template that comes out empty stays empty here; ``emptied`` makes it null behind the CASE, so that no
     pattern runs a second time for the comparison.
     """
-
-    def outcome(rule: str, action: Column, kind: Column, risk: str, actor: Column, target: Column, ip: Column) -> Column:
-        return F.struct(F.lit(rule).alias("rule_id"), action.alias("action"), kind.alias("class"), F.lit(risk).alias("risk"), actor.alias("actor"), target.alias("target"), ip.alias("source_ip"))
-
-    empty = F.lit("")
     chain = None
     for rule in connector.rules:
-        holds, bound = F.lit(True), {}
-        for c in rule.when:
-            test, got = _test(c, _Bound(base, {n: told for n, (_, told) in bound.items()}))
-            holds, bound = holds & test, {**bound, **got}
-        tokens = _Bound(base, {n: text for n, (text, _) in bound.items()})
-        made = outcome(rule.id, *(fill(t, tokens) for t in (rule.action, rule.behavior_class)), rule.risk, *(fill(t, tokens) for t in (rule.actor, rule.target, rule.source_ip)))
+        holds = F.lit(True)
+        for test, _ in rule_tests(rule, base):
+            holds = holds & test
+        made = outcome_of(rule, base)
         chain = F.when(holds, made) if chain is None else chain.when(holds, made)
-    unmatched = outcome("__unmatched__", F.lit("log.unknown"), F.lit("observation"), "Low", empty, empty, empty)
-    return unmatched if chain is None else chain.otherwise(unmatched)
+    return unmatched() if chain is None else chain.otherwise(unmatched())
 
 
 def emptied(semantic: str) -> Column:

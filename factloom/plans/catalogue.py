@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.patterns import groups, strip
-from factloom.operators import behavior, evolve, ingest, ledger, route, views
+from factloom.operators import behavior, evolve, ingest, ledger, ontology, route, shared_rules, threats, versions, views
 from factloom.operators.search import nested, search
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature, execution_order
 from factloom.sources import store
@@ -128,6 +129,45 @@ def _kv(spark: SparkSession, d: str) -> DataFrame:
     return ingest.facts(e.select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("obs_ts"), F.lit("kv").alias("source"), raw.alias("raw")), KEY_VALUE)
 
 
+def _providers(spark: SparkSession, d: str) -> DataFrame:
+    """Indicators of three providers, of which one has nested ranges of the addresses that _ssh gives to users."""
+    x = spark.read.parquet(f"{d}/events.parquet").select((F.col("user_id") % 200).alias("x")).distinct()
+    host, block = F.col("x").cast("string"), F.floor(F.col("x") / 16)
+    at = lambda name, tag, kind, value: F.struct(F.lit(name).alias("provider"), tag.alias("tag"), F.lit(kind).alias("kind"), value.alias("value"))
+    some = lambda cond, row: F.when(cond, row)
+    rows = F.array(
+        some(F.col("x") % 10 == 0, at("ranges", F.concat(F.lit("host"), host), "range", F.concat(F.lit("10.0.0."), host))),
+        some(block % 2 == 0, at("ranges", F.concat(F.lit("block"), block.cast("string")), "range", F.concat(F.lit("10.0.0."), (block * 16).cast("string"), F.lit("/28")))),
+        at("ranges", F.lit("net"), "range", F.lit("10.0.0.0/25")), at("other", F.lit("ten"), "range", F.lit("10.0.0.0/8")), at("other", F.lit("broken"), "range", F.lit("10.0.0.999/40")),
+        at("attack", F.lit("T1110"), "action", F.lit("authentication.failure")), at("attack", F.lit("TA0006"), "class", F.lit("credential_attack")), at("attack", F.lit("T9999"), "action", F.lit("none")),
+    )
+    return x.select(F.explode(rows).alias("r")).filter("r is not null").select("r.*")
+
+
+def _reports(d: DataFrame) -> DataFrame:
+    """Tags as one text, since arrays of structs compare badly."""
+    one = F.transform("tags", lambda t: F.concat_ws("/", t["provider"], t["tag"], t["kind"]))
+    return d.select("seq", "source_ip", F.array_join(one, ",").alias("tags"))
+
+
+#: The database connector's next version: another pattern (pids of up to four digits), a rule less, one with another risk.
+NEXT = replace(
+    DATABASE, name="postgresql_next", pattern=DATABASE.pattern.replace(r"(?P<pid>\d+)", r"(?P<pid>\d{1,4})"),
+    rules=tuple(replace(r, risk="High", behavior_class="privilege_escalation") if r.id == "pg_permission_denied" else r for r in DATABASE.rules if r.id != "pg_statement"),
+)
+#: Five hundred rules of two conditions each, of which most occur in many rules.
+MANY = Connector(
+    "many", 1.0, DATABASE.pattern,
+    tuple(Rule(f"r{i}", (Condition("message", contains=f"{i % 250}"), Condition(severity_in=("ERROR", "FATAL") if i < 250 else ("LOG",))), action=f"seen.{i % 7}", actor="${user}") for i in range(499, -1, -1)), (),
+)
+
+
+def _ways(spark: SparkSession, d: str) -> DataFrame:
+    """A hierarchy over all numbers up to the largest user's: each lies below its half."""
+    top = spark.read.parquet(f"{d}/events.parquet").agg(F.max("user_id").alias("most"))
+    return top.select(F.explode(F.sequence(F.lit(1), "most")).alias("class")).select("class", F.nullif(F.floor(F.col("class") / 2), F.lit(0)).alias("parent"))
+
+
 #: Three connectors by source; lines of unknown sources are offered to two of them.
 REGISTRY = route.Registry({"db": DATABASE, "edge": SSH, "app": KEY_VALUE}, (DATABASE, SSH))
 WATCH = {"postgresql": (WEEK,), "linux_sshd": (Signature("ssh_week", "authentication.failure", 604_800, 4, "brute_force_attack", "Critical"),), "keyvalue_generic": (Signature("kv_week", "data.deletion.failure", 604_800, 3, "sabotage_attempt", "Critical"),)}
@@ -232,6 +272,18 @@ def _delayed(spark: SparkSession, d: str) -> str:
     return _stores[key]
 
 
+def _streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions that a stream of facts in order of time has closed, in four batches."""
+    base = shared_folder(spark, "sessions")
+    facts = scratch(_facts(spark, d).select("seq", "actor", "obs_ts", "action", "risk"), "sessions")
+    for k in range(4):
+        facts.filter(F.floor((F.dayofmonth("obs_ts") - 1) / 8) == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    lines = spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in").withWatermark("obs_ts", "1 hour")
+    made = behavior.sessions(lines, "2 hours").writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
+    made.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def _streamed_store(spark: SparkSession, d: str) -> str:
     """A store filled by a stream of observations over files, one file a batch."""
     base = shared_folder(spark, "ingest")
@@ -308,6 +360,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_blocks": lambda s, d: store.verify(s, _store(s, d), BLOCK).select("status", "facts"),
     "verify_doubled": _check(lambda x: x.union(x.filter(F.col("lsn") == TAMPERED))),
     "verify_lost_tail": _check(lambda x: x.filter(F.col("lsn") < TAMPERED)),
+    "threat_tags": lambda s, d: _reports(threats.tagged(_ssh(s, d), _providers(s, d))),
+    "threat_tag_counts": lambda s, d: threats.tag_counts(threats.tagged(_ssh(s, d), _providers(s, d))),
+    "knowledge_diff": lambda s, d: versions.difference(versions.compared(_obs(s, d), DATABASE, NEXT)).drop("sample"),
+    "knowledge_changes": lambda s, d: versions.compared(_stored(s, d).select("seq", "raw"), DATABASE, NEXT).groupBy("change").agg(F.count("*").alias("lines")),
+    "ontology_closure": lambda s, d: ontology.closure(_ways(s, d)),
+    "ontology_rollup": lambda s, d: ontology.rolled_up(s.read.parquet(f"{d}/events.parquet"), _ways(s, d), "user_id"),
+    "rules_shared": lambda s, d: shared_rules.classify(ingest.parse(_obs(s, d), MANY), MANY).select("seq", "semantic.rule_id", "semantic.action", "semantic.actor"),
+    "stream_sessions": _streamed_sessions,
     "stream_timed_counts": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.COUNTED).select("batch", "seq", "actor", "system_timestamp", "window_count", "fired"),
     "stream_timed_late": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.LATE).select("batch", "seq", "actor", "system_timestamp"),
     "stream_timed_late_counts": lambda s, d: timed.late_counts(s, _delayed(s, d)),
@@ -423,6 +483,21 @@ ORACLE_SQL: dict[str, str] = {
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "threat_tags": "WITH {} SELECT seq, source_ip, tags FROM tagged",
+    "threat_tag_counts": "WITH {} SELECT string_split(t, '/')[1] AS provider, string_split(t, '/')[2] AS tag, string_split(t, '/')[3] AS kind, count(*) AS facts FROM (SELECT unnest(string_split(tags, ',')) AS t FROM tagged) GROUP BY ALL",
+    "knowledge_changes": r"WITH {} SELECT change, count(*) AS lines FROM bo WHERE old_rule IS NOT NULL GROUP BY change",
+    "ontology_closure": "WITH RECURSIVE w AS (SELECT i AS class, i AS ancestor, 0 AS distance FROM (SELECT unnest(range(1, max(user_id) + 1)) AS i FROM events) UNION ALL SELECT class, ancestor // 2, distance + 1 FROM w WHERE ancestor > 1) SELECT CAST(class AS VARCHAR) AS class, CAST(ancestor AS VARCHAR) AS ancestor, CAST(distance AS BIGINT) AS distance FROM w",
+    "ontology_rollup": """WITH RECURSIVE w AS (SELECT i AS class, i AS ancestor, 0 AS distance FROM (SELECT unnest(range(1, max(user_id) + 1)) AS i FROM events) UNION ALL SELECT class, ancestor // 2, distance + 1 FROM w WHERE ancestor > 1),
+  c AS (SELECT user_id AS class, count(*) AS own FROM events GROUP BY 1),
+  e AS (SELECT * FROM w UNION ALL SELECT class, class, 0 FROM c WHERE class NOT IN (SELECT class FROM w))
+  SELECT CAST(e.ancestor AS VARCHAR) AS class, (SELECT CAST(max(distance) AS BIGINT) FROM e x WHERE x.class = e.ancestor) AS level, CAST(sum(CASE WHEN distance = 0 THEN coalesce(own, 0) ELSE 0 END) AS BIGINT) AS own, CAST(sum(coalesce(own, 0)) AS BIGINT) AS total
+  FROM e LEFT JOIN c USING (class) GROUP BY e.ancestor""",
+    "rules_shared": _f("""SELECT p.seq, coalesce('r' || m.i, '__unmatched__') AS rule_id, coalesce('seen.' || m.i % 7, 'log.unknown') AS action, CASE WHEN m.i IS NOT NULL THEN nullif(t.user, '') END AS actor
+  FROM p LEFT JOIN (SELECT seq, max(i) AS i FROM p, (SELECT unnest(range(500)) AS i) WHERE contains(t.message, CAST(i % 250 AS VARCHAR)) AND CASE WHEN i < 250 THEN t.severity IN ('ERROR', 'FATAL') ELSE t.severity = 'LOG' END GROUP BY seq) m USING (seq)"""),
+    "stream_sessions": _f("""SELECT * FROM (SELECT actor, make_timestamp(min(system_timestamp)) AS opened, make_timestamp(max(system_timestamp) + 7200000000) AS closed, count(*) AS facts, array_to_string(list_sort(list_distinct(list(action))), ',') AS actions,
+  ['Low', 'Medium', 'High', 'Critical'][max(list_position(['Low', 'Medium', 'High', 'Critical'], risk))] AS worst
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY actor ORDER BY system_timestamp, seq) AS session FROM (SELECT coalesce(actor, 'unknown') AS actor, system_timestamp, seq, action, risk, CASE WHEN system_timestamp - lag(system_timestamp) OVER (PARTITION BY coalesce(actor, 'unknown') ORDER BY system_timestamp, seq) < 7200000000 THEN 0 ELSE 1 END AS opens FROM facts)) GROUP BY actor, session)
+  WHERE epoch_us(closed) // 1000 <= (SELECT max(system_timestamp) // 1000 - 3600000 FROM facts)"""),
     "stream_timed_counts": "WITH {} SELECT *, window_count >= 5 AS fired FROM (SELECT a.batch, a.seq, a.actor, a.system_timestamp, count(*) AS window_count FROM o a JOIN o b ON a.actor = b.actor AND b.system_timestamp BETWEEN a.system_timestamp - 604800000000 AND a.system_timestamp AND (b.batch, b.system_timestamp, b.seq) <= (a.batch, a.system_timestamp, a.seq) GROUP BY ALL)",
     "stream_timed_late": "WITH {} SELECT batch, seq, actor, system_timestamp FROM l WHERE late",
     "stream_timed_late_counts": "WITH {} SELECT batch, count(*) AS late FROM l WHERE late GROUP BY batch",
@@ -496,6 +571,20 @@ ORACLE_SQL: dict[str, str] = {
     "commit_lsn": _f("SELECT max(lsn) AS commit_lsn FROM facts"),
     "replica_convergence": _f("SELECT max(lsn) <= 14812337 + 900 AS converged FROM facts"),
 }
+_TAGGED = """s AS (SELECT event_id AS seq, user_id % 200 AS x, '10.0.0.' || user_id % 200 AS source_ip FROM events),
+tagged AS (SELECT seq, source_ip, 'attack/T1110/action,attack/TA0006/class,other/ten/range' || CASE WHEN x % 10 = 0 THEN ',ranges/host' || x || '/range' WHEN x // 16 % 2 = 0 THEN ',ranges/block' || x // 16 || '/range' WHEN x < 128 THEN ',ranges/net/range' ELSE '' END AS tags FROM s)"""
+_VERSIONS = (
+    _FACTS
+    + r""", bo AS (SELECT *, CASE WHEN old_rule IS NULL AND new_rule IS NULL THEN 'drift' WHEN new_rule IS NULL THEN 'lost' WHEN old_rule = new_rule AND old_risk = new_risk THEN 'same' ELSE 'changed' END AS change FROM (
+  SELECT o.seq, f.rule_id AS old_rule, f.class AS old_class, f.risk AS old_risk, CASE WHEN ok THEN CASE f.rule_id WHEN 'pg_statement' THEN 'pg_info' ELSE f.rule_id END END AS new_rule,
+    CASE WHEN ok THEN CASE f.rule_id WHEN 'pg_statement' THEN 'observation' WHEN 'pg_permission_denied' THEN 'privilege_escalation' ELSE f.class END END AS new_class, CASE WHEN ok THEN CASE f.rule_id WHEN 'pg_permission_denied' THEN 'High' ELSE f.risk END END AS new_risk
+  FROM obs o LEFT JOIN (SELECT *, regexp_matches(raw, '\[\d{1,4}\] ') AS ok FROM facts) f USING (seq)))"""
+)
+for _name in ("threat_tags", "threat_tag_counts"):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("WITH {}", f"WITH {_TAGGED}", 1)
+ORACLE_SQL["knowledge_changes"] = ORACLE_SQL["knowledge_changes"].replace("WITH {}", f"WITH {_VERSIONS}", 1)
+ORACLE_SQL["knowledge_diff"] = f"""WITH {_VERSIONS} SELECT change, old_rule, new_rule, old_class, new_class, old_risk, new_risk, count(*) AS lines, min(seq) AS first_seq,
+  list_position(['Low', 'Medium', 'High', 'Critical'], new_risk) - list_position(['Low', 'Medium', 'High', 'Critical'], old_risk) AS risk_step FROM bo WHERE change <> 'same' GROUP BY ALL"""
 _DELAYED = (
     _FACTS
     + """, g AS (SELECT seq, coalesce(actor, 'unknown') AS actor, system_timestamp, CAST(least(7, (system_timestamp - 1704067200000000) // 86400000000 // 4 + CASE WHEN seq % 11 = 3 THEN 1 WHEN seq % 29 = 4 THEN 3 ELSE 0 END) AS BIGINT) AS batch FROM facts WHERE action = 'authentication.failure'),
