@@ -126,14 +126,23 @@ def suggest(template: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def _seed(template: str) -> tuple[str, bool]:
+    pattern = suggest(template)
+    try:
+        re.compile(pattern)
+    except re.error:
+        return pattern, False
+    return pattern, True
+
+
 def cluster_report(lines: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(template, count, coverage_pct, sample, suggested_regex), largest cluster first."""
+    """(template, count, coverage_pct, sample, suggested_regex, regex_valid), largest cluster first."""
     groups = scratch(template_groups(lines), "groups")
     sizes = groups.join(leaders(groups, least), "template").groupBy("leader").agg(F.sum("count").alias("count"))
     total = groups.agg(F.sum("count").alias("total"))
     own = groups.select(F.col("template").alias("leader"), "first_seq", "sample")
     out = sizes.join(own, "leader").crossJoin(F.broadcast(total)).orderBy(F.desc("count"), "first_seq")
-    return out.select(F.col("leader").alias("template"), "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("coverage_pct"), F.substring("sample", 1, 90).alias("sample"), F.udf(suggest, "string")("leader").alias("suggested_regex"))
+    return out.select(F.col("leader").alias("template"), "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("coverage_pct"), F.substring("sample", 1, 90).alias("sample"), F.inline(F.array(F.udf(_seed, "suggested_regex string, regex_valid boolean")("leader"))))
 
 
 def entropy(sizes: DataFrame, count: str = "count") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.patterns import ALWAYS, ASKED, captured, extracts, fill, found, participation, strip, to_java, told_apart, took_part
-from factloom.plans.connector import Condition, Connector, Rule, execution_order
+from factloom.plans.connector import LEGAL_STAMP, REASONING_VERSION, Condition, Connector, Rule, execution_order
 
 
 class _MapTokens(Mapping):
@@ -195,10 +195,15 @@ def fact_id() -> Column:
 
 def facts(obs: DataFrame, connector: Connector) -> DataFrame:
     """One flat fact for each line that parses."""
-    return as_facts(classify(parse(obs, connector), connector), F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name))
+    return facts_of(parse(obs, connector), connector)
 
 
-def as_facts(classified: DataFrame, confidence: Column, steps: Column, version: Column) -> DataFrame:
+def facts_of(parsed: DataFrame, connector: Connector) -> DataFrame:
+    """``facts`` of what ``parse`` has made of the lines."""
+    return as_facts(classify(parsed, connector), F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name), F.lit(connector.ontology_version))
+
+
+def as_facts(classified: DataFrame, confidence: Column, steps: Column, version: Column, ontology: Column) -> DataFrame:
     """Observations with ``semantic`` as flat facts, with what their connector says of itself."""
     s = F.col("semantic")
     return classified.select(
@@ -206,6 +211,7 @@ def as_facts(classified: DataFrame, confidence: Column, steps: Column, version:
         s["actor"].alias("actor"), s["target"].alias("target"), s["source_ip"].alias("source_ip"),
         F.unix_micros("obs_ts").alias("system_timestamp"), confidence.alias("confidence"),
         F.concat(F.lit("s256:"), F.sha2(F.col("raw"), 256)).alias("raw_hash"), steps.alias("steps"), version.alias("knowledge_version"),
+        F.lit(LEGAL_STAMP).alias("legal_stamp"), F.lit(REASONING_VERSION).alias("reasoning_version"), ontology.alias("ontology_version"),
     )
 
 

@@ -22,7 +22,7 @@ BLOCK_FACTS = 65_536
 #: What a leaf covers: all of a fact but its integrity.
 SEALED = (
     "lsn", "seq", "fact_id", "obs_ts", "source", "raw", "rule_id", "action", "class", "risk", "actor", "target", "source_ip",
-    "system_timestamp", "confidence", "raw_hash", "steps", "knowledge_version",
+    "system_timestamp", "confidence", "raw_hash", "steps", "knowledge_version", "legal_stamp", "reasoning_version", "ontology_version",
 )
 INTEGRITY = ("leaf", "block", "root", "checksum")
 

@@ -86,7 +86,7 @@ def facts(dealt: DataFrame, registry: Registry) -> DataFrame:
     read = dealt.filter(F.col("reading").isNotNull())
     named = read.withColumn("semantic", by(lambda c: ingest.rule_outcome(_tokens(c), c))).withColumn("semantic", ingest.emptied("semantic"))
     steps = by(lambda c: F.array(*map(F.lit, execution_order(c.steps))))
-    return ingest.as_facts(named, by(lambda c: F.lit(c.confidence)), steps, F.col("reading.connector"))
+    return ingest.as_facts(named, by(lambda c: F.lit(c.confidence)), steps, F.col("reading.connector"), by(lambda c: F.lit(c.ontology_version)))
 
 
 def _by_connector(values: dict[str, Column]) -> Column:

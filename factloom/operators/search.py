@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 ALIASES = {
     "fact.id": "fact_id", "actor.id": "actor", "actor.name": "actor", "target.id": "target", "source.ip": "source_ip",
     "fact.behavior.class": "class", "fact.behavior.action": "action", "fact.behavior.risk_level": "risk", "fact.confidence": "confidence",
-    "fact.knowledge_version": "knowledge_version", "lsn": "lsn", "timestamp": "system_timestamp",
+    "fact.knowledge_version": "knowledge_version", "fact.reasoning_version": "reasoning_version", "fact.ontology_version": "ontology_version", "lsn": "lsn", "timestamp": "system_timestamp",
     "integrity.merkle_root_anchor": "root", "integrity.signature": "checksum",
 }
 # Groups of fields that a search may name as a whole.
@@ -17,7 +17,7 @@ GROUPS = {
     "fact.identity": {"actor.id": "actor", "actor.name": "actor", "target.id": "target", "source.ip": "source_ip"},
     "fact.time": {"system_timestamp": "system_timestamp", "log_sequence_number": "lsn"},
     "fact.behavior": {"class": "class", "action": "action", "risk_level": "risk"},
-    "fact.evidence": {"raw_observation_hash": "raw_hash"},
+    "fact.evidence": {"raw_observation_hash": "raw_hash", "carimbo_tempo_legal": "legal_stamp"},
     "fact.lineage": {"transformation_steps": "steps", "input_source": "source", "matched_rule": "rule_id"},
     "fact.integrity": {"leaf_hash": "leaf", "merkle_root_anchor": "root", "signature": "checksum"},
 }
@@ -51,7 +51,7 @@ def search(facts: DataFrame, fields: tuple[str, ...], action: str = "*", target:
 
 def nested(facts: DataFrame) -> DataFrame:
     """facts as fact_id, one struct for each group of fields (identity, time, behavior, evidence, lineage, integrity),
-    confidence and knowledge_version; names have no dots."""
+    confidence and the versions of knowledge, reasoning and ontology; names have no dots."""
     plain = lambda n: n.replace(".", "_")
     groups = [F.struct(*(_field(facts, c).alias(plain(n)) for n, c in fields.items())).alias(name.removeprefix("fact.")) for name, fields in GROUPS.items()]
-    return facts.select("fact_id", *groups, "confidence", "knowledge_version")
+    return facts.select("fact_id", *groups, "confidence", "knowledge_version", "reasoning_version", "ontology_version")

@@ -26,10 +26,10 @@ def trailing(daily_rows: DataFrame, entries: int = 30) -> DataFrame:
     return daily_rows.withColumn("trailing", F.sum("volume").over(Window.orderBy("day").rowsBetween(1 - entries, 0)))
 
 
-def density(volume: Column, limits: tuple[int, int, int] = (225_000, 240_000, 255_000)) -> Column:
-    """Level 1 to 4 of a daily volume."""
+def density(volume: Column, limits: tuple[int, int, int] = (225_000, 240_000, 255_000), beyond: Column | None = None) -> Column:
+    """Level 1 to 4 of a daily volume; 0 where beyond holds, as on days after the one that is looked back from."""
     a, b, c = limits
-    return F.when(volume < a, 1).when(volume < b, 2).when(volume < c, 3).otherwise(4)
+    return F.when(F.lit(False) if beyond is None else beyond, 0).when(volume < a, 1).when(volume < b, 2).when(volume < c, 3).otherwise(4)
 
 
 def split_volume(volume: Column) -> list[Column]:

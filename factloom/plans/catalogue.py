@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from factloom.functions.patterns import groups, strip
 from factloom.operators import behavior, evolve, ingest, ledger, ontology, route, shared_rules, threats, versions, views
 from factloom.operators.search import nested, search
-from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature, execution_order
+from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature
 from factloom.sources import store
 from factloom.sources.lines import event_line, event_lines, spread
 from factloom.sources.shared import scratch, shared_folder
@@ -206,16 +206,40 @@ def _key_values(spark: SparkSession, d: str) -> DataFrame:
     return t.select("seq", F.try_element_at("tokens", F.lit("k")).alias("k"), F.try_element_at("tokens", F.lit("user")).alias("user"), F.try_element_at("tokens", F.lit("database")).alias("database"))
 
 
-def _replicas(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Two fact tables to compare: the stored facts, and those of them that a follower has got so far."""
-    s = _stored(spark, d)
-    return s, s.filter(F.col("lsn") <= ledger.BASE_LSN + 900)
+def _follower(spark: SparkSession, d: str, name: str) -> str:
+    """A store filled apart from the leader's: ``whole`` and ``behind`` by taking over its facts, all of them or 900, and
+    ``apart`` by facts of its own, one of which differs."""
+    key = (spark.sparkContext.applicationId, f"{name} {d}")
+    if key not in _stores:
+        path, leader = shared_folder(spark, f"follower-{name}"), _store(spark, d)
+        if name == "apart":
+            odd = F.lit((store.read(spark, leader).filter(F.col("lsn") == TAMPERED).select("seq").first() or (-1,))[0])
+            store.append(_facts(spark, d).withColumn("risk", F.when(F.col("seq") == odd, "None").otherwise(F.col("risk"))), path, block_facts=BLOCK)
+        elif not store.catch_up(spark, leader, path, ledger.BASE_LSN + 900 if name == "behind" else None):
+            raise RuntimeError("the follower refused its leader's facts")
+        _stores[key] = path
+    return _stores[key]
+
+
+def _replicas(spark: SparkSession, d: str, name: str = "behind") -> tuple[DataFrame, DataFrame]:
+    """The facts of the leader's store and of a follower's."""
+    return _stored(spark, d), store.read(spark, _follower(spark, d, name))
 
 
 def _tails(spark: SparkSession, d: str) -> DataFrame:
-    a, b = _replicas(spark, d)
-    tail = lambda x: x.agg(F.max("lsn").alias("lsn"), F.max_by("root", "lsn").alias("root"))
-    return tail(a).union(tail(a)).union(tail(b))
+    """(lsn, root) of the tails of three stores, from their anchors."""
+    tails = None
+    for path in (_store(spark, d), _follower(spark, d, "whole"), _follower(spark, d, "behind")):
+        one = store.anchors(spark, path).agg(F.max("last_lsn").alias("lsn"), F.max_by("root", "last_lsn").alias("root"))
+        tails = one if tails is None else tails.union(one)
+    return tails
+
+
+def _cases(spark: SparkSession, d: str) -> DataFrame:
+    """The built-in connector's regression cases, and all parsed lines as cases that expect log.info."""
+    lines = _facts(spark, d).select(F.col("raw").alias("input"), F.lit("log.info").alias("expect_action"))
+    own = spark.createDataFrame(list(DATABASE.cases), lines.schema)
+    return ingest.coverage(own.union(lines), DATABASE).select(F.lit(DATABASE.name).alias("name"), "cases", "matching")
 
 
 def _days(spark: SparkSession, d: str) -> DataFrame:
@@ -317,12 +341,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_ok": _check(lambda x: x),
     "verify_tampered": _check(lambda x: ledger.tamper(x, TAMPERED)),
     "verify_first_bad_lsn": lambda s, d: ledger.bad_facts(_stored(s, d).filter(F.col("lsn") != TAMPERED), BLOCK),
-    "hql_action_target": _ask("lsn, actor.name, timestamp", "authentication.failure", "postgresql"),
-    "hql_wildcard": _ask("lsn, fact.behavior.action"),
-    "hql_within_days": _ask("lsn, target.id", "query.execute", "prod", (3, "days")),
-    "hql_within_hours": _ask("lsn", target="prod", within=(12, "hours")),
-    "hql_within_minutes": _ask("lsn", within=(90, "minutes")),
-    "hql_unknown_field": _ask("lsn, no.such", "log.info"),
+    "search_action_target": _ask("lsn, actor.name, timestamp", "authentication.failure", "postgresql"),
+    "search_wildcard": _ask("lsn, fact.behavior.action"),
+    "search_within_days": _ask("lsn, target.id", "query.execute", "prod", (3, "days")),
+    "search_within_hours": _ask("lsn", target="prod", within=(12, "hours")),
+    "search_within_minutes": _ask("lsn", within=(90, "minutes")),
+    "search_unknown_field": _ask("lsn, no.such", "log.info"),
     "template_mask": lambda s, d: _lines(s, d).select("seq", evolve.mask(F.col("raw")).alias("template")),
     "template_groups": lambda s, d: evolve.template_groups(_lines(s, d)),
     "template_jaccard_pairs": lambda s, d: evolve.similar_templates(evolve.template_groups(_lines(s, d)), 0.3).select("a", "b", F.round("similarity", 6).alias("similarity")),
@@ -333,13 +357,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_facts": lambda s, d: views.recent(_stored(s, d), 50).select("lsn", "action"),
     "store_stats": lambda s, d: views.stats(_stored(s, d)),
     "daily_density": lambda s, d: _days(s, d).select("day", "volume", views.density(F.col("volume"), (100, 320, 340)).alias("level")),
+    "daily_density_asof": lambda s, d: _days(s, d).select("day", views.density(F.col("volume"), (100, 320, 340), F.col("day") > F.to_date(F.lit("2024-01-15"))).alias("level")),
+    "search_versions": _ask("lsn, fact.reasoning_version, fact.ontology_version, fact.knowledge_version", "log.info"),
+    "connector_cases": lambda s, d: _cases(s, d),
     "daily_cumulative_lsn": _days,
     "volume_split": lambda s, d: _days(s, d).select("day", *views.split_volume(F.col("volume"))),
     "asof_day": lambda s, d: views.as_of(_days(s, d), "2024-01-15"),
     "asof_lsn_graph": lambda s, d: views.graph_as_of(_stored(s, d).groupBy("actor").agg(F.min("lsn").alias("lsn_start")).filter("actor is not null"), ledger.BASE_LSN + 400, 100),
     "format_suffix": lambda s, d: _facts(s, d).select("seq", views.short_number(F.col("seq") * 1234).alias("text")),
     "replica_missing_range": lambda s, d: views.missing_range(*_replicas(s, d)).select("lsn"),
-    "replica_divergence": lambda s, d: views.divergence(_replicas(s, d)[0], _replicas(s, d)[1].withColumn("root", F.when(F.col("lsn") == TAMPERED, "x").otherwise(F.col("root")))),
+    "replica_divergence": lambda s, d: views.divergence(*_replicas(s, d, "apart")),
     "commit_lsn": lambda s, d: views.commit_lsn(_tails(s, d)),
     "replica_convergence": lambda s, d: views.converged(_tails(s, d)),
     "cond_equals": lambda s, d: _by_rule(Condition("db", equals="prod"))(s, d).select("seq", "rule_id"),
@@ -349,7 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cond_matches_capture": lambda s, d: _by_rule(Condition("message", matches=r"table t(?P<user>\d+)"))(s, d).select("seq", "actor"),
     "rule_default_fallback": lambda s, d: _by_rule(Condition("db", equals="nowhere"))(s, d).select("seq", "rule_id", "action", "class", "risk", "actor"),
     "fact_id": lambda s, d: _facts(s, d).select("seq", "fact_id"),
-    "hql_aliases": _ask(_SOME_ALIASES, target="prod"),
+    "search_aliases": _ask(_SOME_ALIASES, target="prod"),
     "signature_checksum": lambda s, d: _stored(s, d).select("lsn", "checksum"),
     "block_chain_root": lambda s, d: ledger.block_roots(_sealed(s, d)).select("block", "last_lsn", "root"),
     "template_tokens": lambda s, d: evolve.template_groups(_lines(s, d)).select("template", F.array_join(F.array_sort(evolve.tokens(F.col("template"))), " ").alias("tokens")),
@@ -388,10 +415,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_accepted": lambda s, d: views.accepts(_replicas(s, d)[1], ledger.BASE_LSN + 900, (_stored(s, d).filter(F.col("lsn") == ledger.BASE_LSN + 900).select("root").first() or ("",))[0]),
     "replica_catch_up": _caught_up,
     "nested_facts": lambda s, d: nested(_stored(s, d)).select("fact_id", "identity.actor_id", "behavior.risk_level", "time.log_sequence_number", "lineage.matched_rule", F.col("integrity.leaf_hash").isNotNull().alias("sealed")),
-    "hql_integrity": _ask("lsn, fact.confidence, integrity.merkle_root_anchor, integrity.signature", target="prod"),
+    "search_integrity": _ask("lsn, fact.confidence, integrity.merkle_root_anchor, integrity.signature", target="prod"),
     "ssh_rules": lambda s, d: _ssh(s, d).select("seq", "action", "class", "risk", "actor", "target", "source_ip"),
     "keyvalue_rules": lambda s, d: _kv(s, d).select("seq", "rule_id", "action", "class", "risk", "actor", "target"),
-    "step_order": lambda s, d: s.createDataFrame(list(enumerate(execution_order(DATABASE.steps))), "place int, step string"),
+    "step_order": lambda s, d: _stored(s, d).select(F.posexplode("steps").alias("place", "step")).distinct(),
     "daily_trailing": lambda s, d: views.trailing(_days(s, d)).select("day", "trailing"),
     "asof_lsn_edges": lambda s, d: views.edges_as_of(_stored(s, d), ledger.BASE_LSN + 400),
 }
@@ -443,7 +470,7 @@ _FACT_ID = "substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-7' || substr(h, 1, 3)
 _IDS = f"i AS (SELECT seq, {_FACT_ID} AS fact_id FROM (SELECT seq, printf('%012x', system_timestamp // 1000) AS m, sha256('events:' || seq || ':' || raw) AS h FROM facts))"
 _SEALED_FIELDS = (
     "lsn", "seq", "fact_id", "system_timestamp", "'events'", "raw", "rule_id", "action", "class", "risk", "actor", "target", "CAST(NULL AS VARCHAR)",
-    "system_timestamp", "'0.972'", "('s256:' || sha256(raw))", "'parse;normalize;behavior;emit'", "'postgresql'",
+    "system_timestamp", "'0.972'", "('s256:' || sha256(raw))", "'parse;normalize;behavior;emit'", "'postgresql'", "'icp_brasil_serpro_tst_recibo'", "'reasoner-core-v6.0'", "'v9'",
 )
 _SEALED_LEAF = "sha256(concat_ws(',', {}))".format(", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in _SEALED_FIELDS))
 _LEAVES = f"{_IDS}, l AS MATERIALIZED (SELECT lsn, (lsn - 14812338) // 500 AS block, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, action, target, {_SEALED_LEAF} AS leaf FROM facts JOIN i USING (seq))"
@@ -470,14 +497,14 @@ ORACLE_SQL: dict[str, str] = {
     "cond_matches_capture": _f("SELECT seq, nullif(regexp_extract(t.message, 'table t(\\d+)', 1), '') AS actor FROM p"),
     "rule_default_fallback": _f("SELECT seq, '__unmatched__' AS rule_id, 'log.unknown' AS action, 'observation' AS class, 'Low' AS risk, CAST(NULL AS VARCHAR) AS actor FROM p"),
     "fact_id": _f(f", {_IDS} SELECT seq, fact_id FROM i"),
-    "hql_aliases": _f(f""", {_IDS} SELECT fact_id AS "fact.id", actor AS "actor.id", actor AS "actor.name", target AS "target.id", CAST(NULL AS VARCHAR) AS "source.ip", class AS "fact.behavior.class",
+    "search_aliases": _f(f""", {_IDS} SELECT fact_id AS "fact.id", actor AS "actor.id", actor AS "actor.name", target AS "target.id", CAST(NULL AS VARCHAR) AS "source.ip", class AS "fact.behavior.class",
   action AS "fact.behavior.action", risk AS "fact.behavior.risk_level", 'postgresql' AS "fact.knowledge_version", lsn, system_timestamp AS timestamp FROM facts JOIN i USING (seq) WHERE target = 'prod'"""),
     "signature_checksum": _f(f", {_LEAVES} SELECT lsn, substr(sha256('factloom:' || leaf), 1, 48) AS checksum FROM l"),
     "block_chain_root": _f(f", {_LEAVES}, {_BLOCKS} SELECT block, last_lsn, root FROM b"),
     "segment_chain_root": _f(f", {_LEAVES}, e AS (SELECT day, block, min(lsn) AS lsn, max(lsn) AS last_lsn, count(*) AS facts, {_CHAIN} AS leaf FROM l GROUP BY day, block), d AS (SELECT day AS segment, min(lsn) AS first_lsn, max(last_lsn) AS last_lsn, CAST(sum(facts) AS BIGINT) AS facts, {_CHAIN} AS root FROM e GROUP BY day) SELECT *, list_reduce(list(root) OVER (ORDER BY segment), lambda a, b: sha256(a || b), '') AS anchor FROM d"),
     "verify_first_bad_lsn": _f("SELECT lsn, 'gap' AS reason FROM facts WHERE lsn = 14812337 + 701"),
     "chain_root": f"WITH RECURSIVE {_FACTS}, {_LEAVES}, {_ROOTS} SELECT lsn, leaf, root FROM c",
-    "hql_integrity": f"WITH RECURSIVE {_FACTS}, {_LEAVES}, {_ROOTS} SELECT lsn, CAST(0.972 AS DOUBLE) AS \"fact.confidence\", root AS \"integrity.merkle_root_anchor\", substr(sha256('factloom:' || c.leaf), 1, 48) AS \"integrity.signature\" FROM c JOIN l USING (lsn) WHERE target = 'prod'",
+    "search_integrity": f"WITH RECURSIVE {_FACTS}, {_LEAVES}, {_ROOTS} SELECT lsn, CAST(0.972 AS DOUBLE) AS \"fact.confidence\", root AS \"integrity.merkle_root_anchor\", substr(sha256('factloom:' || c.leaf), 1, 48) AS \"integrity.signature\" FROM c JOIN l USING (lsn) WHERE target = 'prod'",
     "store_append": _f(f", {_LEAVES}, {_BLOCKS} SELECT block, first_lsn, last_lsn, facts, root FROM b"),
     "anchor": _f(f", {_LEAVES}, {_BLOCKS} SELECT block, list_reduce(list(root) OVER (ORDER BY block), lambda a, b: sha256(a || b), '') AS anchor FROM b"),
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
@@ -548,12 +575,12 @@ ORACLE_SQL: dict[str, str] = {
     "leaf_hash": _f(f"SELECT lsn, {_LEAF} AS leaf FROM facts"),
     "verify_ok": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_tampered": _f("SELECT 'VIOLATED' AS status, count(*) AS facts FROM facts WHERE lsn < 14812337 + 700"),
-    "hql_action_target": _f("SELECT actor AS \"actor.name\", lsn, system_timestamp AS timestamp FROM facts WHERE action = 'authentication.failure' AND target = 'postgresql'"),
-    "hql_wildcard": _f("SELECT action AS \"fact.behavior.action\", lsn FROM facts"),
-    "hql_within_days": _f("SELECT lsn, target AS \"target.id\" FROM facts WHERE action = 'query.execute' AND target = 'prod' AND system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(3 AS BIGINT) * 86400000000"),
-    "hql_within_hours": _f("SELECT lsn FROM facts WHERE target = 'prod' AND system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(12 AS BIGINT) * 3600000000"),
-    "hql_within_minutes": _f("SELECT lsn FROM facts WHERE system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(90 AS BIGINT) * 60000000"),
-    "hql_unknown_field": _f("SELECT lsn, CAST(NULL AS VARCHAR) AS \"no.such\" FROM facts WHERE action = 'log.info'"),
+    "search_action_target": _f("SELECT actor AS \"actor.name\", lsn, system_timestamp AS timestamp FROM facts WHERE action = 'authentication.failure' AND target = 'postgresql'"),
+    "search_wildcard": _f("SELECT action AS \"fact.behavior.action\", lsn FROM facts"),
+    "search_within_days": _f("SELECT lsn, target AS \"target.id\" FROM facts WHERE action = 'query.execute' AND target = 'prod' AND system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(3 AS BIGINT) * 86400000000"),
+    "search_within_hours": _f("SELECT lsn FROM facts WHERE target = 'prod' AND system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(12 AS BIGINT) * 3600000000"),
+    "search_within_minutes": _f("SELECT lsn FROM facts WHERE system_timestamp >= (SELECT max(system_timestamp) FROM facts) - CAST(90 AS BIGINT) * 60000000"),
+    "search_unknown_field": _f("SELECT lsn, CAST(NULL AS VARCHAR) AS \"no.such\" FROM facts WHERE action = 'log.info'"),
     "template_mask": f"WITH {_MASKED} SELECT seq, template FROM m",
     "template_groups": f"WITH {_MASKED} SELECT * FROM g",
     "template_jaccard_pairs": f"WITH {_MASKED}, k AS (SELECT template, first_seq, CASE WHEN regexp_matches(template, '[A-Za-z_]') THEN list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1)) ELSE [''] END AS t FROM g), j AS (SELECT x.template AS a, y.template AS b, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS n FROM k x JOIN k y ON x.first_seq < y.first_seq) SELECT a, b, round(CAST(i AS DOUBLE) / (n - i), 6) AS similarity FROM j WHERE i > 0 AND CAST(i AS DOUBLE) / (n - i) >= 0.3",
@@ -562,6 +589,9 @@ ORACLE_SQL: dict[str, str] = {
     "recent_facts": _f("SELECT lsn, action FROM facts ORDER BY lsn DESC LIMIT 50"),
     "store_stats": _f("SELECT count(*) AS events, max(lsn) AS head FROM facts"),
     "daily_density": f"WITH {_DAYS} SELECT day, volume, CAST(CASE WHEN volume < 100 THEN 1 WHEN volume < 320 THEN 2 WHEN volume < 340 THEN 3 ELSE 4 END AS INTEGER) AS level FROM d",
+    "daily_density_asof": f"WITH {_DAYS} SELECT day, CAST(CASE WHEN day > DATE '2024-01-15' THEN 0 WHEN volume < 100 THEN 1 WHEN volume < 320 THEN 2 WHEN volume < 340 THEN 3 ELSE 4 END AS INTEGER) AS level FROM d",
+    "search_versions": _f("SELECT lsn, 'reasoner-core-v6.0' AS \"fact.reasoning_version\", 'v9' AS \"fact.ontology_version\", 'postgresql' AS \"fact.knowledge_version\" FROM facts WHERE action = 'log.info'"),
+    "connector_cases": _f("SELECT 'postgresql' AS name, 5 + count(*) AS cases, 5 + count(*) FILTER (action = 'log.info') AS matching FROM facts"),
     "daily_cumulative_lsn": f"WITH {_DAYS} SELECT day, volume, CAST(sum(volume) OVER (ORDER BY day) AS BIGINT) AS cumulative FROM d",
     "volume_split": f"WITH {_DAYS} SELECT day, CAST(floor(volume * CAST(0.55 AS DOUBLE)) AS BIGINT) AS primary, CAST(floor(volume * CAST(0.25 AS DOUBLE)) AS BIGINT) AS secondary, CAST(floor(volume * CAST(0.2 AS DOUBLE)) AS BIGINT) AS tertiary FROM d".replace(" AS primary", ' AS "primary"'),
     "asof_day": f"WITH {_DAYS} SELECT CAST(sum(volume) AS BIGINT) AS cumulative, max(day) AS day FROM d WHERE day <= DATE '2024-01-15'",

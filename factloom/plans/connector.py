@@ -7,6 +7,11 @@ from collections import deque
 from dataclasses import asdict, dataclass, field
 
 
+# Fixed values that every fact carries: its stamp, and the version of the rules' semantics.
+LEGAL_STAMP = "icp_brasil_serpro_tst_recibo"
+REASONING_VERSION = "reasoner-core-v6.0"
+
+
 @dataclass(frozen=True)
 class Condition:
     """One test on a token; only the first operator set, in this order, counts; none set is true."""
@@ -50,6 +55,7 @@ class Connector:
     signatures: tuple[Signature, ...]
     steps: tuple[tuple[str, tuple[str, ...]], ...] = (("parse", ()), ("normalize", ("parse",)), ("behavior", ("normalize",)), ("emit", ("behavior",)))
     cases: tuple[tuple[str, str], ...] = field(default=())
+    ontology_version: str = "v9"
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -59,7 +65,7 @@ class Connector:
         d = json.loads(text)
         tup = lambda x: None if x is None else tuple(x)
         rules = tuple(Rule(**{**r, "when": tuple(Condition(**{**c, "among": tup(c["among"]), "severity_in": tup(c["severity_in"])}) for c in r["when"])}) for r in d["rules"])
-        return Connector(d["name"], d["confidence"], d["pattern"], rules, tuple(Signature(**s) for s in d["signatures"]), tuple((n, tuple(x)) for n, x in d["steps"]), tuple(map(tuple, d["cases"])))
+        return Connector(d["name"], d["confidence"], d["pattern"], rules, tuple(Signature(**s) for s in d["signatures"]), tuple((n, tuple(x)) for n, x in d["steps"]), tuple(map(tuple, d["cases"])), d["ontology_version"])
 
 
 def execution_order(steps: tuple[tuple[str, tuple[str, ...]], ...]) -> list[str]:
@@ -96,6 +102,13 @@ DATABASE = Connector(
         Rule("pg_info", (), "log.info", "observation", "Low", "${user}", "${db}"),
     ),
     signatures=(Signature("pg_brute_force", "authentication.failure", 60, 5, "brute_force_attack", "Critical"),),
+    cases=(
+        ('2026-06-26 01:20:05.123 UTC [14802] FATAL:  password authentication failed for user "admin"', "authentication.failure"),
+        ("2026-06-26 01:20:11.500 UTC [14808] admin@prod LOG:  connection authorized: user=admin database=prod", "authentication.success"),
+        ("2026-06-26 01:20:12.000 UTC [14808] admin@prod LOG:  statement: SELECT * FROM salaries;", "query.execute"),
+        ("2026-06-26 01:20:13.000 UTC [14809] guest@prod ERROR:  permission denied for table salaries", "authorization.failure"),
+        ("2026-06-26 01:20:00.001 UTC [14801] LOG:  database system is ready to accept connections", "log.info"),
+    ),
 )
 SSH = Connector(
     name="linux_sshd",
@@ -103,6 +116,7 @@ SSH = Connector(
     pattern=r"^<(?P<pri>\d+)> (?P<user>\S+) failed password for (?P<target>\S+) from (?P<ip>\S+)",
     rules=(Rule("ssh_auth_failure", (), "authentication.failure", "credential_attack", "High", "${user}", "${target}", "${ip}"),),
     signatures=(Signature("ssh_brute_force", "authentication.failure", 60, 5, "brute_force_attack", "Critical"),),
+    cases=(("<13> admin failed password for root from 187.4.5.1", "authentication.failure"),),
 )
 KEY_VALUE = Connector(
     name="keyvalue_generic",
@@ -113,4 +127,5 @@ KEY_VALUE = Connector(
         Rule("kv_default", (), "log.info", "observation", "Low", "${USER}", "${TARGET}"),
     ),
     signatures=(Signature("kv_mass_deletion", "data.deletion.failure", 120, 3, "sabotage_attempt", "Critical"),),
+    cases=(("USER=carlos_mgi ACTION=delete_record TARGET=table_benefits STATUS=failed", "data.deletion.failure"),),
 )

@@ -11,7 +11,7 @@ from factloom.plans.connector import Connector
 
 #: Which fields of a connector each component holds.
 COMPONENTS = {
-    "manifest": ("name",), "architecture": ("steps",), "reasoning": ("pattern", "rules"), "behavior": ("signatures",), "ontology": ("confidence",), "test_matrix": ("cases",),
+    "manifest": ("name",), "architecture": ("steps",), "reasoning": ("pattern", "rules"), "behavior": ("signatures",), "ontology": ("confidence", "ontology_version"), "test_matrix": ("cases",),
 }
 
 

@@ -20,6 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     return given.rstrip("/")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, wherever Spark can read."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, which goes when the application ends (Hadoop's deleteOnExit)."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.operators import ledger
-from factloom.sources.shared import scratch
+from factloom.sources.shared import exists, scratch
 
 ANCHOR = "block long, first_lsn long, last_lsn long, facts long, root string, anchor string, batch_id long"
 NEEDED = {*ledger.SEALED, *ledger.INTEGRITY}
@@ -20,10 +20,7 @@ NEEDED = {*ledger.SEALED, *ledger.INTEGRITY}
 
 def anchors(spark: SparkSession, path: str) -> DataFrame:
     """The anchor rows of a store; none where there is no store yet."""
-    try:
-        return spark.read.schema(ANCHOR).parquet(f"{path}/anchors")
-    except AnalysisException:
-        return spark.createDataFrame([], ANCHOR)
+    return spark.read.schema(ANCHOR).parquet(f"{path}/anchors") if exists(spark, f"{path}/anchors") else spark.createDataFrame([], ANCHOR)
 
 
 def tail(spark: SparkSession, path: str) -> tuple[int, str, str, int] | None:

@@ -6,13 +6,14 @@ from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from factloom.operators import ingest
 from factloom.plans.connector import Connector, Signature
 from factloom.sources import store
+from factloom.sources.shared import scratch
 
 _OUT = "seq long, actor string, system_timestamp long, window_count long, fired boolean"
 
@@ -59,12 +60,19 @@ def seal_to(path: str) -> Callable[[DataFrame, int], None]:
 
 def ingest_to(path: str, connector: Connector) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink of observations: facts to the store, drift lines to ``quarantine`` as text, and
-    (batch_id, sealed, quarantined) to ``counters``; a retried batch takes its own place."""
+    (batch_id, sealed, quarantined) to ``counters``; a retried batch takes its own place.
+
+    Lines are parsed once and written; what is counted is observed on the way, what is sealed or kept comes from there.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = ingest.parse(batch, connector)
-        store.append(ingest.facts(batch, connector), path, batch_id)
+        seen = Observation("drift")
+        counted = ingest.parse(batch, connector).observe(seen, F.count_if("parsed").alias("sealed"), F.count_if(~F.col("parsed")).alias("quarantined"))
+        parsed = scratch(counted, "parsed")
+        store.append(ingest.facts_of(parsed, connector), path, batch_id)
         ingest.quarantine(parsed).select("raw").write.mode("overwrite").text(f"{path}/quarantine/batch={batch_id}")
-        ingest.drift_counts(parsed).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/counters/batch={batch_id}")
+        n = seen.get
+        row = batch.sparkSession.createDataFrame([(n["sealed"], n["quarantined"], batch_id)], "sealed long, quarantined long, batch_id long")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{path}/counters/batch={batch_id}")
 
     return write
