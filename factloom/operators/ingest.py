@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions.blake3 import blake3
 from factloom.functions.patterns import ALWAYS, ASKED, captured, extracts, fill, found, participation, strip, to_java, told_apart, took_part
 from factloom.plans.connector import LEGAL_STAMP, REASONING_VERSION, Condition, Connector, Rule, execution_order
 
@@ -193,24 +194,30 @@ def fact_id() -> Column:
     return F.concat(part(ms, 1, 8), F.lit("-"), part(ms, 9, 4), F.lit("-7"), part(h, 1, 3), F.lit("-8"), part(h, 4, 3), F.lit("-"), part(h, 7, 12))
 
 
-def facts(obs: DataFrame, connector: Connector) -> DataFrame:
-    """One flat fact for each line that parses."""
-    return facts_of(parse(obs, connector), connector)
+def evidence(raw: Column, kind: str = "s256") -> Column:
+    """The hash of a line as it came: ``s256`` (SHA-256, in the engine) or ``b3`` (BLAKE3, in Arrow batches)."""
+    digest = {"s256": lambda: F.sha2(raw, 256), "b3": lambda: blake3(raw)}[kind]()
+    return F.concat(F.lit(f"{kind}:"), digest)
 
 
-def facts_of(parsed: DataFrame, connector: Connector) -> DataFrame:
+def facts(obs: DataFrame, connector: Connector, hashed: str = "s256") -> DataFrame:
+    """One flat fact for each line that parses; hashed: the kind of its evidence."""
+    return facts_of(parse(obs, connector), connector, hashed)
+
+
+def facts_of(parsed: DataFrame, connector: Connector, hashed: str = "s256") -> DataFrame:
     """``facts`` of what ``parse`` has made of the lines."""
-    return as_facts(classify(parsed, connector), F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name), F.lit(connector.ontology_version))
+    return as_facts(classify(parsed, connector), F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name), F.lit(connector.ontology_version), hashed)
 
 
-def as_facts(classified: DataFrame, confidence: Column, steps: Column, version: Column, ontology: Column) -> DataFrame:
+def as_facts(classified: DataFrame, confidence: Column, steps: Column, version: Column, ontology: Column, hashed: str = "s256") -> DataFrame:
     """Observations with ``semantic`` as flat facts, with what their connector says of itself."""
     s = F.col("semantic")
     return classified.select(
         "seq", fact_id().alias("fact_id"), "obs_ts", "source", "raw", s["rule_id"].alias("rule_id"), s["action"].alias("action"), s["class"].alias("class"), s["risk"].alias("risk"),
         s["actor"].alias("actor"), s["target"].alias("target"), s["source_ip"].alias("source_ip"),
         F.unix_micros("obs_ts").alias("system_timestamp"), confidence.alias("confidence"),
-        F.concat(F.lit("s256:"), F.sha2(F.col("raw"), 256)).alias("raw_hash"), steps.alias("steps"), version.alias("knowledge_version"),
+        evidence(F.col("raw"), hashed).alias("raw_hash"), steps.alias("steps"), version.alias("knowledge_version"),
         F.lit(LEGAL_STAMP).alias("legal_stamp"), F.lit(REASONING_VERSION).alias("reasoning_version"), ontology.alias("ontology_version"),
     )
 

@@ -334,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_hit_counts": lambda s, d: _facts(s, d).groupBy("rule_id").agg(F.count("*").alias("hits")),
     "template_render_identity": lambda s, d: _facts(s, d).select("seq", "actor", "target", "source_ip"),
     "evidence_hash": lambda s, d: _facts(s, d).select("seq", "raw_hash"),
+    "evidence_blake3": lambda s, d: ingest.facts(_obs(s, d), DATABASE, "b3").select("seq", "raw_hash"),
     "lsn_assign": lambda s, d: _numbered(s, d).select("seq", "lsn"),
     "leaf_hash": lambda s, d: (lambda n: n.select("lsn", ledger.leaf_hash(n, ("lsn", "system_timestamp", "action", "actor", "target")).alias("leaf")))(_numbered(s, d)),
     "chain_root": lambda s, d: _sealed(s, d).select("lsn", "leaf", "root"),
