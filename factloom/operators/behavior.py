@@ -125,7 +125,7 @@ def escalate(facts: DataFrame, signatures: tuple[Signature, ...], hot_facts: int
 
 
 def sessions(facts: DataFrame, gap: str) -> DataFrame:
-    """(actor, opened, closed, facts, actions, worst) of each actor's sessions: facts less than gap apart.
+    """(actor, opened, closed, facts, actions, worst) of each actor's sessions: facts at most gap apart.
 
     closed is gap after the last fact. Partial sessions of a task are merged before they are shuffled
     (spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition), so that a busy actor sends few rows.

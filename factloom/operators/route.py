@@ -37,6 +37,9 @@ class Registry:
         return tuple(known.values())
 
 
+_READING = "struct<connector:string,names:array<string>,texts:array<string>>"
+
+
 def _read(connector: Connector, raw: Column) -> Column:
     """(connector, groups or keys and values as a map) of a line; null if the connector can't read it.
 
@@ -59,7 +62,7 @@ def deal(obs: DataFrame, registry: Registry) -> DataFrame:
         if sources:
             mine = F.col("source").isin(*sources)
             own = F.when(mine, _read(c, raw)) if own is None else own.when(mine, _read(c, raw))
-    offered = F.coalesce(*(_read(c, raw) for c in registry.formats)) if registry.formats else F.lit(None)
+    offered = F.coalesce(*(_read(c, raw) for c in registry.formats)) if registry.formats else F.lit(None).cast(_READING)
     reading = offered if own is None else own.otherwise(offered)
     known = F.coalesce(F.col("source").isin(*registry.by_source), F.lit(False)) if registry.by_source else F.lit(False)
     # generated once for each line, however many branches read it
@@ -84,9 +87,10 @@ def facts(dealt: DataFrame, registry: Registry) -> DataFrame:
     """One flat fact for each line that its connector read."""
     by = lambda value: _by_connector({c.name: value(c) for c in registry.connectors()})
     read = dealt.filter(F.col("reading").isNotNull())
-    named = read.withColumn("semantic", by(lambda c: ingest.rule_outcome(_tokens(c), c))).withColumn("semantic", ingest.emptied("semantic"))
-    steps = by(lambda c: F.array(*map(F.lit, execution_order(c.steps))))
-    return ingest.as_facts(named, by(lambda c: F.lit(c.confidence)), steps, F.col("reading.connector"), by(lambda c: F.lit(c.ontology_version)))
+    told = F.coalesce(by(lambda c: ingest.rule_outcome(_tokens(c), c)), ingest.unmatched())
+    named = read.withColumn("semantic", told).withColumn("semantic", ingest.emptied("semantic"))
+    steps = by(lambda c: F.array(*map(F.lit, execution_order(c.steps)))).cast("array<string>")
+    return ingest.as_facts(named, by(lambda c: F.lit(c.confidence)).cast("double"), steps, F.col("reading.connector"), by(lambda c: F.lit(c.ontology_version)).cast("string"))
 
 
 def _by_connector(values: dict[str, Column]) -> Column:

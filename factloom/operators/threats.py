@@ -23,7 +23,7 @@ def address(text: Column) -> Column:
     """An IPv4 address as a number; null for all else."""
     parts = F.split(text, r"\.")
     number = F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n * 256 + p.try_cast("long"))
-    return F.when(text.rlike(r"\A(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?!\z)|\z)){4}\z"), number)
+    return F.when(text.rlike(r"\A(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?!\z)|\z)){4}\z"), number)
 
 
 def _prefix(number: Column, length: Column) -> Column:

@@ -524,7 +524,7 @@ ORACLE_SQL: dict[str, str] = {
   FROM p LEFT JOIN (SELECT seq, max(i) AS i FROM p, (SELECT unnest(range(500)) AS i) WHERE contains(t.message, CAST(i % 250 AS VARCHAR)) AND CASE WHEN i < 250 THEN t.severity IN ('ERROR', 'FATAL') ELSE t.severity = 'LOG' END GROUP BY seq) m USING (seq)"""),
     "stream_sessions": _f("""SELECT * FROM (SELECT actor, make_timestamp(min(system_timestamp)) AS opened, make_timestamp(max(system_timestamp) + 7200000000) AS closed, count(*) AS facts, array_to_string(list_sort(list_distinct(list(action))), ',') AS actions,
   ['Low', 'Medium', 'High', 'Critical'][max(list_position(['Low', 'Medium', 'High', 'Critical'], risk))] AS worst
-  FROM (SELECT *, sum(opens) OVER (PARTITION BY actor ORDER BY system_timestamp, seq) AS session FROM (SELECT coalesce(actor, 'unknown') AS actor, system_timestamp, seq, action, risk, CASE WHEN system_timestamp - lag(system_timestamp) OVER (PARTITION BY coalesce(actor, 'unknown') ORDER BY system_timestamp, seq) < 7200000000 THEN 0 ELSE 1 END AS opens FROM facts)) GROUP BY actor, session)
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY actor ORDER BY system_timestamp, seq) AS session FROM (SELECT coalesce(actor, 'unknown') AS actor, system_timestamp, seq, action, risk, CASE WHEN system_timestamp - lag(system_timestamp) OVER (PARTITION BY coalesce(actor, 'unknown') ORDER BY system_timestamp, seq) <= 7200000000 THEN 0 ELSE 1 END AS opens FROM facts)) GROUP BY actor, session)
   WHERE epoch_us(closed) // 1000 <= (SELECT max(system_timestamp) // 1000 - 3600000 FROM facts)"""),
     "stream_timed_counts": "WITH {} SELECT *, window_count >= 5 AS fired FROM (SELECT a.batch, a.seq, a.actor, a.system_timestamp, count(*) AS window_count FROM o a JOIN o b ON a.actor = b.actor AND b.system_timestamp BETWEEN a.system_timestamp - 604800000000 AND a.system_timestamp AND (b.batch, b.system_timestamp, b.seq) <= (a.batch, a.system_timestamp, a.seq) GROUP BY ALL)",
     "stream_timed_late": "WITH {} SELECT batch, seq, actor, system_timestamp FROM l WHERE late",
@@ -542,7 +542,7 @@ ORACLE_SQL: dict[str, str] = {
     "behavior_hot_actor": _f("SELECT seq, n AS window_count, CASE WHEN n >= 5 THEN 'brute_force_attack' ELSE 'credential_attack' END AS class FROM (SELECT seq, count(*) OVER (PARTITION BY CASE WHEN actor < 'u5' THEN actor END ORDER BY system_timestamp RANGE BETWEEN 604800000000 PRECEDING AND CURRENT ROW) AS n FROM facts WHERE action = 'authentication.failure')"),
     "sessions": _f("""SELECT actor, make_timestamp(min(system_timestamp)) AS opened, make_timestamp(max(system_timestamp) + 7200000000) AS closed, count(*) AS facts, array_to_string(list_sort(list_distinct(list(action))), ',') AS actions,
   ['Low', 'Medium', 'High', 'Critical'][max(list_position(['Low', 'Medium', 'High', 'Critical'], risk))] AS worst
-  FROM (SELECT *, sum(opens) OVER (PARTITION BY actor ORDER BY system_timestamp, seq) AS session FROM (SELECT coalesce(actor, 'unknown') AS actor, system_timestamp, seq, action, risk, CASE WHEN system_timestamp - lag(system_timestamp) OVER (PARTITION BY coalesce(actor, 'unknown') ORDER BY system_timestamp, seq) < 7200000000 THEN 0 ELSE 1 END AS opens FROM facts)) GROUP BY actor, session"""),
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY actor ORDER BY system_timestamp, seq) AS session FROM (SELECT coalesce(actor, 'unknown') AS actor, system_timestamp, seq, action, risk, CASE WHEN system_timestamp - lag(system_timestamp) OVER (PARTITION BY coalesce(actor, 'unknown') ORDER BY system_timestamp, seq) <= 7200000000 THEN 0 ELSE 1 END AS opens FROM facts)) GROUP BY actor, session"""),
     "verify_forged_block": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(500 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_forged_anchor": _f("SELECT CASE WHEN count(*) > 500 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, least(count(*), CAST(500 AS BIGINT)) AS facts FROM facts"),
     "verify_lost_head": _f("SELECT CASE WHEN count(*) > 0 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CAST(0 AS BIGINT) AS facts FROM facts"),
