@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions.patterns import strip
-from factloom.sources.shared import scratch
+from factloom.sources.shared import exists, scratch
 
 # Masks in their order, and what each mask stands for in a suggested pattern.
 MASKS = (
@@ -51,23 +54,29 @@ def _marked_tokens() -> Column:
     return F.when(F.size(t) == 0, F.array(F.lit(""))).otherwise(t)
 
 
-def _similar_sets(sets: DataFrame, least: float) -> DataFrame:
-    """(a, b, similarity) of token sets (id, tokens) that reach ``least``, a < b.
+def _similar_sets(sets: DataFrame, least: float, others: DataFrame | None = None) -> DataFrame:
+    """(a, b, similarity) of token sets (id, tokens) that reach ``least``: a < b, or a of sets and b of others.
 
     Two sets that similar share one of the rarest |s| - ceil(least |s|) + 1 tokens of each, so that only those
-    are joined, and sets of too different sizes are left out before they are compared.
+    are joined, and sets of too different sizes are left out before they are compared. A token that very many sets
+    have is a prefix of few, since tokens are taken in order of rarity.
     """
-    each = sets.select("id", F.explode("tokens").alias("token"))
-    ranked = each.join(each.groupBy("token").agg(F.count("*").alias("n")), "token")
-    ordered = ranked.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda t: t["token"]).alias("tokens"))
+    both = sets if others is None else sets.union(others)
+    count = both.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     size = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), (size - F.ceil(size * least - 1e-9) + 1).cast("int"))
-    cut = ordered.select("id", size.alias("size"), F.explode(prefix).alias("token"))
-    pairs = cut.select(F.col("id").alias("a"), F.col("size").alias("na"), "token").join(cut.select(F.col("id").alias("b"), F.col("size").alias("nb"), "token"), "token")
-    pairs = pairs.filter(f"a < b and na >= {least} * nb - 1e-9 and nb >= {least} * na - 1e-9").select("a", "b").distinct()
-    left, right = (sets.select(F.col("id").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
-    both = F.size(F.array_intersect("ta", "tb"))
-    scored = pairs.join(left, "a").join(right, "b").select("a", "b", (both / (F.size("ta") + F.size("tb") - both)).alias("similarity"))
+
+    def prefixes(of: DataFrame, id_: str, n: str) -> DataFrame:
+        ranked = of.select("id", F.explode("tokens").alias("token")).join(count, "token")
+        ordered = ranked.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda t: t["token"]).alias("tokens"))
+        cut = F.slice("tokens", F.lit(1), (size - F.ceil(size * least - 1e-9) + 1).cast("int"))
+        return ordered.select(F.col("id").alias(id_), size.alias(n), F.explode(cut).alias("token"))
+
+    right = sets if others is None else others
+    pairs = prefixes(sets, "a", "na").join(prefixes(right, "b", "nb"), "token")
+    pairs = pairs.filter(f"na >= {least} * nb - 1e-9 and nb >= {least} * na - 1e-9" + (" and a < b" if others is None else "")).select("a", "b").distinct()
+    ta, tb = (df.select(F.col("id").alias(x), F.col("tokens").alias(f"t{x}")) for df, x in ((sets, "a"), (right, "b")))
+    shared = F.size(F.array_intersect("ta", "tb"))
+    scored = pairs.join(ta, "a").join(tb, "b").select("a", "b", (shared / (F.size("ta") + F.size("tb") - shared)).alias("similarity"))
     return scored.filter(F.col("similarity") >= least)
 
 
@@ -84,31 +93,106 @@ def similar_templates(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
     return out.select("a", "b", "sa", "sb", "similarity")
 
 
-def leaders(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(template, leader): greedy in order of appearance; a template joins the first leader near enough.
+#: Token sets that one task walks through, about.
+PIECE = 20_000
+LEADERS = "place long, tokens array<string>, name string"
+
+
+def _walked(least: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The greedy walk over token sets (id, tokens) in order of id: (id, leader).
 
-    Templates of one token set share their fate, that of the first of them. Round by round, a set whose
-    nearer predecessors are all decided is decided itself; rounds end when all are.
+    Leaders are known by their rarest tokens, one of which a set that is near enough shares.
     """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"id": [], "tokens": []}), *batches]).sort_values("id")
+        sets = [frozenset(t) for t in rows["tokens"]]
+        ids = rows["id"].astype("int64").tolist()
+        count: dict[str, int] = {}
+        for s in sets:
+            for t in s:
+                count[t] = count.get(t, 0) + 1
+        by_token: dict[str, list[int]] = {}
+        out = []
+        for i, s in enumerate(sets):
+            prefix = sorted(s, key=lambda t: (count[t], t))[: len(s) - math.ceil(len(s) * least - 1e-9) + 1]
+            near = sorted({k for t in prefix for k in by_token.get(t, ())})
+            leader = next((k for k in near if len(s & sets[k]) >= least * len(s | sets[k])), i)
+            if leader == i:
+                for t in prefix:
+                    by_token.setdefault(t, []).append(i)
+            out.append(ids[leader])
+        yield pd.DataFrame({"id": ids, "leader": out})
+
+    return run
+
+
+def _assigned(sets: DataFrame, known: DataFrame, least: float, piece: int) -> tuple[DataFrame, DataFrame]:
+    """((id, leader's place), (place, tokens, name) of all leaders) of token sets (id, tokens, name), after the known ones.
+
+    Pieces of sets in order of id meet the leaders so far by a join; those that join none are walked through in one
+    task, which holds a piece at most. The first leader in order that is near enough counts.
+    """
+    total = sets.count()
+    cuts = sorted(set(sets.approxQuantile("id", [k * piece / total for k in range(1, -(-total // piece))], 0.0))) if total > piece else []
+    out = None
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = sets.filter((F.lit(True) if low is None else F.col("id") > low) & (F.lit(True) if high is None else F.col("id") <= high))
+        met = _similar_sets(part.select("id", "tokens"), least, known.select(F.col("place").alias("id"), "tokens"))
+        joined = scratch(met.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("leader")), "joined")
+        rest = part.join(joined, "id", "left_anti").select("id", "tokens")
+        walked = scratch(rest.repartition(1).mapInPandas(_walked(least), "id long, leader long"), "walked")
+        fresh = part.join(walked.filter("id = leader").select("id"), "id").select(F.col("id").alias("place"), "tokens", "name")
+        known = scratch(known.union(fresh), "leaders")
+        both = joined.union(walked)
+        out = both if out is None else out.union(both)
+    return out, known
+
+
+def _token_sets(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(templates with their tokens, the distinct token sets (id, tokens, name)): a set goes by its first template."""
     t = scratch(groups.select("template", "first_seq", F.array_sort(_marked_tokens()).alias("tokens")), "templates")
-    sets = t.groupBy("tokens").agg(F.min("first_seq").alias("id"), F.min_by("template", "first_seq").alias("first"))
-    sets = scratch(sets, "sets")
-    pairs = scratch(_similar_sets(sets.select("id", "tokens"), least).select("a", "b"), "pairs")
-    known = sets.select("id", F.lit(None).cast("long").alias("leader"))
-    while True:
-        before = pairs.join(known, F.col("a") == F.col("id")).select("b", "a", "leader")
-        fate = before.groupBy("b").agg(
-            F.count_if(F.col("leader").isNull()).alias("open"),
-            F.min(F.when(F.col("leader").isNull(), F.col("a"))).alias("open_from"),
-            F.min(F.when(F.col("leader") == F.col("a"), F.col("a"))).alias("lead"),
-        )
-        join = F.col("lead").isNotNull() & (F.col("open_from").isNull() | (F.col("lead") < F.col("open_from")))
-        decided = F.when(join, F.col("lead")).when(F.coalesce("open", F.lit(0)) == 0, F.col("id"))
-        known = scratch(known.join(fate, F.col("id") == F.col("b"), "left").select("id", F.coalesce("leader", decided).alias("leader")), "known")
-        if known.filter("leader is null").isEmpty():
-            break
-    named = known.join(sets.select(F.col("id").alias("leader"), F.col("first").alias("name")), "leader").select("id", "name")
-    return t.join(sets.select("tokens", "id"), "tokens").join(named, "id").select("template", F.col("name").alias("leader"))
+    return t, scratch(t.groupBy("tokens").agg(F.min("first_seq").alias("id"), F.min_by("template", "first_seq").alias("name")).select("id", "tokens", "name"), "sets")
+
+
+def leaders(groups: DataFrame, least: float = SIMILAR, piece: int = PIECE) -> DataFrame:
+    """(template, leader): greedy in order of appearance; a template joins the first leader near enough.
+
+    Templates of one token set share their fate, that of the first of them.
+    """
+    t, sets = _token_sets(groups)
+    placed, every = _assigned(sets, groups.sparkSession.createDataFrame([], LEADERS), least, piece)
+    named = placed.join(every.select(F.col("place").alias("leader"), F.col("name").alias("of")), "leader").join(sets.select("id", "tokens"), "id")
+    return t.join(named.select("tokens", F.col("of").alias("leader")), "tokens").select("template", "leader")
+
+
+def absorb(lines: DataFrame, path: str, batch_id: int, least: float = SIMILAR, piece: int = PIECE) -> None:
+    """Add a batch of drift lines (seq, raw) to the clusters that are kept in the folder path.
+
+    A batch meets the leaders of earlier batches only, and leaves those that are new (``leaders``) and what it
+    counted (``counts``); a batch that is absorbed again takes its own place. Batches come in order of seq, which
+    makes the clusters those of a walk over all lines.
+    """
+    spark = lines.sparkSession
+    groups = scratch(template_groups(lines), "groups")
+    known = spark.createDataFrame([], LEADERS)
+    if exists(spark, f"{path}/leaders"):
+        known = spark.read.schema(f"{LEADERS}, batch long").parquet(f"{path}/leaders").filter(F.col("batch") < batch_id).drop("batch")
+    t, sets = _token_sets(groups)
+    placed, every = _assigned(sets, scratch(known, "known"), least, piece)
+    ids = placed.join(sets.select("id", "tokens"), "id").select("tokens", "leader")
+    counted = groups.join(t.join(ids, "tokens").select("template", "leader"), "template")
+    sums = counted.groupBy(F.col("leader").alias("place")).agg(F.sum("count").alias("count"), F.min("first_seq").alias("first_seq"), F.min_by("sample", "first_seq").alias("sample"))
+    every.join(known.select("place"), "place", "left_anti").coalesce(1).write.mode("overwrite").parquet(f"{path}/leaders/batch={batch_id}")
+    sums.coalesce(1).write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
+
+
+def absorbed(spark: SparkSession, path: str) -> DataFrame:
+    """(template, count, first_seq, sample) of the clusters kept in path, by their leaders."""
+    counts = spark.read.schema("place long, count long, first_seq long, sample string").parquet(f"{path}/counts")
+    named = spark.read.schema(LEADERS).parquet(f"{path}/leaders").select("place", F.col("name").alias("template"))
+    sums = counts.groupBy("place").agg(F.sum("count").alias("count"), F.min("first_seq").alias("first_seq"), F.min_by("sample", "first_seq").alias("sample"))
+    return sums.join(named, "place").select("template", "count", "first_seq", "sample")
 
 
 def suggest(template: str) -> str:
@@ -142,7 +226,7 @@ def cluster_report(lines: DataFrame, least: float = SIMILAR) -> DataFrame:
     total = groups.agg(F.sum("count").alias("total"))
     own = groups.select(F.col("template").alias("leader"), "first_seq", "sample")
     out = sizes.join(own, "leader").crossJoin(F.broadcast(total)).orderBy(F.desc("count"), "first_seq")
-    return out.select(F.col("leader").alias("template"), "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("coverage_pct"), F.substring("sample", 1, 90).alias("sample"), F.inline(F.array(F.udf(_seed, "suggested_regex string, regex_valid boolean")("leader"))))
+    return out.select(F.col("leader").alias("template"), "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("coverage_pct"), F.substring("sample", 1, 90).alias("sample"), F.inline(F.array(F.udf(_seed, "suggested_regex string, regex_valid boolean", useArrow=False)("leader"))))
 
 
 def entropy(sizes: DataFrame, count: str = "count") -> DataFrame:

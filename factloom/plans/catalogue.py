@@ -16,7 +16,7 @@ from factloom.sources import store
 from factloom.sources.lines import event_line, event_lines, spread
 from factloom.sources.shared import scratch, shared_folder
 from factloom.streaming import timed
-from factloom.streaming.pipeline import behavior_stream, ingest_to
+from factloom.streaming.pipeline import behavior_stream, clusters_to, ingest_to
 
 #: Sixty seconds never hold five failures of one user in the events table; a week does.
 WEEK = Signature("week_brute_force", "authentication.failure", 604_800, 5, "brute_force_attack", "Critical")
@@ -259,20 +259,37 @@ NUMBERED = Connector(
 )
 
 
+def _in_turn(rows: DataFrame, path: str, batches: int) -> DataFrame:
+    """A stream of rows in order of seq, in so many batches of about equal spans, from files as old as their batches."""
+    kept = scratch(rows, "in-turn")
+    low, high = kept.agg(F.min("seq"), F.max("seq")).first()
+    width = (high - low) // batches + 1 if low is not None else 1
+    for k in range(batches):
+        kept.filter(F.floor((F.col("seq") - (low or 0)) / width) == k).coalesce(1).write.mode("append").parquet(path)
+    return rows.sparkSession.readStream.schema(kept.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _streamed(lateness: str | None) -> Callable[[SparkSession, str], DataFrame]:
-    """The week's window as a stream over files in the shared folder, until all of them are read."""
+    """The week's window as a stream in five batches, with state from one to the next."""
 
     def run(spark: SparkSession, d: str) -> DataFrame:
         base = shared_folder(spark, "stream")
         some = _facts(spark, d).select("seq", "action", "actor", "system_timestamp")
-        some.write.parquet(f"{base}/in")
-        made = behavior_stream(spark.readStream.schema(some.schema).parquet(f"{base}/in"), WEEK, lateness)
+        made = behavior_stream(_in_turn(some, f"{base}/in", 5), WEEK, lateness)
         made.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
         return spark.read.parquet(f"{base}/out")
 
     return run
 
 
+def _streamed_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters of all lines, grown over a stream of three batches."""
+    base = shared_folder(spark, "clusters")
+    lines = _in_turn(_lines(spark, d), f"{base}/in", 3)
+    lines.writeStream.foreachBatch(clusters_to(f"{base}/out")).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return evolve.absorbed(spark, f"{base}/out")
+
+
 def _delayed(spark: SparkSession, d: str) -> str:
     """A stream of eight batches of four days each, in which some facts come one batch or three too late.
 
@@ -396,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ontology_rollup": lambda s, d: ontology.rolled_up(s.read.parquet(f"{d}/events.parquet"), _ways(s, d), "user_id"),
     "rules_shared": lambda s, d: shared_rules.classify(ingest.parse(_obs(s, d), MANY), MANY).select("seq", "semantic.rule_id", "semantic.action", "semantic.actor"),
     "stream_sessions": _streamed_sessions,
+    "stream_drift_clusters": _streamed_clusters,
     "stream_timed_counts": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.COUNTED).select("batch", "seq", "actor", "system_timestamp", "window_count", "fired"),
     "stream_timed_late": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.LATE).select("batch", "seq", "actor", "system_timestamp"),
     "stream_timed_late_counts": lambda s, d: timed.late_counts(s, _delayed(s, d)),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from factloom.operators import ingest
+from factloom.operators import evolve, ingest
 from factloom.plans.connector import Connector, Signature
 from factloom.sources import store
 from factloom.sources.shared import scratch
@@ -76,3 +76,8 @@ def ingest_to(path: str, connector: Connector) -> Callable[[DataFrame, int], Non
         row.coalesce(1).write.mode("overwrite").parquet(f"{path}/counters/batch={batch_id}")
 
     return write
+
+
+def clusters_to(path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink of drift lines: the clusters kept at path grow by each batch, once however often retried."""
+    return lambda batch, batch_id: evolve.absorb(batch.select("seq", "raw"), path, batch_id)

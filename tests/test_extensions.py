@@ -216,3 +216,24 @@ def test_seeds_of_connectors(spark):
     for c in (DATABASE, SSH, KEY_VALUE):
         cases = spark.createDataFrame(list(c.cases), "input string, expect_action string")
         assert tuple(ingest.coverage(cases, c).first()) == (len(c.cases), len(c.cases), 100.0)
+
+
+def test_clusters_that_grow_equal_the_walk_over_all_lines(spark, tmp_path):
+    rng = random.Random(9)
+    lines = [" ".join(rng.choice("abcdefghij") * 3 for _ in range(rng.randint(0, 6))) or "--- ;" for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(lines)), "seq long, raw string")
+    groups = evolve.template_groups(df).checkpoint()
+    whole = {r.template: r.leader for r in evolve.leaders(groups).collect()}
+    assert {r.template: r.leader for r in evolve.leaders(groups, piece=7).collect()} == whole
+    for k, (low, high) in enumerate([(0, 40), (40, 100), (100, 150)]):
+        batch = df.filter(f"seq >= {low} and seq < {high}")
+        evolve.absorb(batch, f"{tmp_path}/clusters", k)
+        if k == 1:  # a retry
+            evolve.absorb(batch, f"{tmp_path}/clusters", k, piece=10)
+    want = defaultdict(int)
+    for x in lines:
+        want[whole[x]] += 1
+    got = {r.template: (r["count"], r.sample) for r in evolve.absorbed(spark, f"{tmp_path}/clusters").collect()}
+    assert {t: n for t, (n, _) in got.items()} == want and all(s == t for t, (_, s) in got.items())
+    evolve.absorb(df.limit(0), f"{tmp_path}/none", 0)
+    assert evolve.absorbed(spark, f"{tmp_path}/none").count() == 0
