@@ -12,8 +12,8 @@ from factloom.functions.patterns import groups, strip
 from factloom.operators import behavior, evolve, ingest, ledger, ontology, route, shared_rules, threats, versions, views
 from factloom.operators.search import nested, search
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature
-from factloom.sources import store
-from factloom.sources.lines import event_line, event_lines, spread
+from factloom.sources import artifact, store
+from factloom.sources.lines import event_line, event_lines, matrix_cases, spread, text_lines
 from factloom.sources.shared import scratch, shared_folder
 from factloom.streaming import timed
 from factloom.streaming.pipeline import behavior_stream, clusters_to, ingest_to
@@ -242,6 +242,48 @@ def _cases(spark: SparkSession, d: str) -> DataFrame:
     return ingest.coverage(own.union(lines), DATABASE).select(F.lit(DATABASE.name).alias("name"), "cases", "matching")
 
 
+def _from_text(spark: SparkSession, d: str) -> DataFrame:
+    """Facts of the lines written as text files, with blank lines between them."""
+    path = f"{shared_folder(spark, 'text')}/lines"
+    blank = F.when(F.col("seq") % 3 == 0, F.array("raw", F.lit(" \t"))).otherwise(F.array("raw"))
+    _lines(spark, d).select(F.explode(blank)).write.text(path)
+    return ingest.facts(text_lines(spark, path), DATABASE).select("raw", "rule_id", "action", "actor")
+
+
+def _from_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """What a stream put aside, read again as lines."""
+    return text_lines(spark, f"{_streamed_store(spark, d)}/quarantine/*").select("raw")
+
+
+def _from_artifact(spark: SparkSession, d: str) -> DataFrame:
+    """Facts under the database connector as its folder of components gives it."""
+    path = shared_folder(spark, "artifact")
+    artifact.save(spark, DATABASE, path)
+    return ingest.facts(_obs(spark, d), artifact.load(spark, path)).select(*FACT, "confidence", "steps").withColumn("steps", F.array_join("steps", ","))
+
+
+def _from_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of a test matrix: all parsed lines with the action that their event's type stands for, in one file a task."""
+    path = f"{shared_folder(spark, 'matrix')}/cases"
+    e = spread(spark.read.parquet(f"{d}/events.parquet"))
+    action = F.when(F.col("event_type") == "error", "authentication.failure").when(F.col("event_type") == "signup", "authentication.success").otherwise("query.execute")
+    cases = e.select(F.spark_partition_id().alias("part"), F.struct(event_line().alias("input"), action.alias("expect_action")).alias("c"))
+    # files of a bounded number of cases each
+    cases.withColumn("k", F.floor(F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) / 5000)).groupBy("part", "k").agg(F.collect_list("c").alias("cases")).select("cases").write.option("lineSep", "\n\n").option("maxRecordsPerFile", 1).json(path)
+    return ingest.coverage(matrix_cases(spark, path), DATABASE).select("cases", "matching")
+
+
+def _one_by_one(spark: SparkSession, d: str) -> DataFrame:
+    """Anchors of a store to which three facts were appended singly before all others."""
+    path = shared_folder(spark, "singles")
+    facts = scratch(_facts(spark, d), "singles")
+    first = [r[0] for r in facts.orderBy("seq").select("seq").limit(3).collect()]
+    for seq in first:
+        store.append(facts.filter(F.col("seq") == seq), path, block_facts=BLOCK)
+    store.append(facts.filter(~F.col("seq").isin(*first)), path, block_facts=BLOCK)
+    return store.anchors(spark, path).select("block", "first_lsn", "last_lsn", "facts", "root")
+
+
 def _days(spark: SparkSession, d: str) -> DataFrame:
     return views.daily(_facts(spark, d))
 
@@ -412,6 +454,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ontology_closure": lambda s, d: ontology.closure(_ways(s, d)),
     "ontology_rollup": lambda s, d: ontology.rolled_up(s.read.parquet(f"{d}/events.parquet"), _ways(s, d), "user_id"),
     "rules_shared": lambda s, d: shared_rules.classify(ingest.parse(_obs(s, d), MANY), MANY).select("seq", "semantic.rule_id", "semantic.action", "semantic.actor"),
+    "source_text_file": _from_text,
+    "source_quarantine_file": _from_quarantine,
+    "source_artifact": _from_artifact,
+    "source_test_matrix": _from_matrix,
+    "store_append_one": _one_by_one,
+    "store_order": lambda s, d: store.read(s, _store(s, d), ordered=True).select("lsn", "seq", "action"),
     "stream_sessions": _streamed_sessions,
     "stream_drift_clusters": _streamed_clusters,
     "stream_timed_counts": lambda s, d: timed.of_kind(s, _delayed(s, d), timed.COUNTED).select("batch", "seq", "actor", "system_timestamp", "window_count", "fired"),
@@ -529,6 +577,12 @@ ORACLE_SQL: dict[str, str] = {
     "verify_blocks": _f("SELECT 'INTEG_OK' AS status, count(*) AS facts FROM facts"),
     "verify_doubled": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
     "verify_lost_tail": _f("SELECT CASE WHEN count(*) >= 700 THEN 'VIOLATED' ELSE 'INTEG_OK' END AS status, CASE WHEN count(*) >= 700 THEN CAST(699 AS BIGINT) ELSE count(*) END AS facts FROM facts"),
+    "source_text_file": _f("SELECT raw, rule_id, action, actor FROM facts"),
+    "source_quarantine_file": f"WITH {_OBS} SELECT raw FROM obs WHERE seq % 50 = 7",
+    "source_artifact": _f("SELECT seq, rule_id, action, class, risk, actor, target, system_timestamp, CAST(0.972 AS DOUBLE) AS confidence, 'parse,normalize,behavior,emit' AS steps FROM facts"),
+    "source_test_matrix": _f("SELECT (SELECT count(*) FROM obs) AS cases, count(*) FILTER (action = CASE kind WHEN 'error' THEN 'authentication.failure' WHEN 'signup' THEN 'authentication.success' ELSE 'query.execute' END) AS matching FROM facts JOIN (SELECT seq, kind FROM obs) USING (seq)"),
+    "store_order": _f("SELECT lsn, seq, action FROM facts"),
+    "store_append_one": f"WITH RECURSIVE {_FACTS}, {_LEAVES}, {_ROOTS}, e AS (SELECT lsn, (lsn - 14812338) // 500 AS block, CASE WHEN lsn <= 14812340 THEN lsn ELSE 14812341 + (lsn - 14812338) // 500 END AS part, root FROM c) SELECT block, min(lsn) AS first_lsn, max(lsn) AS last_lsn, count(*) AS facts, arg_max(root, lsn) AS root FROM e GROUP BY block, part",
     "threat_tags": "WITH {} SELECT seq, source_ip, tags FROM tagged",
     "threat_tag_counts": "WITH {} SELECT string_split(t, '/')[1] AS provider, string_split(t, '/')[2] AS tag, string_split(t, '/')[3] AS kind, count(*) AS facts FROM (SELECT unnest(string_split(tags, ',')) AS t FROM tagged) GROUP BY ALL",
     "knowledge_changes": r"WITH {} SELECT change, count(*) AS lines FROM bo WHERE old_rule IS NOT NULL GROUP BY change",
@@ -620,6 +674,26 @@ ORACLE_SQL: dict[str, str] = {
     "commit_lsn": _f("SELECT max(lsn) AS commit_lsn FROM facts"),
     "replica_convergence": _f("SELECT max(lsn) <= 14812337 + 900 AS converged FROM facts"),
 }
+# The greedy walk as a recursion over templates in order, whose state is the list of leaders so far.
+_WALK = (
+    "k AS (SELECT template, count, first_seq, sample, CASE WHEN regexp_matches(template, '[A-Za-z_]') THEN list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1)) ELSE [''] END AS t, row_number() OVER (ORDER BY first_seq) AS n FROM {g}),"
+    " w AS (SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS leader, CAST([] AS STRUCT(template VARCHAR, t VARCHAR[])[]) AS leaders UNION ALL"
+    " SELECT n, coalesce(near[1].template, template), CASE WHEN len(near) = 0 THEN list_append(leaders, {{'template': template, 't': t}}) ELSE leaders END FROM (SELECT k.n, k.template, k.t, leaders,"
+    " list_filter(leaders, lambda l: len(list_intersect(l.t, k.t)) >= 0.6 * (len(l.t) + len(k.t) - len(list_intersect(l.t, k.t)))) AS near FROM w JOIN k ON k.n = w.n + 1)),"
+    " led AS (SELECT template, leader, count, first_seq, sample FROM k JOIN (SELECT n, leader FROM w WHERE n > 0) USING (n))"
+)
+_SEED = r"regexp_replace(template, '([()\[\]{}?*+|^$\\.&~# \t\n\r\v\f-])', '\\\1', 'g')"
+for _mask, _body in evolve.BODIES.items():
+    for _k in (1, 2, 3):
+        _group = f"(?P<{_mask.lower()}{_k}>{_body})" if _mask != "STR" else f'"(?P<str{_k}>{_body})"'
+        _SEED = "regexp_replace({}, '<{}>', '{}')".format(_SEED, _mask, _group.replace("\\", "\\\\"))
+ORACLE_SQL["cluster_leader_merge"] = f"WITH RECURSIVE {_MASKED}, {_WALK.format(g='g')} SELECT template, leader FROM led"
+ORACLE_SQL["stream_drift_clusters"] = f"WITH RECURSIVE {_MASKED}, {_WALK.format(g='g')} SELECT leader AS template, CAST(sum(count) AS BIGINT) AS count, min(first_seq) AS first_seq, arg_min(sample, first_seq) AS sample FROM led GROUP BY leader"
+ORACLE_SQL["regex_seed"] = (
+    f"WITH RECURSIVE {_MASKED}, d AS (SELECT template, count(*) AS count, min(seq) AS first_seq, arg_min(raw, seq) AS sample FROM m WHERE seq % 50 = 7 GROUP BY template), {_WALK.format(g='d')},"
+    f" c AS (SELECT leader AS template, CAST(sum(count) AS BIGINT) AS count, arg_min(sample, first_seq) AS sample FROM led GROUP BY leader)"
+    f" SELECT template, count, round(100 * CAST(count AS DOUBLE) / (SELECT sum(count) FROM c), 1) AS coverage_pct, substr(sample, 1, 90) AS sample, '^' || {_SEED} || '$' AS suggested_regex, true AS regex_valid FROM c"
+)
 _TAGGED = """s AS (SELECT event_id AS seq, user_id % 200 AS x, '10.0.0.' || user_id % 200 AS source_ip FROM events),
 tagged AS (SELECT seq, source_ip, 'attack/T1110/action,attack/TA0006/class,other/ten/range' || CASE WHEN x % 10 = 0 THEN ',ranges/host' || x || '/range' WHEN x // 16 % 2 = 0 THEN ',ranges/block' || x // 16 || '/range' WHEN x < 128 THEN ',ranges/net/range' ELSE '' END AS tags FROM s)"""
 _VERSIONS = (

@@ -75,11 +75,12 @@ def catch_up(spark: SparkSession, leader: str, follower: str, upto: int | None =
     return True
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The facts that anchors cover."""
+def read(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """The facts that anchors cover; ordered: by number, as they were stored."""
     end = tail(spark, path)
     facts = spark.read.parquet(f"{path}/facts").drop("append")
-    return facts.filter(F.col("lsn") <= (end[0] if end else ledger.BASE_LSN))
+    facts = facts.filter(F.col("lsn") <= (end[0] if end else ledger.BASE_LSN))
+    return facts.orderBy("lsn") if ordered else facts
 
 
 def verify(spark: SparkSession, path: str, block_facts: int = ledger.BLOCK_FACTS, trusted: str | None = None) -> DataFrame:
