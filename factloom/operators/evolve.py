@@ -93,6 +93,19 @@ def similar_templates(groups: DataFrame, least: float = SIMILAR) -> DataFrame:
     return out.select("a", "b", "sa", "sb", "similarity")
 
 
+def similar_token_sets(groups: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """((a, b, similarity) of token sets that reach ``least``, (template, of) of all templates).
+
+    A set goes by its first template; templates of one set are similar to the same ones, so that pairs of sets and
+    membership say what all pairs of templates would.
+    """
+    t, sets = _token_sets(groups)
+    near = _similar_sets(sets.select("id", "tokens"), least)
+    left, right = (sets.select(F.col("id").alias(x), F.col("name").alias(f"n{x}")) for x in "ab")
+    pairs = near.join(left, "a").join(right, "b").select(F.col("na").alias("a"), F.col("nb").alias("b"), "similarity")
+    return pairs, t.join(sets, "tokens").select("template", F.col("name").alias("of"))
+
+
 #: Token sets that one task walks through, about.
 PIECE = 20_000
 LEADERS = "place long, tokens array<string>, name string"

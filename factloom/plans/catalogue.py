@@ -410,6 +410,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "template_mask": lambda s, d: _lines(s, d).select("seq", evolve.mask(F.col("raw")).alias("template")),
     "template_groups": lambda s, d: evolve.template_groups(_lines(s, d)),
     "template_jaccard_pairs": lambda s, d: evolve.similar_templates(evolve.template_groups(_lines(s, d)), 0.3).select("a", "b", F.round("similarity", 6).alias("similarity")),
+    "template_set_pairs": lambda s, d: evolve.similar_token_sets(evolve.template_groups(_lines(s, d)), 0.3)[0].select("a", "b", F.round("similarity", 6).alias("similarity")),
+    "template_set_members": lambda s, d: evolve.similar_token_sets(evolve.template_groups(_lines(s, d)), 0.3)[1],
     "cluster_entropy": lambda s, d: evolve.entropy(evolve.template_groups(_lines(s, d))),
     "cluster_leader_merge": lambda s, d: evolve.leaders(evolve.template_groups(_lines(s, d))),
     "regex_seed": lambda s, d: evolve.cluster_report(_drift(s, d)),
@@ -657,6 +659,8 @@ ORACLE_SQL: dict[str, str] = {
     "template_mask": f"WITH {_MASKED} SELECT seq, template FROM m",
     "template_groups": f"WITH {_MASKED} SELECT * FROM g",
     "template_jaccard_pairs": f"WITH {_MASKED}, k AS (SELECT template, first_seq, CASE WHEN regexp_matches(template, '[A-Za-z_]') THEN list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1)) ELSE [''] END AS t FROM g), j AS (SELECT x.template AS a, y.template AS b, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS n FROM k x JOIN k y ON x.first_seq < y.first_seq) SELECT a, b, round(CAST(i AS DOUBLE) / (n - i), 6) AS similarity FROM j WHERE i > 0 AND CAST(i AS DOUBLE) / (n - i) >= 0.3",
+    "template_set_pairs": f"WITH {_MASKED}, {{sets}}, j AS (SELECT x.name AS a, y.name AS b, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS n FROM s x JOIN s y ON x.first_seq < y.first_seq) SELECT a, b, round(CAST(i AS DOUBLE) / (n - i), 6) AS similarity FROM j WHERE i > 0 AND CAST(i AS DOUBLE) / (n - i) >= 0.3",
+    "template_set_members": f"WITH {_MASKED}, {{sets}} SELECT template, name AS of FROM k JOIN s USING (t)",
     "cluster_entropy": f"WITH {_MASKED} SELECT round(sum(-count / total * log2(count / total)), 3) AS entropy FROM g, (SELECT CAST(sum(count) AS DOUBLE) AS total FROM g)",
     "coverage_rate": _f("SELECT (SELECT count(*) FROM obs) AS cases, count(*) FILTER (action = 'authentication.failure') AS matching FROM facts"),
     "recent_facts": _f("SELECT lsn, action FROM facts ORDER BY lsn DESC LIMIT 50"),
@@ -674,6 +678,9 @@ ORACLE_SQL: dict[str, str] = {
     "commit_lsn": _f("SELECT max(lsn) AS commit_lsn FROM facts"),
     "replica_convergence": _f("SELECT max(lsn) <= 14812337 + 900 AS converged FROM facts"),
 }
+_SETS = "k AS (SELECT template, first_seq, CASE WHEN regexp_matches(template, '[A-Za-z_]') THEN list_sort(list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1))) ELSE [''] END AS t FROM g), s AS (SELECT t, arg_min(template, first_seq) AS name, min(first_seq) AS first_seq FROM k GROUP BY t)"
+for _name in ("template_set_pairs", "template_set_members"):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("{sets}", _SETS)
 # The greedy walk as a recursion over templates in order, whose state is the list of leaders so far.
 _WALK = (
     "k AS (SELECT template, count, first_seq, sample, CASE WHEN regexp_matches(template, '[A-Za-z_]') THEN list_distinct(regexp_extract_all(template, '([A-Za-z_]+|<[A-Z]+>)', 1)) ELSE [''] END AS t, row_number() OVER (ORDER BY first_seq) AS n FROM {g}),"

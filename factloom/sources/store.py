@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.operators import ledger
-from factloom.sources.shared import exists, scratch
+from factloom.sources.shared import exists
 
 ANCHOR = "block long, first_lsn long, last_lsn long, facts long, root string, anchor string, batch_id long"
 NEEDED = {*ledger.SEALED, *ledger.INTEGRITY}
@@ -48,7 +48,7 @@ def append(facts: DataFrame, path: str, batch_id: int | None = None, block_facts
     sealed.write.mode("overwrite").parquet(where)
     made = ledger.block_roots(spark.read.schema(sealed.schema).parquet(where).select("block", "lsn", "root"))
     rows = ledger.chained(made, "block", end[2] if end else "").withColumn("batch_id", F.lit(batch_id).cast("long"))
-    scratch(rows, "anchors").coalesce(1).write.mode("append").parquet(f"{path}/anchors")
+    rows.coalesce(1).write.mode("append").parquet(f"{path}/anchors")
 
 
 def catch_up(spark: SparkSession, leader: str, follower: str, upto: int | None = None) -> bool:
@@ -71,7 +71,7 @@ def catch_up(spark: SparkSession, leader: str, follower: str, upto: int | None =
         return False
     made = ledger.block_roots(came.select("block", "lsn", "root"))
     rows = ledger.chained(made, "block", end[2] if end else "").withColumn("batch_id", F.lit(None).cast("long"))
-    scratch(rows, "anchors").coalesce(1).write.mode("append").parquet(f"{follower}/anchors")
+    rows.coalesce(1).write.mode("append").parquet(f"{follower}/anchors")
     return True
 
 
