@@ -14,6 +14,8 @@ from factloom.sources.shared import scratch
 
 #: An actor with more facts than this inside one window's length is counted over range partitions.
 HOT_FACTS = 500_000
+#: A fact takes more bytes than this in a plan's estimate.
+FACT_BYTES = 128
 
 
 def _actor() -> Column:
@@ -97,8 +99,13 @@ def escalate_where(facts: DataFrame, watched: list[tuple[Column, Signature]], ho
     some = F.lit(False)
     for trigger, _ in watched:
         some = some | F.coalesce(trigger, F.lit(False))
-    base = out = scratch(facts.filter(some).withColumn("window_count", F.lit(0).cast("long")), "watched")
-    crowded = base.count() > hot_facts
+    out = facts.filter(some).withColumn("window_count", F.lit(0).cast("long"))
+    # where the plan's own estimate says that there can't be so many facts, nothing is written or counted first
+    crowded = int(str(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > hot_facts * FACT_BYTES
+    if crowded:
+        out = scratch(out, "watched")
+        crowded = out.count() > hot_facts
+    base = out
     for k, (trigger, s) in enumerate(watched):
         hot = _hot_actors(base, trigger, s.window_secs, hot_facts) if crowded else None
         if hot is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,16 +46,26 @@ def key_values(raw: Column) -> Column:
     return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"], F.substring(p["c"], F.length(p["key"]) + 2, F.length(p["c"])))))
 
 
+def _app(df: DataFrame) -> str:
+    """The application that columns belong to. They are built once for each connector in it, since building the
+    expressions of many rules takes longer than a small batch of lines."""
+    return df.sparkSession.sparkContext.applicationId
+
+
+@lru_cache(maxsize=64)
+def _parse_columns(app: str, pattern: str) -> tuple[Column, Column, Column]:
+    got, names = captured(F.col("raw"), pattern)
+    each = told_apart(strip(F.col("raw")), pattern, {n: F.col("__got")[i] for i, n in enumerate(names)})
+    return F.explode(F.array(got)).alias("__got"), F.struct(*(c.alias(n) for n, c in each.items())), F.col("__got").isNotNull()
+
+
 def parse(obs: DataFrame, connector: Connector) -> DataFrame:
     """obs with ``tokens`` and ``parsed``; lines that the connector can't read have parsed false."""
     if connector.pattern is None:
         return obs.withColumn("tokens", key_values(F.col("raw"))).withColumn("parsed", F.coalesce(F.size("tokens") > 0, F.lit(False)))
-    got, names = captured(F.col("raw"), connector.pattern)
+    got, tokens, parsed = _parse_columns(_app(obs), connector.pattern)
     # one row for each line: a generated column is computed once, however often rules and filters read it
-    once = obs.select("*", F.explode(F.array(got)).alias("__got"))
-    each = told_apart(strip(F.col("raw")), connector.pattern, {n: F.col("__got")[i] for i, n in enumerate(names)})
-    tokens = F.struct(*(c.alias(n) for n, c in each.items()))
-    return once.withColumns({"tokens": tokens, "parsed": F.col("__got").isNotNull()}).drop("__got")
+    return obs.select("*", got).withColumns({"tokens": tokens, "parsed": parsed}).drop("__got")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
@@ -180,10 +191,15 @@ def token_columns(connector: Connector, tokens: Column) -> Mapping:
     return _MapTokens(tokens) if connector.pattern is None else {n: tokens[n] for n in to_java(connector.pattern)[1]}
 
 
+@lru_cache(maxsize=64)
+def _rule_columns(app: str, connector: Connector) -> tuple[Column, Column]:
+    return rule_outcome(token_columns(connector, F.col("tokens")), connector), emptied("semantic")
+
+
 def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
     """Rows that parsed, with the struct of the first rule that holds."""
-    chosen = parsed.filter("parsed").withColumn("semantic", rule_outcome(token_columns(connector, F.col("tokens")), connector))
-    return chosen.withColumn("semantic", emptied("semantic"))
+    outcome, told = _rule_columns(_app(parsed), connector)
+    return parsed.filter("parsed").withColumn("semantic", outcome).withColumn("semantic", told)
 
 
 def fact_id() -> Column:
@@ -207,19 +223,24 @@ def facts(obs: DataFrame, connector: Connector, hashed: str = "s256") -> DataFra
 
 def facts_of(parsed: DataFrame, connector: Connector, hashed: str = "s256") -> DataFrame:
     """``facts`` of what ``parse`` has made of the lines."""
-    return as_facts(classify(parsed, connector), F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name), F.lit(connector.ontology_version), hashed)
+    return classify(parsed, connector).select(*_fact_columns(_app(parsed), connector, hashed))
+
+
+@lru_cache(maxsize=64)
+def _fact_columns(app: str, connector: Connector, hashed: str) -> list[Column | str]:
+    return fact_columns(F.lit(connector.confidence), F.array(*map(F.lit, execution_order(connector.steps))), F.lit(connector.name), F.lit(connector.ontology_version), hashed)
 
 
-def as_facts(classified: DataFrame, confidence: Column, steps: Column, version: Column, ontology: Column, hashed: str = "s256") -> DataFrame:
-    """Observations with ``semantic`` as flat facts, with what their connector says of itself."""
+def fact_columns(confidence: Column, steps: Column, version: Column, ontology: Column, hashed: str = "s256") -> list[Column | str]:
+    """The columns of a flat fact from an observation with ``semantic``, with what its connector says of itself."""
     s = F.col("semantic")
-    return classified.select(
+    return [
         "seq", fact_id().alias("fact_id"), "obs_ts", "source", "raw", s["rule_id"].alias("rule_id"), s["action"].alias("action"), s["class"].alias("class"), s["risk"].alias("risk"),
         s["actor"].alias("actor"), s["target"].alias("target"), s["source_ip"].alias("source_ip"),
         F.unix_micros("obs_ts").alias("system_timestamp"), confidence.alias("confidence"),
         evidence(F.col("raw"), hashed).alias("raw_hash"), steps.alias("steps"), version.alias("knowledge_version"),
         F.lit(LEGAL_STAMP).alias("legal_stamp"), F.lit(REASONING_VERSION).alias("reasoning_version"), ontology.alias("ontology_version"),
-    )
+    ]
 
 
 def coverage(cases: DataFrame, connector: Connector) -> DataFrame:

@@ -90,7 +90,7 @@ def facts(dealt: DataFrame, registry: Registry) -> DataFrame:
     told = F.coalesce(by(lambda c: ingest.rule_outcome(_tokens(c), c)), ingest.unmatched())
     named = read.withColumn("semantic", told).withColumn("semantic", ingest.emptied("semantic"))
     steps = by(lambda c: F.array(*map(F.lit, execution_order(c.steps)))).cast("array<string>")
-    return ingest.as_facts(named, by(lambda c: F.lit(c.confidence)).cast("double"), steps, F.col("reading.connector"), by(lambda c: F.lit(c.ontology_version)).cast("string"))
+    return named.select(*ingest.fact_columns(by(lambda c: F.lit(c.confidence)).cast("double"), steps, F.col("reading.connector"), by(lambda c: F.lit(c.ontology_version)).cast("string")))
 
 
 def _by_connector(values: dict[str, Column]) -> Column:

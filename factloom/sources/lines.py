@@ -23,7 +23,7 @@ def matrix_cases(spark: SparkSession, path: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df over as many tasks as run at once, where its files make fewer."""
     tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= tasks else df.repartition(tasks)
 
 
 def event_line() -> Column:
