@@ -451,7 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_lost_tail": _check(lambda x: x.filter(F.col("lsn") < TAMPERED)),
     "threat_tags": lambda s, d: _reports(threats.tagged(_ssh(s, d), _providers(s, d))),
     "threat_tag_counts": lambda s, d: threats.tag_counts(threats.tagged(_ssh(s, d), _providers(s, d))),
-    "knowledge_diff": lambda s, d: versions.difference(versions.compared(_obs(s, d), DATABASE, NEXT)).drop("sample"),
+    "knowledge_diff": lambda s, d: versions.difference(versions.compared(_obs(s, d), DATABASE, NEXT)).drop("sample").withColumn("risk_step", F.col("risk_step").cast("string")),
     "knowledge_changes": lambda s, d: versions.compared(_stored(s, d).select("seq", "raw"), DATABASE, NEXT).groupBy("change").agg(F.count("*").alias("lines")),
     "ontology_closure": lambda s, d: ontology.closure(_ways(s, d)),
     "ontology_rollup": lambda s, d: ontology.rolled_up(s.read.parquet(f"{d}/events.parquet"), _ways(s, d), "user_id"),
@@ -714,7 +714,7 @@ for _name in ("threat_tags", "threat_tag_counts"):
     ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("WITH {}", f"WITH {_TAGGED}", 1)
 ORACLE_SQL["knowledge_changes"] = ORACLE_SQL["knowledge_changes"].replace("WITH {}", f"WITH {_VERSIONS}", 1)
 ORACLE_SQL["knowledge_diff"] = f"""WITH {_VERSIONS} SELECT change, old_rule, new_rule, old_class, new_class, old_risk, new_risk, count(*) AS lines, min(seq) AS first_seq,
-  list_position(['Low', 'Medium', 'High', 'Critical'], new_risk) - list_position(['Low', 'Medium', 'High', 'Critical'], old_risk) AS risk_step FROM bo WHERE change <> 'same' GROUP BY ALL"""
+  CAST(list_position(['Low', 'Medium', 'High', 'Critical'], new_risk) - list_position(['Low', 'Medium', 'High', 'Critical'], old_risk) AS VARCHAR) AS risk_step FROM bo WHERE change <> 'same' GROUP BY ALL"""
 _DELAYED = (
     _FACTS
     + """, g AS (SELECT seq, coalesce(actor, 'unknown') AS actor, system_timestamp, CAST(least(7, (system_timestamp - 1704067200000000) // 86400000000 // 4 + CASE WHEN seq % 11 = 3 THEN 1 WHEN seq % 29 = 4 THEN 3 ELSE 0 END) AS BIGINT) AS batch FROM facts WHERE action = 'authentication.failure'),
