@@ -140,7 +140,7 @@ def _walked(least: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Data
     return run
 
 
-def _assigned(sets: DataFrame, known: DataFrame, least: float, piece: int) -> tuple[DataFrame, DataFrame]:
+def _assigned(sets: DataFrame, known: DataFrame | None, least: float, piece: int) -> tuple[DataFrame, DataFrame]:
     """((id, leader's place), (place, tokens, name) of all leaders) of token sets (id, tokens, name), after the known ones.
 
     Pieces of sets in order of id meet the leaders so far by a join; those that join none are walked through in one
@@ -151,13 +151,15 @@ def _assigned(sets: DataFrame, known: DataFrame, least: float, piece: int) -> tu
     out = None
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         part = sets.filter((F.lit(True) if low is None else F.col("id") > low) & (F.lit(True) if high is None else F.col("id") <= high))
-        met = _similar_sets(part.select("id", "tokens"), least, known.select(F.col("place").alias("id"), "tokens"))
-        joined = scratch(met.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("leader")), "joined")
-        rest = part.join(joined, "id", "left_anti").select("id", "tokens")
+        rest, joined = part.select("id", "tokens"), None
+        if known is not None:
+            met = _similar_sets(rest, least, known.select(F.col("place").alias("id"), "tokens"))
+            joined = scratch(met.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("leader")), "joined")
+            rest = rest.join(joined, "id", "left_anti")
         walked = scratch(rest.repartition(1).mapInPandas(_walked(least), "id long, leader long"), "walked")
         fresh = part.join(walked.filter("id = leader").select("id"), "id").select(F.col("id").alias("place"), "tokens", "name")
-        known = scratch(known.union(fresh), "leaders")
-        both = joined.union(walked)
+        known = scratch(fresh if known is None else known.union(fresh), "leaders")
+        both = walked if joined is None else joined.union(walked)
         out = both if out is None else out.union(both)
     return out, known
 
@@ -174,7 +176,7 @@ def leaders(groups: DataFrame, least: float = SIMILAR, piece: int = PIECE) -> Da
     Templates of one token set share their fate, that of the first of them.
     """
     t, sets = _token_sets(groups)
-    placed, every = _assigned(sets, groups.sparkSession.createDataFrame([], LEADERS), least, piece)
+    placed, every = _assigned(sets, None, least, piece)
     named = placed.join(every.select(F.col("place").alias("leader"), F.col("name").alias("of")), "leader").join(sets.select("id", "tokens"), "id")
     return t.join(named.select("tokens", F.col("of").alias("leader")), "tokens").select("template", "leader")
 
@@ -188,15 +190,17 @@ def absorb(lines: DataFrame, path: str, batch_id: int, least: float = SIMILAR, p
     """
     spark = lines.sparkSession
     groups = scratch(template_groups(lines), "groups")
-    known = spark.createDataFrame([], LEADERS)
+    known = None
     if exists(spark, f"{path}/leaders"):
-        known = spark.read.schema(f"{LEADERS}, batch long").parquet(f"{path}/leaders").filter(F.col("batch") < batch_id).drop("batch")
+        earlier = spark.read.schema(f"{LEADERS}, batch long").parquet(f"{path}/leaders").filter(F.col("batch") < batch_id).drop("batch")
+        known = scratch(earlier, "known")
     t, sets = _token_sets(groups)
-    placed, every = _assigned(sets, scratch(known, "known"), least, piece)
+    placed, every = _assigned(sets, known, least, piece)
     ids = placed.join(sets.select("id", "tokens"), "id").select("tokens", "leader")
     counted = groups.join(t.join(ids, "tokens").select("template", "leader"), "template")
     sums = counted.groupBy(F.col("leader").alias("place")).agg(F.sum("count").alias("count"), F.min("first_seq").alias("first_seq"), F.min_by("sample", "first_seq").alias("sample"))
-    every.join(known.select("place"), "place", "left_anti").coalesce(1).write.mode("overwrite").parquet(f"{path}/leaders/batch={batch_id}")
+    fresh = every if known is None else every.join(known.select("place"), "place", "left_anti")
+    fresh.coalesce(1).write.mode("overwrite").parquet(f"{path}/leaders/batch={batch_id}")
     sums.coalesce(1).write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
 
 

@@ -30,12 +30,12 @@ INTEGRITY = ("leaf", "block", "root", "checksum")
 def assign_lsn(facts: DataFrame, order: str = "seq", base: int = BASE_LSN) -> DataFrame:
     """Dense numbers after base in the given order: range partitions, their counts, an offset for each.
 
-    facts are computed once and stored; what is sorted and counted comes from the files. The offsets are a
-    table of one row for each partition.
+    facts are stored once, in order; what is counted and numbered comes from these files. The ranges come from a
+    sample that Spark takes of facts themselves, so that lines are parsed a second time instead of being written,
+    and read twice, before they are sorted. The offsets are a table of one row for each partition.
     """
-    stored = scratch(facts, "facts")
     part, at = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
-    placed = scratch(stored.repartitionByRange(order).sortWithinPartitions(order).withColumn("__id", F.monotonically_increasing_id()), "sorted")
+    placed = scratch(facts.repartitionByRange(order).sortWithinPartitions(order).withColumn("__id", F.monotonically_increasing_id()), "sorted")
     sizes = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("__part", (before + base + 1).alias("__first"))

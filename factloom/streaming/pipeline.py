@@ -54,8 +54,11 @@ def behavior_stream(facts: DataFrame, signature: Signature, lateness: str | None
 
 
 def seal_to(path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink: a batch's facts are appended to the store at path, once however often retried."""
-    return lambda batch, batch_id: store.append(batch, path, batch_id)
+    """A foreachBatch sink: a batch's facts are appended to the store at path, once however often retried.
+
+    A batch is computed once and written, since an append reads its facts twice.
+    """
+    return lambda batch, batch_id: store.append(scratch(batch, "batch"), path, batch_id)
 
 
 def ingest_to(path: str, connector: Connector) -> Callable[[DataFrame, int], None]:
