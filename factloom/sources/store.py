@@ -24,7 +24,9 @@ def anchors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tail(spark: SparkSession, path: str) -> tuple[int, str, str, int] | None:
-    """(last number, root, anchor, last batch id) of a store, from its anchors alone."""
+    """(last number, root, anchor, last batch id) of a store, from its anchors alone; None where it has none."""
+    if not exists(spark, f"{path}/anchors"):
+        return None
     t = anchors(spark, path).agg(F.max("last_lsn"), F.max_by("root", "last_lsn"), F.max_by("anchor", "last_lsn"), F.max("batch_id")).first()
     return None if t[0] is None else tuple(t)
 
