@@ -26,19 +26,19 @@ def _actor() -> Column:
 def _window_counts(rows: DataFrame, trigger: Column, window_secs: int, name: str) -> DataFrame:
     """rows with the column ``name``: how many rows with trigger the actor has had within the window so far.
 
-    Null for other rows. Equal timestamps count by order of arrival (seq): the range frame's later peers are
-    taken off. An actor's rows are dealt by stretches of one window's length, each of which also holds copies of
-    the stretch before, so that an actor of any number of rows spreads over many tasks.
+    Null for other rows. Equal timestamps count by order of arrival (seq). An actor's rows are dealt by stretches of
+    one window's length, each of which also holds copies of the stretch before, so that an actor of any number of rows
+    spreads over many tasks. A row stands where its window starts, among the copies: those before it have left the
+    window. Both counts run on from row to row, so that work doesn't grow with the window's content.
     """
     span = window_secs * 1_000_000
     stretch = F.floor(F.col("system_timestamp") / span)
     copies = rows.withColumn("__copy", F.explode(F.when(trigger, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    copies = copies.withColumn("__stretch", stretch + F.col("__copy"))
-    by = [_actor(), F.coalesce(trigger, F.lit(False)), F.col("__stretch")]
-    wide = Window.partitionBy(*by).orderBy("system_timestamp").rangeBetween(-span, 0)
-    peers = Window.partitionBy(*by, "system_timestamp")
-    n = F.count("*").over(wide) - F.count("*").over(peers) + F.row_number().over(peers.orderBy("seq"))
-    return copies.withColumn(name, F.when(trigger, n).cast("long")).filter("__copy = 0").drop("__stretch", "__copy")
+    copies = copies.withColumns({"__stretch": stretch + F.col("__copy"), "__at": F.col("system_timestamp") - F.when(F.col("__copy") == 0, span).otherwise(0)})
+    whole = Window.partitionBy(_actor(), F.coalesce(trigger, F.lit(False)), "__stretch")
+    so_far = whole.orderBy("__at", "__copy", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.sum(1 - F.col("__copy")).over(so_far) + F.sum("__copy").over(whole) - F.sum("__copy").over(so_far)
+    return copies.withColumn(name, F.when(trigger, n).cast("long")).filter("__copy = 0").drop("__stretch", "__copy", "__at")
 
 
 def _counted_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

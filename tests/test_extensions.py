@@ -237,3 +237,13 @@ def test_clusters_that_grow_equal_the_walk_over_all_lines(spark, tmp_path):
     assert {t: n for t, (n, _) in got.items()} == want and all(s == t for t, (_, s) in got.items())
     evolve.absorb(df.limit(0), f"{tmp_path}/none", 0)
     assert evolve.absorbed(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_window_counts_run_on(spark):
+    """One actor's crowd in one window: counts are those of a queue, and no frame slides, which would take the square of the crowd."""
+    n = 20_000
+    df = spark.range(n).select(F.col("id").alias("seq"), F.lit("hit").alias("action"), F.lit(None).cast("string").alias("actor"), (F.floor(F.col("id") / 3) * 1_000_000).cast("long").alias("system_timestamp"), F.lit("c").alias("class"), F.lit("Low").alias("risk"))
+    out = behavior.escalate(df, (Signature("s", "hit", 2_500, 4, "many", "High"),))
+    got = {r.seq: r.window_count for r in out.select("seq", "window_count").collect()}
+    assert got == {i: i + 1 - 3 * max(0, i // 3 - 2_500) for i in range(n)}
+    assert "RangeFrame" not in out._jdf.queryExecution().optimizedPlan().toString()
