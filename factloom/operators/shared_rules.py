@@ -4,7 +4,8 @@ A CASE over rules tests a condition again in every rule that has it, and seeks e
 distinct conditions get a bit each, in words of 62; a rule holds if its bits are set in the words. Literals
 sought in one field, from AUTOMATON of them on, are found by one Aho-Corasick automaton in a single pass
 over the field, in Arrow batches. A condition that reads a token which an earlier one of its rule binds has a bit
-of its own. Masks and constants of rules are arrays, so that the plan grows with the conditions, not the rules.
+of its own. Constants of rules are arrays, so that the plan grows with the conditions, not the rules; masks are tried
+on the distinct answers of an Arrow batch, all lines of it at once.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +90,28 @@ def _sought(literals: list[tuple[str, int]], words: int) -> object:
     return seek
 
 
+def _first(masks: list[list[int]]) -> object:
+    """A function from words of bits to the place of the first mask that they hold, -1 for none."""
+    table = np.array(masks, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def first(*words: pd.Series) -> pd.Series:
+        answers = np.column_stack([w.to_numpy(dtype=np.int64) for w in words])
+        kinds, at = np.unique(answers, axis=0, return_inverse=True)
+        chosen = np.full(len(kinds), -1, dtype=np.int32)
+        rest = np.arange(len(kinds))
+        for place, mask in enumerate(table):
+            used = np.flatnonzero(mask)
+            held = ((kinds[rest][:, used] & mask[used]) == mask[used]).all(axis=1)
+            chosen[rest[held]] = place
+            rest = rest[~held]
+            if not len(rest):
+                break
+        return pd.Series(chosen[at.ravel()])
+
+    return first
+
+
 def _texts(values: list[str]) -> Column:
     """A constant array, as one literal."""
     mark = "\x1f"
@@ -165,16 +189,11 @@ def classify(parsed: DataFrame, connector: Connector) -> DataFrame:
     rows = parsed.filter("parsed")
     for name, column in machine.items():
         rows = rows.withColumn(name, column)
-    # generated once a line, whatever number of masks reads it
-    rows = rows.select("*", F.explode(F.array(F.array(*words).cast("array<bigint>"))).alias("__bits"))
-    mask = lambda bits, w: sum(1 << b % WORD_BITS for b in bits if b // WORD_BITS == w)
-    held = None
-    for w in range(len(words)):
-        # a list of answers for each word, which most rules need one of: joined place by place
-        word = F.get("__bits", F.lit(w))
-        one = F.transform(_numbers([mask(bits, w) for bits in made.masks]), lambda m: word.bitwiseAND(m) == m)  # noqa: B023
-        held = one if held is None else F.zip_with(held, one, lambda a, b: a & b)
-    first = F.lit(1 if rules else 0) if held is None else F.array_position(held, F.lit(True))
-    rows = rows.select("*", F.explode(F.array((first - 1).cast("int"))).alias("__rule"))
+    if rules and words:
+        mask = lambda bits, w: sum(1 << b % WORD_BITS for b in bits if b // WORD_BITS == w)
+        number = _first([[mask(bits, w) for w in range(len(words))] for bits in made.masks])(*words)
+    else:
+        number = F.lit(0 if rules else -1)
+    rows = rows.withColumn("__rule", number)
     chosen = F.when(F.col("__rule") >= 0, _chosen(rules, F.col("__rule"), base)).otherwise(ingest.unmatched()) if rules else ingest.unmatched()
-    return rows.withColumn("semantic", chosen).withColumn("semantic", ingest.emptied("semantic")).drop("__bits", "__rule", *machine)
+    return rows.withColumn("semantic", chosen).withColumn("semantic", ingest.emptied("semantic")).drop("__rule", *machine)

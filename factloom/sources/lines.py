@@ -20,10 +20,15 @@ def matrix_cases(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode("cases").alias("c")).select(F.coalesce("c.input", F.lit("")).alias("input"), F.coalesce("c.expect_action", F.lit("")).alias("expect_action"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df over as many tasks as run at once, where its files make fewer."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= tasks else df.repartition(tasks)
+#: Bytes of stored events that one task turns into lines, about 250,000 of them.
+TASK_BYTES = 2 << 20
+
+
+def spread(df: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """df over as many tasks as run at once, and over more where its files are larger, so that no task grows with them."""
+    plan = df._jdf.queryExecution()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-int(str(plan.optimizedPlan().stats().sizeInBytes())) // task_bytes))
+    return df if plan.toRdd().getNumPartitions() >= tasks else df.repartition(tasks)
 
 
 def event_line() -> Column:

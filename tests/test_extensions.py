@@ -11,6 +11,7 @@ from factloom.functions.patterns import ALWAYS, ASKED, FILLED, participation, to
 from factloom.operators import behavior, evolve, ingest, ledger, ontology, route, shared_rules, threats, versions
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature
 from factloom.sources import store
+from factloom.sources.lines import spread
 
 from pyspark.sql import functions as F
 
@@ -247,3 +248,21 @@ def test_window_counts_run_on(spark):
     got = {r.seq: r.window_count for r in out.select("seq", "window_count").collect()}
     assert got == {i: i + 1 - 3 * max(0, i // 3 - 2_500) for i in range(n)}
     assert "RangeFrame" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_masks_are_tried_by_batch(spark):
+    rules = tuple(Rule(f"r{i}", (Condition("message", contains=str(i)), Condition(severity_in=("ERROR",)))) for i in range(130))
+    many = Connector("many", 1.0, DATABASE.pattern, rules, ())
+    lines = [f"2024-01-01 00:00:00 UTC [1] {'ERROR' if i % 3 else 'LOG'}:  m {i}" for i in range(300)]
+    out = shared_rules.classify(ingest.parse(observations(spark, lines), many), many).select("seq", "semantic.rule_id")
+    want = {i: next((f"r{k}" for k in range(130) if str(k) in str(i)), "__unmatched__") if i % 3 else "__unmatched__" for i in range(300)}
+    assert {r.seq: r.rule_id for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "zip_with(" not in plan
+
+
+def test_tasks_grow_with_the_files(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert spread(df, 100).rdd.getNumPartitions() > spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(df, 100).count() == 1000
