@@ -14,7 +14,7 @@ from factloom.operators.search import nested, search
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature
 from factloom.sources import artifact, store
 from factloom.sources.lines import event_line, event_lines, matrix_cases, spread, text_lines
-from factloom.sources.shared import scratch, shared_folder
+from factloom.sources.shared import exists, scratch, shared_folder
 from factloom.streaming import timed
 from factloom.streaming.pipeline import behavior_stream, clusters_to, ingest_to
 
@@ -301,14 +301,31 @@ NUMBERED = Connector(
 )
 
 
+def _in_batches(rows: DataFrame, batch: str, batches: int, path: str) -> DataFrame:
+    """A stream of rows in order of their column batch, 0 to batches - 1, from files as old as their batches.
+
+    Rows are kept by batch, so that each is read and written by its own turn only; a file is split among tasks by its
+    small row groups.
+    """
+    kept = shared_folder(rows.sparkSession, "by-batch")
+    rows.write.partitionBy(batch).mode("overwrite").parquet(kept)
+    schema = rows.drop(batch).schema
+    for k in range(batches):
+        at = f"{kept}/{batch}={k}"
+        some = rows.sparkSession.read.schema(schema).parquet(at) if exists(rows.sparkSession, at) else rows.sparkSession.createDataFrame([], schema)
+        some.coalesce(1).write.option("parquet.block.size", ROW_GROUP).mode("append").parquet(path)
+    return rows.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+#: Bytes of a row group of files that a stream reads one by one.
+ROW_GROUP = 8 << 20
+
+
 def _in_turn(rows: DataFrame, path: str, batches: int) -> DataFrame:
-    """A stream of rows in order of seq, in so many batches of about equal spans, from files as old as their batches."""
-    kept = scratch(rows, "in-turn")
-    low, high = kept.agg(F.min("seq"), F.max("seq")).first()
+    """A stream of rows in order of seq, in so many batches of about equal spans."""
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
     width = (high - low) // batches + 1 if low is not None else 1
-    for k in range(batches):
-        kept.filter(F.floor((F.col("seq") - (low or 0)) / width) == k).coalesce(1).write.mode("append").parquet(path)
-    return rows.sparkSession.readStream.schema(kept.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _in_batches(rows.withColumn("due", F.floor((F.col("seq") - (low or 0)) / width)), "due", batches, path)
 
 
 def _streamed(lateness: str | None) -> Callable[[SparkSession, str], DataFrame]:
@@ -343,10 +360,7 @@ def _delayed(spark: SparkSession, d: str) -> str:
         day = F.floor((F.col("system_timestamp") - 1_704_067_200_000_000) / 86_400_000_000)
         due = F.floor(day / 4) + F.when(F.col("seq") % 11 == 3, 1).when(F.col("seq") % 29 == 4, 3).otherwise(0)
         some = _facts(spark, d).select("seq", "action", "actor", "system_timestamp", F.least(due, F.lit(7)).cast("int").alias("due"))
-        stored = scratch(some, "delayed")
-        for k in range(8):  # in turn, so that the files are as old as their batches
-            stored.filter(F.col("due") == k).drop("due").coalesce(1).write.mode("append").parquet(f"{base}/in")
-        lines = spark.readStream.schema(stored.drop("due").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        lines = _in_batches(some, "due", 8, f"{base}/in")
         with timed.timers(spark):
             made = timed.windows(lines, WEEK, "1 day").writeStream.foreachBatch(timed.kinds_to(f"{base}/out"))
             query = made.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
@@ -370,9 +384,7 @@ def _streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
 def _streamed_store(spark: SparkSession, d: str) -> str:
     """A store filled by a stream of observations over files, one file a batch."""
     base = shared_folder(spark, "ingest")
-    obs = _obs(spark, d)
-    obs.repartitionByRange(3, "seq").write.parquet(f"{base}/in")
-    lines = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    lines = _in_turn(_obs(spark, d), f"{base}/in", 3)
     lines.writeStream.foreachBatch(ingest_to(f"{base}/store", DATABASE)).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return f"{base}/store"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation
@@ -14,6 +14,7 @@ from factloom.operators import evolve, ingest
 from factloom.plans.connector import Connector, Signature
 from factloom.sources import store
 from factloom.sources.shared import scratch
+from factloom.streaming import timed
 
 _OUT = "seq long, actor string, system_timestamp long, window_count long, fired boolean"
 
@@ -21,36 +22,51 @@ _OUT = "seq long, actor string, system_timestamp long, window_count long, fired
 def behavior_stream(facts: DataFrame, signature: Signature, lateness: str | None = None) -> DataFrame:
     """(seq, actor, system_timestamp, window_count, fired) of the trigger facts of a stream.
 
-    The state of an actor is the timestamps inside its window, pruned on every visit. Arrival order
-    within a micro-batch is (system_timestamp, seq). With ``lateness``, facts that are later than that
-    behind the newest are left out, and the state of an actor goes when its window has passed.
+    The state of an actor is the timestamps inside its window, pruned on every visit; actors are dealt to shares by
+    hash, whose states are one value each. Arrival order within a micro-batch is (system_timestamp, seq). With
+    ``lateness``, facts that are later than that behind the newest are left out, and the state of an actor goes when
+    its window has passed.
     """
     span, threshold = signature.window_secs * 1_000_000, signature.threshold
 
+    def goes(times: Sequence[int]) -> int:
+        return (int(max(times)) + span) // 1000 + 1
+
+    def keep(kept: dict, state: GroupState) -> None:
+        state.update(timed.packed(kept))
+        if lateness is not None:
+            state.setTimeoutTimestamp(max(min(map(goes, kept.values())), state.getCurrentWatermarkMs() + 1))
+
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept: dict[str, Sequence[int]] = timed.unpacked(state.get if state.exists else None)
         if state.hasTimedOut:
-            state.remove()
+            mark = state.getCurrentWatermarkMs()
+            left = {a: t for a, t in kept.items() if goes(t) > mark}
+            if left:
+                keep(left, state)
+            else:
+                state.remove()
             return
-        kept = deque(state.get[0] if state.exists else ())
-        rows = pd.concat(list(batches)).sort_values(["system_timestamp", "seq"])
-        counts = []
-        for t in rows["system_timestamp"].tolist():
-            kept.append(t)
-            while kept[0] < t - span:
-                kept.popleft()
-            counts.append(len(kept))
-        state.update((list(kept),))
-        if lateness is not None:
-            state.setTimeoutTimestamp(max(max(kept) + span, state.getCurrentWatermarkMs() * 1000) // 1000 + 1)
+        rows = pd.concat(list(batches)).sort_values(["actor", "system_timestamp", "seq"])
+        counts, who = [], None
+        for actor, t in zip(rows["actor"].tolist(), rows["system_timestamp"].tolist(), strict=True):
+            if actor != who:
+                who, times = actor, deque(int(x) for x in kept.get(actor, ()))
+                kept[actor] = times
+            times.append(t)
+            while times[0] < t - span:
+                times.popleft()
+            counts.append(len(times))
+        keep(kept, state)
         rows["window_count"] = counts
         rows["fired"] = rows["window_count"] >= threshold
         yield rows[["seq", "actor", "system_timestamp", "window_count", "fired"]]
 
     trigger = facts.filter(facts["action"] == signature.action).select("seq", "actor", "system_timestamp").fillna({"actor": "unknown"})
     if lateness is None:
-        return trigger.groupBy("actor").applyInPandasWithState(run, _OUT, "kept array<long>", "append", GroupStateTimeout.NoTimeout)
-    timed = trigger.withColumn("at", F.timestamp_micros("system_timestamp")).withWatermark("at", lateness)
-    return timed.groupBy("actor").applyInPandasWithState(run, _OUT, "kept array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+        return timed.dealt(trigger).groupBy("share").applyInPandasWithState(run, _OUT, timed.STATE, "append", GroupStateTimeout.NoTimeout)
+    marked = trigger.withColumn("at", F.timestamp_micros("system_timestamp")).withWatermark("at", lateness)
+    return timed.dealt(marked).groupBy("share").applyInPandasWithState(run, _OUT, timed.STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def seal_to(path: str) -> Callable[[DataFrame, int], None]:

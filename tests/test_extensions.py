@@ -12,6 +12,8 @@ from factloom.operators import behavior, evolve, ingest, ledger, ontology, route
 from factloom.plans.connector import DATABASE, KEY_VALUE, SSH, Condition, Connector, Rule, Signature
 from factloom.sources import store
 from factloom.sources.lines import spread
+from factloom.streaming import timed
+from factloom.streaming.pipeline import behavior_stream
 
 from pyspark.sql import functions as F
 
@@ -266,3 +268,13 @@ def test_tasks_grow_with_the_files(spark, tmp_path):
     df = spark.read.parquet(f"{tmp_path}/t")
     assert spread(df, 100).rdd.getNumPartitions() > spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(df, 100).count() == 1000
+
+
+def test_state_is_kept_by_share(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id").alias("seq"), F.lit("hit").alias("action"), F.concat(F.lit("a"), F.col("id") % 2000).alias("actor"), (F.col("id") * 1000).alias("system_timestamp"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    made = behavior_stream(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"), Signature("s", "hit", 7, 2, "many", "High"))
+    query = made.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r.seq: r.window_count for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {i: 1 + i // 2000 for i in range(4000)}
+    assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= timed.SHARES
