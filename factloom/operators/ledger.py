@@ -9,16 +9,20 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from factloom.sources.shared import scratch
 
 BASE_LSN = 14_812_337
 #: Facts in a block: about 10 MB of leaves in one task.
 BLOCK_FACTS = 65_536
+#: Facts that one task numbers and seals, about: blocks, or one that is larger.
+CHUNK_FACTS = 65_536
 #: What a leaf covers: all of a fact but its integrity.
 SEALED = (
     "lsn", "seq", "fact_id", "obs_ts", "source", "raw", "rule_id", "action", "class", "risk", "actor", "target", "source_ip",
@@ -43,6 +47,35 @@ def assign_lsn(facts: DataFrame, order: str = "seq", base: int = BASE_LSN) -> Da
     return numbered.withColumn("lsn", (F.col("__first") + at).cast("long")).drop("__id", "__part", "__first")
 
 
+def assign_lsn_by_chunk(facts: DataFrame, order: str = "seq", base: int = BASE_LSN, block_facts: int = BLOCK_FACTS) -> tuple[DataFrame, int] | None:
+    """(``assign_lsn`` of facts, the last number), where a chunk of whole blocks lies in one task, in order.
+
+    Only the column ``order`` is sorted and numbered at first; where chunks begin is one row for each CHUNK_FACTS facts.
+    With these, facts themselves are shuffled once, and neither written nor shuffled again before they are sealed. None
+    where order isn't a whole number, or doesn't tell the facts at a chunk's border apart: these are for assign_lsn.
+    """
+    if facts.schema[order].dataType.typeName() not in ("long", "integer"):
+        return None
+    step = block_facts * max(1, CHUNK_FACTS // block_facts)
+    keys = assign_lsn(facts.select(F.col(order).alias("__key")), "__key", base)
+    last = keys.agg(F.max("lsn")).first()[0] or base
+    border = keys.filter((F.col("lsn") - BASE_LSN - 1) % step == 0).select(F.col("lsn"), "__key", F.lit(1).alias("at"))
+    border = border.union(keys.filter((F.col("lsn") - BASE_LSN) % step == 0).select(F.col("lsn") + 1, "__key", F.lit(0)))
+    rows = {(r[0], r[2]): r[1] for r in border.collect()}
+    firsts = sorted(n for n, at in rows if at == 1 and n > base + 1)
+    if any(rows[n, 0] is None or rows[n, 0] == rows[n, 1] for n in firsts):
+        return None
+    bounds, starts = np.array([rows[n, 1] for n in firsts], dtype=np.int64), np.array([base + 1, *firsts], dtype=np.int64)
+
+    @F.pandas_udf("long")
+    def first(values: pd.Series) -> pd.Series:
+        return pd.Series(starts[np.searchsorted(bounds, values.to_numpy(dtype=np.int64), "right")])
+
+    dealt = facts.withColumn("__first", first(F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 63)))))
+    number = F.row_number().over(Window.partitionBy("__first").orderBy(order))
+    return dealt.withColumn("lsn", F.col("__first") + number - 1).drop("__first"), last
+
+
 def _text(facts: DataFrame, name: str) -> Column:
     kind = facts.schema[name].dataType.typeName()
     column = F.col(name)
@@ -72,10 +105,11 @@ def block_of(block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> Column:
     return F.floor((F.col("lsn") - base - 1) / block_facts).cast("long")
 
 
-def seal(facts: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN, tail: tuple[int, str] | None = None) -> DataFrame:
+def seal(facts: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN, tail: tuple[int, str] | None = None, placed: bool = False) -> DataFrame:
     """Numbered facts with leaf, block, root and checksum: a chain for each block of successive numbers.
 
     tail: last number and root of what is stored already; the block that it left open goes on from there.
+    placed: each block lies in one task already, in order, as assign_lsn_by_chunk leaves it.
     """
     leaves = facts.withColumn("leaf", leaf_hash(facts)).withColumns({"block": block_of(block_facts, base), "checksum": checksum()})
     going_on = -1 if tail is None or (tail[0] - base) % block_facts == 0 else (tail[0] - base) // block_facts
@@ -92,7 +126,8 @@ def seal(facts: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN,
                 roots.append(root)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(roots, pa.string())], names)
 
-    return leaves.repartition("block").sortWithinPartitions("block", "lsn").mapInArrow(run, leaves.schema.add("root", "string"))
+    dealt = leaves if placed else leaves.repartition("block").sortWithinPartitions("block", "lsn")
+    return dealt.mapInArrow(run, StructType([*leaves.schema.fields, StructField("root", StringType())]))
 
 
 def block_roots(sealed: DataFrame) -> DataFrame:
@@ -200,6 +235,12 @@ def bad_facts(sealed: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BAS
     return walked.filter("reason is not null").select("lsn", "reason").union(gaps).distinct()
 
 
+def holds(sealed: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN, after: tuple[int, str] | None = None) -> bool:
+    """Whether ``bad_facts`` would be empty: facts are shuffled once, and one row is left of each block."""
+    blocks = scratch(_blocks(_walked(sealed, None, block_facts, base, after)), "blocks")
+    return blocks.filter("fault is not null").isEmpty() and _edges(blocks, base, after).isEmpty()
+
+
 def anchor_faults(anchors: DataFrame, block_facts: int = BLOCK_FACTS, base: int = BASE_LSN) -> DataFrame:
     """(block, at, held) of anchor rows that the chain of anchors doesn't bear out.
 

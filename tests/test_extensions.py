@@ -278,3 +278,20 @@ def test_state_is_kept_by_share(spark, tmp_path):
     query.awaitTermination()
     assert {r.seq: r.window_count for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {i: 1 + i // 2000 for i in range(4000)}
     assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= timed.SHARES
+
+
+def test_facts_are_shuffled_once_before_they_are_sealed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "CHUNK_FACTS", 8)
+    facts = ingest.facts(observations(spark, [FAILURE.format(i % 10) for i in range(50)]), DATABASE).checkpoint()
+    low = ledger.BASE_LSN
+    for size, base in ((4, low), (4, low + 6), (20, low)):
+        numbered, last = ledger.assign_lsn_by_chunk(facts, base=base, block_facts=size)
+        want = ledger.seal(ledger.assign_lsn(facts, base=base), size)
+        got = ledger.seal(numbered, size, placed=True)
+        assert last == base + 50 and sorted(got.select("lsn", "seq", "leaf", "root").collect()) == sorted(want.select("lsn", "seq", "leaf", "root").collect())
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert ledger.assign_lsn_by_chunk(facts.withColumn("seq", F.lit(1).cast("long")), block_facts=4) is None
+    path = f"{tmp_path}/s"
+    for some in (facts.filter("seq < 13"), facts.filter("seq >= 13 and seq < 20"), facts.filter("seq > 90"), facts.filter("seq >= 20").withColumn("seq", F.lit(7).cast("long"))):
+        store.append(some, path, block_facts=4)
+    assert tuple(store.verify(spark, path, 4).first())[:2] == ("INTEG_OK", 50)
