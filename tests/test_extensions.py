@@ -295,3 +295,15 @@ def test_facts_are_shuffled_once_before_they_are_sealed(spark, tmp_path, monkeyp
     for some in (facts.filter("seq < 13"), facts.filter("seq >= 13 and seq < 20"), facts.filter("seq > 90"), facts.filter("seq >= 20").withColumn("seq", F.lit(7).cast("long"))):
         store.append(some, path, block_facts=4)
     assert tuple(store.verify(spark, path, 4).first())[:2] == ("INTEG_OK", 50)
+
+
+def test_pairs_of_templates_spread_over_tasks(spark):
+    """Two token sets of many templates: their pairs come from many tasks and are those of a plain comparison."""
+    rows = [(f"{'u' if i % 3 else 'v'} w x {i}", i) for i in range(120)]
+    groups = spark.createDataFrame(rows, "template string, first_seq long")
+    out = evolve.similar_templates(groups, 0.4, chunk=10)
+    kind = lambda i: bool(i % 3)
+    want = {(rows[i][0], rows[k][0]): 1.0 if kind(i) == kind(k) else 0.5 for i in range(120) for k in range(i + 1, 120)}
+    got = out.collect()
+    assert len(got) == len(want) and {(r.a, r.b): r.similarity for r in got} == want
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 8
