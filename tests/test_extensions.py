@@ -307,3 +307,20 @@ def test_pairs_of_templates_spread_over_tasks(spark):
     got = out.collect()
     assert len(got) == len(want) and {(r.a, r.b): r.similarity for r in got} == want
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+
+
+def test_templates_of_one_token_set_stay_in_many_tasks(spark):
+    """Nearly all templates have one token set: their leaders come from many tasks and no join by set deals them to one."""
+    rows = [(f"u{i} w x y", i) for i in range(4000)] + [("u w x z", 4000), ("p q", 4001)]
+    groups = spark.createDataFrame(rows, "template string, first_seq long").repartition(8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out, column, of_last in ((evolve.leaders(groups), "leader", "u0 w x y"), (evolve.similar_token_sets(groups)[1], "of", "u w x z")):
+            got = out.select("template", column, F.spark_partition_id().alias("part")).collect()
+            want = {t: "u0 w x y" for t, i in rows if i < 4000} | {"u w x z": of_last, "p q": "p q"}
+            assert len(got) == len(rows) and {r.template: r[column] for r in got} == want
+            parts = [r.part for r in got]
+            assert max(map(parts.count, set(parts))) < 2500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
