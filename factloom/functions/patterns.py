@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once for each row, however often use reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def to_java(pattern: str) -> tuple[str, dict[str, int]]:
     """(Java pattern, group number by name): named groups become positional, classes Unicode."""
     names: dict[str, int] = {}
@@ -127,9 +132,9 @@ def captured(raw: Column, pattern: str) -> tuple[Column, list[str]]:
     column = strip(raw)
     java, names = to_java(pattern)
     marked = F.regexp_replace(column, java, _MATCH + _GROUP.join(f"${k}" for k in names.values()) + _MATCH)
-    once = F.split(F.get(F.split(marked, _MATCH), F.lit(1)), _GROUP)
+    split = F.split(F.get(F.split(marked, _MATCH), F.lit(1)), _GROUP)
     each = F.when(column.rlike(java), F.array(*(F.regexp_extract(column, java, k) for k in names.values())).cast("array<string>"))
-    return F.when(raw.contains(_GROUP) | raw.contains(_MATCH), each).otherwise(once), list(names)
+    return F.when(raw.contains(_GROUP) | raw.contains(_MATCH), each).otherwise(split), list(names)
 
 
 def found(column: Column, pattern: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.blake3 import blake3
-from factloom.functions.patterns import ALWAYS, ASKED, captured, extracts, fill, found, participation, strip, to_java, told_apart, took_part
+from factloom.functions.patterns import ALWAYS, ASKED, captured, extracts, fill, found, once, participation, strip, to_java, told_apart, took_part
 from factloom.plans.connector import LEGAL_STAMP, REASONING_VERSION, Condition, Connector, Rule, execution_order
 
 
@@ -39,11 +39,14 @@ def strip_priority(raw: Column) -> Column:
 
 def key_values(raw: Column) -> Column:
     """Map of the key=value chunks of a line, split at the first '='; the last of equal keys wins."""
+
+    def last_wins(chunks: Column, keys: Column) -> Column:
+        pairs = F.transform(keys, lambda k, i: F.struct(k.alias("key"), i.alias("i"), F.get(chunks, i).alias("c")))
+        last = F.filter(pairs, lambda p: ~F.array_contains(F.slice(keys, p["i"] + 2, F.size(keys)), p["key"]))
+        return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"], F.substring(p["c"], F.length(p["key"]) + 2, F.length(p["c"])))))
+
     chunks = F.filter(F.split(strip(raw), r"(?U)\s+"), lambda c: c.contains("="))
-    keys = F.transform(chunks, lambda c: F.substring_index(c, "=", 1))
-    pairs = F.transform(chunks, lambda c, i: F.struct(F.substring_index(c, "=", 1).alias("key"), F.expr("'x'").alias("x"), i.alias("i"), c.alias("c")))
-    last = F.filter(pairs, lambda p: ~F.array_contains(F.slice(keys, p["i"] + 2, F.size(keys)), p["key"]))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["key"], F.substring(p["c"], F.length(p["key"]) + 2, F.length(p["c"])))))
+    return once(chunks, lambda cs: once(F.transform(cs, lambda c: F.substring_index(c, "=", 1)), lambda ks: last_wins(cs, ks)))
 
 
 def _app(df: DataFrame) -> str:
@@ -61,10 +64,10 @@ def _parse_columns(app: str, pattern: str) -> tuple[Column, Column, Column]:
 
 def parse(obs: DataFrame, connector: Connector) -> DataFrame:
     """obs with ``tokens`` and ``parsed``; lines that the connector can't read have parsed false."""
+    # one row for each line: a generated column is computed once, however often rules and filters read it
     if connector.pattern is None:
-        return obs.withColumn("tokens", key_values(F.col("raw"))).withColumn("parsed", F.coalesce(F.size("tokens") > 0, F.lit(False)))
+        return obs.select("*", F.explode(F.array(key_values(F.col("raw")))).alias("tokens")).withColumn("parsed", F.coalesce(F.size("tokens") > 0, F.lit(False)))
     got, tokens, parsed = _parse_columns(_app(obs), connector.pattern)
-    # one row for each line: a generated column is computed once, however often rules and filters read it
     return obs.select("*", got).withColumns({"tokens": tokens, "parsed": parsed}).drop("__got")
 
 

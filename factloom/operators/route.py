@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.patterns import captured, strip, to_java, told_apart
+from factloom.functions.patterns import captured, once, strip, to_java, told_apart
 from factloom.operators import behavior, ingest
 from factloom.plans.connector import Connector, Signature, execution_order
 
@@ -43,14 +43,14 @@ _READING = "struct<connector:string,names:array<string>,texts:array<string>>"
 def _read(connector: Connector, raw: Column) -> Column:
     """(connector, groups or keys and values as a map) of a line; null if the connector can't read it.
 
-    A pattern's groups are a map by name too, so that all connectors' findings are of one type.
+    A pattern's groups are a map by name too, so that all connectors' findings are of one type. A line meets the pattern
+    once: whether it matched is asked of what was found.
     """
     name = F.lit(connector.name).alias("connector")
     if connector.pattern is None:
-        pairs = ingest.key_values(raw)
-        return F.when(F.size(pairs) > 0, F.struct(name, F.map_keys(pairs).alias("names"), F.map_values(pairs).alias("texts")))
+        return once(ingest.key_values(raw), lambda m: F.when(F.size(m) > 0, F.struct(name, F.map_keys(m).alias("names"), F.map_values(m).alias("texts"))))
     got, names = captured(strip(raw), connector.pattern)
-    return F.when(got.isNotNull(), F.struct(name, F.array(*map(F.lit, names)).cast("array<string>").alias("names"), got.alias("texts")))
+    return once(got, lambda g: F.when(g.isNotNull(), F.struct(name, F.array(*map(F.lit, names)).cast("array<string>").alias("names"), g.alias("texts"))))
 
 
 def deal(obs: DataFrame, registry: Registry) -> DataFrame:
@@ -66,8 +66,8 @@ def deal(obs: DataFrame, registry: Registry) -> DataFrame:
     reading = offered if own is None else own.otherwise(offered)
     known = F.coalesce(F.col("source").isin(*registry.by_source), F.lit(False)) if registry.by_source else F.lit(False)
     # generated once for each line, however many branches read it
-    once = obs.select("*", F.explode(F.array(reading)).alias("reading"))
-    return once.withColumn("reason", F.when(F.col("reading").isNull(), F.when(known, DRIFT).otherwise(NO_CONNECTOR)))
+    read = obs.select("*", F.explode(F.array(reading)).alias("reading"))
+    return read.withColumn("reason", F.when(F.col("reading").isNull(), F.when(known, DRIFT).otherwise(NO_CONNECTOR)))
 
 
 def _tokens(connector: Connector) -> dict | ingest.Mapping:

@@ -21,6 +21,7 @@ from factloom.streaming.pipeline import behavior_stream, clusters_to, ingest_to
 #: Sixty seconds never hold five failures of one user in the events table; a week does.
 WEEK = Signature("week_brute_force", "authentication.failure", 604_800, 5, "brute_force_attack", "Critical")
 DAY = Signature("day_brute_force", "authentication.failure", 86_400, 2, "repeated_failure", "Medium")
+#: What windows and their queries read of a fact; where watched facts are written first, no more is made and written.
 FACT = ("seq", "rule_id", "action", "class", "risk", "actor", "target", "system_timestamp")
 TAMPERED = ledger.BASE_LSN + 700
 
@@ -393,10 +394,10 @@ _SOME_ALIASES = "fact.id, actor.id, actor.name, target.id, source.ip, fact.behav
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "behavior_escalation": lambda s, d: behavior.escalate(_facts(s, d), (WEEK,)).filter("window_count >= 5").select(*FACT, "window_count"),
-    "behavior_window_count": lambda s, d: behavior.escalate(_facts(s, d), (WEEK,)).filter("window_count > 0").select("seq", "actor", "window_count"),
-    "behavior_multi_signature": lambda s, d: behavior.escalate(_facts(s, d), (WEEK, DAY)).select("seq", "class", "risk"),
-    "behavior_null_actor_bucket": lambda s, d: behavior.escalate(_facts(s, d).withColumn("actor", F.lit(None).cast("string")), (WEEK,)).filter("window_count > 0").select("seq", "window_count"),
+    "behavior_escalation": lambda s, d: behavior.escalate(_facts(s, d).select(*FACT), (WEEK,)).filter("window_count >= 5").select(*FACT, "window_count"),
+    "behavior_window_count": lambda s, d: behavior.escalate(_facts(s, d).select(*FACT), (WEEK,)).filter("window_count > 0").select("seq", "actor", "window_count"),
+    "behavior_multi_signature": lambda s, d: behavior.escalate(_facts(s, d).select(*FACT), (WEEK, DAY)).select("seq", "class", "risk"),
+    "behavior_null_actor_bucket": lambda s, d: behavior.escalate(_facts(s, d).select(*FACT).withColumn("actor", F.lit(None).cast("string")), (WEEK,)).filter("window_count > 0").select("seq", "window_count"),
     "parse_regex_tokens": _tokens,
     "parse_keyvalue_tokens": _key_values,
     "quarantine_split": lambda s, d: _drift(s, d),
@@ -483,7 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_facts": lambda s, d: route.facts(_dealt(s, d), REGISTRY).select(*FACT, "source", "source_ip", "knowledge_version", "confidence"),
     "route_unrouted": lambda s, d: route.unrouted(_dealt(s, d)).select("seq", "source", "raw", "reason"),
     "route_counters": lambda s, d: route.counters(_dealt(s, d)),
-    "route_escalation": lambda s, d: route.escalate(route.facts(_dealt(s, d), REGISTRY), REGISTRY, WATCH).filter("window_count > 0").select("seq", "knowledge_version", "class", "risk", "window_count"),
+    "route_escalation": lambda s, d: route.escalate(route.facts(_dealt(s, d), REGISTRY).select(*FACT, "knowledge_version"), REGISTRY, WATCH).filter("window_count > 0").select("seq", "knowledge_version", "class", "risk", "window_count"),
     "cond_matches_optional": lambda s, d: _by_rule(Condition("message", matches=r"table t(?:(?P<user>\d\d))?"))(s, d).select("seq", "rule_id", "actor"),
     "cond_equals_empty": lambda s, d: ingest.facts(_obs(s, d), NUMBERED).select("seq", "rule_id", "actor"),
     "behavior_hot_actor": lambda s, d: behavior.escalate(_facts(s, d).withColumn("actor", F.when(F.col("actor") < "u5", F.col("actor"))), (WEEK,), hot_facts=100).filter("window_count > 0").select("seq", "window_count", "class"),

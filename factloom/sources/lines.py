@@ -20,15 +20,24 @@ def matrix_cases(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode("cases").alias("c")).select(F.coalesce("c.input", F.lit("")).alias("input"), F.coalesce("c.expect_action", F.lit("")).alias("expect_action"))
 
 
-#: Bytes of stored events that one task turns into lines, about 250,000 of them.
+#: Bytes of stored events that one task turns into lines, and the most events, however small they are stored.
 TASK_BYTES = 2 << 20
+TASK_ROWS = 100_000
 
 
-def spread(df: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """df over as many tasks as run at once, and over more where its files are larger, so that no task grows with them."""
+def spread(df: DataFrame, task_bytes: int = TASK_BYTES, task_rows: int = TASK_ROWS) -> DataFrame:
+    """df over as many tasks as run at once, and over more where its files or rows are more, so that no task grows with them.
+
+    Rows of larger files are counted, which reads their footers: files of one size differ in rows by their encoding, and
+    splits of one size by where row groups lie.
+    """
     plan = df._jdf.queryExecution()
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-int(str(plan.optimizedPlan().stats().sizeInBytes())) // task_bytes))
-    return df if plan.toRdd().getNumPartitions() >= tasks else df.repartition(tasks)
+    size, parts = int(str(plan.optimizedPlan().stats().sizeInBytes())), plan.toRdd().getNumPartitions()
+    tasks, most = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // task_bytes)), 0
+    if size > task_bytes:
+        total, most = df.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+        tasks = max(tasks, -(-(total or 0) // task_rows))
+    return df if parts >= tasks and (most or 0) <= task_rows else df.repartition(tasks)
 
 
 def event_line() -> Column:

@@ -324,3 +324,38 @@ def test_templates_of_one_token_set_stay_in_many_tasks(spark):
             assert max(map(parts.count, set(parts))) < 2500
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_line_meets_its_pattern_once(spark):
+    """What a connector finds in a line is computed once, for patterns and for keys and values."""
+    lines = [FAILURE.format(1), "USER=bob ACTION=drop STATUS=failed", "junk", None]
+    for connector, step in ((DATABASE, "regexp_replace("), (KEY_VALUE, "split(")):
+        for registry in (route.Registry({"x": connector}), route.Registry({}, (connector,))):
+            plan = route.deal(observations(spark, lines), registry)._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count(step) == 1
+    plan = ingest.facts(observations(spark, lines), KEY_VALUE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_keys_and_values_of_odd_lines(spark):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice("ab= =\t") for _ in range(rng.randint(0, 14))) for _ in range(300)] + ["", "=", "a==b =c a=", None]
+    df = spark.createDataFrame([(x,) for x in lines], "raw string")
+    want = [None if x is None else {c.split("=", 1)[0]: c.split("=", 1)[1] for c in x.split() if "=" in c} for x in lines]
+    assert [r.m for r in df.select(ingest.key_values(F.col("raw")).alias("m")).collect()] == want
+
+
+def test_no_task_has_most_rows_of_many_splits(spark, tmp_path):
+    """One row group lies in one of many splits; events stored in few bytes are dealt by their number."""
+    spark.range(250_000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = spark.read.parquet(f"{tmp_path}/t")
+        assert df.rdd.getNumPartitions() > 8
+        for out in (spread(df, 200_000), spread(df, 200_000, 10_000)):
+            rows = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(rows) == 250_000 and max(rows) <= 100_000
+        assert max(rows) <= 10_500
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
