@@ -309,6 +309,42 @@ def test_pairs_of_templates_spread_over_tasks(spark):
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 8
 
 
+def test_disk_of_pairs_of_templates_grows_with_templates(spark):
+    """Four times the templates have 16 times the pairs, which aren't shuffled: what is written grows about four times."""
+
+    def written(n: int) -> int:
+        store, bus = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+        bus.waitUntilEmpty(30_000)
+        before = store.executorList(True).head().totalShuffleWrite()
+        groups = spark.createDataFrame([(f"{'u' if i % 3 else 'v'} w x {i}", i) for i in range(n)], "template string, first_seq long")
+        evolve.similar_templates(groups, 0.4, chunk=10).write.format("noop").mode("overwrite").save()
+        bus.waitUntilEmpty(30_000)
+        return store.executorList(True).head().totalShuffleWrite() - before
+
+    small, large = written(500), written(2000)
+    assert 0 < large < 6 * small
+
+
+def test_pairs_of_large_and_small_token_sets(spark):
+    """Large sets with packs of their own and small ones that share packs: all pairs of a plain comparison, none twice.
+
+    Templates that appear at once, or nobody knows when, aren't in order and have no pair.
+    """
+    words = ["w x a"] * 37 + ["w x b"] * 25 + ["w x"] * 11 + ["y z"] * 10 + [f"w {c} {d}" for c in "xyz" for d in "abcdefghi"] + ["", "", "q"]
+    rows = [(f"{w} {i}", i * 7919 % 1009) for i, w in enumerate(words)]
+    rows += [("w x a 900", rows[0][1]), ("w x c 901", rows[0][1]), ("w b 902", None), ("w x b 903", None)]
+    sets = [frozenset(re.findall("[a-z]+", t)) or frozenset([""]) for t, _ in rows]
+    want = {}
+    for (a, at), s in zip(rows, sets, strict=True):
+        for (b, bt), u in zip(rows, sets, strict=True):
+            if at is not None and bt is not None and at < bt and len(s & u) >= 0.4 * len(s | u):
+                want[a, b] = round(len(s & u) / len(s | u), 3)
+    for chunk in (1, 10, 1000):
+        got = evolve.similar_templates(spark.createDataFrame(rows, "template string, first_seq long"), 0.4, chunk=chunk, digits=3).collect()
+        assert len(got) == len(want) and {(r.a, r.b): r.similarity for r in got} == want and all(r.sa < r.sb for r in got)
+    assert evolve.similar_templates(spark.createDataFrame([], "template string, first_seq long")).count() == 0
+
+
 def test_templates_of_one_token_set_stay_in_many_tasks(spark):
     """Nearly all templates have one token set: their leaders come from many tasks and no join by set deals them to one."""
     rows = [(f"u{i} w x y", i) for i in range(4000)] + [("u w x z", 4000), ("p q", 4001)]
